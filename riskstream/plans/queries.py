@@ -194,14 +194,15 @@ SELECT COUNT(*) AS duplicate_ids FROM (
     lambda v: quality.duplicate_count(v.stg_transactions, "transaction_id"))
 
 register("reconcile", sql(f"""
-WITH s AS (SELECT {oracle.bucket(oracle._parse('occurred_at'), oracle.MIN)} AS window_start,
-                  COUNT(*) AS source_count FROM transactions GROUP BY 1),
-t AS (SELECT {oracle.bucket('occurred_at', oracle.MIN)} AS window_start,
-             COUNT(*) AS staged_count FROM stg_transactions GROUP BY 1)
 SELECT COALESCE(s.window_start, t.window_start) AS window_start,
        COALESCE(source_count, 0) AS source_count, COALESCE(staged_count, 0) AS staged_count,
        COALESCE(source_count, 0) - COALESCE(staged_count, 0) AS missing
-FROM s FULL OUTER JOIN t ON s.window_start = t.window_start""",
+FROM (SELECT {oracle.bucket(oracle._parse('occurred_at'), oracle.MIN)} AS window_start,
+             COUNT(*) AS source_count FROM transactions GROUP BY 1) s
+FULL OUTER JOIN
+     (SELECT {oracle.bucket('occurred_at', oracle.MIN)} AS window_start,
+             COUNT(*) AS staged_count FROM stg_transactions GROUP BY 1) t
+  ON s.window_start = t.window_start""",
     "transactions", "stg_transactions"))(
     lambda v: quality.reconcile(v.raw["transactions"], staging.parse_ts("occurred_at"),
                                 v.stg_transactions, "occurred_at"))
