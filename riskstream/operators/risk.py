@@ -12,14 +12,20 @@ from pyspark.sql import functions as F
 from riskstream.constants import (
     ACTIVE_ACCOUNT_LOOKBACK,
     BASE_SCORE,
+    BURST_WINDOW,
+    CNP_WINDOW,
     LOWEST_TIER,
     SCORE_CAP,
     SCORE_LOOKBACK,
     SIGNAL_WEIGHTS,
+    STORM_WINDOW,
+    STRUCTURING_WINDOW,
     TIERS,
+    VELOCITY_WINDOW,
 )
 from riskstream.functions.numeric import flag, pct, round_numeric
 from riskstream.functions.time import ago, as_of_column
+from riskstream.operators import signals
 
 LOOKBACK = dict(SCORE_LOOKBACK)
 
@@ -116,10 +122,42 @@ def account_risk_score(stg_tx: DataFrame, velocity: DataFrame, geo: DataFrame,
               .join(rb, ["account_id", "customer_id"], "left")
               .join(rs, "account_id", "left")
               .join(rcomp, "account_id", "left"))
-    score, signals = score_columns({name: F.col(name) for name, _ in SIGNAL_WEIGHTS})
+    score, names = score_columns({name: F.col(name) for name, _ in SIGNAL_WEIGHTS})
     return scored.select(
         "account_id", "customer_id", score.alias("risk_score"),
-        signals.alias("contributing_signals"), risk_tier(score).alias("risk_tier"))
+        names.alias("contributing_signals"), risk_tier(score).alias("risk_tier"))
+
+
+def account_risk_score_snapshot(stg_tx: DataFrame, stg_login: DataFrame, stg_alerts: DataFrame,
+                                geo: DataFrame, device: DataFrame, as_of=None,
+                                lookback: dict[str, str] | None = None) -> DataFrame:
+    """D1 from staged events, reading only the rows each signal can contribute.
+
+    A tumbling window of length ``d`` that ends at or after ``as_of - L`` starts
+    at or after ``as_of - L - d``, so every row of such a window is kept by the
+    pre-filter ``occurred_at >= as_of - L - d``; windows the filter cuts short
+    end before ``as_of - L`` and are dropped by the look-back anyway.  The
+    result is identical to scoring the full signal views, but the aggregations
+    shuffle only recent rows, and on a time-partitioned staged table the scan
+    prunes to the last couple of hours.  The geo hops (which need each
+    customer's previous transaction, however old) and the device signal (30
+    days of history) are passed in.
+    """
+    lb = {**LOOKBACK, **(lookback or {})}
+    now = as_of_column(stg_tx, "occurred_at", as_of)
+
+    def since(df: DataFrame, name: str, window: str) -> DataFrame:
+        return df.where(F.col("occurred_at") >= ago(ago(now, lb[name]), window))
+
+    return account_risk_score(
+        stg_tx,
+        signals.velocity_alerts(since(stg_tx, "velocity", VELOCITY_WINDOW)),
+        geo, device,
+        signals.cnp_spike(since(stg_tx, "cnp_spike", CNP_WINDOW)),
+        signals.login_failure_storm(since(stg_login, "brute_force", STORM_WINDOW)),
+        signals.structuring(since(stg_tx, "structuring", STRUCTURING_WINDOW)),
+        signals.correlated_alert_burst(since(stg_alerts, "compound_fraud", BURST_WINDOW)),
+        as_of=now, lookback=lb)
 
 
 def fraud_kpis(stg_tx: DataFrame, stg_alerts: DataFrame, velocity: DataFrame, geo: DataFrame,

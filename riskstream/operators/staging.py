@@ -2,7 +2,7 @@
 
 Each function is a narrow projection (no shuffle) except ``latest_kyc`` and
 ``dedupe_events``, which aggregate by key with map-side partial aggregation.
-Timestamps are parsed with ``try_to_timestamp``: a malformed value becomes
+Timestamps are parsed with ``try_cast``: a malformed value becomes
 NULL (and is reported by the quality checks) instead of failing the job.
 """
 
@@ -21,8 +21,12 @@ from riskstream.constants import (
 
 
 def parse_ts(col: str) -> Column:
-    """ISO-8601 string -> TIMESTAMP (NULL when unparsable)."""
-    return F.try_to_timestamp(F.col(col))
+    """ISO-8601 string (``...Z`` or with offset) -> TIMESTAMP, NULL when unparsable.
+
+    ``try_cast`` accepts the same ISO forms as ``try_to_timestamp`` without a
+    pattern and is cheaper per row.
+    """
+    return F.col(col).try_cast("timestamp")
 
 
 def _with_ts(df: DataFrame, col: str) -> DataFrame:

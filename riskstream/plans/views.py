@@ -119,10 +119,9 @@ class Views:
     # --- risk -------------------------------------------------------------
     @cached_property
     def account_risk_score(self) -> DataFrame:
-        return risk.account_risk_score(
-            self.stg_transactions, self.velocity_alerts, self.geo_hops,
-            self.device_anomalies_with_account, self.cnp_spike, self.login_failure_storm,
-            self.structuring, self.correlated_alert_burst, as_of=self.as_of)
+        return risk.account_risk_score_snapshot(
+            self.stg_transactions, self.stg_login_events, self.stg_alert_events,
+            self.geo_hops, self.device_anomalies_with_account, as_of=self.as_of)
 
     @cached_property
     def fraud_kpis_1min(self) -> DataFrame:

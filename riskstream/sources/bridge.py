@@ -62,13 +62,18 @@ def _pick(index: Column, values) -> Column:
     return out
 
 
+def _k() -> Column:
+    """The integer ``k`` of the ``props`` JSON."""
+    return F.from_json("props", "k INT")["k"]
+
+
 def _iso(ts: Column) -> Column:
     return F.date_format(ts, ISO_FORMAT)
 
 
 def _enriched(events: DataFrame) -> DataFrame:
     """Common derived columns of an ``events`` row."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = _k()
     occurred = F.timestamp_micros(F.lit(T0_MICROS) + F.expr(
         f"(unix_micros(cast(ts AS timestamp)) - {T0_MICROS}) div {COMPRESSION}"))
     london = k == LONDON_K
@@ -147,7 +152,7 @@ def card_events(events: DataFrame) -> DataFrame:
 
 def alert_events(events: DataFrame) -> DataFrame:
     src = events.where(F.col("event_type").isin(*ALERT_TYPE_BY_EVENT)
-                       & (F.get_json_object("props", "$.k").cast("int") < 15))
+                       & (_k() < 15))
     e = _enriched(src)
     atype = F.when(F.col("event_type") == "signup", F.lit(ALERT_TYPE_BY_EVENT["signup"])) \
         .otherwise(F.lit(ALERT_TYPE_BY_EVENT["view"]))
@@ -192,14 +197,34 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+class _LazyStreams(dict):
+    """Stream name -> DataFrame, each projection built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name == "kyc_profile_events":
+            df = kyc_profile_events(read_table(self._spark, self._dir, "customer"))
+        else:
+            df = BUILDERS[name](self._events())
+        self[name] = df
+        return df
+
+    def _events(self) -> DataFrame:
+        if "_events_df" not in self.__dict__:
+            self.__dict__["_events_df"] = read_table(self._spark, self._dir, "events")
+        return self.__dict__["_events_df"]
+
+
+BUILDERS = {"transactions": transactions, "login_events": login_events,
+            "card_events": card_events, "alert_events": alert_events}
+
+
 def raw_streams(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five source-shaped (string timestamp) streams for a test-data folder."""
-    events = read_table(spark, sf_dir, "events")
-    customer = read_table(spark, sf_dir, "customer")
-    return {
-        "transactions": transactions(events),
-        "login_events": login_events(events),
-        "card_events": card_events(events),
-        "alert_events": alert_events(events),
-        "kyc_profile_events": kyc_profile_events(customer),
-    }
+    """The five source-shaped (string timestamp) streams for a test-data folder.
+
+    Built lazily: a query that needs only transactions never plans the others.
+    """
+    return _LazyStreams(spark, sf_dir)
