@@ -37,6 +37,14 @@ def tumble(ts: str, duration: str) -> Column:
     return F.window(ts, duration)
 
 
+def window_start(ts: Column, duration: str) -> Column:
+    """Epoch-aligned window start like ``F.window(...).start``, but NULL for a
+    NULL time instead of dropping the row (used where NULLs must be counted)."""
+    d = interval_micros(duration)
+    us = F.unix_micros(ts)
+    return F.timestamp_micros(us - F.pmod(us, F.lit(d)))
+
+
 def minutes_between(later: Column, earlier: Column) -> Column:
     """Exact elapsed minutes as double (microsecond resolution)."""
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(60_000_000.0)

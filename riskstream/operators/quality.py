@@ -12,6 +12,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskstream.functions.time import window_start
 from riskstream.constants import (
     ACTIONS,
     CASE_TIERS,
@@ -100,10 +101,14 @@ def topic_staleness(streams: dict[str, tuple[DataFrame, str]], as_of: Column,
 
 def reconcile(source: DataFrame, source_ts: Column, staged: DataFrame, staged_ts: str,
               window: str = "1 minute") -> DataFrame:
-    """Row counts per window, source vs staged (full outer join)."""
-    s = source.groupBy(F.window(source_ts, window).start.alias("window_start")) \
+    """Row counts per window, source vs staged (full outer join).
+
+    Rows whose time is NULL (unparsable) form their own NULL window, so they
+    show up as missing instead of vanishing.
+    """
+    s = source.groupBy(window_start(source_ts, window).alias("window_start")) \
         .agg(F.count(F.lit(1)).alias("source_count"))
-    t = staged.groupBy(F.window(staged_ts, window).start.alias("window_start")) \
+    t = staged.groupBy(window_start(F.col(staged_ts), window).alias("window_start")) \
         .agg(F.count(F.lit(1)).alias("staged_count"))
     j = s.join(t, "window_start", "full_outer")
     zero = F.lit(0).cast("bigint")

@@ -140,7 +140,8 @@ def write_topic(df: DataFrame, topic: str, brokers: str | None = None, path: str
         opts.update({"kafka.acks": "all", "kafka.retries": "3"})
         fmt = "kafka"
     else:
-        opts, fmt = {"path": path}, "json"
+        # one JSON message per line, readable back with ``read_stream(fmt="json")``
+        opts, fmt = {"path": path}, "text"
         msgs = msgs.select("value")
     if df.isStreaming:
         return msgs.writeStream.format(fmt).options(**opts) \
