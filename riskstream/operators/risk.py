@@ -40,14 +40,6 @@ def customer_accounts(stg_tx: DataFrame) -> DataFrame:
     return stg_tx.select("customer_id", "account_id").distinct()
 
 
-def _recent_flag(df: DataFrame, ts: str, now: Column, lookback: str, flag_col: str,
-                 keys: list[str], name: str, account_col: str = "account_id") -> DataFrame:
-    recent = df.where(F.col(ts) >= ago(now, lookback))
-    if account_col != "account_id":
-        recent = recent.withColumnRenamed(account_col, "account_id")
-    return recent.groupBy(*keys).agg(F.max(flag(F.col(flag_col))).alias(name))
-
-
 def risk_tier(score: Column) -> Column:
     (t1, v1), (t2, v2), (t3, v3) = TIERS
     return F.when(score > v1, F.lit(t1)).when(score > v2, F.lit(t2)) \
@@ -81,47 +73,63 @@ def account_risk_score(stg_tx: DataFrame, velocity: DataFrame, geo: DataFrame,
     every transaction.  Customer-level signals (brute force, compound alerts)
     reach every account the customer has used, via ``customer_accounts``.
 
-    Flag tables are aggregated per account and left-joined on ``account_id``;
-    AQE broadcasts the ones that turn out small at run time (measured size),
-    others are sort-merge joined on the partitioning the left side already
-    has.  The structuring flag is keyed by (account, customer) but joined on
-    the account only, as in the reference (an account shared by two
-    customers fans out; ``unique(account_id)`` reports it).
+    The account-keyed flags are one union and one aggregate, left-joined once;
+    AQE broadcasts a side only when its measured size allows.  The
+    structuring flag is keyed by (account, customer) but joined on the account
+    only, as defined (an account shared by two customers fans out;
+    ``unique(account_id)`` reports it).
     """
     lb = {**LOOKBACK, **(lookback or {})}
     now = as_of_column(stg_tx, "occurred_at", as_of)
-    pairs = customer_accounts(stg_tx)
-
-    rv = _recent_flag(velocity, "window_end", now, lb["velocity"], "is_velocity_breach",
-                      ["account_id"], "velocity")
-    rg = _recent_flag(geo, "txn2_time", now, lb["geo_impossible"], "is_impossible",
-                      ["account_id"], "geo_impossible", account_col="txn2_account_id")
-    rd = _recent_flag(device, "occurred_at", now, lb["device_anomaly"], "combined_risk_flag",
-                      ["account_id"], "device_anomaly")
-    rc = _recent_flag(cnp, "window_end", now, lb["cnp_spike"], "is_cnp_spike",
-                      ["account_id"], "cnp_spike")
-    storms = storm.where(F.col("window_end") >= ago(now, lb["brute_force"])).join(
-        pairs, "customer_id")
-    rb = storms.groupBy("customer_id", "account_id").agg(
-        F.max(flag(F.col("is_brute_force"))).alias("brute_force"))
-    rs = _recent_flag(structuring, "window_end", now, lb["structuring"],
-                      "is_structuring_pattern", ["account_id", "customer_id"], "structuring") \
+    # One aggregate gives both the all-time (customer, account) pairs and the
+    # accounts active in the last hour.
+    seen = stg_tx.groupBy("customer_id", "account_id").agg(
+        F.max("occurred_at").alias("_last_seen"))
+    pairs = seen.select("customer_id", "account_id")
+    active = seen.where(F.col("_last_seen") >= ago(now, active_lookback)) \
+        .select("account_id", "customer_id")
+
+    def recent(df: DataFrame, ts: str, name: str) -> DataFrame:
+        return df.where(F.col(ts) >= ago(now, lb[name]))
+
+    def rows_of(df: DataFrame, account: str, flag_col: str, name: str) -> DataFrame:
+        return df.select(F.col(account).alias("account_id"), F.lit(name).alias("_signal"),
+                         flag(F.col(flag_col)).alias("_f"))
+
+    # Account-keyed flags: one union, one aggregate, one join (instead of one
+    # aggregate + join per signal).  MAX over no rows is NULL -> 0 later.
+    account_rows = [
+        rows_of(recent(velocity, "window_end", "velocity"), "account_id",
+                "is_velocity_breach", "velocity"),
+        rows_of(recent(geo, "txn2_time", "geo_impossible"), "txn2_account_id",
+                "is_impossible", "geo_impossible"),
+        rows_of(recent(device, "occurred_at", "device_anomaly"), "account_id",
+                "combined_risk_flag", "device_anomaly"),
+        rows_of(recent(cnp, "window_end", "cnp_spike"), "account_id", "is_cnp_spike",
+                "cnp_spike"),
+        rows_of(recent(burst, "window_end", "compound_fraud").join(pairs, "customer_id"),
+                "account_id", "is_compound_fraud", "compound_fraud"),
+    ]
+    u = account_rows[0]
+    for part in account_rows[1:]:
+        u = u.unionByName(part)
+    per_account = u.groupBy("account_id").agg(
+        *[F.max(F.when(F.col("_signal") == n, F.col("_f"))).alias(n)
+          for n in ("velocity", "geo_impossible", "device_anomaly", "cnp_spike",
+                    "compound_fraud")])
+    # Brute force is keyed by (customer, account); structuring by (account,
+    # customer) but joined on the account only, as defined.
+    rb = recent(storm, "window_end", "brute_force").join(pairs, "customer_id") \
+        .groupBy("customer_id", "account_id") \
+        .agg(F.max(flag(F.col("is_brute_force"))).alias("brute_force"))
+    rs = recent(structuring, "window_end", "structuring").groupBy("account_id", "customer_id") \
+        .agg(F.max(flag(F.col("is_structuring_pattern"))).alias("structuring")) \
         .drop("customer_id")
-    bursts = burst.where(F.col("window_end") >= ago(now, lb["compound_fraud"])).join(
-        pairs, "customer_id")
-    rcomp = bursts.groupBy("account_id").agg(
-        F.max(flag(F.col("is_compound_fraud"))).alias("compound_fraud"))
 
-    active = stg_tx.where(F.col("occurred_at") >= ago(now, active_lookback)) \
-        .select("account_id", "customer_id").distinct()
     scored = (active
-              .join(rv, "account_id", "left")
-              .join(rg, "account_id", "left")
-              .join(rd, "account_id", "left")
-              .join(rc, "account_id", "left")
+              .join(per_account, "account_id", "left")
               .join(rb, ["account_id", "customer_id"], "left")
-              .join(rs, "account_id", "left")
-              .join(rcomp, "account_id", "left"))
+              .join(rs, "account_id", "left"))
     score, names = score_columns({name: F.col(name) for name, _ in SIGNAL_WEIGHTS})
     return scored.select(
         "account_id", "customer_id", score.alias("risk_score"),
