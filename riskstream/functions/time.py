@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-AsOf = "Column | str | dt.datetime | None"
-
 
 def as_of_column(df: DataFrame, ts: str, as_of=None) -> Column:
     """The reference instant of a temporal filter (``NOW()``).
