@@ -58,11 +58,23 @@ def score_columns(flags: dict[str, Column]) -> tuple[Column, Column]:
     return score, F.array_compact(F.array(*names))
 
 
+def accounts_seen(stg_tx: DataFrame) -> DataFrame:
+    """(customer_id, account_id, last_seen_at): every pair ever seen.
+
+    One hash aggregate (partial per partition).  Streaming keeps it
+    incrementally (``streaming.topology``), so the score never rescans the
+    history for it.
+    """
+    return stg_tx.groupBy("customer_id", "account_id").agg(
+        F.max("occurred_at").alias("last_seen_at"))
+
+
 def account_risk_score(stg_tx: DataFrame, velocity: DataFrame, geo: DataFrame,
                        device: DataFrame, cnp: DataFrame, storm: DataFrame,
                        structuring: DataFrame, burst: DataFrame, as_of=None,
                        lookback: dict[str, str] | None = None,
-                       active_lookback: str = ACTIVE_ACCOUNT_LOOKBACK) -> DataFrame:
+                       active_lookback: str = ACTIVE_ACCOUNT_LOOKBACK,
+                       seen: DataFrame | None = None) -> DataFrame:
     """One row per (account, customer) active in the last hour.
 
     ``geo`` must carry ``txn2_account_id`` and ``device`` ``account_id``
@@ -83,10 +95,9 @@ def account_risk_score(stg_tx: DataFrame, velocity: DataFrame, geo: DataFrame,
     now = as_of_column(stg_tx, "occurred_at", as_of)
     # One aggregate gives both the all-time (customer, account) pairs and the
     # accounts active in the last hour.
-    seen = stg_tx.groupBy("customer_id", "account_id").agg(
-        F.max("occurred_at").alias("_last_seen"))
+    seen = accounts_seen(stg_tx) if seen is None else seen
     pairs = seen.select("customer_id", "account_id")
-    active = seen.where(F.col("_last_seen") >= ago(now, active_lookback)) \
+    active = seen.where(F.col("last_seen_at") >= ago(now, active_lookback)) \
         .select("account_id", "customer_id")
 
     def recent(df: DataFrame, ts: str, name: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Materialized views kept current from a stream.
 
-A view's current rows live in a Parquet table partitioned by day.  Each
-micro-batch is merged by key into the days it touches: existing rows of
-those days whose key re-appears are replaced by the batch's rows (newest
+A view's current rows live in a partitioned Parquet table.  The partition of
+a key never changes: the day of a window start for windowed views, a hash
+bucket of the key for keyed tables (``hash_bucket``).  Each micro-batch is
+merged by key into the partitions it touches: existing rows of those
+partitions whose key re-appears are replaced by the batch's rows (newest
 version per key inside the batch wins).  Re-running an epoch after a failure
 gives the same table, so ``foreachBatch`` + a checkpoint location is
 effectively exactly-once.  The merged rows are checkpointed (reliable
@@ -19,7 +21,17 @@ from pyspark.sql import functions as F
 
 from riskstream.session import checkpoint_dir
 
-DAY = "_day"
+PART = "_part"
+
+
+def day_of(col: str) -> Column:
+    """Partition by the day of a time that never changes for a key."""
+    return F.to_date(F.col(col))
+
+
+def hash_bucket(keys: list[str], buckets: int = 64) -> Column:
+    """Partition keyed tables by a stable hash of the key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -37,44 +49,45 @@ def latest_per_key(df: DataFrame, keys: list[str], version: Column | None = None
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def upsert(batch: DataFrame, path: str, keys: list[str], day_col: str,
+def upsert(batch: DataFrame, path: str, keys: list[str], part: Column,
            version: Column | None = None) -> None:
     """Merge ``batch`` into the table at ``path`` by ``keys``.
 
-    Only the day partitions present in the batch are read and rewritten
+    Only the partitions present in the batch are read and rewritten
     (dynamic partition overwrite), so the cost follows the batch, not the
     table.
     """
     spark = batch.sparkSession
     checkpoint_dir(spark)
-    new = latest_per_key(batch, keys, version).withColumn(DAY, F.to_date(F.col(day_col)))
+    new = latest_per_key(batch, keys, version).withColumn(PART, part)
     if _exists(spark, path):
-        days = new.select(DAY).distinct()
-        current = spark.read.parquet(path).join(days, DAY, "left_semi")
+        parts = new.select(PART).distinct()
+        current = spark.read.parquet(path).join(parts, PART, "left_semi")
         kept = current.join(new.select(*keys), keys, "left_anti")
         merged = kept.unionByName(new)
     else:
         merged = new
     merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").partitionBy(DAY)
+    (merged.write.mode("overwrite").partitionBy(PART)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
 def read_view(spark: SparkSession, path: str) -> DataFrame:
     """The current rows of a materialized view (partition column dropped)."""
-    return spark.read.parquet(path).drop(DAY)
+    return spark.read.parquet(path).drop(PART)
 
 
-def materialize(stream: DataFrame, path: str, keys: list[str], day_col: str,
-                checkpoint: str, trigger: dict | None = None, query_name: str | None = None):
+def materialize(stream: DataFrame, path: str, keys: list[str], part: Column,
+                checkpoint: str, trigger: dict | None = None, query_name: str | None = None,
+                output_mode: str = "update"):
     """Start a streaming query that keeps ``path`` equal to the view's rows.
 
-    ``stream`` is a streaming aggregate (update mode emits changed groups)
+    ``stream`` is a streaming aggregate (``update`` emits the changed groups)
     or an append stream.  Returns the ``StreamingQuery``.
     """
-    writer = (stream.writeStream.outputMode("update" if _is_aggregate(stream) else "append")
+    writer = (stream.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, epoch: upsert(df, path, keys, day_col)))
+              .foreachBatch(lambda df, epoch: upsert(df, path, keys, part)))
     if query_name:
         writer = writer.queryName(query_name)
     if trigger:
@@ -82,11 +95,6 @@ def materialize(stream: DataFrame, path: str, keys: list[str], day_col: str,
     return writer.start()
 
 
-def _is_aggregate(df: DataFrame) -> bool:
-    plan = df._jdf.queryExecution().logical().toString()
-    return "Aggregate" in plan
-
-
 def default_paths(spark: SparkSession, name: str) -> tuple[str, str]:
     """(table path, checkpoint path) under the shared checkpoint folder."""
     root = checkpoint_dir(spark)

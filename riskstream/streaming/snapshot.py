@@ -2,11 +2,11 @@
 
 ``NOW()``-relative views (risk score, cases, recent alerts) lose rows as time
 passes, which an incremental aggregate cannot retract.  The honest
-equivalent is a snapshot: after each micro-batch, recompute them from the
-materialized tables with ``as_of`` = the newest event time seen, and
-overwrite the snapshot tables.  The inputs are the staged tables (bounded
-reads: the score only touches the last hour of windowed signals, see
-``account_risk_score_snapshot``).
+equivalent is a snapshot: after each micro-batch, recompute them with
+``as_of`` = the newest event time seen and overwrite the snapshot tables.
+``snapshot_on_batch`` does it from the tables ``streaming.topology``
+maintains; ``staged_views`` / ``write_snapshot`` recompute everything from
+source-shaped tables (backfills).
 """
 
 from __future__ import annotations
@@ -35,8 +35,12 @@ def staged_views(spark: SparkSession, staged_dir: str, **kw) -> Views:
     return Views(raw, **kw)
 
 
-def snapshot_on_batch(staged_dir: str, out_dir: str, **kw):
-    """A ``foreachBatch`` function: refresh the snapshot after every micro-batch."""
+def snapshot_on_batch(root: str, device_args: dict | None = None):
+    """A ``foreachBatch`` function for a trigger stream (e.g. transactions):
+    after every micro-batch, refresh the snapshot of the topology at ``root``
+    from its maintained tables (``topology.refresh_snapshot``)."""
+    from riskstream.streaming import topology
+
     def run(batch: DataFrame, epoch_id: int) -> None:
-        write_snapshot(staged_views(batch.sparkSession, staged_dir, **kw), out_dir)
+        topology.refresh_snapshot(batch.sparkSession, root, device_args)
     return run

@@ -43,7 +43,8 @@ def test_windowed_stream_equals_batch(spark, views, tmp_dir, name, source):
     stream = _chunked_source(spark, staged, os.path.join(tmp_dir, "src"))
     sig, keys = ss.windowed_signal(name, stream, watermark="1 hour")
     out, ckpt = os.path.join(tmp_dir, "view"), os.path.join(tmp_dir, "ckpt")
-    q = mat.materialize(sig, out, keys, "window_start", ckpt, trigger={"availableNow": True})
+    q = mat.materialize(sig, out, keys, mat.day_of("window_start"), ckpt,
+                        trigger={"availableNow": True})
     q.awaitTermination()
     assert q.lastProgress is not None
     got = mat.read_view(spark, out)
@@ -78,9 +79,13 @@ def test_upsert_is_idempotent(spark, tmp_dir):
     b2 = spark.createDataFrame([("a", 2, "2026-04-18 10:00:00"), ("c", 5, "2026-04-19 10:00:00")],
                                "k string, v int, ts string").withColumn("ts", F.col("ts")
                                                                          .cast("timestamp"))
-    mat.upsert(b1, path, ["k"], "ts")
-    mat.upsert(b2, path, ["k"], "ts")
-    mat.upsert(b2, path, ["k"], "ts")  # replayed epoch
+    mat.upsert(b1, path, ["k"], mat.day_of("ts"))
+    mat.upsert(b2, path, ["k"], mat.day_of("ts"))
+    mat.upsert(b2, path, ["k"], mat.day_of("ts"))  # replayed epoch
+    keyed = os.path.join(tmp_dir, "keyed")
+    for b in (b1, b2, b2):
+        mat.upsert(b, keyed, ["k"], mat.hash_bucket(["k"], 4))
+    assert rows(mat.read_view(spark, keyed), "k", "v") == [("a", 2), ("b", 1), ("c", 5)]
     assert rows(mat.read_view(spark, path), "k", "v") == [("a", 2), ("b", 1), ("c", 5)]
 
 
@@ -95,3 +100,37 @@ def test_snapshot_from_materialized_tables(spark, views, tmp_dir):
     got = spark.read.parquet(os.path.join(out, "account_risk_score"))
     cols = ["account_id", "customer_id", "risk_score", "risk_tier"]
     assert rows(got, *cols) == rows(views.account_risk_score, *cols)
+
+
+def test_topology_snapshot_equals_batch(spark, views, tmp_dir):
+    from riskstream import schemas
+    from riskstream.operators.staging import parse_ts
+    from riskstream.streaming import topology
+
+    sources = {}
+    for name, schema in schemas.STREAMS.items():
+        raw = views.raw[name]
+        ts = schemas.EVENT_TIME[name]
+        path = os.path.join(tmp_dir, "src", name)
+        with_t = raw.withColumn("_t", parse_ts(ts))
+        lo, hi = with_t.select(F.min("_t"), F.max("_t")).first()
+        step = (hi - lo) / 3
+        for i in range(3):
+            cond = (F.col("_t") >= lo + step * i) & (
+                (F.col("_t") < lo + step * (i + 1)) if i < 2 else F.lit(True))
+            with_t.where(cond).drop("_t").coalesce(1).write.mode("append").parquet(path)
+        sources[name] = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1) \
+            .parquet(path)
+    root = os.path.join(tmp_dir, "root")
+    topo = topology.start(spark, sources, root, trigger={"availableNow": True},
+                          watermark="1 hour")
+    topo.await_all()
+    snap = topology.snapshot_views(spark, root, device_args=views.device_args)
+    for name, cols in [("account_risk_score", ["account_id", "customer_id", "risk_score",
+                                               "risk_tier"]),
+                       ("open_fraud_cases", ["account_id", "recommended_action", "kyc_risk_tier"]),
+                       ("resolved_cases", ["account_id", "current_risk_score"]),
+                       ("recent_high_alerts", ["alert_id", "customer_kyc_tier", "kyc_status"])]:
+        want = rows(getattr(views, name), *cols)
+        assert rows(snap[name], *cols) == want, name
+        assert len(want) > 0, name
