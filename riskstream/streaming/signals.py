@@ -1,8 +1,9 @@
 """Streaming forms of the signals.
 
 Windowed signals (C1-C6): the batch functions run unchanged on a streaming
-DataFrame; a watermark bounds the per-window state and the distinct counts
-switch to ``size(collect_set)`` (C3, C5) or to dedupe-then-count (C6).  In ``update`` mode each micro-batch emits
+DataFrame; a watermark bounds the per-window state.  Distinct counts become
+dedupe-then-count (C3, C6) or ``size(collect_set)`` over the six alert
+types (C5).  In ``update`` mode each micro-batch emits
 the groups that changed; counts in a window only grow, so once a group
 passes its threshold it stays and an upsert by (keys, window) reproduces the
 batch result for every row inside the watermark.  Rows later than the
@@ -33,6 +34,8 @@ from riskstream.constants import (
     GEO_MIN_KM,
     RING_MIN_CUSTOMERS,
     RING_WINDOW,
+    STORM_MIN_FAILURES,
+    STORM_WINDOW,
 )
 from riskstream.functions.geo import equirectangular_km
 from riskstream.functions.numeric import round_numeric
@@ -61,13 +64,59 @@ def shared_device_ring_stream(staged_stream: DataFrame, window: str = RING_WINDO
         "customer_count", (F.col("customer_count") >= min_customers).alias("is_shared_device_ring"))
 
 
-# Distinct counts elsewhere keep ``size(collect_set)``: alert types have six
-# values; distinct IPs / devices per customer per minute are bounded by the
-# distinct values, not by the number of rows.
+STORM_PARTS = ("storm_counts", "storm_ips", "storm_devices")
+
+
+def login_failure_storm_streams(staged_logins: DataFrame, window: str = STORM_WINDOW,
+                                watermark: str = DEFAULT_WATERMARK) -> dict[str, DataFrame]:
+    """Streaming C3 as three bounded aggregates per (customer, window).
+
+    ``storm_counts``: count / first / last failure.  ``storm_ips`` and
+    ``storm_devices``: the failed logins de-duplicated on (window, customer,
+    value) and counted, so a customer hit from many addresses never holds a
+    set in one state row.  ``login_failure_storm_view`` joins the three
+    maintained tables and applies the threshold.
+    """
+    base = staged_logins.where(F.col("success") == F.lit(False)) \
+        .withWatermark("occurred_at", watermark) \
+        .select(F.window("occurred_at", window).alias("w"), "customer_id", "ip_address",
+                "device_id", "occurred_at")
+
+    def out(df: DataFrame) -> DataFrame:
+        return df.select("customer_id", F.col("w.start").alias("window_start"),
+                         F.col("w.end").alias("window_end"),
+                         *[c for c in df.columns if c not in ("w", "customer_id")])
+
+    def distinct(col: str, name: str) -> DataFrame:
+        d = base.where(F.col(col).isNotNull()).dropDuplicates(["w", "customer_id", col])
+        return out(d.groupBy("w", "customer_id").agg(F.count(F.lit(1)).alias(name)))
+
+    counts = base.groupBy("w", "customer_id").agg(
+        F.count(F.lit(1)).alias("failure_count"), F.min("occurred_at").alias("first_failure_at"),
+        F.max("occurred_at").alias("last_failure_at"))
+    return {"storm_counts": out(counts), "storm_ips": distinct("ip_address", "distinct_ips"),
+            "storm_devices": distinct("device_id", "distinct_devices")}
+
+
+def login_failure_storm_view(counts: DataFrame, ips: DataFrame, devices: DataFrame,
+                             min_failures: int = STORM_MIN_FAILURES) -> DataFrame:
+    """C3 rows from the three maintained tables (batch read)."""
+    keys = ["customer_id", "window_start", "window_end"]
+    hit = counts.where(F.col("failure_count") >= min_failures)
+    zero = F.lit(0).cast("bigint")
+    j = hit.join(ips, keys, "left").join(devices, keys, "left")
+    return j.select(*keys, "failure_count",
+                    F.coalesce("distinct_ips", zero).alias("distinct_ips"),
+                    F.coalesce("distinct_devices", zero).alias("distinct_devices"),
+                    "first_failure_at", "last_failure_at",
+                    (F.col("failure_count") >= min_failures).alias("is_brute_force"))
+
+
+# C5 keeps ``size(collect_set)``: alert types have six values.  C3 is split
+# into bounded parts above; C6 dedupes before counting.
 WINDOWED = {
     "velocity_alerts": (signals.velocity_alerts, ["account_id", "card_last4"]),
     "cnp_spike": (signals.cnp_spike, ["card_last4", "account_id"]),
-    "login_failure_storm": (signals.login_failure_storm, ["customer_id"]),
     "structuring": (signals.structuring, ["account_id", "customer_id"]),
     "correlated_alert_burst": (signals.correlated_alert_burst, ["customer_id"]),
     "shared_device_ring": (shared_device_ring_stream, ["device_id"]),

@@ -8,6 +8,7 @@ table                       maintained by                               partitio
 ==========================  ==========================================  ==========
 staged/<stream>             staging functions, file sink (append)       event day
 views/<C1-C6 signal>        windowed aggregate, update + upsert         window day
+views/storm_*               C3 in three bounded parts, update + upsert  window day
 views/accounts_seen         (customer, account) -> last seen, upsert    key hash
 views/latest_kyc            ``max_by`` per customer, upsert             key hash
 views/geo_hops              stateful LAG per customer (append)          event day
@@ -45,7 +46,7 @@ STAGE = {
 SIGNAL_SOURCE = {
     "velocity_alerts": "transactions", "cnp_spike": "transactions",
     "structuring": "transactions", "shared_device_ring": "transactions",
-    "login_failure_storm": "login_events", "correlated_alert_burst": "alert_events",
+    "correlated_alert_burst": "alert_events",
 }
 
 
@@ -86,6 +87,12 @@ def start(spark: SparkSession, sources: dict[str, DataFrame], root: str,
         topo.queries.append(mat.materialize(sig, topo.path("views", name), keys,
                                             mat.day_of("window_start"), ck(name), trig))
 
+    storm_keys = ["customer_id", "window_start"]
+    for name, part in ss.login_failure_storm_streams(staged["login_events"],
+                                                     watermark=watermark).items():
+        topo.queries.append(mat.materialize(part, topo.path("views", name), storm_keys,
+                                            mat.day_of("window_start"), ck(name), trig))
+
     # Keyed by (customer, account) only: state is one row per pair (dimension
     # size), kept for ever because the pairs are all-time by definition.
     seen = staged["transactions"].groupBy("customer_id", "account_id").agg(
@@ -127,9 +134,10 @@ def snapshot_views(spark: SparkSession, root: str, device_args: dict | None = No
     history = ago(as_of, dev_args.get("history_from", DEVICE_HISTORY_FROM))
     tx_dev = _since(t("staged", "transactions"), "occurred_at", history)
     device = pairs.device_anomalies(tx_dev, as_of=as_of, with_account=True, **dev_args)
+    storm = ss.login_failure_storm_view(*[recent(p) for p in ss.STORM_PARTS])
     score = risk.account_risk_score(
         tx_dev, recent("velocity_alerts"), recent("geo_hops", "txn2_time"), device,
-        recent("cnp_spike"), recent("login_failure_storm"), recent("structuring"),
+        recent("cnp_spike"), storm, recent("structuring"),
         recent("correlated_alert_burst"), as_of=as_of, seen=seen)
     kyc = t("views", "latest_kyc").drop(mat.PART)
     # Alerts of the last day before the transaction instant; their own newest

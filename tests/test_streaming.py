@@ -36,7 +36,6 @@ def views(spark):
 @pytest.mark.parametrize("name,source", [
     ("velocity_alerts", "stg_transactions"), ("cnp_spike", "stg_transactions"),
     ("structuring", "stg_transactions"), ("shared_device_ring", "stg_transactions"),
-    ("login_failure_storm", "stg_login_events"),
     ("correlated_alert_burst", "stg_alert_events")])
 def test_windowed_stream_equals_batch(spark, views, tmp_dir, name, source):
     staged = getattr(views, source)
@@ -54,6 +53,22 @@ def test_windowed_stream_equals_batch(spark, views, tmp_dir, name, source):
     assert len(rows(want, *cols)) > 0
 
 
+def test_login_storm_parts_equal_batch(spark, views, tmp_dir):
+    stream = _chunked_source(spark, views.stg_login_events, os.path.join(tmp_dir, "src"))
+    tables = []
+    for name, part in ss.login_failure_storm_streams(stream, watermark="1 hour").items():
+        out = os.path.join(tmp_dir, name)
+        q = mat.materialize(part, out, ["customer_id", "window_start"],
+                            mat.day_of("window_start"), os.path.join(tmp_dir, "ck_" + name),
+                            trigger={"availableNow": True})
+        q.awaitTermination()
+        tables.append(mat.read_view(spark, out))
+    got = ss.login_failure_storm_view(*tables)
+    want = views.login_failure_storm
+    assert rows(got, *want.columns) == rows(want, *want.columns)
+    assert want.count() > 0
+
+
 def test_geo_state_across_micro_batches(spark, views, tmp_dir):
     staged = views.stg_transactions
     stream = _chunked_source(spark, staged, os.path.join(tmp_dir, "src"))
