@@ -6,13 +6,14 @@ customer in one task, which breaks when one customer holds a large share of
 the rows.  ``lag_by_time_bucket`` computes the same LAG in two levels:
 
 1. LAG inside (customer, time bucket) partitions -- many small sorts;
-2. the last row of every (customer, bucket), read off the same window, and a
-   LAG over those bucket rows per customer, whose size is the number of
-   non-empty buckets, not the number of transactions;
+2. the last row of every (customer, bucket) as an aggregate whose partial
+   phase runs before the shuffle, and a LAG over those bucket rows per
+   customer, whose size is the number of non-empty buckets, not the number of
+   transactions;
 3. the first row of a bucket takes the previous bucket's last row.
 
-The big side keeps its (customer, bucket) partitioning and sort order through
-the final join, so only the small bucket table moves.  The result equals the
+The input is shuffled once (by customer and bucket); the bucket table is
+small and joins the big side without moving it.  The result equals the
 plain LAG ordered by (occurred_at ASC NULLS LAST, transaction_id ASC), the
 tie-breaker making simultaneous transactions deterministic.
 """
@@ -56,20 +57,26 @@ def lag_by_time_bucket(df: DataFrame, key: str, ts: str, tie: str, carry: list[s
     order = [F.col(ts).asc_nulls_last(), F.col(tie).asc()]
 
     w = Window.partitionBy(key, "_b").orderBy(*order)
-    inner = rows.select("*", F.lag(row).over(w).alias("_prev_in"),
-                        F.lead(F.lit(1)).over(w).isNull().alias("_is_last"))
-
-    # The last row of every (key, bucket) comes from the same window (same
-    # shuffle, reused by Spark), then a LAG over buckets per key: one row per
-    # non-empty bucket, however many rows the key has.
-    last = inner.where("_is_last").select(key, "_b", row.alias("_last"))
+    inner = rows.withColumn("_prev_in", F.lag(row).over(w))
+
+    # Last row of every (key, bucket) as an aggregate: its partial phase runs
+    # before the shuffle, so this branch moves one row per bucket and map
+    # task instead of a second copy of the input.  Inside a bucket all times
+    # are NULL or none is, so (ts, tie) orders exactly like the window (a
+    # NULL tie sorts first in both).  A LAG over bucket rows per key then has
+    # one row per non-empty bucket, however many rows the key has.
+    last = rows.groupBy(key, "_b").agg(F.max_by(row, F.struct(ts, tie)).alias("_last"))
     prev_bucket = last.select(
         key, "_b",
         F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_prev_bucket"))
 
-    out = inner.join(prev_bucket, [key, "_b"], "left")
+    # Null-safe keys: rows with a NULL key form a LAG partition of their own
+    # and must find their previous bucket too.
+    pb = prev_bucket.select(F.col(key).alias("_k"), F.col("_b").alias("_kb"), "_prev_bucket")
+    out = inner.join(pb, inner[key].eqNullSafe(pb["_k"]) & inner["_b"].eqNullSafe(pb["_kb"]),
+                     "left")
     return out.withColumn(prev, F.coalesce("_prev_in", "_prev_bucket")) \
-        .drop("_b", "_prev_in", "_is_last", "_prev_bucket")
+        .drop("_b", "_prev_in", "_prev_bucket", "_k", "_kb")
 
 
 def geo_hops(stg_tx: DataFrame, min_km: float = GEO_MIN_KM, flag_km: float = GEO_FLAG_KM,

@@ -58,6 +58,9 @@ def test_bucketed_lag_equals_plain_lag_with_hot_customer(spark):
         t = T0 + timedelta(seconds=rnd.randint(0, 6 * 3600))
         data.append({"customer_id": cust, "transaction_id": f"t{i:04d}",
                      "occurred_at": iso(t) if rnd.random() > 0.02 else None})
+    # rows without a customer form their own LAG partition
+    data += [{"customer_id": None, "transaction_id": f"n{i}",
+              "occurred_at": iso(T0 + timedelta(minutes=17 * i))} for i in range(6)]
     # exact ties on time, broken by id
     data += [{"customer_id": "hot", "transaction_id": f"z{i}", "occurred_at": at(0)}
              for i in range(3)]
