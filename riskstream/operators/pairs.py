@@ -144,3 +144,61 @@ def device_anomalies(stg_tx: DataFrame, as_of=None, recent: str = DEVICE_RECENT,
         cols.append("account_id")
     return out.select(*cols, F.lit(True).alias("is_new_device_candidate"),
                       F.lit(True).alias("is_high_value"), F.lit(True).alias("combined_risk_flag"))
+
+
+def device_presence(stg_tx: DataFrame, bucket: str = "1 hour") -> DataFrame:
+    """(customer, device, bucket) -> first / last time seen in that bucket.
+
+    A compact stand-in for the device history: one row per pair and hour
+    however many transactions the pair has (hash aggregate, partial per
+    partition).  Streaming keeps it incrementally.
+    """
+    return stg_tx.groupBy("customer_id", "device_id",
+                          F.window("occurred_at", bucket).alias("w")).agg(
+        F.min("occurred_at").alias("first_at"), F.max("occurred_at").alias("last_at")
+    ).select("customer_id", "device_id", F.col("w.start").alias("bucket_start"),
+             F.col("w.end").alias("bucket_end"), "first_at", "last_at")
+
+
+def seen_between(presence: DataFrame, lo, hi, rows_near_bounds: DataFrame) -> DataFrame:
+    """Distinct (customer, device) with a transaction in [lo, hi), from presence.
+
+    A bucket inside the range counts if present; the bucket holding ``lo``
+    counts if its last time is >= lo; the bucket holding ``hi`` if its first
+    time is < hi.  A bucket holding both bounds cannot be decided from
+    first/last, so its pairs come from ``rows_near_bounds``: any staged rows
+    that include that bucket (any row inside [lo, hi) is valid evidence, so
+    the caller can pass, e.g., the day partition holding ``lo``).
+    """
+    s, e = F.col("bucket_start"), F.col("bucket_end")
+    inside = (s >= lo) & (e <= hi)
+    low_edge = (s < lo) & (e > lo) & (e <= hi) & (F.col("last_at") >= lo)
+    high_edge = (s >= lo) & (s < hi) & (e > hi) & (F.col("first_at") < hi)
+    known = presence.where(inside | low_edge | high_edge).select("customer_id", "device_id")
+    t = F.col("occurred_at")
+    both = rows_near_bounds.where((t >= lo) & (t < hi)).select("customer_id", "device_id")
+    return known.unionByName(both).distinct()
+
+
+def device_anomalies_from_presence(recent_tx: DataFrame, presence: DataFrame,
+                                   rows_near_bounds: DataFrame, as_of,
+                                   recent: str = DEVICE_RECENT,
+                                   history_from: str = DEVICE_HISTORY_FROM,
+                                   history_until: str = DEVICE_HISTORY_UNTIL,
+                                   min_amount: float = DEVICE_MIN_AMOUNT,
+                                   with_account: bool = False) -> DataFrame:
+    """C9 with the history taken from ``device_presence`` (same rows as
+    ``device_anomalies``).  ``recent_tx`` needs only the last ``recent``;
+    ``rows_near_bounds`` only the bucket that may hold both history bounds."""
+    now = as_of_column(recent_tx, "occurred_at", as_of)
+    t = F.col("occurred_at")
+    cand = recent_tx.where((F.col("amount") > min_amount) & (F.col("channel") == CNP_CHANNEL)
+                           & (t >= ago(now, recent)))
+    lo, hi = ago(now, history_from), ago(now, history_until)
+    known = seen_between(presence, lo, hi, rows_near_bounds)
+    out = cand.join(known, ["customer_id", "device_id"], "left_anti")
+    cols = ["customer_id", "transaction_id", "device_id", "amount", "occurred_at"]
+    if with_account:
+        cols.append("account_id")
+    return out.select(*cols, F.lit(True).alias("is_new_device_candidate"),
+                      F.lit(True).alias("is_high_value"), F.lit(True).alias("combined_risk_flag"))

@@ -15,6 +15,7 @@ overwritten, because a job may not overwrite files it is reading.
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -63,7 +64,12 @@ def upsert(batch: DataFrame, path: str, keys: list[str], part: Column,
     if _exists(spark, path):
         parts = new.select(PART).distinct()
         current = spark.read.parquet(path).join(parts, PART, "left_semi")
-        kept = current.join(new.select(*keys), keys, "left_anti")
+        # Null-safe key match: a NULL key (e.g. a missing device id) is a key
+        # like any other and must be replaced, not duplicated.
+        nk = new.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+        same = reduce(lambda a, b: a & b,
+                      [current[k].eqNullSafe(nk[f"_key{i}"]) for i, k in enumerate(keys)])
+        kept = current.join(nk, same, "left_anti")
         merged = kept.unionByName(new)
     else:
         merged = new

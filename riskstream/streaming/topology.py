@@ -11,14 +11,16 @@ views/<C1-C6 signal>        windowed aggregate, update + upsert         window d
 views/storm_*               C3 in three bounded parts, update + upsert  window day
 views/accounts_seen         (customer, account) -> last seen, upsert    key hash
 views/latest_kyc            ``max_by`` per customer, upsert             key hash
+views/device_presence       (customer, device, hour) first/last seen    hour day
 views/geo_hops              stateful LAG per customer (append)          event day
 ==========================  ==========================================  ==========
 
 ``refresh_snapshot`` then recomputes the ``NOW()``-relative views (risk
 score, open / resolved cases, recent high alerts) from those tables.  It
 reads windowed signals and staged rows only in the partitions the look-backs
-can reach; the all-time inputs (pairs, latest KYC) are keyed tables of
-dimension size instead of rescans of the history.
+can reach; the device history comes from the hourly presence table; the
+all-time inputs (pairs, latest KYC) are keyed tables of dimension size
+instead of rescans of the history.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream import schemas
-from riskstream.constants import DEVICE_HISTORY_FROM
+from riskstream.constants import DEVICE_HISTORY_FROM, DEVICE_RECENT
 from riskstream.functions.time import ago
 from riskstream.operators import cases, pairs, risk, staging
 from riskstream.streaming import materialize as mat
@@ -105,6 +107,13 @@ def start(spark: SparkSession, sources: dict[str, DataFrame], root: str,
         staging.latest_kyc(staged["kyc_profile_events"]), topo.path("views", "latest_kyc"),
         ["customer_id"], mat.hash_bucket(["customer_id"]), ck("latest_kyc"), trig))
 
+    presence = pairs.device_presence(
+        staged["transactions"].withWatermark("occurred_at", watermark))
+    topo.queries.append(mat.materialize(
+        presence, topo.path("views", "device_presence"),
+        ["customer_id", "device_id", "bucket_start"], mat.day_of("bucket_start"),
+        ck("device_presence"), trig))
+
     hops = ss.geo_hops_stream(staged["transactions"], watermark=watermark)
     w = (hops.withColumn(mat.PART, F.to_date("txn2_time")).writeStream.format("parquet")
          .outputMode("append").partitionBy(mat.PART).option("path", topo.path("views", "geo_hops"))
@@ -131,12 +140,20 @@ def snapshot_views(spark: SparkSession, root: str, device_args: dict | None = No
     horizon = ago(as_of, "2 hours")  # >= every score look-back + window length
     recent = lambda name, ts="window_end": _since(t("views", name), ts, horizon)
     dev_args = device_args or {}
-    history = ago(as_of, dev_args.get("history_from", DEVICE_HISTORY_FROM))
-    tx_dev = _since(t("staged", "transactions"), "occurred_at", history)
-    device = pairs.device_anomalies(tx_dev, as_of=as_of, with_account=True, **dev_args)
+    lo = ago(as_of, dev_args.get("history_from", DEVICE_HISTORY_FROM))
+    staged_tx = t("staged", "transactions")
+    tx_recent = _since(staged_tx, "occurred_at", horizon)
+    tx_device = _since(staged_tx, "occurred_at",
+                       ago(as_of, dev_args.get("recent", DEVICE_RECENT)))
+    # Device history from the hourly presence table; raw rows only from the
+    # day holding the lower bound (for an hour that holds both bounds).
+    presence = _since(t("views", "device_presence"), "bucket_end", lo)
+    near = staged_tx.where(F.col(mat.PART) == F.to_date(lo)).drop(mat.PART)
+    device = pairs.device_anomalies_from_presence(tx_device, presence, near, as_of,
+                                                  with_account=True, **dev_args)
     storm = ss.login_failure_storm_view(*[recent(p) for p in ss.STORM_PARTS])
     score = risk.account_risk_score(
-        tx_dev, recent("velocity_alerts"), recent("geo_hops", "txn2_time"), device,
+        tx_recent, recent("velocity_alerts"), recent("geo_hops", "txn2_time"), device,
         recent("cnp_spike"), storm, recent("structuring"),
         recent("correlated_alert_burst"), as_of=as_of, seen=seen)
     kyc = t("views", "latest_kyc").drop(mat.PART)

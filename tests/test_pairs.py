@@ -1,6 +1,8 @@
 """Geo hops (C7) and device anomalies."""
 
 import random
+
+import pytest
 from datetime import timedelta
 
 from pyspark.sql import Window
@@ -121,3 +123,28 @@ def test_device_anomalies_bounds(spark):
     assert out.where("is_new_device_candidate AND is_high_value AND combined_risk_flag").count() == 4
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan  # G8: anti-join against the device history
+
+
+@pytest.mark.parametrize("bounds", [("30 days", "24 hours"), ("50 minutes", "20 minutes"),
+                                    ("3 hours", "61 minutes"), ("2 days", "90 minutes")])
+def test_device_from_presence_equals_rows(spark, bounds):
+    rnd = random.Random(11)
+    as_of = T0 + timedelta(days=40)
+    data = []
+    for i in range(400):
+        back = rnd.choice([rnd.randint(0, 3 * 86400), rnd.randint(0, 40 * 86400),
+                           rnd.randint(0, 4 * 3600)])
+        data.append({"customer_id": f"c{rnd.randint(0, 4)}",
+                     "device_id": rnd.choice(["d0", "d1", "d2", "d3", None]),
+                     "amount": rnd.choice([100.0, 700.0]),
+                     "channel": rnd.choice(["card_not_present", "atm"]),
+                     "occurred_at": iso(as_of - timedelta(seconds=back))})
+    df = stg_tx(spark, data)
+    args = dict(recent="6 hours", history_from=bounds[0], history_until=bounds[1])
+    want = rows(pairs.device_anomalies(df, as_of=as_of, **args), "transaction_id")
+    from riskstream.functions.time import interval_micros
+    lo = as_of - timedelta(microseconds=interval_micros(bounds[0]))
+    near = df.where(F.to_date("occurred_at") == F.lit(lo.date()))  # the day holding lo only
+    got = pairs.device_anomalies_from_presence(df, pairs.device_presence(df), near, as_of, **args)
+    assert rows(got, "transaction_id") == want
+    assert len(want) > 0

@@ -97,6 +97,12 @@ def test_upsert_is_idempotent(spark, tmp_dir):
     mat.upsert(b1, path, ["k"], mat.day_of("ts"))
     mat.upsert(b2, path, ["k"], mat.day_of("ts"))
     mat.upsert(b2, path, ["k"], mat.day_of("ts"))  # replayed epoch
+    nulls = os.path.join(tmp_dir, "nulls")
+    for v in (1, 2, 2):
+        b = spark.createDataFrame([(None, v, "2026-04-18 10:00:00")], "k string, v int, ts string") \
+            .withColumn("ts", F.col("ts").cast("timestamp"))
+        mat.upsert(b, nulls, ["k"], mat.day_of("ts"))
+    assert rows(mat.read_view(spark, nulls), "k", "v") == [(None, 2)]
     keyed = os.path.join(tmp_dir, "keyed")
     for b in (b1, b2, b2):
         mat.upsert(b, keyed, ["k"], mat.hash_bucket(["k"], 4))
