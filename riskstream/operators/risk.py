@@ -83,7 +83,9 @@ def account_risk_score(stg_tx: DataFrame, velocity: DataFrame, geo: DataFrame,
     transactions on ``transaction_id``; identical under the unique
     ``transaction_id`` contract (checked by ``unique``), without a shuffle of
     every transaction.  Customer-level signals (brute force, compound alerts)
-    reach every account the customer has used, via ``customer_accounts``.
+    reach every account the customer has ever used, through the all-time
+    (customer, account) pairs of ``accounts_seen`` (pass ``seen`` to use a
+    maintained table instead of aggregating ``stg_tx``).
 
     The account-keyed flags are one union and one aggregate, left-joined once;
     AQE broadcasts a side only when its measured size allows.  The

@@ -61,7 +61,7 @@ EVENT_TIME = {
     "kyc_profile_events": "updated_at",
 }
 
-# Primary key of each staged stream (dbt ``unique`` tests).
+# Primary key of each staged stream (declared ``unique`` data tests).
 KEYS = {
     "transactions": "transaction_id",
     "login_events": "event_id",
