@@ -14,11 +14,13 @@ overwritten, because a job may not overwrite files it is reading.
 
 from __future__ import annotations
 
+import json
 import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskstream.session import checkpoint_dir
 
@@ -35,13 +37,48 @@ def hash_bucket(keys: list[str], buckets: int = 64) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
 
+SCHEMA_FILE = "_schema.json"
+
+
+def _fs_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _fs_path(spark, path)
     return fs.exists(p)
 
 
+def _save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep the table schema next to the data: a view with no rows yet (no
+    data files) must still be readable."""
+    fs, p = _fs_path(spark, os.path.join(path, SCHEMA_FILE))
+    if not fs.exists(p):
+        out = fs.create(p, True)
+        out.write(bytearray(schema.json(), "utf-8"))
+        out.close()
+
+
+def _load_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    fs, p = _fs_path(spark, os.path.join(path, SCHEMA_FILE))
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    reader = spark.sparkContext._jvm.java.io.BufferedReader(
+        spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    text = reader.readLine()
+    reader.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A materialized table with its saved schema (including ``_part``)."""
+    schema = _load_schema(spark, path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
+
+
 def latest_per_key(df: DataFrame, keys: list[str], version: Column | None = None) -> DataFrame:
     """One row per key, the one with the greatest ``version`` (ties: any)."""
     if version is None:
@@ -51,19 +88,21 @@ def latest_per_key(df: DataFrame, keys: list[str], version: Column | None = None
 
 
 def upsert(batch: DataFrame, path: str, keys: list[str], part: Column,
-           version: Column | None = None) -> None:
+           version: Column | None = None, unique: bool = False) -> None:
     """Merge ``batch`` into the table at ``path`` by ``keys``.
 
     Only the partitions present in the batch are read and rewritten
     (dynamic partition overwrite), so the cost follows the batch, not the
-    table.
+    table.  ``unique=True`` states that the batch has one row per key (an
+    update-mode aggregate emits each changed group once), which skips the
+    in-batch de-duplication.
     """
     spark = batch.sparkSession
     checkpoint_dir(spark)
-    new = latest_per_key(batch, keys, version).withColumn(PART, part)
+    new = (batch if unique else latest_per_key(batch, keys, version)).withColumn(PART, part)
     if _exists(spark, path):
         parts = new.select(PART).distinct()
-        current = spark.read.parquet(path).join(parts, PART, "left_semi")
+        current = read_table(spark, path).join(parts, PART, "left_semi")
         # Null-safe key match: a NULL key (e.g. a missing device id) is a key
         # like any other and must be replaced, not duplicated.
         nk = new.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
@@ -76,11 +115,12 @@ def upsert(batch: DataFrame, path: str, keys: list[str], part: Column,
     merged = merged.checkpoint(eager=True)
     (merged.write.mode("overwrite").partitionBy(PART)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
+    _save_schema(spark, path, new.schema)
 
 
 def read_view(spark: SparkSession, path: str) -> DataFrame:
     """The current rows of a materialized view (partition column dropped)."""
-    return spark.read.parquet(path).drop(PART)
+    return read_table(spark, path).drop(PART)
 
 
 def materialize(stream: DataFrame, path: str, keys: list[str], part: Column,
@@ -93,7 +133,8 @@ def materialize(stream: DataFrame, path: str, keys: list[str], part: Column,
     """
     writer = (stream.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, epoch: upsert(df, path, keys, part)))
+              .foreachBatch(lambda df, epoch: upsert(df, path, keys, part,
+                                                     unique=output_mode == "update")))
     if query_name:
         writer = writer.queryName(query_name)
     if trigger:

@@ -123,7 +123,7 @@ def start(spark: SparkSession, sources: dict[str, DataFrame], root: str,
 
 
 def _table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return mat.read_table(spark, path)
 
 
 def _since(df: DataFrame, ts: str, start: Column) -> DataFrame:

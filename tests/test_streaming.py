@@ -103,6 +103,10 @@ def test_upsert_is_idempotent(spark, tmp_dir):
             .withColumn("ts", F.col("ts").cast("timestamp"))
         mat.upsert(b, nulls, ["k"], mat.day_of("ts"))
     assert rows(mat.read_view(spark, nulls), "k", "v") == [(None, 2)]
+    empty = os.path.join(tmp_dir, "empty")
+    mat.upsert(b1.where("v > 100"), empty, ["k"], mat.day_of("ts"))  # first batch: no rows
+    mat.upsert(b1, empty, ["k"], mat.day_of("ts"))
+    assert rows(mat.read_view(spark, empty), "k", "v") == [("a", 1), ("b", 1)]
     keyed = os.path.join(tmp_dir, "keyed")
     for b in (b1, b2, b2):
         mat.upsert(b, keyed, ["k"], mat.hash_bucket(["k"], 4))
