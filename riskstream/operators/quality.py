@@ -134,7 +134,8 @@ def view_checks(df: DataFrame, view: str, not_null_cols=(), unique=(),
                                                   for n, s in zip(names, specs)))
         column = F.create_map(*chain.from_iterable((F.lit(n), F.lit(s[1]))
                                                    for n, s in zip(names, specs)))
-        parts.append(long.select(check[F.col("test")].alias("check_name"), F.lit(view).alias("view_name"),
+        parts.append(long.select(check[F.col("test")].alias("check_name"),
+                                 F.lit(view).alias("view_name"),
                                  column[F.col("test")].alias("column_name"),
                                  F.col("failures").cast("bigint").alias("failures")))
     for c in unique:

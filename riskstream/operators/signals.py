@@ -45,17 +45,21 @@ def distinct_count(df: DataFrame, col: str) -> Column:
 
 def tumbling_signal(df: DataFrame, keys: list[str], duration: str, measures: dict[str, Column],
                     having: Column, flag: str, ts: str = "occurred_at",
-                    where: Column | None = None, watermark: str | None = None) -> DataFrame:
+                    where: Column | None = None, watermark: str | None = None,
+                    slide: str | None = None) -> DataFrame:
     """GROUP BY keys, TUMBLE(ts, duration) ... HAVING ``having``.
 
     ``having`` is written over the measure names; ``flag`` is the boolean
     column that repeats it.  In streaming, ``watermark`` bounds the state.
+    ``slide`` turns the tumbling window into a sliding one (not used by the
+    defined signals, which are tumbling).
     """
     if where is not None:
         df = df.where(where)
     if df.isStreaming and watermark:
         df = df.withWatermark(ts, watermark)
-    agg = df.groupBy(*keys, F.window(ts, duration).alias("w")).agg(
+    win = F.window(ts, duration) if slide is None else F.window(ts, duration, slide)
+    agg = df.groupBy(*keys, win.alias("w")).agg(
         *[c.alias(n) for n, c in measures.items()])
     return agg.where(having).select(
         *keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
@@ -63,27 +67,31 @@ def tumbling_signal(df: DataFrame, keys: list[str], duration: str, measures: dic
 
 
 def velocity_alerts(stg_tx: DataFrame, window: str = VELOCITY_WINDOW,
-                    min_txns: int = VELOCITY_MIN_TXNS, watermark: str | None = None) -> DataFrame:
+                    min_txns: int = VELOCITY_MIN_TXNS, watermark: str | None = None,
+                    slide: str | None = None) -> DataFrame:
     """>= ``min_txns`` transactions per (account, card) in a tumbling window."""
     return tumbling_signal(
         stg_tx, ["account_id", "card_last4"], window,
         {"txn_count": F.count(F.lit(1)), "total_amount": F.sum("amount")},
-        F.col("txn_count") >= min_txns, "is_velocity_breach", watermark=watermark)
+        F.col("txn_count") >= min_txns, "is_velocity_breach", watermark=watermark,
+        slide=slide)
 
 
 def cnp_spike(stg_tx: DataFrame, window: str = CNP_WINDOW, min_txns: int = CNP_MIN_TXNS,
-              watermark: str | None = None) -> DataFrame:
+              watermark: str | None = None,
+              slide: str | None = None) -> DataFrame:
     """>= ``min_txns`` card-not-present transactions per (card, account)."""
     return tumbling_signal(
         stg_tx, ["card_last4", "account_id"], window,
         {"cnp_count": F.count(F.lit(1)), "total_amount": F.sum("amount")},
         F.col("cnp_count") >= min_txns, "is_cnp_spike",
-        where=F.col("is_cnp") == F.lit(True), watermark=watermark)
+        where=F.col("is_cnp") == F.lit(True), watermark=watermark, slide=slide)
 
 
 def login_failure_storm(stg_login: DataFrame, window: str = STORM_WINDOW,
                         min_failures: int = STORM_MIN_FAILURES,
-                        watermark: str | None = None) -> DataFrame:
+                        watermark: str | None = None,
+                        slide: str | None = None) -> DataFrame:
     """>= ``min_failures`` failed logins per customer in a window."""
     return tumbling_signal(
         stg_login, ["customer_id"], window,
@@ -93,34 +101,38 @@ def login_failure_storm(stg_login: DataFrame, window: str = STORM_WINDOW,
          "first_failure_at": F.min("occurred_at"),
          "last_failure_at": F.max("occurred_at")},
         F.col("failure_count") >= min_failures, "is_brute_force",
-        where=F.col("success") == F.lit(False), watermark=watermark)
+        where=F.col("success") == F.lit(False), watermark=watermark, slide=slide)
 
 
 def structuring(stg_tx: DataFrame, window: str = STRUCTURING_WINDOW,
                 low: float = STRUCTURING_LOW, high: float = STRUCTURING_HIGH,
-                min_txns: int = STRUCTURING_MIN_TXNS, watermark: str | None = None) -> DataFrame:
+                min_txns: int = STRUCTURING_MIN_TXNS, watermark: str | None = None,
+                slide: str | None = None) -> DataFrame:
     """C4: >= ``min_txns`` amounts in the closed band [low, high] per (account, customer)."""
     return tumbling_signal(
         stg_tx, ["account_id", "customer_id"], window,
         {"qualifying_txn_count": F.count(F.lit(1)), "total_amount": F.sum("amount")},
         F.col("qualifying_txn_count") >= min_txns, "is_structuring_pattern",
-        where=F.col("amount").between(low, high), watermark=watermark)
+        where=F.col("amount").between(low, high), watermark=watermark, slide=slide)
 
 
 def correlated_alert_burst(stg_alerts: DataFrame, window: str = BURST_WINDOW,
                            min_types: int = BURST_MIN_TYPES,
-                           watermark: str | None = None) -> DataFrame:
+                           watermark: str | None = None,
+                           slide: str | None = None) -> DataFrame:
     """>= ``min_types`` distinct alert types per customer in a window."""
     return tumbling_signal(
         stg_alerts, ["customer_id"], window,
         {"alert_type_count": distinct_count(stg_alerts, "alert_type"),
          "max_confidence_score": F.max("confidence_score")},
-        F.col("alert_type_count") >= min_types, "is_compound_fraud", watermark=watermark)
+        F.col("alert_type_count") >= min_types, "is_compound_fraud", watermark=watermark,
+        slide=slide)
 
 
 def shared_device_ring(stg_tx: DataFrame, window: str = RING_WINDOW,
                        min_customers: int = RING_MIN_CUSTOMERS, drop_null_device: bool = False,
-                       watermark: str | None = None) -> DataFrame:
+                       watermark: str | None = None,
+                       slide: str | None = None) -> DataFrame:
     """One device used by >= ``min_customers`` customers in a window.
 
     A NULL device id forms a group of its own (as GROUP BY does); pass
@@ -133,7 +145,7 @@ def shared_device_ring(stg_tx: DataFrame, window: str = RING_WINDOW,
         stg_tx, ["device_id"], window,
         {"customer_count": distinct_count(stg_tx, "customer_id")},
         F.col("customer_count") >= min_customers, "is_shared_device_ring",
-        where=where, watermark=watermark)
+        where=where, watermark=watermark, slide=slide)
 
 
 def known_customer_devices(stg_tx: DataFrame) -> DataFrame:

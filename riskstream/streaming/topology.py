@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream import schemas
-from riskstream.constants import DEVICE_HISTORY_FROM, DEVICE_RECENT
+from riskstream.constants import DEVICE_HISTORY_FROM, DEVICE_RECENT, STALE_AFTER_SECONDS
 from riskstream.functions.time import ago
 from riskstream.operators import cases, pairs, risk, staging
 from riskstream.streaming import materialize as mat
@@ -172,3 +172,22 @@ def refresh_snapshot(spark: SparkSession, root: str, device_args: dict | None =
     """Overwrite ``snapshot/<view>`` for every NOW()-relative view."""
     for name, df in snapshot_views(spark, root, device_args).items():
         df.write.mode("overwrite").parquet(os.path.join(root, "snapshot", name))
+
+
+def query_staleness(spark: SparkSession, topo: Topology, now=None,
+                    stale_after: int = STALE_AFTER_SECONDS) -> DataFrame:
+    """G6 for running streams: per query, rows in the last micro-batch, when it
+    ran, seconds since, and ``ok`` / ``degraded`` (from query progress only)."""
+    import datetime as dt
+    now = now or dt.datetime.now(dt.timezone.utc)
+    rows = []
+    for q in topo.queries:
+        p = q.lastProgress or {}
+        ts = p.get("timestamp")
+        at = dt.datetime.fromisoformat(ts.replace("Z", "+00:00")) if ts else None
+        stale = int((now - at).total_seconds()) if at else None
+        rows.append((q.name or str(q.id), int(p.get("numInputRows", 0)), at, stale,
+                     "ok" if stale is not None and stale < stale_after else "degraded"))
+    return spark.createDataFrame(
+        rows, "query string, last_batch_rows long, last_batch_at timestamp, "
+              "stale_seconds long, status string")

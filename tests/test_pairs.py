@@ -120,7 +120,8 @@ def test_device_anomalies_bounds(spark):
     out = pairs.device_anomalies(stg_tx(spark, data), as_of=as_of)
     assert [r[0] for r in rows(out, "transaction_id")] == sorted(
         ["above-500", "at-bound", "d2-new", "null-device"])
-    assert out.where("is_new_device_candidate AND is_high_value AND combined_risk_flag").count() == 4
+    flags = "is_new_device_candidate AND is_high_value AND combined_risk_flag"
+    assert out.where(flags).count() == 4
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan  # G8: anti-join against the device history
 

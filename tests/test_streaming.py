@@ -99,8 +99,9 @@ def test_upsert_is_idempotent(spark, tmp_dir):
     mat.upsert(b2, path, ["k"], mat.day_of("ts"))  # replayed epoch
     nulls = os.path.join(tmp_dir, "nulls")
     for v in (1, 2, 2):
-        b = spark.createDataFrame([(None, v, "2026-04-18 10:00:00")], "k string, v int, ts string") \
-            .withColumn("ts", F.col("ts").cast("timestamp"))
+        b = spark.createDataFrame([(None, v, "2026-04-18 10:00:00")],
+                                  "k string, v int, ts string")
+        b = b.withColumn("ts", F.col("ts").cast("timestamp"))
         mat.upsert(b, nulls, ["k"], mat.day_of("ts"))
     assert rows(mat.read_view(spark, nulls), "k", "v") == [(None, 2)]
     empty = os.path.join(tmp_dir, "empty")
@@ -159,3 +160,35 @@ def test_topology_snapshot_equals_batch(spark, views, tmp_dir):
         want = rows(getattr(views, name), *cols)
         assert rows(snap[name], *cols) == want, name
         assert len(want) > 0, name
+    health = topology.query_staleness(spark, topo).collect()
+    assert len(health) == len(topo.queries) and all(r.last_batch_at for r in health)
+
+
+def test_stream_dedupe_quarantine_and_topic_sink(spark, tmp_dir):
+    import json
+
+    from riskstream.operators.staging import dedupe_events, stg_transactions
+    from riskstream.sources import events
+    good = {"transaction_id": "t1", "account_id": "a", "customer_id": "c", "amount": 1.0,
+            "occurred_at": "2026-04-18T10:00:00.000Z"}
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "0.json"), "w") as f:
+        f.write("\n".join([json.dumps(good), json.dumps(good), "{broken",
+                           json.dumps({**good, "transaction_id": "t2",
+                                       "occurred_at": "not-a-time"})]) + "\n")
+    stream = events.read_transactions(spark, path=src, streaming=True)
+    ok, bad = events.quarantine(stream, "transactions")
+    deduped = dedupe_events(stg_transactions(ok), "transaction_id", "occurred_at", "1 hour")
+    q1 = (deduped.writeStream.format("memory").queryName("dedupe_test")
+          .option("checkpointLocation", os.path.join(tmp_dir, "ck1"))
+          .trigger(availableNow=True).start())
+    out = os.path.join(tmp_dir, "dlq")
+    q2 = events.write_topic(bad, "transactions_dlq", path=out,
+                            checkpoint=os.path.join(tmp_dir, "ck2"))
+    q1.awaitTermination()
+    q2.processAllAvailable()
+    q2.stop()
+    assert [r.transaction_id for r in spark.table("dedupe_test").collect()] == ["t1"]
+    dead = [json.loads(r.value) for r in spark.read.text(out).collect()]
+    assert sorted(d["error"] for d in dead) == ["bad_event_time", "malformed_json"]
