@@ -45,6 +45,38 @@ class Views:
         kw.setdefault("geo_bucket", GEO_BUCKET_COMPRESSED)
         return cls(bridge.raw_streams(spark, sf_dir), **kw)
 
+    @classmethod
+    def from_sources(cls, spark: SparkSession, paths: dict[str, str], fmt: str = "json",
+                     **kw) -> "Views":
+        """Views over the five topics stored as files (``stream -> path``)."""
+        from riskstream.sources import events
+        configure(spark)
+        raw = {name: events.read_stream(spark, name, path=path, fmt=fmt, keep_corrupt=False)
+               for name, path in paths.items()}
+        return cls(raw, **kw)
+
+    VIEW_NAMES = (
+        "stg_transactions", "stg_login_events", "stg_card_events", "stg_alert_events",
+        "stg_kyc_profiles", "latest_kyc", "velocity_alerts", "cnp_spike", "login_failure_storm",
+        "structuring", "correlated_alert_burst", "shared_device_ring", "known_customer_devices",
+        "geo_impossible_trips", "device_anomalies", "account_risk_score", "fraud_kpis_1min",
+        "merchant_fraud_exposure", "channel_risk_breakdown", "hourly_fraud_trend",
+        "open_fraud_cases", "resolved_cases", "recent_high_alerts")
+
+    def register_temp_views(self, prefix: str = "") -> list[str]:
+        """Expose every view to ``spark.sql`` under its name (lazy; nothing runs)."""
+        names = []
+        for name in self.VIEW_NAMES:
+            getattr(self, name).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
+    def write_all(self, out_dir: str, names=None, mode: str = "overwrite") -> None:
+        """Write each view as Parquet under ``out_dir/<name>`` (one job per view)."""
+        import os
+        for name in names or self.VIEW_NAMES:
+            getattr(self, name).write.mode(mode).parquet(os.path.join(out_dir, name))
+
     # --- staging ----------------------------------------------------------
     @cached_property
     def stg_transactions(self) -> DataFrame:
