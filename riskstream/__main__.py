@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from riskstream import schemas
 from riskstream.plans.views import Views
-from riskstream.session import configure
+from riskstream.session import cluster_settings, configure
 
 
 def main(argv=None) -> None:
@@ -29,12 +29,19 @@ def main(argv=None) -> None:
     ap.add_argument("--out", help="batch output folder")
     ap.add_argument("--root", help="streaming tables folder")
     ap.add_argument("--as-of", default=None, help="batch NOW() (default: newest event)")
+    ap.add_argument("--input-tb", type=float, default=None,
+                    help="input size in TB: sizes shuffle partitions and scan splits")
+    ap.add_argument("--cores", type=int, default=None, help="total executor cores")
     args = ap.parse_args(argv)
     paths = dict(s.split("=", 1) for s in args.source)
     unknown = set(paths) - set(schemas.STREAMS)
     if unknown:
         ap.error(f"unknown streams: {sorted(unknown)}")
     spark = configure(SparkSession.builder.appName("riskstream").getOrCreate())
+    if args.input_tb:
+        cores = args.cores or spark.sparkContext.defaultParallelism
+        for k, v in cluster_settings(args.input_tb * 1e12, cores).items():
+            spark.conf.set(k, v)
     if args.mode == "batch":
         Views.from_sources(spark, paths, fmt=args.format, as_of=args.as_of).write_all(args.out)
         return

@@ -52,3 +52,12 @@ def test_reconcile(spark):
     out = quality.reconcile(raw, F.col("t").try_cast("timestamp"), df.limit(1), "occurred_at")
     got = rows(out, "source_count", "staged_count", "missing")
     assert got == [(1, 0, 1), (1, 0, 1), (1, 1, 0)]
+
+
+def test_cluster_settings_scale_with_input():
+    from riskstream.session import cluster_settings
+    small = cluster_settings(1e9, 8)
+    big = cluster_settings(100e12, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 32
+    assert 300_000 < int(big["spark.sql.shuffle.partitions"]) < 400_000
+    assert big["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
