@@ -25,19 +25,23 @@ RUNTIME_CONF = {
 
 
 def cluster_settings(input_bytes: float, total_cores: int,
-                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+                     target_partition_bytes: int = 256 << 20,
+                     max_partitions: int = 100_000) -> dict[str, str]:
     """Shuffle / scan sizing for a cluster run over ``input_bytes`` of input.
 
     * scan splits of 512 MiB: 100 TB -> ~200k scan tasks, each well inside an
       executor's memory;
-    * initial shuffle partitions sized so that even a full-width shuffle of
-      the input lands near ``target_partition_bytes`` per partition (at least
-      4 waves of the cluster's cores); AQE then coalesces the much smaller
-      post-aggregation shuffles down to the same advisory size;
+    * initial shuffle partitions sized so that a full-width shuffle of the
+      input lands near ``target_partition_bytes`` per partition (at least 4
+      waves of the cluster's cores), capped at ``max_partitions`` so the map
+      output bookkeeping on the driver stays bounded (the widest shuffle here,
+      the geo LAG, carries about a third of the columns); AQE then coalesces
+      the much smaller post-aggregation shuffles to the advisory size;
     * skew: a partition 5x the median and above 1 GiB is split by AQE;
     * broadcast: only sides measured under 64 MiB at run time.
     """
-    initial = max(4 * total_cores, int(input_bytes // target_partition_bytes))
+    initial = min(max_partitions,
+                  max(4 * total_cores, int(input_bytes // target_partition_bytes)))
     return {
         "spark.sql.files.maxPartitionBytes": str(512 << 20),
         "spark.sql.shuffle.partitions": str(initial),
