@@ -80,10 +80,25 @@ def lag_by_time_bucket(df: DataFrame, key: str, ts: str, tie: str, carry: list[s
 
 
 def geo_hops(stg_tx: DataFrame, min_km: float = GEO_MIN_KM, flag_km: float = GEO_FLAG_KM,
-             max_minutes: float = GEO_MAX_MINUTES, bucket: str = "1 hour") -> DataFrame:
-    """C7 with the second transaction's account carried along (for the score)."""
+             max_minutes: float = GEO_MAX_MINUTES, bucket: str = "1 hour",
+             since=None) -> DataFrame:
+    """C7 with the second transaction's account carried along (for the score).
+
+    ``since`` (a Column) keeps only hops whose second transaction is at or
+    after it, without shuffling the history: the LAG runs over the rows
+    since then plus each customer's last earlier row, which a ``max_by``
+    aggregate with a partial (map-side) phase finds.  Rows without a time
+    sort last and are never a predecessor of a timed row, so they can be left
+    out of the earlier part.
+    """
     carry = ["transaction_id", "country_code", "latitude", "longitude", "occurred_at"]
     tx = stg_tx.select("customer_id", "account_id", *carry)
+    if since is not None:
+        t = F.col("occurred_at")
+        cols = ["customer_id", "account_id", *carry]
+        before = tx.where(t < since).groupBy("customer_id").agg(
+            F.max_by(F.struct(*cols), F.struct("occurred_at", "transaction_id")).alias("r"))
+        tx = tx.where(t >= since).unionByName(before.select("r.*"))
     with_prev = lag_by_time_bucket(tx, "customer_id", "occurred_at", "transaction_id",
                                    carry, bucket=bucket)
     p = F.col("prev")

@@ -25,7 +25,7 @@ from riskstream.constants import (
 )
 from riskstream.functions.numeric import flag, pct, round_numeric
 from riskstream.functions.time import ago, as_of_column
-from riskstream.operators import signals
+from riskstream.operators import pairs, signals
 
 LOOKBACK = dict(SCORE_LOOKBACK)
 
@@ -150,8 +150,9 @@ def account_risk_score(stg_tx: DataFrame, velocity: DataFrame, geo: DataFrame,
 
 
 def account_risk_score_snapshot(stg_tx: DataFrame, stg_login: DataFrame, stg_alerts: DataFrame,
-                                geo: DataFrame, device: DataFrame, as_of=None,
-                                lookback: dict[str, str] | None = None) -> DataFrame:
+                                geo: DataFrame | None, device: DataFrame, as_of=None,
+                                lookback: dict[str, str] | None = None,
+                                geo_bucket: str = "1 hour") -> DataFrame:
     """D1 from staged events, reading only the rows each signal can contribute.
 
     A tumbling window of length ``d`` that ends at or after ``as_of - L`` starts
@@ -160,9 +161,10 @@ def account_risk_score_snapshot(stg_tx: DataFrame, stg_login: DataFrame, stg_ale
     end before ``as_of - L`` and are dropped by the look-back anyway.  The
     result is identical to scoring the full signal views, but the aggregations
     shuffle only recent rows, and on a time-partitioned staged table the scan
-    prunes to the last couple of hours.  The geo hops (which need each
-    customer's previous transaction, however old) and the device signal (30
-    days of history) are passed in.
+    prunes to the last couple of hours.  With ``geo=None`` the geo hops are
+    computed for the look-back only (``geo_hops(since=...)``: recent rows plus
+    each customer's last earlier row).  The device signal (30 days of
+    history) is passed in.
     """
     lb = {**LOOKBACK, **(lookback or {})}
     now = as_of_column(stg_tx, "occurred_at", as_of)
@@ -170,6 +172,8 @@ def account_risk_score_snapshot(stg_tx: DataFrame, stg_login: DataFrame, stg_ale
     def since(df: DataFrame, name: str, window: str) -> DataFrame:
         return df.where(F.col("occurred_at") >= ago(ago(now, lb[name]), window))
 
+    if geo is None:
+        geo = pairs.geo_hops(stg_tx, bucket=geo_bucket, since=ago(now, lb["geo_impossible"]))
     return account_risk_score(
         stg_tx,
         signals.velocity_alerts(since(stg_tx, "velocity", VELOCITY_WINDOW)),

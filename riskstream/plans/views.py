@@ -153,7 +153,8 @@ class Views:
     def account_risk_score(self) -> DataFrame:
         return risk.account_risk_score_snapshot(
             self.stg_transactions, self.stg_login_events, self.stg_alert_events,
-            self.geo_hops, self.device_anomalies_with_account, as_of=self.as_of)
+            None, self.device_anomalies_with_account, as_of=self.as_of,
+            geo_bucket=self.geo_bucket)
 
     @cached_property
     def fraud_kpis_1min(self) -> DataFrame:

@@ -149,3 +149,23 @@ def test_device_from_presence_equals_rows(spark, bounds):
     got = pairs.device_anomalies_from_presence(df, pairs.device_presence(df), near, as_of, **args)
     assert rows(got, "transaction_id") == want
     assert len(want) > 0
+
+
+def test_geo_hops_since_equals_filtered_full(spark):
+    rnd = random.Random(5)
+    data = []
+    for i in range(300):
+        data.append({"customer_id": "hot" if rnd.random() < 0.4 else f"c{rnd.randint(0, 9)}",
+                     "transaction_id": f"t{i:04d}",
+                     "latitude": rnd.choice([-33.8688, 51.5074, 40.0]),
+                     "longitude": rnd.choice([151.2093, -0.1278, -74.0]),
+                     "occurred_at": iso(T0 + timedelta(seconds=rnd.randint(0, 8 * 3600)))
+                     if rnd.random() > 0.02 else None})
+    df = stg_tx(spark, data)
+    full = pairs.geo_hops(df, bucket="15 minutes")
+    cols = ["customer_id", "txn1_id", "txn2_id", "is_impossible", "txn2_account_id"]
+    for hours in [0, 1, 3, 7, 9]:
+        since = F.lit(T0 + timedelta(hours=hours)).cast("timestamp")
+        want = rows(full.where(F.col("txn2_time") >= since), *cols)
+        got = rows(pairs.geo_hops(df, bucket="15 minutes", since=since), *cols)
+        assert got == want, hours
