@@ -1,7 +1,7 @@
 """Command line: batch snapshot of every view, or the streaming topology.
 
   python -m riskstream batch  --source transactions=PATH ... --out DIR [--format json]
-  python -m riskstream stream --source transactions=PATH ... --root DIR [--format json]
+  python -m riskstream stream --source transactions=PATH ... --root DIR [--format json] [--once]
 
 Sources are the five topics as files (JSON lines by default).  ``batch``
 writes every view as Parquet under ``--out``; ``stream`` starts one
@@ -32,6 +32,8 @@ def main(argv=None) -> None:
     ap.add_argument("--input-tb", type=float, default=None,
                     help="input size in TB: sizes shuffle partitions and scan splits")
     ap.add_argument("--cores", type=int, default=None, help="total executor cores")
+    ap.add_argument("--once", action="store_true",
+                    help="stream: process what is available, refresh the snapshot, exit")
     args = ap.parse_args(argv)
     paths = dict(s.split("=", 1) for s in args.source)
     unknown = set(paths) - set(schemas.STREAMS)
@@ -49,6 +51,11 @@ def main(argv=None) -> None:
     from riskstream.streaming import snapshot, topology
     sources = {n: events.read_stream(spark, n, path=p, fmt=args.format, streaming=True,
                                      keep_corrupt=False) for n, p in paths.items()}
+    if args.once:
+        topo = topology.start(spark, sources, args.root, trigger={"availableNow": True})
+        topo.await_all()
+        topology.refresh_snapshot(spark, args.root)
+        return
     topo = topology.start(spark, sources, args.root)
     refresher = (sources["transactions"].writeStream
                  .option("checkpointLocation", os.path.join(args.root, "_checkpoints", "snapshot"))

@@ -89,3 +89,20 @@ def test_temp_views_and_cli_batch(spark, tmp_dir):
     main(["batch", *[f"--source={k}={p}" for k, p in src.items()], "--out", out])
     back = spark.read.parquet(os.path.join(out, "velocity_alerts"))
     assert back.count() == v.velocity_alerts.count() > 0
+
+
+def test_cli_stream_once(spark, tmp_dir):
+    from riskstream.__main__ import main
+    from riskstream.plans.views import Views
+
+    v = Views.from_testdata(spark, "/root/testdata/sf0.001")
+    src = []
+    for name in ["transactions", "login_events", "card_events", "alert_events",
+                 "kyc_profile_events"]:
+        p = os.path.join(tmp_dir, "topics", name)
+        v.raw[name].write.json(p)
+        src.append(f"--source={name}={p}")
+    root = os.path.join(tmp_dir, "root")
+    main(["stream", *src, "--root", root, "--once"])
+    snap = spark.read.parquet(os.path.join(root, "snapshot", "account_risk_score"))
+    assert snap.count() == v.account_risk_score.count() > 0
