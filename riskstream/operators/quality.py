@@ -165,3 +165,31 @@ def dq_report(views: dict[str, DataFrame], fresh: DataFrame | None = None,
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def threshold_guard(spark) -> DataFrame:
+    """The pinned thresholds are the operators' defaults, and the device
+    signal plans a left anti join against its history.
+
+    Reads the live function signatures and an (empty-input) optimized plan,
+    so a changed default or a rewritten join shows up as ``fail``.
+    """
+    import inspect
+
+    from riskstream import schemas
+    from riskstream.operators import pairs, signals, staging
+
+    def default(fn, arg):
+        return inspect.signature(fn).parameters[arg].default
+
+    checks = [("velocity min_txns", 5, default(signals.velocity_alerts, "min_txns")),
+              ("cnp_spike min_txns", 8, default(signals.cnp_spike, "min_txns")),
+              ("login storm min_failures", 3, default(signals.login_failure_storm, "min_failures"))]
+    empty = staging.stg_transactions(spark.createDataFrame([], schemas.TRANSACTIONS))
+    plan = pairs.device_anomalies(empty, as_of="2026-01-01 00:00:00")
+    anti = "LeftAnti" in plan._jdf.queryExecution().optimizedPlan().toString()
+    checks.append(("device anomaly anti-join", 1, int(anti)))
+    rows = [(name, str(want), str(got), "pass" if want == got else "fail")
+            for name, want, got in checks]
+    return spark.createDataFrame(rows, "check_name string, expected string, actual string, "
+                                       "status string")

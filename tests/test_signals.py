@@ -5,6 +5,12 @@ from riskstream import constants as C
 from riskstream.operators import signals
 
 
+def test_threshold_guard(spark):
+    from riskstream.operators.quality import threshold_guard
+    got = {r.check_name: r.status for r in threshold_guard(spark).collect()}
+    assert set(got.values()) == {"pass"} and len(got) == 4
+
+
 def test_threshold_defaults_are_pinned():
     # The thresholds the CI guard pins.
     assert (C.VELOCITY_MIN_TXNS, C.CNP_MIN_TXNS, C.STORM_MIN_FAILURES) == (5, 8, 3)
