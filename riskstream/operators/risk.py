@@ -185,23 +185,28 @@ def account_risk_score_snapshot(stg_tx: DataFrame, stg_login: DataFrame, stg_ale
         as_of=now, lookback=lb)
 
 
-def fraud_kpis(stg_tx: DataFrame, stg_alerts: DataFrame, velocity: DataFrame, geo: DataFrame,
-               storm: DataFrame, structuring: DataFrame, window: str = "1 minute") -> DataFrame:
-    """Per-window operations KPIs driven by transaction windows.
-
-    Signals in windows without transactions vanish (left joins); structuring
-    windows (60 min) only meet the KPI window starting at the same instant,
-    and ``critical_risk_accounts`` is the constant 0 -- all as defined.
-    Every side is one row per window, so each join is tiny and broadcast by
-    AQE after its size is measured.
-    """
+def kpi_transactions(stg_tx: DataFrame, window: str = "1 minute") -> DataFrame:
+    """Per window count, value and high-risk-MCC count (monotone)."""
     tw = stg_tx.groupBy(F.window("occurred_at", window).alias("w")).agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        F.sum("amount").alias("_value"),
+        F.sum("amount").alias("transaction_value"),
         F.count_if(F.col("is_high_risk_mcc")).alias("flagged_transactions"))
-    tw = tw.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                   "total_transactions", "_value", "flagged_transactions")
+    return tw.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                     "total_transactions", "transaction_value", "flagged_transactions")
+
+
+def kpi_alerts(stg_alerts: DataFrame, window: str = "1 minute") -> DataFrame:
+    """D2f parts: per window sum and count of confidence (AVG = sum / count)."""
+    aw = stg_alerts.groupBy(F.window("occurred_at", window).alias("w")).agg(
+        F.sum("confidence_score").alias("confidence_sum"),
+        F.count("confidence_score").alias("confidence_n"))
+    return aw.select(F.col("w.start").alias("window_start"), "confidence_sum", "confidence_n")
+
 
+def fraud_kpis_assemble(tw: DataFrame, aw: DataFrame, velocity: DataFrame, geo: DataFrame,
+                        storm: DataFrame, structuring: DataFrame,
+                        window: str = "1 minute") -> DataFrame:
+    """D2 from its parts (batch, or maintained tables in streaming)."""
     def per_window(df: DataFrame, cond: str, start: Column, name: str) -> DataFrame:
         return df.where(F.col(cond)).groupBy(start.alias("window_start")) \
             .agg(F.count(F.lit(1)).alias(name))
@@ -211,16 +216,16 @@ def fraud_kpis(stg_tx: DataFrame, stg_alerts: DataFrame, velocity: DataFrame, ge
     bw = per_window(storm, "is_brute_force", F.col("window_start"), "brute_force_attempts")
     sw = per_window(structuring, "is_structuring_pattern", F.col("window_start"),
                     "structuring_flags")
-    aw = stg_alerts.groupBy(F.window("occurred_at", window).start.alias("window_start")) \
-        .agg(F.avg("confidence_score").alias("_conf"))
+    conf = aw.select("window_start",
+                     (F.col("confidence_sum") / F.col("confidence_n")).alias("_conf"))
     j = tw
-    for side in (vw, gw, bw, sw, aw):
+    for side in (vw, gw, bw, sw, conf):
         j = j.join(side, "window_start", "left")
     zero = F.lit(0).cast("bigint")
     return j.select(
         "window_start", "window_end", "total_transactions", "flagged_transactions",
         F.lit(0).alias("critical_risk_accounts"),
-        round_numeric("_value", 2).alias("total_transaction_value"),
+        round_numeric("transaction_value", 2).alias("total_transaction_value"),
         round_numeric(pct(F.col("flagged_transactions"), F.col("total_transactions")), 2)
         .alias("fraud_rate_pct"),
         F.coalesce("velocity_breaches", zero).alias("velocity_breaches"),
@@ -230,6 +235,20 @@ def fraud_kpis(stg_tx: DataFrame, stg_alerts: DataFrame, velocity: DataFrame, ge
         round_numeric(F.coalesce("_conf", F.lit(0.0)), 4).alias("avg_alert_confidence"))
 
 
+def fraud_kpis(stg_tx: DataFrame, stg_alerts: DataFrame, velocity: DataFrame, geo: DataFrame,
+               storm: DataFrame, structuring: DataFrame, window: str = "1 minute") -> DataFrame:
+    """Per-window operations KPIs driven by transaction windows.
+
+    Signals in windows without transactions vanish (left joins); structuring
+    windows (60 min) only meet the KPI window starting at the same instant,
+    and ``critical_risk_accounts`` is the constant 0 -- all as defined.
+    Every side is one row per window, so each join is tiny and broadcast by
+    AQE after its size is measured.
+    """
+    return fraud_kpis_assemble(kpi_transactions(stg_tx, window), kpi_alerts(stg_alerts, window),
+                               velocity, geo, storm, structuring, window)
+
+
 def _flagged_measures() -> dict[str, Column]:
     hr = F.col("is_high_risk_mcc")
     return {

@@ -12,6 +12,9 @@ views/storm_*               C3 in three bounded parts, update + upsert  window d
 views/accounts_seen         (customer, account) -> last seen, upsert    key hash
 views/latest_kyc            ``max_by`` per customer, upsert             key hash
 views/device_presence       (customer, device, hour) first/last seen    hour day
+views/kpi_*, merchant_...,  per-window aggregates (D2 parts, D3-D5),    window day
+  channel_..., hourly_...   update + upsert
+views/known_customer_...    (customer, device) first/last seen (C8)     key hash
 views/geo_hops              stateful LAG per customer (append)          event day
 ==========================  ==========================================  ==========
 
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 from riskstream import schemas
 from riskstream.constants import DEVICE_HISTORY_FROM, DEVICE_RECENT, STALE_AFTER_SECONDS
 from riskstream.functions.time import ago
-from riskstream.operators import cases, pairs, risk, staging
+from riskstream.operators import cases, pairs, risk, signals, staging
 from riskstream.streaming import materialize as mat
 from riskstream.streaming import signals as ss
 
@@ -107,6 +110,26 @@ def start(spark: SparkSession, sources: dict[str, DataFrame], root: str,
         staging.latest_kyc(staged["kyc_profile_events"]), topo.path("views", "latest_kyc"),
         ["customer_id"], mat.hash_bucket(["customer_id"]), ck("latest_kyc"), trig))
 
+    # Monotone aggregates of the transactions / alerts, upserted per window.
+    tx_wm = staged["transactions"].withWatermark("occurred_at", watermark)
+    alerts_wm = staged["alert_events"].withWatermark("occurred_at", watermark)
+    for name, df, keys, part_col in [
+            ("kpi_transactions", risk.kpi_transactions(tx_wm), ["window_start"], "window_start"),
+            ("kpi_alerts", risk.kpi_alerts(alerts_wm), ["window_start"], "window_start"),
+            ("merchant_fraud_exposure", risk.merchant_fraud_exposure(tx_wm),
+             ["merchant_id", "merchant_name", "merchant_category_code", "window_start"],
+             "window_start"),
+            ("channel_risk_breakdown", risk.channel_risk_breakdown(tx_wm),
+             ["channel", "window_start"], "window_start"),
+            ("hourly_fraud_trend", risk.hourly_fraud_trend(tx_wm), ["hour_bucket"],
+             "hour_bucket")]:
+        topo.queries.append(mat.materialize(df, topo.path("views", name), keys,
+                                            mat.day_of(part_col), ck(name), trig))
+    topo.queries.append(mat.materialize(
+        signals.known_customer_devices(staged["transactions"]),
+        topo.path("views", "known_customer_devices"), ["customer_id", "device_id"],
+        mat.hash_bucket(["customer_id", "device_id"]), ck("known_customer_devices"), trig))
+
     presence = pairs.device_presence(
         staged["transactions"].withWatermark("occurred_at", watermark))
     topo.queries.append(mat.materialize(
@@ -191,3 +214,18 @@ def query_staleness(spark: SparkSession, topo: Topology, now=None,
     return spark.createDataFrame(
         rows, "query string, last_batch_rows long, last_batch_at timestamp, "
               "stale_seconds long, status string")
+
+
+def maintained_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The monotone views as kept by the topology (read side)."""
+    v = lambda name: mat.read_view(spark, os.path.join(root, "views", name))
+    out = {name: v(name) for name in list(SIGNAL_SOURCE) + [
+        "merchant_fraud_exposure", "channel_risk_breakdown", "hourly_fraud_trend",
+        "known_customer_devices", "latest_kyc"]}
+    out["login_failure_storm"] = ss.login_failure_storm_view(*[v(p) for p in ss.STORM_PARTS])
+    geo = mat.read_table(spark, os.path.join(root, "views", "geo_hops")).drop(mat.PART)
+    out["geo_impossible_trips"] = geo.drop("txn2_account_id")
+    out["fraud_kpis_1min"] = risk.fraud_kpis_assemble(
+        v("kpi_transactions"), v("kpi_alerts"), out["velocity_alerts"], geo,
+        out["login_failure_storm"], out["structuring"])
+    return out

@@ -160,6 +160,12 @@ def test_topology_snapshot_equals_batch(spark, views, tmp_dir):
         want = rows(getattr(views, name), *cols)
         assert rows(snap[name], *cols) == want, name
         assert len(want) > 0, name
+    kept = topology.maintained_views(spark, root)
+    for name, df in kept.items():
+        want = getattr(views, name)
+        cols = [c for c in want.columns if c in df.columns]
+        assert len(cols) == len(want.columns), name
+        assert rows(df, *cols) == rows(want, *cols), name
     health = topology.query_staleness(spark, topo).collect()
     assert len(health) == len(topo.queries) and all(r.last_batch_at for r in health)
 
