@@ -14,8 +14,9 @@ Geo (C7): LAG per customer across micro-batches needs state.
 ``applyInPandasWithState`` state (one small record per customer).  The
 pandas function only sorts the customer's new rows and shifts them; the
 distance, minutes and flags are the same Spark expressions as in batch.
-Rows arriving out of order across micro-batches are chained in arrival
-order, so batch (which sees all rows) is authoritative.
+A row that arrives after a later row of its customer was already chained
+yields no hop and leaves the chain tail where it is; batch (which sees all
+rows) is authoritative.
 """
 
 from __future__ import annotations
@@ -155,9 +156,20 @@ def _chain(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Itera
     rows = rows.sort_values(["occurred_at", "transaction_id"], na_position="last",
                             kind="mergesort").reset_index(drop=True)
     names = [n for n, _ in _CARRY]
-    prev = rows[names].shift(1)
     if state.exists:
         last = state.get
+        # A row ordered before the saved chain tail arrived too late to be
+        # chained in event-time order: it yields no hop and does not move the
+        # tail back (batch, which sees every row, is authoritative).
+        last_t, last_id = pd.Timestamp(last[4]), last[0]
+        late = rows["occurred_at"].notna() & (
+            (rows["occurred_at"] < last_t)
+            | ((rows["occurred_at"] == last_t) & (rows["transaction_id"] <= last_id)))
+        rows = rows[~late].reset_index(drop=True)
+        if rows.empty:
+            return
+    prev = rows[names].shift(1)
+    if state.exists:
         for i, n in enumerate(names):
             prev.loc[0, n] = last[i]
     out = pd.DataFrame({"customer_id": key[0], "account_id": rows["account_id"]})

@@ -198,3 +198,37 @@ def test_stream_dedupe_quarantine_and_topic_sink(spark, tmp_dir):
     assert [r.transaction_id for r in spark.table("dedupe_test").collect()] == ["t1"]
     dead = [json.loads(r.value) for r in spark.read.text(out).collect()]
     assert sorted(d["error"] for d in dead) == ["bad_event_time", "malformed_json"]
+
+
+def test_geo_chain_skips_late_rows():
+    import datetime as dt
+
+    import pandas as pd
+
+    class State:
+        def __init__(self, v):
+            self.v = v
+
+        @property
+        def exists(self):
+            return self.v is not None
+
+        @property
+        def get(self):
+            return self.v
+
+        def update(self, v):
+            self.v = v
+
+    t = lambda m: pd.Timestamp(2026, 4, 18, 10, m)
+    new = pd.DataFrame({"customer_id": ["c"] * 3, "account_id": ["a"] * 3,
+                        "transaction_id": ["t3", "t6", "t7"], "country_code": ["AU"] * 3,
+                        "latitude": [1.0, 2.0, 3.0], "longitude": [1.0, 2.0, 3.0],
+                        "occurred_at": [t(3), t(6), t(7)]})
+    st = State(("t5", "AU", 1.0, 2.0, dt.datetime(2026, 4, 18, 10, 5)))
+    out = list(ss._chain(("c",), iter([new]), st))[0]
+    assert out[["p_transaction_id", "transaction_id"]].values.tolist() == [["t5", "t6"],
+                                                                           ["t6", "t7"]]
+    assert st.v[0] == "t7"
+    st = State(("t5", "AU", 1.0, 2.0, dt.datetime(2026, 4, 18, 10, 5)))
+    assert list(ss._chain(("c",), iter([new.iloc[:1]]), st)) == [] and st.v[0] == "t5"
