@@ -106,3 +106,21 @@ def test_cli_stream_once(spark, tmp_dir):
     main(["stream", *src, "--root", root, "--once"])
     snap = spark.read.parquet(os.path.join(root, "snapshot", "account_risk_score"))
     assert snap.count() == v.account_risk_score.count() > 0
+
+
+def test_parquet_sources_and_contract(spark, tmp_dir):
+    from riskstream.plans.views import Views
+
+    v = Views.from_testdata(spark, "/root/testdata/sf0.001")
+    paths = {}
+    for name in ["transactions", "login_events", "card_events", "alert_events",
+                 "kyc_profile_events"]:
+        paths[name] = os.path.join(tmp_dir, name)
+        v.raw[name].write.parquet(paths[name])
+        df = events.read_stream(spark, name, path=paths[name], fmt="parquet")
+        assert events.check_contract(df, name) == []
+    w = Views.from_sources(spark, paths, fmt="parquet", device_args=v.device_args,
+                           geo_bucket=v.geo_bucket)
+    assert sorted(tuple(r) for r in w.account_risk_score.select(
+        "account_id", "risk_score").collect()) == sorted(
+        tuple(r) for r in v.account_risk_score.select("account_id", "risk_score").collect())
