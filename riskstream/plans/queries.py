@@ -232,6 +232,26 @@ def _dq_sql() -> str:
     return sql(final, *quality.VIEW_TESTS, *_STG)
 
 
+def _not_null_views() -> list[tuple[str, list[str]]]:
+    return [(v, t["not_null"]) for v, t in quality.VIEW_TESTS.items() if t.get("not_null")]
+
+
+def _not_null_spark(v: Views) -> DataFrame:
+    parts = [quality.not_null(getattr(v, view), cols)
+             .select(F.lit(view).alias("view_name"), "column_name", "null_count")
+             for view, cols in _not_null_views()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+register("not_null_counts", sql(" UNION ALL ".join(
+    f"SELECT '{view}' AS view_name, '{c}' AS column_name, "
+    f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM {view}"
+    for view, cols in _not_null_views() for c in cols),
+    *[view for view, _ in _not_null_views()]))(_not_null_spark)
+
 register("dq_report", _dq_sql())(
     lambda v: quality.dq_report(
         {n: getattr(v, n) for n in quality.VIEW_TESTS},
