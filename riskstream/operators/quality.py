@@ -1,7 +1,7 @@
 """Data-quality operators.
 
-Checks on one view run in one aggregate pass (``count_if`` per column);
-uniqueness is one grouped aggregate per key.  Results are small tables of
+All checks on one view run in one pass: a GROUPING SETS aggregate (one set
+per key or value column, plus the total) and a one-row summary.  Results are small tables of
 failures, never the offending rows gathered in one place.
 """
 
@@ -120,32 +120,47 @@ def reconcile(source: DataFrame, source_ts: Column, staged: DataFrame, staged_ts
 
 def view_checks(df: DataFrame, view: str, not_null_cols=(), unique=(),
                 accepted: dict | None = None) -> DataFrame:
-    """Rows (check_name, view_name, column_name, failures, status) for one view."""
+    """Rows (check_name, view_name, column_name, failures, status) for one view.
+
+    One pass over the view: a GROUPING SETS aggregate with one set per unique
+    key, one per accepted-values column and the grand total (which carries
+    the NULL counts), then a one-row summary.  Failures follow the data-test
+    conventions: NULL rows for not_null, duplicated (non-NULL) keys for
+    unique, distinct (non-NULL) values outside the list for accepted_values.
+    """
     accepted = accepted or {}
-    specs = [("not_null", c, F.count_if(F.col(c).isNull())) for c in not_null_cols]
-    specs += [("accepted_values", c, F.count_distinct(F.when(~F.col(c).isin(*vals), F.col(c))))
-              for c, vals in accepted.items()]
-    parts = []
-    if specs:
-        names = [f"_{i}" for i in range(len(specs))]
-        wide = df.agg(*[e.alias(n) for n, (_, _, e) in zip(names, specs)])
-        long = wide.unpivot([], names, "test", "failures")
-        check = F.create_map(*chain.from_iterable((F.lit(n), F.lit(s[0]))
-                                                  for n, s in zip(names, specs)))
-        column = F.create_map(*chain.from_iterable((F.lit(n), F.lit(s[1]))
-                                                   for n, s in zip(names, specs)))
-        parts.append(long.select(check[F.col("test")].alias("check_name"),
-                                 F.lit(view).alias("view_name"),
-                                 column[F.col("test")].alias("column_name"),
-                                 F.col("failures").cast("bigint").alias("failures")))
-    for c in unique:
-        parts.append(duplicate_count(df, c, "failures").select(
-            F.lit("unique").alias("check_name"), F.lit(view).alias("view_name"),
-            F.lit(c).alias("column_name"),
-            "failures"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    group_cols = list(dict.fromkeys([*unique, *accepted]))
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null{i}")
+             for i, c in enumerate(not_null_cols)]
+    specs = []  # (check, column, summary expression)
+    if group_cols:
+        m = len(group_cols)
+        total = (1 << m) - 1
+        gid_of = {c: total - (1 << (m - 1 - i)) for i, c in enumerate(group_cols)}
+        g = df.groupingSets([[c] for c in group_cols] + [[]], *group_cols).agg(
+            F.count(F.lit(1)).alias("_n"), *nulls, F.grouping_id().alias("_gid"))
+        gid = F.col("_gid")
+        specs += [("not_null", c, F.sum(F.when(gid == total, F.col(f"_null{i}"))))
+                  for i, c in enumerate(not_null_cols)]
+        specs += [("unique", c, F.count_if((gid == gid_of[c]) & F.col(c).isNotNull()
+                                           & (F.col("_n") > 1))) for c in unique]
+        specs += [("accepted_values", c, F.count_if((gid == gid_of[c]) & F.col(c).isNotNull()
+                                                    & ~F.col(c).isin(*vals)))
+                  for c, vals in accepted.items()]
+    else:
+        g = df.agg(*nulls)
+        specs += [("not_null", c, F.sum(F.col(f"_null{i}"))) for i, c in enumerate(not_null_cols)]
+    names = [f"_{i}" for i in range(len(specs))]
+    wide = g.agg(*[e.alias(n) for n, (_, _, e) in zip(names, specs)])
+    long = wide.unpivot([], names, "test", "failures")
+    check = F.create_map(*chain.from_iterable((F.lit(n), F.lit(sp[0]))
+                                              for n, sp in zip(names, specs)))
+    column = F.create_map(*chain.from_iterable((F.lit(n), F.lit(sp[1]))
+                                               for n, sp in zip(names, specs)))
+    out = long.select(check[F.col("test")].alias("check_name"), F.lit(view).alias("view_name"),
+                      column[F.col("test")].alias("column_name"),
+                      F.coalesce(F.col("failures").cast("bigint"), F.lit(0).cast("bigint"))
+                      .alias("failures"))
     return out.withColumn("status", _status(F.col("failures")))
 
 
