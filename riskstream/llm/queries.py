@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from riskstream.llm import mixing, quality
+from riskstream.llm import decontaminate, mixing, quality, warc
 
 QUERIES = {
     "op2_pareto_mixing": mixing.op2_pareto_mixing,
+    "op4_warc_revisits": warc.op4_warc_revisits,
+    "op7_wu_manber": decontaminate.op7_wu_manber,
     "op9_host_quality": quality.op9_host_quality,
 }
 
 ORACLES = {
     "op2_pareto_mixing": mixing.ORACLE,
+    "op4_warc_revisits": warc.ORACLE,
+    "op7_wu_manber": decontaminate.ORACLE,
     "op9_host_quality": quality.ORACLE,
 }
