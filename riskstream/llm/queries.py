@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from riskstream.llm import decontaminate, mixing, quality, warc
+from riskstream.llm import chat, decontaminate, mixing, pii, quality, warc
 
 QUERIES = {
     "op2_pareto_mixing": mixing.op2_pareto_mixing,
     "op4_warc_revisits": warc.op4_warc_revisits,
+    "op6_snapshot_collapse": chat.op6_snapshot_collapse,
     "op7_wu_manber": decontaminate.op7_wu_manber,
     "op9_host_quality": quality.op9_host_quality,
+    "op10_surrogates": pii.op10_surrogates,
 }
 
 ORACLES = {
     "op2_pareto_mixing": mixing.ORACLE,
     "op4_warc_revisits": warc.ORACLE,
+    "op6_snapshot_collapse": chat.ORACLE,
     "op7_wu_manber": decontaminate.ORACLE,
     "op9_host_quality": quality.ORACLE,
 }
