@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from riskstream.llm import chat, decontaminate, mixing, pii, quality, warc
+from riskstream.llm import chat, decontaminate, langid, mixing, neardup, pii, quality, warc
 
 QUERIES = {
     "op2_pareto_mixing": mixing.op2_pareto_mixing,
+    "op3_minmax_neardup": neardup.op3_minmax_neardup,
     "op4_warc_revisits": warc.op4_warc_revisits,
     "op6_snapshot_collapse": chat.op6_snapshot_collapse,
     "op7_wu_manber": decontaminate.op7_wu_manber,
+    "op8_crf_langid": langid.op8_crf_langid,
     "op9_host_quality": quality.op9_host_quality,
     "op10_surrogates": pii.op10_surrogates,
 }
 
 ORACLES = {
     "op2_pareto_mixing": mixing.ORACLE,
+    "op3_minmax_neardup": neardup.ORACLE,
     "op4_warc_revisits": warc.ORACLE,
     "op6_snapshot_collapse": chat.ORACLE,
     "op7_wu_manber": decontaminate.ORACLE,
