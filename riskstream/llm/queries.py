@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from riskstream.llm import chat, decontaminate, langid, mixing, neardup, pii, quality, warc
+from riskstream.llm import chat, decontaminate, hpylm, langid, mixing, neardup, pii, quality, warc
 
 QUERIES = {
+    "op1_hpy_lm": hpylm.op1_hpy_lm,
     "op2_pareto_mixing": mixing.op2_pareto_mixing,
     "op3_minmax_neardup": neardup.op3_minmax_neardup,
     "op4_warc_revisits": warc.op4_warc_revisits,
