@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from riskstream.llm import chat, decontaminate, hpylm, langid, mixing, neardup, pii, quality, warc
+from riskstream.llm import chat, decontaminate, hpylm, langid, mixing, neardup, pii, quality, suffixarray, warc
 
 QUERIES = {
     "op1_hpy_lm": hpylm.op1_hpy_lm,
     "op2_pareto_mixing": mixing.op2_pareto_mixing,
     "op3_minmax_neardup": neardup.op3_minmax_neardup,
     "op4_warc_revisits": warc.op4_warc_revisits,
+    "op5_lyndon_suffixes": suffixarray.op5_lyndon_suffixes,
     "op6_snapshot_collapse": chat.op6_snapshot_collapse,
     "op7_wu_manber": decontaminate.op7_wu_manber,
     "op8_crf_langid": langid.op8_crf_langid,
