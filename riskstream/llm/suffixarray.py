@@ -467,7 +467,8 @@ def hot_repeats(cut: DataFrame) -> DataFrame:
     first = w.groupBy("window").agg(F.min(F.struct("did", "dig", "start")).alias("f"))
     later = w.join(first, "window").filter(
         F.struct("did", "dig", "start") != F.col("f")).select("did", "dig", "start")
-    one = F.concat(F.reverse(F.unhex(F.lpad(F.hex("start"), 8, "0"))), F.unhex(F.lit("01000000")))
+    big = F.lpad(F.hex("start"), 8, "0")  # a RUN of one window, little-endian
+    one = F.unhex(F.concat(*[F.substring(big, i, 2) for i in (7, 5, 3, 1)], F.lit("01000000")))
     return later.select("did", "dig", one.alias("runs"))
 
 
