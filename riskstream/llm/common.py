@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A word is a run of anything but ASCII white space.
@@ -36,6 +37,17 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def carried(df: DataFrame, cols: Sequence[str]) -> tuple[list[Column], list[Column]]:
+    """Columns on their way through pandas and back: numbers go as text, which
+    keeps nulls and large integers whole; names are k0, k1, ... in between."""
+    kinds = [df.schema[c].dataType for c in cols]
+    there = [(F.col(c).cast("string") if isinstance(k, T.NumericType) else F.col(c)).alias(f"k{i}")
+             for i, (c, k) in enumerate(zip(cols, kinds, strict=True))]
+    back = [F.col(f"k{i}").cast(k).alias(c)
+            for i, (c, k) in enumerate(zip(cols, kinds, strict=True))]
+    return there, back
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share (``spark.checkpoint.dir``).
 

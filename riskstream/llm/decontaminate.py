@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskstream.llm.common import small_batches, table, written
+from riskstream.llm.common import carried, small_batches, table, written
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 20
@@ -161,8 +161,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str], text:
     spark = docs.sparkSession
     small_batches(spark)
     spans_type, items_type = "array<struct<a:int,b:int>>", "array<string>"
-    df = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)],
-                     F.col(text).alias("text_"), F.lit(0).cast("long").alias("n_words_"),
+    there, back = carried(docs, keep)
+    df = docs.select(*there, F.col(text).alias("text_"), F.lit(0).cast("long").alias("n_words_"),
                      F.array().cast(spans_type).alias("spans_"),
                      F.array().cast(items_type).alias("items_"))
     schema = T.StructType(df.schema.fields)
@@ -175,8 +175,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str], text:
     if first:  # no item: words are still counted
         df = df.mapInPandas(_scanner(spark.sparkContext.broadcast([]), window), schema)
     n_hit = F.aggregate("spans_", F.lit(0).cast("long"), lambda s, x: s + (x.b - x.a))
-    return df.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
-                     F.col("n_words_").alias("n_words"), n_hit.alias("n_hit"),
+    return df.select(*back, F.col("n_words_").alias("n_words"), n_hit.alias("n_hit"),
                      F.col("spans_").alias("spans"), F.col("items_").alias("items"),
                      (F.size("spans_") > 0).alias("contaminated"))
 

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskstream.llm.common import small_batches, table
+from riskstream.llm.common import carried, small_batches, table
 
 SAMPLE_ROWS = 150
 SAMPLE_CHARS = 200_000
@@ -287,12 +287,13 @@ def predict_language(docs: DataFrame, model: Crf, keep: list[str], text: str = "
     """
     spark = docs.sparkSession
     small_batches(spark, 256)
-    d = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).alias("t_"))
+    there, back = carried(docs, keep)
+    d = docs.select(*there, F.col(text).alias("t_"))
     schema = ", ".join(f"k{i} {d.schema[f'k{i}'].dataType.simpleString()}"
                        for i in range(len(keep)))
     out = d.mapInPandas(_predictor(spark.sparkContext.broadcast(model)),
                         schema + ", lang_pred_ string, score_ double")
-    return out.toDF(*keep, "lang_pred", "score")
+    return out.select(*back, F.col("lang_pred_").alias("lang_pred"), F.col("score_").alias("score"))
 
 
 def fold(modulus: int = 5):

@@ -74,7 +74,8 @@ def mix_to_targets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    source: str = "source", weights: Sequence[int] = WEIGHTS,
                    max_copies: int = MAX_COPIES, seed: str = SEED,
                    doc_weight: str | None = None) -> DataFrame:
-    """doc_id, size, source, source_size, target, copies, taken, one row per row of ``docs``.
+    """doc_id, tie (md5 of the text), size, source, source_size, target, copies,
+    taken, one row per row of ``docs``.
 
     ``doc_weight`` (positive numbers) makes the inclusion probabilities differ
     inside a source; without it they differ between sources only.
@@ -136,11 +137,26 @@ def mix_to_targets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     one_more = (F.col("z").isNotNull()
                 & (F.col("bin_start") + F.col("in_bin") + F.col("size") / 2.0 <= F.col("rest")))
     copies = F.col("whole") + F.when(one_more, 1).otherwise(0)
-    return placed.select("doc_id", "size", "source", "source_size", "target",
+    return placed.select("doc_id", "tie", "size", "source", "source_size", "target",
                          copies.cast("long").alias("copies"),
                          (copies * F.col("size")).cast("long").alias("taken"))
 
 
+def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+          **options) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with ``copies``.  Rows equal in
+    id and text are given once, with the sum of their copies."""
+    got = mix_to_targets(docs, doc_id, text, source, **options)
+    copies = got.groupBy("doc_id", "tie").agg(F.sum("copies").alias("copies_")).filter("copies_ > 0")
+    names = docs.columns
+    d = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    key, body = F.col(f"c{names.index(doc_id)}"), F.col(f"c{names.index(text)}")
+    d = d.withColumn("t_", F.md5(F.coalesce(body, F.lit("")))).dropDuplicates(
+        [f"c{names.index(doc_id)}", "t_"])
+    return d.join(copies, key.eqNullSafe(F.col("doc_id")) & (F.col("t_") == F.col("tie"))).select(
+        *[f"c{i}" for i in range(len(names))], "copies_").toDF(*names, "copies")
+
+
 def op2_pareto_mixing(spark, sf_dir: str) -> DataFrame:
     return mix_to_targets(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies")

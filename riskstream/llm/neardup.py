@@ -3,8 +3,8 @@
 A document's set is its distinct word shingles.  Under each permutation both
 the minimum and the maximum of the set are kept, so ``PERMS`` hash evaluations
 give 2 x PERMS signature values; they are banded (the two values of one
-permutation never share a band).  At the default ``BANDS`` x ``ROWS`` a pair at
-similarity 0.85 misses all bands with probability 8e-6.
+permutation never share a band).  20 bands of 5 values miss a pair at similarity
+0.85 with probability 8e-6; below 0.85, 25 bands of 4 miss one at 0.8 with 2e-6.
 
 Documents with equal sets are one node from the start.  Nodes that share a
 band are confirmed on their full sets, never all with all: in each round every
@@ -28,8 +28,6 @@ from riskstream.llm.common import LOWER, small_batches, table, written
 
 SHINGLE = 3
 PERMS = 50
-BANDS = 20
-ROWS = 5
 THRESHOLD = 85  # percent
 STAR_ROUNDS = 3
 BLOCK = 256
@@ -88,23 +86,31 @@ def hashed_sets(texts: list[str | None], size: int = SHINGLE) -> tuple[np.ndarra
     return x[new], np.bincount(doc[new], minlength=len(docs))
 
 
-def band_keys(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """(texts, BANDS) keys of the min-max signatures of non-empty sets."""
+def band_layout(threshold: int) -> list[list[int]]:
+    """Which of the values (PERMS minima, then PERMS maxima) make each band."""
+    if threshold >= 85:
+        return [list(range(b, 2 * PERMS, 20)) for b in range(20)]
+    return [[b, b + 25, PERMS + (b + 12) % 50, PERMS + (b + 37) % 50] for b in range(25)]
+
+
+def band_keys(x: np.ndarray, starts: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
+    """(texts, bands) keys of the min-max signatures of non-empty sets."""
     values = np.empty((2 * PERMS, len(starts)), np.uint64)
     for p in range(PERMS):
         v = x * MULT[p] + ADD[p]
         values[p] = np.minimum.reduceat(v, starts)
         values[PERMS + p] = np.maximum.reduceat(v, starts)
-    keys = np.empty((len(starts), BANDS), np.uint64)
-    for b in range(BANDS):
+    layout = band_layout(threshold)
+    keys = np.empty((len(starts), len(layout)), np.uint64)
+    for b, rows in enumerate(layout):
         k = np.full(len(starts), b + 1, np.uint64)
-        for row in range(ROWS):
-            k = mix(k * np.uint64(0x9E3779B97F4A7C15) + values[b + row * BANDS])
+        for row in rows:
+            k = mix(k * np.uint64(0x9E3779B97F4A7C15) + values[row])
         keys[:, b] = k
     return keys
 
 
-def _signatures(size: int):
+def _signatures(size: int, threshold: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             x, counts = hashed_sets(list(pdf["t_"]), size)
@@ -115,25 +121,27 @@ def _signatures(size: int):
                 starts = np.concatenate(([0], np.cumsum(counts[full])[:-1]))
                 one = np.add.reduceat(x, starts)
                 two = np.add.reduceat(mix(x ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts)
-                keys = band_keys(x, starts).view(np.int64)
+                keys = band_keys(x, starts, threshold).view(np.int64)
                 for j, i in enumerate(full):
                     node[i] = f"{int(one[j]):016x}{int(two[j]):016x}"
-                    # Sets of fewer than 6 shingles reach 0.85 only if equal.
-                    bands[i] = keys[j] if counts[i] > 5 else []
+                    # Sets n and n + 1 reach the threshold only from some size on.
+                    small = counts[i] * (100 - threshold) < threshold
+                    bands[i] = [] if small else keys[j]
             yield pd.DataFrame({"doc_id": pdf["d_"], "tk": pdf["tk_"], "n": counts, "node": node,
                                 "bands": bands})
     return run
 
 
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-               size: int = SHINGLE) -> DataFrame:
+               size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, tk (text digest), n (set size), node (set digest, empty for no
     set) and bands of every row."""
     small_batches(docs.sparkSession, 256)
-    d = docs.select(F.col(doc_id).cast("long").alias("d_"), F.md5(F.col(text)).alias("tk_"),
+    d = docs.select(F.col(doc_id).cast("string").alias("d_"), F.md5(F.col(text)).alias("tk_"),
                     F.col(text).alias("t_"))
-    return d.mapInPandas(_signatures(size),
-                         "doc_id long, tk string, n long, node string, bands array<long>")
+    got = d.mapInPandas(_signatures(size, threshold),
+                        "doc_id string, tk string, n long, node string, bands array<long>")
+    return got.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def linked(a: frozenset, b: frozenset, threshold: int = THRESHOLD) -> bool:
@@ -270,7 +278,8 @@ def cross_links(still: DataFrame, texts: DataFrame, size: int, threshold: int) -
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, tk, n_shingles, component_id, kept, one row per row of ``docs``.
+    """doc_id, tk (md5 of the text), n_shingles, label (of the component's
+    sets), component_id, kept, one row per row of ``docs``.
 
     Null or empty text, or one without words: an empty set, linked with
     nothing; such a row is its own component.  Null ids sort last and are kept
@@ -278,7 +287,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     are one component, whose smallest id may then be kept more than once.
     Empty tables give no rows; other columns are ignored.
     """
-    sig = written(signatures(docs, doc_id, text, size), "neardup-signatures")
+    sig = written(signatures(docs, doc_id, text, size, threshold), "neardup-signatures")
     nodes = written(sig.filter("n > 0").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("id"),
                        "tk")).alias("r"),
@@ -318,17 +327,38 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         labels = components(links)
     by_node = with_labels(nodes.select("node", "lowest"), labels)
     ids = by_node.groupBy("label").agg(F.min("lowest").alias("component"))
-    comp = by_node.join(ids, "label").select("node", "component")
+    comp = by_node.join(ids, "label").select("node", "label", "component")
     out = sig.filter("n > 0").join(comp, "node").select(
-        "doc_id", "tk", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
-    alone = sig.filter("n = 0").select("doc_id", "tk", F.col("n").alias("n_shingles"),
-                                       F.col("doc_id").alias("component_id"))
+        "doc_id", "tk", F.col("n").alias("n_shingles"), "label",
+        F.col("component").alias("component_id"))
+    alone = sig.filter("n = 0").select(
+        "doc_id", "tk", F.col("n").alias("n_shingles"), F.lit(None).cast("string").alias("label"),
+        F.col("doc_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(
         F.col("component_id")))
 
 
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the one
+    with the smallest id (null last), then the smallest text digest.  Rows
+    equal in id and text are one; texts without words all stay."""
+    got = near_duplicates(docs, doc_id, text, size, threshold)
+    best = got.filter("n_shingles > 0").groupBy("label").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), F.col("tk").alias("t"))
+        ).alias("b")).select("b.i", "b.t")
+    keep = best.unionByName(got.filter("n_shingles = 0").select(
+        F.col("doc_id").alias("i"), F.col("tk").alias("t")).distinct())
+    names = docs.columns
+    d = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    key, body = F.col(f"c{names.index(doc_id)}"), F.col(f"c{names.index(text)}")
+    d = d.withColumn("i_", key.cast("long")).withColumn("t_", F.md5(body))
+    kept = d.join(keep, F.col("i_").eqNullSafe(F.col("i")) & F.col("t_").eqNullSafe(F.col("t")))
+    return kept.dropDuplicates(["i_", "t_"]).select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
+
+
 def op3_minmax_neardup(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("tk")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("tk", "label")
 
 
 ORACLE = r"""

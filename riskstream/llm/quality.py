@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskstream.llm.common import SPACES, small_batches, table, written
+from riskstream.llm.common import SPACES, carried, small_batches, table, written
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -70,7 +70,7 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         got = pd.DataFrame([text_stats(t) for t in b["text"]], columns=COUNTS, dtype="int64")
-        yield pd.concat([b[["doc_id", "host"]].reset_index(drop=True), got], axis=1)
+        yield pd.concat([b[["k0", "host"]].reset_index(drop=True), got], axis=1)
 
 
 def base_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -80,11 +80,12 @@ def base_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Null or empty text: all counts 0, so the base rules fail it.
     """
     small_batches(docs.sparkSession)
-    d = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).cast("string").alias("host"),
+    there, back = carried(docs, [doc_id])
+    d = docs.select(*there, F.col(host).cast("string").alias("host"),
                     F.col(text).alias("text"))
-    id_type = d.schema["doc_id"].dataType.simpleString()
-    got = d.mapInPandas(_measure, f"doc_id {id_type}, host string, "
+    got = d.mapInPandas(_measure, f"k0 {d.schema['k0'].dataType.simpleString()}, host string, "
                         + ", ".join(f"{c} long" for c in COUNTS))
+    got = got.select(back[0].alias("doc_id"), "host", *COUNTS)
     return got.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
 
