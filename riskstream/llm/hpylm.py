@@ -222,8 +222,8 @@ def seat(count: np.ndarray, open_mass: np.ndarray, discount: float, key: np.ndar
     parent's probability), the occupied ones the customers less the discounts.
 
     After ``EXACT_STEPS`` customers they are seated in groups of a sixteenth of
-    those already there, the group's new tables drawn by the normal
-    approximation; no customer is left out, and steps grow with log(count).
+    those already there; a group opens the expected number of tables, rounded at
+    random.  No customer is left out, and steps grow with log(count).
     """
     tables = np.minimum(count, 1).astype(np.float64)
     live = np.flatnonzero(count > 1)
@@ -231,15 +231,9 @@ def seat(count: np.ndarray, open_mass: np.ndarray, discount: float, key: np.ndar
     while len(live):
         size = np.minimum(1 if n < EXACT_STEPS else max(1, n // 16), count[live] - n)
         t = tables[live]
-        p = open_mass[live] / (open_mass[live] + n - discount * t)
+        p = open_mass[live] / (open_mass[live] + n + (size - 1) / 2 - discount * t)
         u = uniforms(key[live], n, sweep)
-        if n < EXACT_STEPS:
-            tables[live] = t + (u < p)
-        else:
-            u2 = uniforms(key[live], n, sweep + 1000)
-            gauss = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * u2)
-            new = np.rint(size * p + gauss * np.sqrt(size * p * (1 - p)))
-            tables[live] = t + np.clip(new, 0, size)
+        tables[live] = t + np.floor(size * p + u)  # for one customer: u > 1 - p
         n += 1 if n < EXACT_STEPS else max(1, n // 16)
         live = live[count[live] > n]
     return tables
