@@ -48,13 +48,10 @@ def words_of(text: str | None) -> list[str]:
 def features(word: str) -> set[str]:
     """Affixes of one to three letters, character 1- to 3-grams, the word itself."""
     w = word if len(word) <= 40 else word[:20] + word[-20:]
-    out = {"=" + w}
-    for n in (1, 2, 3):
-        if len(w) > n:
-            out.add("<" + w[:n])
-            out.add(">" + w[-n:])
-        out.update(w[i:i + n] for i in range(len(w) - n + 1))
-    return out
+    n = len(w)
+    return {"=" + w, *["<" + w[:k] for k in (1, 2, 3) if n > k],
+            *[">" + w[-k:] for k in (1, 2, 3) if n > k], *w,
+            *[w[i:i + 2] for i in range(n - 1)], *[w[i:i + 3] for i in range(n - 2)]}
 
 
 @dataclass
@@ -64,9 +61,18 @@ class Crf:
     weights: np.ndarray     # (features, langs)
     trans: np.ndarray       # (langs, langs) log potentials
 
-    def emission(self, word: str) -> np.ndarray:
-        rows = [i for f in features(word) if (i := self.index.get(f)) is not None]
-        return self.weights[rows].sum(axis=0) if rows else np.zeros(len(self.langs))
+    def emissions(self, words: list[str]) -> np.ndarray:
+        """(words, langs) sums of the weights of each word's known features."""
+        get, rows, ends = self.index.get, [], []
+        for w in words:
+            rows += [i for f in features(w) if (i := get(f)) is not None]
+            ends.append(len(rows))
+        if not rows:
+            return np.zeros((len(words), len(self.langs)))
+        sums = np.zeros((len(rows) + 1, len(self.langs)))
+        np.cumsum(self.weights[rows], axis=0, out=sums[1:])
+        at = np.array([0, *ends])
+        return sums[at[1:]] - sums[at[:-1]]
 
 
 def marginals(emit: np.ndarray, trans: np.ndarray, lengths: np.ndarray,
@@ -261,12 +267,13 @@ def _predictor(model):
                 if len(ids) > CACHE:
                     ids = {}
                 words = [w for i in some for w in docs[i]]
-                for w in dict.fromkeys(words):
-                    if w not in ids:
-                        j = ids[w] = len(ids)
-                        if j >= len(table_):
-                            table_ = np.concatenate([table_, np.zeros_like(table_)])
-                        table_[j] = crf.emission(w)
+                fresh = [w for w in dict.fromkeys(words) if w not in ids]
+                if fresh:
+                    need = len(ids) + len(fresh)
+                    if need > len(table_):
+                        table_ = np.concatenate([table_, np.zeros((need, k))])
+                    table_[len(ids):need] = crf.emissions(fresh)
+                    ids.update(zip(fresh, range(len(ids), need), strict=True))
                 lengths = np.array([len(docs[i]) for i in some])
                 where = np.fromiter((ids[w] for w in words), np.int64, len(words))
                 p = marginals(table_[where], crf.trans, lengths)

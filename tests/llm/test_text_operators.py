@@ -316,7 +316,7 @@ def test_language_of_mixed_and_odd_texts(spark):
     assert got["700"].lang_pred == "de" and got["701"].lang_pred == "es"
     assert {got[i].lang_pred for i in ("7", "8", "9", "16")} == {"und"}
     assert all(0 <= r.score <= 1 for r in got.values())
-    p = langid.marginals(np.array([model.emission(w) for w in langid.words_of(switched)]),
+    p = langid.marginals(model.emissions(langid.words_of(switched)),
                          model.trans, np.array([len(langid.words_of(switched))]))
     right = p.argmax(axis=1)
     assert (right[:50] == model.langs.index("de")).mean() > .9
