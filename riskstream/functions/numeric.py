@@ -16,6 +16,16 @@ def round_numeric(col: Column | str, scale: int) -> Column:
     return F.round(c.cast(ROUND_DECIMAL), scale).cast("double")
 
 
+# Money is added up in decimal, so a total does not depend on task order.
+MONEY_DECIMAL = "decimal(28,6)"
+
+
+def money_sum(col: Column | str) -> Column:
+    """Exact ``SUM`` of amounts, returned as double."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.sum(c.cast(MONEY_DECIMAL)).cast("double")
+
+
 def pct(part: Column, whole: Column) -> Column:
     """Guarded percentage ``part / whole * 100`` (0 when ``whole`` is 0)."""
     return F.when(whole > 0, part.cast("double") / whole * 100).otherwise(F.lit(0.0))

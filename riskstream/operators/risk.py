@@ -23,7 +23,7 @@ from riskstream.constants import (
     TIERS,
     VELOCITY_WINDOW,
 )
-from riskstream.functions.numeric import flag, pct, round_numeric
+from riskstream.functions.numeric import flag, money_sum, pct, round_numeric
 from riskstream.functions.time import ago, as_of_column
 from riskstream.operators import pairs, signals
 
@@ -189,7 +189,7 @@ def kpi_transactions(stg_tx: DataFrame, window: str = "1 minute") -> DataFrame:
     """Per window count, value and high-risk-MCC count (monotone)."""
     tw = stg_tx.groupBy(F.window("occurred_at", window).alias("w")).agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        F.sum("amount").alias("transaction_value"),
+        money_sum("amount").alias("transaction_value"),
         F.count_if(F.col("is_high_risk_mcc")).alias("flagged_transactions"))
     return tw.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                      "total_transactions", "transaction_value", "flagged_transactions")
@@ -211,15 +211,16 @@ def fraud_kpis_assemble(tw: DataFrame, aw: DataFrame, velocity: DataFrame, geo:
         return df.where(F.col(cond)).groupBy(start.alias("window_start")) \
             .agg(F.count(F.lit(1)).alias(name))
 
-    vw = per_window(velocity, "is_velocity_breach", F.col("window_start"), "velocity_breaches")
-    gw = per_window(geo, "is_impossible", F.window("txn2_time", window).start, "geo_anomalies")
-    bw = per_window(storm, "is_brute_force", F.col("window_start"), "brute_force_attempts")
-    sw = per_window(structuring, "is_structuring_pattern", F.col("window_start"),
-                    "structuring_flags")
-    conf = aw.select("window_start",
-                     (F.col("confidence_sum") / F.col("confidence_n")).alias("_conf"))
+    start = F.col("window_start")
+    sides = [
+        per_window(velocity, "is_velocity_breach", start, "velocity_breaches"),
+        per_window(geo, "is_impossible", F.window("txn2_time", window).start, "geo_anomalies"),
+        per_window(storm, "is_brute_force", start, "brute_force_attempts"),
+        per_window(structuring, "is_structuring_pattern", start, "structuring_flags"),
+        aw.select("window_start", (F.col("confidence_sum") / F.col("confidence_n")).alias("_conf")),
+    ]
     j = tw
-    for side in (vw, gw, bw, sw, conf):
+    for side in sides:
         j = j.join(side, "window_start", "left")
     zero = F.lit(0).cast("bigint")
     return j.select(
@@ -254,9 +255,9 @@ def _flagged_measures() -> dict[str, Column]:
     return {
         "n": F.count(F.lit(1)),
         "flagged": F.count_if(hr),
-        "value": F.sum("amount"),
-        "flagged_value": F.sum(F.when(hr, F.col("amount"))),
-        "avg_amount": F.avg("amount"),
+        "value": money_sum("amount"),
+        "flagged_value": money_sum(F.when(hr, F.col("amount"))),
+        "avg_amount": money_sum("amount") / F.count("amount"),
     }
 
 

@@ -34,6 +34,7 @@ from riskstream.constants import (
     VELOCITY_MIN_TXNS,
     VELOCITY_WINDOW,
 )
+from riskstream.functions.numeric import money_sum
 
 
 def distinct_count(df: DataFrame, col: str) -> Column:
@@ -72,7 +73,7 @@ def velocity_alerts(stg_tx: DataFrame, window: str = VELOCITY_WINDOW,
     """>= ``min_txns`` transactions per (account, card) in a tumbling window."""
     return tumbling_signal(
         stg_tx, ["account_id", "card_last4"], window,
-        {"txn_count": F.count(F.lit(1)), "total_amount": F.sum("amount")},
+        {"txn_count": F.count(F.lit(1)), "total_amount": money_sum("amount")},
         F.col("txn_count") >= min_txns, "is_velocity_breach", watermark=watermark,
         slide=slide)
 
@@ -83,7 +84,7 @@ def cnp_spike(stg_tx: DataFrame, window: str = CNP_WINDOW, min_txns: int = CNP_M
     """>= ``min_txns`` card-not-present transactions per (card, account)."""
     return tumbling_signal(
         stg_tx, ["card_last4", "account_id"], window,
-        {"cnp_count": F.count(F.lit(1)), "total_amount": F.sum("amount")},
+        {"cnp_count": F.count(F.lit(1)), "total_amount": money_sum("amount")},
         F.col("cnp_count") >= min_txns, "is_cnp_spike",
         where=F.col("is_cnp") == F.lit(True), watermark=watermark, slide=slide)
 
@@ -111,7 +112,7 @@ def structuring(stg_tx: DataFrame, window: str = STRUCTURING_WINDOW,
     """C4: >= ``min_txns`` amounts in the closed band [low, high] per (account, customer)."""
     return tumbling_signal(
         stg_tx, ["account_id", "customer_id"], window,
-        {"qualifying_txn_count": F.count(F.lit(1)), "total_amount": F.sum("amount")},
+        {"qualifying_txn_count": F.count(F.lit(1)), "total_amount": money_sum("amount")},
         F.col("qualifying_txn_count") >= min_txns, "is_structuring_pattern",
         where=F.col("amount").between(low, high), watermark=watermark, slide=slide)
 

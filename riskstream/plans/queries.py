@@ -269,12 +269,19 @@ SELECT DISTINCT * FROM (SELECT * FROM stg_transactions
 
 
 # --- alert emission ---------------------------------------------------------------
-def _emit_sql() -> str:
-    from riskstream.constants import ALERT_RULES
-    sev = " ".join(f"WHEN '{t}' THEN '{s}'" for t, s, _, _, _ in ALERT_RULES)
-    lo = " ".join(f"WHEN '{t}' THEN {a}" for t, _, a, _, _ in ALERT_RULES)
-    hi = " ".join(f"WHEN '{t}' THEN {b}" for t, _, _, b, _ in ALERT_RULES)
-    rule = " ".join(f"WHEN '{t}' THEN '{r}'" for t, _, _, _, r in ALERT_RULES)
+def _emit_sql(wide: bool = False) -> str:
+    # Fixed values, stated here again so that the oracle has its own copy.
+    rules = (
+        ("velocity", "high", 0.75, 0.92, "RULE_001"),
+        ("geo_anomaly", "critical", 0.85, 0.99, "RULE_002"),
+        ("account_takeover", "critical", 0.88, 0.99, "RULE_003"),
+        ("card_not_present", "high", 0.75, 0.93, "RULE_004"),
+        ("device_fingerprint", "medium", 0.60, 0.82, "RULE_005"),
+        ("structuring", "critical", 0.80, 0.97, "RULE_006"))
+    sev = " ".join(f"WHEN '{t}' THEN '{s}'" for t, s, _, _, _ in rules)
+    lo = " ".join(f"WHEN '{t}' THEN {a}" for t, _, a, _, _ in rules)
+    hi = " ".join(f"WHEN '{t}' THEN {b}" for t, _, _, b, _ in rules)
+    rule = " ".join(f"WHEN '{t}' THEN '{r}'" for t, _, _, _, r in rules)
     pairs = "(SELECT DISTINCT customer_id, account_id FROM stg_transactions)"
     body = f"""
 SELECT 'velocity:' || x.account_id || ':' || x.card_last4 || ':' || epoch_us(x.window_start)
@@ -306,10 +313,66 @@ SELECT alert_id, customer_id, transaction_id, alert_type,
        CASE alert_type {rule} END AS rule_id, occurred_at
 FROM ({body})"""
     return sql(final, "velocity_alerts", "cnp_spike", "structuring", "geo_impossible_trips",
-               "device_anomalies", "stg_transactions")
-
-
-register("emit_alerts", _emit_sql())(
-    lambda v: alerts.emit_alerts(v.stg_transactions, v.velocity_alerts, v.cnp_spike,
-                                 v.structuring, v.geo_impossible_trips, v.device_anomalies,
-                                 customer_accounts(v.stg_transactions)))
+               "device_anomalies", "stg_transactions", wide=wide)
+
+
+def _emit(v: Views) -> DataFrame:
+    return alerts.emit_alerts(v.stg_transactions, v.velocity_alerts, v.cnp_spike,
+                              v.structuring, v.geo_impossible_trips, v.device_anomalies,
+                              customer_accounts(v.stg_transactions))
+
+
+register("emit_alerts", _emit_sql())(_emit)
+
+# --- the same views over three days ----------------------------------------------
+# Here windows, look-backs, the odd-hours flag and slow hops cut something.
+WIDE = ["stg_transactions", "velocity_alerts", "cnp_spike", "login_failure_storm", "structuring",
+        "correlated_alert_burst", "shared_device_ring", "geo_impossible_trips",
+        "known_customer_devices", "device_anomalies", "account_risk_score", "fraud_kpis_1min",
+        "merchant_fraud_exposure", "channel_risk_breakdown", "hourly_fraud_trend",
+        "open_fraud_cases", "resolved_cases", "recent_high_alerts"]
+for _n in WIDE:
+    REGISTRY[f"wide_{_n}"] = ((lambda n: lambda v: getattr(v.wide, n))(_n),
+                              sql(f"SELECT * FROM {_n}", _n, wide=True))
+register("wide_emit_alerts", _emit_sql(wide=True))(lambda v: _emit(v.wide))
+
+# --- data quality of a faulty feed ------------------------------------------------
+_FAULTY = {"transactions": """
+SELECT CASE WHEN nr % 97 <> 0 THEN transaction_id END AS transaction_id,
+       account_id, CASE WHEN nr % 101 <> 0 THEN customer_id END AS customer_id,
+       * EXCLUDE (transaction_id, account_id, customer_id, channel, nr, again),
+       CASE WHEN nr % 83 = 0 THEN 'carrier_pigeon' ELSE channel END AS channel
+FROM (SELECT *, CAST(substr(transaction_id, 5) AS BIGINT) AS nr FROM (""" + oracle.CTES[
+    "transactions"][0] + """)), (VALUES (0), (1)) AS c(again)
+WHERE again = 0 OR nr % 89 = 0"""}
+# Fixed values of these checks, stated for the oracle.
+_KEYS = ["transaction_id", "account_id", "customer_id", "occurred_at", "amount"]
+_CHANNELS = ["card_not_present", "card_present", "atm"]
+
+register("faulty_not_null", sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count "
+    f"FROM stg_transactions" for c in _KEYS), "stg_transactions", over=_FAULTY))(
+    lambda v: quality.not_null(v.corrupted.stg_transactions, _KEYS))
+register("faulty_unique", sql("""
+SELECT transaction_id, COUNT(*) AS n FROM stg_transactions WHERE transaction_id IS NOT NULL
+GROUP BY transaction_id HAVING COUNT(*) > 1""", "stg_transactions", over=_FAULTY))(
+    lambda v: quality.unique_violations(v.corrupted.stg_transactions, "transaction_id"))
+register("faulty_accepted_values", sql(
+    "SELECT channel, COUNT(*) AS n FROM stg_transactions WHERE channel NOT IN ("
+    + ", ".join(f"'{c}'" for c in _CHANNELS) + ") GROUP BY channel",
+    "stg_transactions", over=_FAULTY))(
+    lambda v: quality.accepted_values(v.corrupted.stg_transactions, "channel", _CHANNELS))
+register("faulty_duplicate_count", sql("""
+SELECT COUNT(*) AS duplicate_ids FROM (
+  SELECT transaction_id FROM stg_transactions WHERE transaction_id IS NOT NULL
+  GROUP BY transaction_id HAVING COUNT(*) > 1)""", "stg_transactions", over=_FAULTY))(
+    lambda v: quality.duplicate_count(v.corrupted.stg_transactions, "transaction_id"))
+# Lost rows: the staged table lacks what the ATM channel published.
+register("faulty_reconcile", sql(f"""
+SELECT {oracle.bucket('occurred_at', oracle.MIN)} AS window_start, COUNT(*) AS source_count,
+       COUNT(*) FILTER (WHERE channel <> 'atm') AS staged_count,
+       COUNT(*) FILTER (WHERE channel = 'atm') AS missing
+FROM stg_transactions GROUP BY 1""", "stg_transactions"))(
+    lambda v: quality.reconcile(v.raw["transactions"], staging.parse_ts("occurred_at"),
+                                v.stg_transactions.where(F.col("channel") != "atm"),
+                                "occurred_at"))

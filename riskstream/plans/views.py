@@ -41,9 +41,21 @@ class Views:
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Views":
         configure(spark)
-        kw.setdefault("device_args", DEVICE_ARGS_COMPRESSED)
-        kw.setdefault("geo_bucket", GEO_BUCKET_COMPRESSED)
-        return cls(bridge.raw_streams(spark, sf_dir), **kw)
+        narrow = {"device_args": DEVICE_ARGS_COMPRESSED, "geo_bucket": GEO_BUCKET_COMPRESSED} | kw
+        views = cls(bridge.raw_streams(spark, sf_dir), **narrow)
+        views._wide = lambda: cls(bridge.raw_streams(spark, sf_dir, bridge.WIDE_COMPRESSION), **kw)
+        views._corrupted = lambda: cls(bridge.corrupted_streams(spark, sf_dir), **narrow)
+        return views
+
+    @cached_property
+    def wide(self) -> "Views":
+        """Test data only: the same events over three days, default arguments."""
+        return self._wide()
+
+    @cached_property
+    def corrupted(self) -> "Views":
+        """Test data only: the views over a faulty transaction feed."""
+        return self._corrupted()
 
     @classmethod
     def from_sources(cls, spark: SparkSession, paths: dict[str, str], fmt: str = "json",

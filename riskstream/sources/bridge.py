@@ -10,12 +10,15 @@ Rules (one event row -> at most one row per stream):
 * time: 30 days of raw data are compressed into 30 minutes,
   ``occurred_at = T0 + (ts - T0) div COMPRESSION`` (1 raw day = 1 minute),
   rendered as an ISO-8601 ``...Z`` string like the real topics;
+  (``compression=10`` gives the wide timeline: three days, odd hours included);
 * ``k`` is the integer in ``props`` (0..99) and drives the categorical fields;
-* transactions: every event; logins: ``error`` (failed) and ``click`` (ok);
-  card events: ``purchase``; alerts: ``signup`` / ``view`` with ``k < 15``;
-* KYC: one profile per customer with a non-negative balance (the others
-  have no profile, so their tier is ``unknown``), plus a later update for
-  balances of at least 5000 (latest write wins).
+  ``k = 7`` has no device;
+* transactions: every event, amounts with cents; logins: ``error`` (failed) and
+  ``click`` (ok); card events: ``purchase``; alerts: every ``signup`` / ``view``,
+  of the type that ``k`` chooses;
+* KYC: one profile per customer (users without a customer row stay
+  ``unknown``), plus a later update for balances of at least 5000 (latest
+  write wins).
 
 Every step is a narrow projection or filter: no shuffle, scales with input.
 """
@@ -32,6 +35,7 @@ from riskstream import schemas
 T0 = "2024-01-01 00:00:00"
 T0_MICROS = 1_704_067_200_000_000
 COMPRESSION = 1440
+WIDE_COMPRESSION = 10
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 # Fixed values of the projection (bridge only).
@@ -43,8 +47,10 @@ OTHER_MCC = "5411"
 FAILURE_REASONS = ("wrong_password", "account_locked", "2fa_failed", "session_expired")
 CARD_EVENT_TYPES = ("block", "unblock", "reissue", "pin_change", "limit_change")
 CARD_INITIATORS = ("customer", "bank", "fraud_system")
-ALERT_TYPE_BY_EVENT = {"signup": "velocity", "view": "geo_anomaly"}
-ALERT_RULE_BY_TYPE = {"velocity": "RULE_001", "geo_anomaly": "RULE_002"}
+ALERT_EVENTS = ("signup", "view")
+ALERT_TYPES = ("velocity", "geo_anomaly", "account_takeover", "card_not_present",
+               "device_fingerprint", "structuring")  # k % 6; rule n + 1
+NO_DEVICE_K = 7
 SEVERITY_BY_K5 = {0: "low", 1: "medium", 2: "high", 3: "critical"}  # 4 -> NULL
 KYC_TIER_BY_SEGMENT = {
     "AUTOMOBILE": "low", "BUILDING": "medium", "FURNITURE": "high",
@@ -71,11 +77,11 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, ISO_FORMAT)
 
 
-def _enriched(events: DataFrame) -> DataFrame:
+def _enriched(events: DataFrame, compression: int) -> DataFrame:
     """Common derived columns of an ``events`` row."""
     k = _k()
     occurred = F.timestamp_micros(F.lit(T0_MICROS) + F.expr(
-        f"(unix_micros(cast(ts AS timestamp)) - {T0_MICROS}) div {COMPRESSION}"))
+        f"(unix_micros(cast(ts AS timestamp)) - {T0_MICROS}) div {compression}"))
     london = k == LONDON_K
     uid = F.col("user_id").cast("string")
     eid = F.col("event_id").cast("string")
@@ -86,7 +92,8 @@ def _enriched(events: DataFrame) -> DataFrame:
         F.concat(F.lit("cust-"), uid).alias("customer_id"),
         F.concat(F.lit("acc-"), uid, F.lit("-"), (F.col("event_id") % 2).cast("string"))
         .alias("account_id"),
-        F.when(k >= 95, F.concat(F.lit("new-"), eid))
+        F.when(k == NO_DEVICE_K, F.lit(None).cast("string"))
+        .when(k >= 95, F.concat(F.lit("new-"), eid))
         .when(k % 20 == 0, F.concat(F.lit("shared-"), k.cast("string")))
         .otherwise(F.concat(F.lit("dev-"), uid, F.lit("-"), (k % 3).cast("string")))
         .alias("device_id"),
@@ -98,14 +105,15 @@ def _enriched(events: DataFrame) -> DataFrame:
     )
 
 
-def transactions(events: DataFrame) -> DataFrame:
-    e = _enriched(events)
+def transactions(events: DataFrame, compression: int = COMPRESSION) -> DataFrame:
+    e = _enriched(events, compression)
     k = F.col("k")
     mcc = F.coalesce(_pick(k % 10, [MCC_BY_K10[i] for i in range(3)]), F.lit(OTHER_MCC))
     out = e.select(
         F.concat(F.lit("txn-"), F.col("event_id").cast("string")).alias("transaction_id"),
         "account_id", "customer_id",
-        (F.col("value").cast("decimal(12,2)") * 100).cast("double").alias("amount"),
+        (F.col("value").cast("decimal(12,2)") * 100
+         + (F.col("event_id") % 100).cast("decimal(12,2)") / 100).cast("double").alias("amount"),
         F.lit("AUD").alias("currency"),
         F.concat(F.lit("mer-"), (k % 25).cast("string")).alias("merchant_id"),
         mcc.alias("merchant_category_code"),
@@ -122,8 +130,8 @@ def transactions(events: DataFrame) -> DataFrame:
     return out.select([F.col(f.name).cast(f.dataType) for f in schemas.TRANSACTIONS])
 
 
-def login_events(events: DataFrame) -> DataFrame:
-    e = _enriched(events.where(F.col("event_type").isin("error", "click")))
+def login_events(events: DataFrame, compression: int = COMPRESSION) -> DataFrame:
+    e = _enriched(events.where(F.col("event_type").isin("error", "click")), compression)
     failed = F.col("event_type") == "error"
     out = e.select(
         F.concat(F.lit("login-"), F.col("event_id").cast("string")).alias("event_id"),
@@ -136,8 +144,8 @@ def login_events(events: DataFrame) -> DataFrame:
     return out.select([F.col(f.name).cast(f.dataType) for f in schemas.LOGIN_EVENTS])
 
 
-def card_events(events: DataFrame) -> DataFrame:
-    e = _enriched(events.where(F.col("event_type") == "purchase"))
+def card_events(events: DataFrame, compression: int = COMPRESSION) -> DataFrame:
+    e = _enriched(events.where(F.col("event_type") == "purchase"), compression)
     out = e.select(
         F.concat(F.lit("card-"), F.col("event_id").cast("string")).alias("event_id"),
         "account_id", "customer_id",
@@ -150,28 +158,24 @@ def card_events(events: DataFrame) -> DataFrame:
     return out.select([F.col(f.name).cast(f.dataType) for f in schemas.CARD_EVENTS])
 
 
-def alert_events(events: DataFrame) -> DataFrame:
-    src = events.where(F.col("event_type").isin(*ALERT_TYPE_BY_EVENT)
-                       & (_k() < 15))
-    e = _enriched(src)
-    atype = F.when(F.col("event_type") == "signup", F.lit(ALERT_TYPE_BY_EVENT["signup"])) \
-        .otherwise(F.lit(ALERT_TYPE_BY_EVENT["view"]))
+def alert_events(events: DataFrame, compression: int = COMPRESSION) -> DataFrame:
+    e = _enriched(events.where(F.col("event_type").isin(*ALERT_EVENTS)), compression)
+    kind = F.col("k") % len(ALERT_TYPES)
     out = e.select(
         F.concat(F.lit("alt-"), F.col("event_id").cast("string")).alias("alert_id"),
         "customer_id",
         F.concat(F.lit("txn-"), F.col("event_id").cast("string")).alias("transaction_id"),
-        atype.alias("alert_type"),
+        _pick(kind, ALERT_TYPES).alias("alert_type"),
         _pick(F.col("k") % 5, [SEVERITY_BY_K5[i] for i in range(4)]).alias("severity"),
         ((F.col("k") + 50) / 100.0).alias("confidence_score"),
-        F.when(atype == "velocity", F.lit(ALERT_RULE_BY_TYPE["velocity"]))
-        .otherwise(F.lit(ALERT_RULE_BY_TYPE["geo_anomaly"])).alias("rule_id"),
+        F.concat(F.lit("RULE_00"), (kind + 1).cast("string")).alias("rule_id"),
         "occurred_at",
     )
     return out.select([F.col(f.name).cast(f.dataType) for f in schemas.ALERT_EVENTS])
 
 
 def kyc_profile_events(customer: DataFrame) -> DataFrame:
-    c = customer.where(F.col("c_acctbal") >= 0)
+    c = customer
     tier = F.coalesce(*[F.when(F.col("c_mktsegment") == s, F.lit(t))
                         for s, t in KYC_TIER_BY_SEGMENT.items()])
     cid = F.concat(F.lit("cust-"), F.col("c_custkey").cast("string"))
@@ -200,15 +204,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class _LazyStreams(dict):
     """Stream name -> DataFrame, each projection built on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, compression: int):
         super().__init__()
-        self._spark, self._dir = spark, sf_dir
+        self._spark, self._dir, self._compression = spark, sf_dir, compression
 
     def __missing__(self, name: str) -> DataFrame:
         if name == "kyc_profile_events":
             df = kyc_profile_events(read_table(self._spark, self._dir, "customer"))
         else:
-            df = BUILDERS[name](self._events())
+            df = BUILDERS[name](self._events(), self._compression)
         self[name] = df
         return df
 
@@ -222,9 +226,28 @@ BUILDERS = {"transactions": transactions, "login_events": login_events,
             "card_events": card_events, "alert_events": alert_events}
 
 
-def raw_streams(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_streams(spark: SparkSession, sf_dir: str,
+                compression: int = COMPRESSION) -> dict[str, DataFrame]:
     """The five source-shaped (string timestamp) streams for a test-data folder.
 
     Built lazily: a query that needs only transactions never plans the others.
     """
-    return _LazyStreams(spark, sf_dir)
+    return _LazyStreams(spark, sf_dir, compression)
+
+
+def corrupted_streams(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The streams of a faulty feed, for the data-quality checks: by event
+    number, some transactions lose their id or customer, have a channel or
+    severity nobody accepts, or are delivered twice."""
+    streams = _LazyStreams(spark, sf_dir, COMPRESSION)
+    n = F.regexp_extract("transaction_id", r"(\d+)$", 1).cast("long")
+    tx = streams["transactions"]
+    tx = tx.unionByName(tx.where(n % 89 == 0))
+    tx = tx.withColumn("_n", n)
+    tx = tx.withColumns({
+        "transaction_id": F.when(F.col("_n") % 97 != 0, F.col("transaction_id")),
+        "customer_id": F.when(F.col("_n") % 101 != 0, F.col("customer_id")),
+        "channel": F.when(F.col("_n") % 83 == 0, F.lit("carrier_pigeon")).otherwise(
+            F.col("channel"))}).drop("_n")
+    streams["transactions"] = tx
+    return streams
