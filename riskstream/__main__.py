@@ -2,11 +2,13 @@
 
   python -m riskstream batch  --source transactions=PATH ... --out DIR [--format json]
   python -m riskstream stream --source transactions=PATH ... --root DIR [--format json] [--once]
+  python -m riskstream stream --brokers HOST:PORT --root DIR [--kafka kafka.NAME=VALUE ...]
 
-Sources are the five topics as files (JSON lines by default).  ``batch``
-writes every view as Parquet under ``--out``; ``stream`` starts one
-streaming query per maintained table under ``--root`` and refreshes the
-NOW()-relative snapshot after every transaction micro-batch.
+Sources are the five topics as files (JSON lines by default) or, with
+``--brokers``, Kafka topics read from the earliest offset.  ``batch`` writes
+every view as Parquet under ``--out``; ``stream`` starts one streaming query per
+maintained table under ``--root`` and publishes the NOW()-relative snapshot
+after every transaction micro-batch.  Unreadable rows go to ``dead_letters``.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ def main(argv=None) -> None:
     ap.add_argument("mode", choices=["batch", "stream"])
     ap.add_argument("--source", action="append", default=[], help="stream=path")
     ap.add_argument("--format", default="json")
+    ap.add_argument("--brokers", help="Kafka bootstrap servers (stream)")
+    ap.add_argument("--kafka", action="append", default=[], help="kafka.NAME=VALUE client setting")
     ap.add_argument("--out", help="batch output folder")
     ap.add_argument("--root", help="streaming tables folder")
     ap.add_argument("--as-of", default=None, help="batch NOW() (default: newest event)")
@@ -49,10 +53,22 @@ def main(argv=None) -> None:
         return
     from riskstream.sources import events
     from riskstream.streaming import snapshot, topology
-    sources = {n: events.read_stream(spark, n, path=p, fmt=args.format, streaming=True,
-                                     keep_corrupt=False) for n, p in paths.items()}
+    if args.brokers:
+        how = {"brokers": args.brokers,
+               "kafka": {"security": dict(x.split("=", 1) for x in args.kafka)}}
+        given = {n: how for n in schemas.STREAMS}
+    else:
+        given = {n: {"path": p, "fmt": args.format} for n, p in paths.items()}
+    loaded = {n: events.load(spark, n, streaming=True, **how) for n, how in given.items()}
+    sources = {n: good for n, (good, _) in loaded.items()}
+    trigger = {"availableNow": True} if args.once else {}
+    dead = [bad.writeStream.format("parquet").trigger(**trigger)
+            .option("path", os.path.join(args.root, "dead_letters", n))
+            .option("checkpointLocation", os.path.join(args.root, "_checkpoints", f"dead_{n}"))
+            .start() for n, (_, bad) in loaded.items()]
     if args.once:
-        topo = topology.start(spark, sources, args.root, trigger={"availableNow": True})
+        topo = topology.start(spark, sources, args.root, trigger=trigger)
+        topo.queries += dead
         topo.await_all()
         topology.refresh_snapshot(spark, args.root)
         return
@@ -60,7 +76,7 @@ def main(argv=None) -> None:
     refresher = (sources["transactions"].writeStream
                  .option("checkpointLocation", os.path.join(args.root, "_checkpoints", "snapshot"))
                  .foreachBatch(snapshot.snapshot_on_batch(args.root)).start())
-    topo.queries.append(refresher)
+    topo.queries += [refresher, *dead]
     spark.streams.awaitAnyTermination()
 
 

@@ -75,8 +75,6 @@ RESOLVED_BELOW = 0.3
 HIGH_ALERT_SEVERITIES = ("high", "critical")
 HIGH_ALERT_LOOKBACK = "30 minutes"
 UNKNOWN = "unknown"
-KYC_TIERS = ("low", "medium", "high", "pep", "sanctioned")
-ALERT_SEVERITIES = ("low", "medium", "high", "critical")
 
 # --- fixed values: data quality ----------------------------------------------
 FRESHNESS_MAX_SECONDS = 180
@@ -92,4 +90,3 @@ ALERT_RULES = (
     ("device_fingerprint", "medium", 0.60, 0.82, "RULE_005"),
     ("structuring", "critical", 0.80, 0.97, "RULE_006"),
 )
-NOISE_RULE = "RULE_099"

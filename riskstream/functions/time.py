@@ -28,9 +28,16 @@ def ago(anchor: Column, interval: str) -> Column:
     return anchor - F.expr(f"INTERVAL {interval}")
 
 
-def tumble(ts: str, duration: str) -> Column:
-    """Epoch-aligned tumbling window struct (start, end)."""
-    return F.window(ts, duration)
+#: Partition column of tables laid out by event day.
+PART = "_part"
+
+
+def since(df: DataFrame, ts: str, start: Column) -> DataFrame:
+    """Rows with ``ts >= start``; of a table laid out by the day of ``ts`` only
+    the partitions from that day on are read."""
+    if PART in df.columns:
+        df = df.where(F.col(PART) >= F.to_date(start))
+    return df.where(F.col(ts) >= start)
 
 
 def window_start(ts: Column, duration: str) -> Column:
@@ -46,11 +53,6 @@ def minutes_between(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(60_000_000.0)
 
 
-def seconds_between(later: Column, earlier: Column) -> Column:
-    """Elapsed whole seconds, truncated (``EXTRACT(EPOCH ...)::BIGINT``)."""
-    return F.floor((F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(1_000_000))
-
-
 def interval_micros(interval: str) -> int:
     """Length of a simple interval literal such as ``'1 hour'`` in µs."""
     n, unit = interval.split()

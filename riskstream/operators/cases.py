@@ -17,7 +17,7 @@ from riskstream.constants import (
     UNKNOWN,
 )
 from riskstream.functions.numeric import round_numeric
-from riskstream.functions.time import ago, as_of_column
+from riskstream.functions.time import ago, as_of_column, since
 
 
 def recommended_action(score, signals, kyc_tier):
@@ -56,8 +56,8 @@ def recent_high_alerts(stg_alerts: DataFrame, latest_kyc: DataFrame, as_of=None,
                        lookback: str = HIGH_ALERT_LOOKBACK) -> DataFrame:
     """high/critical alerts of the last ``lookback`` with the customer's KYC."""
     now = as_of_column(stg_alerts, "occurred_at", as_of)
-    a = stg_alerts.where(F.col("severity").isin(*HIGH_ALERT_SEVERITIES)
-                         & (F.col("occurred_at") >= ago(now, lookback)))
+    a = since(stg_alerts, "occurred_at", ago(now, lookback)).where(
+        F.col("severity").isin(*HIGH_ALERT_SEVERITIES))
     k = latest_kyc.select("customer_id", F.col("risk_tier").alias("_tier"),
                           F.col("kyc_status").alias("_status"))
     j = a.join(k, "customer_id", "left")

@@ -35,7 +35,13 @@ from riskstream.constants import (
 )
 from riskstream.functions.geo import equirectangular_km
 from riskstream.functions.numeric import round_numeric
-from riskstream.functions.time import ago, as_of_column, interval_micros, minutes_between
+from riskstream.functions.time import (
+    ago,
+    as_of_column,
+    interval_micros,
+    minutes_between,
+    since,
+)
 
 # Bucket index for rows without an event time: after every real bucket, as
 # NULLs sort last in ascending order.
@@ -52,12 +58,15 @@ def lag_by_time_bucket(df: DataFrame, key: str, ts: str, tie: str, carry: list[s
     size = interval_micros(bucket)
     # Any non-decreasing function of the time is a valid bucket.
     b = F.coalesce(F.expr(f"unix_micros(`{ts}`) div {size}"), F.lit(_NULL_BUCKET))
-    rows = df.withColumn("_b", b)
+    # The key as non-null columns, so that window, aggregate and join all
+    # cluster by the same three columns: the rows are shuffled once.
+    rows = df.withColumns({"_b": b, "_kn": F.col(key).isNull(),
+                           "_k": F.coalesce(F.col(key), F.lit(""))})
+    by = ["_k", "_kn", "_b"]
     row = F.struct(*[F.col(c) for c in carry])
     order = [F.col(ts).asc_nulls_last(), F.col(tie).asc()]
 
-    w = Window.partitionBy(key, "_b").orderBy(*order)
-    inner = rows.withColumn("_prev_in", F.lag(row).over(w))
+    inner = rows.withColumn("_prev_in", F.lag(row).over(Window.partitionBy(*by).orderBy(*order)))
 
     # Last row of every (key, bucket) as an aggregate: its partial phase runs
     # before the shuffle, so this branch moves one row per bucket and map
@@ -65,26 +74,20 @@ def lag_by_time_bucket(df: DataFrame, key: str, ts: str, tie: str, carry: list[s
     # are NULL or none is, so (ts, tie) orders exactly like the window (a
     # NULL tie sorts first in both).  A LAG over bucket rows per key then has
     # one row per non-empty bucket, however many rows the key has.
-    last = rows.groupBy(key, "_b").agg(F.max_by(row, F.struct(ts, tie)).alias("_last"))
-    prev_bucket = last.select(
-        key, "_b",
-        F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_prev_bucket"))
-
-    # Null-safe keys: rows with a NULL key form a LAG partition of their own
-    # and must find their previous bucket too.
-    pb = prev_bucket.select(F.col(key).alias("_k"), F.col("_b").alias("_kb"), "_prev_bucket")
-    out = inner.join(pb, inner[key].eqNullSafe(pb["_k"]) & inner["_b"].eqNullSafe(pb["_kb"]),
-                     "left")
+    last = rows.groupBy(*by).agg(F.max_by(row, F.struct(ts, tie)).alias("_last"))
+    prev_bucket = last.select(*by, F.lag("_last").over(
+        Window.partitionBy("_k", "_kn").orderBy("_b")).alias("_prev_bucket"))
+    out = inner.join(prev_bucket, by, "left")
     return out.withColumn(prev, F.coalesce("_prev_in", "_prev_bucket")) \
-        .drop("_b", "_prev_in", "_prev_bucket", "_k", "_kb")
+        .drop(*by, "_prev_in", "_prev_bucket")
 
 
 def geo_hops(stg_tx: DataFrame, min_km: float = GEO_MIN_KM, flag_km: float = GEO_FLAG_KM,
              max_minutes: float = GEO_MAX_MINUTES, bucket: str = "1 hour",
-             since=None) -> DataFrame:
+             start=None) -> DataFrame:
     """C7 with the second transaction's account carried along (for the score).
 
-    ``since`` (a Column) keeps only hops whose second transaction is at or
+    ``start`` (a Column) keeps only hops whose second transaction is at or
     after it, without shuffling the history: the LAG runs over the rows
     since then plus each customer's last earlier row, which a ``max_by``
     aggregate with a partial (map-side) phase finds.  Rows without a time
@@ -92,13 +95,12 @@ def geo_hops(stg_tx: DataFrame, min_km: float = GEO_MIN_KM, flag_km: float = GEO
     out of the earlier part.
     """
     carry = ["transaction_id", "country_code", "latitude", "longitude", "occurred_at"]
-    tx = stg_tx.select("customer_id", "account_id", *carry)
-    if since is not None:
-        t = F.col("occurred_at")
-        cols = ["customer_id", "account_id", *carry]
-        before = tx.where(t < since).groupBy("customer_id").agg(
+    cols = ["customer_id", "account_id", *carry]
+    tx = stg_tx.select(*cols)
+    if start is not None:
+        before = tx.where(F.col("occurred_at") < start).groupBy("customer_id").agg(
             F.max_by(F.struct(*cols), F.struct("occurred_at", "transaction_id")).alias("r"))
-        tx = tx.where(t >= since).unionByName(before.select("r.*"))
+        tx = since(stg_tx, "occurred_at", start).select(*cols).unionByName(before.select("r.*"))
     with_prev = lag_by_time_bucket(tx, "customer_id", "occurred_at", "transaction_id",
                                    carry, bucket=bucket)
     p = F.col("prev")
@@ -148,10 +150,10 @@ def device_anomalies(stg_tx: DataFrame, as_of=None, recent: str = DEVICE_RECENT,
     keys, which the ``left_anti`` join reuses; AQE splits a hot pair.
     """
     now = as_of_column(stg_tx, "occurred_at", as_of)
-    t = F.col("occurred_at")
-    cand = stg_tx.where((F.col("amount") > min_amount) & (F.col("channel") == CNP_CHANNEL)
-                        & (t >= ago(now, recent)))
-    history = stg_tx.where((t >= ago(now, history_from)) & (t < ago(now, history_until))) \
+    cand = since(stg_tx, "occurred_at", ago(now, recent)).where(
+        (F.col("amount") > min_amount) & (F.col("channel") == CNP_CHANNEL))
+    history = since(stg_tx, "occurred_at", ago(now, history_from)).where(
+        F.col("occurred_at") < ago(now, history_until)) \
         .select("customer_id", "device_id").distinct()
     out = cand.join(history, ["customer_id", "device_id"], "left_anti")
     cols = ["customer_id", "transaction_id", "device_id", "amount", "occurred_at"]

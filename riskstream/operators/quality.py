@@ -7,9 +7,10 @@ failures, never the offending rows gathered in one place.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskstream.constants import (
@@ -84,16 +85,21 @@ def freshness(df: DataFrame, ts: str, as_of: Column,
                        F.when(age < max_seconds, "pass").otherwise("fail").alias("status"))
 
 
-def topic_staleness(streams: dict[str, tuple[DataFrame, str]], as_of: Column,
+def topic_staleness(streams: dict[str, tuple[DataFrame, str]], as_of: Column | None = None,
                     stale_after: int = STALE_AFTER_SECONDS) -> DataFrame:
-    """Per topic: events seen, newest event, seconds since, ok/degraded."""
+    """Per topic: events seen, newest event, seconds since, ok/degraded.
+
+    Each stream is read once, into a table of one row per topic; without
+    ``as_of`` the newest event of all topics is the instant.
+    """
     parts = [df.agg(F.count(F.lit(1)).alias("published"), F.max(ts).alias("last_event_at"))
              .select(F.lit(name).alias("topic"), "published", "last_event_at")
              for name, (df, ts) in streams.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    stale = F.round((F.unix_micros(as_of) - F.unix_micros(F.col("last_event_at"))) / 1e6) \
+    topics = reduce(DataFrame.unionByName, parts)
+    # One row per topic: a window over all of them is as small as the result.
+    now = F.max("last_event_at").over(Window.partitionBy()) if as_of is None else as_of
+    out = topics.withColumn("_now", now)
+    stale = F.round((F.unix_micros("_now") - F.unix_micros("last_event_at")) / 1e6) \
         .cast("bigint")
     return out.select("topic", "published", "last_event_at", stale.alias("stale_seconds"),
                       F.when(stale < stale_after, "ok").otherwise("degraded").alias("status"))

@@ -24,7 +24,7 @@ from riskstream.constants import (
     VELOCITY_WINDOW,
 )
 from riskstream.functions.numeric import flag, money_sum, pct, round_numeric
-from riskstream.functions.time import ago, as_of_column
+from riskstream.functions.time import ago, as_of_column, since
 from riskstream.operators import pairs, signals
 
 LOOKBACK = dict(SCORE_LOOKBACK)
@@ -152,7 +152,8 @@ def account_risk_score(stg_tx: DataFrame, velocity: DataFrame, geo: DataFrame,
 def account_risk_score_snapshot(stg_tx: DataFrame, stg_login: DataFrame, stg_alerts: DataFrame,
                                 geo: DataFrame | None, device: DataFrame, as_of=None,
                                 lookback: dict[str, str] | None = None,
-                                geo_bucket: str = "1 hour") -> DataFrame:
+                                geo_bucket: str = "1 hour",
+                                seen: DataFrame | None = None) -> DataFrame:
     """D1 from staged events, reading only the rows each signal can contribute.
 
     A tumbling window of length ``d`` that ends at or after ``as_of - L`` starts
@@ -162,27 +163,27 @@ def account_risk_score_snapshot(stg_tx: DataFrame, stg_login: DataFrame, stg_ale
     result is identical to scoring the full signal views, but the aggregations
     shuffle only recent rows, and on a time-partitioned staged table the scan
     prunes to the last couple of hours.  With ``geo=None`` the geo hops are
-    computed for the look-back only (``geo_hops(since=...)``: recent rows plus
+    computed for the look-back only (``geo_hops(start=...)``: recent rows plus
     each customer's last earlier row).  The device signal (30 days of
     history) is passed in.
     """
     lb = {**LOOKBACK, **(lookback or {})}
     now = as_of_column(stg_tx, "occurred_at", as_of)
 
-    def since(df: DataFrame, name: str, window: str) -> DataFrame:
-        return df.where(F.col("occurred_at") >= ago(ago(now, lb[name]), window))
+    def recent(df: DataFrame, name: str, window: str) -> DataFrame:
+        return since(df, "occurred_at", ago(ago(now, lb[name]), window))
 
     if geo is None:
-        geo = pairs.geo_hops(stg_tx, bucket=geo_bucket, since=ago(now, lb["geo_impossible"]))
+        geo = pairs.geo_hops(stg_tx, bucket=geo_bucket, start=ago(now, lb["geo_impossible"]))
     return account_risk_score(
         stg_tx,
-        signals.velocity_alerts(since(stg_tx, "velocity", VELOCITY_WINDOW)),
+        signals.velocity_alerts(recent(stg_tx, "velocity", VELOCITY_WINDOW)),
         geo, device,
-        signals.cnp_spike(since(stg_tx, "cnp_spike", CNP_WINDOW)),
-        signals.login_failure_storm(since(stg_login, "brute_force", STORM_WINDOW)),
-        signals.structuring(since(stg_tx, "structuring", STRUCTURING_WINDOW)),
-        signals.correlated_alert_burst(since(stg_alerts, "compound_fraud", BURST_WINDOW)),
-        as_of=now, lookback=lb)
+        signals.cnp_spike(recent(stg_tx, "cnp_spike", CNP_WINDOW)),
+        signals.login_failure_storm(recent(stg_login, "brute_force", STORM_WINDOW)),
+        signals.structuring(recent(stg_tx, "structuring", STRUCTURING_WINDOW)),
+        signals.correlated_alert_burst(recent(stg_alerts, "compound_fraud", BURST_WINDOW)),
+        as_of=now, lookback=lb, seen=seen)
 
 
 def kpi_transactions(stg_tx: DataFrame, window: str = "1 minute") -> DataFrame:

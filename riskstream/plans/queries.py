@@ -8,15 +8,18 @@ where the limit is the feature.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskstream import schemas
 from riskstream.operators import alerts, quality, serving, staging
 from riskstream.operators.risk import customer_accounts
 from riskstream.plans import oracle
 from riskstream.plans.oracle import rnd, sql
 from riskstream.plans.views import Views
+from riskstream.sources import events
 
 Builder = Callable[[Views], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -185,7 +188,7 @@ SELECT '{topic}' AS topic, COUNT(*) AS published, max({ts}) AS last_event_at,
        CASE WHEN {_age_sql(f'max({ts})')} < 120 THEN 'ok' ELSE 'degraded' END AS status
 FROM {view}""" for topic, view, ts in _STREAM_TIMES), *_STG))(
     lambda v: quality.topic_staleness(
-        {topic: (getattr(v, view), ts) for topic, view, ts in _STREAM_TIMES}, snapshot_time(v)))
+        {topic: (getattr(v, view), ts) for topic, view, ts in _STREAM_TIMES}))
 
 register("duplicate_count", sql("""
 SELECT COUNT(*) AS duplicate_ids FROM (
@@ -324,6 +327,53 @@ def _emit(v: Views) -> DataFrame:
 
 register("emit_alerts", _emit_sql())(_emit)
 
+# --- sources: JSON messages, a share of them broken -------------------------------
+_IDS = {"transactions": "transaction_id", "login_events": "event_id", "card_events": "event_id",
+        "alert_events": "alert_id", "kyc_profile_events": "customer_id"}
+
+
+def _number(stream: str):
+    return F.regexp_extract(_IDS[stream], r"(\d+)$", 1).cast("long")
+
+
+def _messages(v: Views, stream: str) -> DataFrame:
+    """The stream as its topic holds it; by event number, some texts are cut
+    short, some times are missing or no times."""
+    ts, n = schemas.EVENT_TIME[stream], _number(stream)
+    raw = v.raw[stream].withColumn("_n", n)
+    raw = raw.withColumn(ts, F.when(F.col("_n") % 61 == 0, F.lit(None)).when(
+        F.col("_n") % 59 == 0, F.lit("not-a-time")).otherwise(F.col(ts)))
+    cols = [f.name for f in schemas.STREAMS[stream]]
+    cut = F.when(F.col("_n") % 53 == 0, F.substr("value", F.lit(1), F.length("value") - 5)
+                 ).otherwise(F.col("value"))
+    return raw.select("_n", F.to_json(F.struct(*cols)).alias("value")).select(cut.alias("value"))
+
+
+def _parsed(v: Views, stream: str) -> tuple[DataFrame, DataFrame]:
+    got = _messages(v, stream).select(events.parse_json(F.col("value"), stream).alias("e"))
+    return events.quarantine(got.select("e.*"), stream)
+
+
+def _dead_letters(v: Views) -> DataFrame:
+    bad = [_parsed(v, stream)[1] for stream in _IDS]
+    return reduce(DataFrame.unionByName, bad).groupBy("topic", "error").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+_NR = "CAST(regexp_extract({}, '([0-9]+)$', 1) AS BIGINT)"
+for _n, _id in _IDS.items():
+    _nr = _NR.format(_id)
+    REGISTRY[f"parse_{_n}"] = (
+        (lambda n: lambda v: _parsed(v, n)[0])(_n),
+        sql(f"SELECT * FROM {_n} WHERE {_nr} % 53 <> 0 AND {_nr} % 59 <> 0 AND {_nr} % 61 <> 0",
+            _n))
+register("dead_letters", sql("SELECT topic, error, COUNT(*) AS n FROM (" + " UNION ALL ".join(
+    f"SELECT '{n}' AS topic, CASE WHEN nr % 53 = 0 THEN 'malformed_json' WHEN nr % 61 = 0 "
+    f"THEN 'missing_event_time' WHEN nr % 59 = 0 THEN 'bad_event_time' END AS error "
+    f"FROM (SELECT {_NR.format(i)} AS nr FROM {n})" for n, i in _IDS.items())
+    + ") WHERE error IS NOT NULL GROUP BY topic, error", *_IDS))(_dead_letters)
+
+
 # --- the same views over three days ----------------------------------------------
 # Here windows, look-backs, the odd-hours flag and slow hops cut something.
 WIDE = ["stg_transactions", "velocity_alerts", "cnp_spike", "login_failure_storm", "structuring",

@@ -1,17 +1,21 @@
 """The view graph: every view as a lazily composed DataFrame.
 
-``Views`` plays the role of the reference's model DAG: each property is one
-view defined on its upstream views, built once per ``Views`` object so that
-shared subplans are the same DataFrame (Spark can then reuse exchanges).
-Nothing executes until a result is requested.
+``Views`` is the graph of views: each property is one view defined on its
+upstream views, built once per ``Views`` object.  Without a ``store`` nothing
+executes until a result is requested.  With one, staged streams and the views
+that others are built on are written there when first needed, events laid out
+by day, and read from there afterwards: the raw strings are parsed once, time
+filters prune days, and serving queries read a view instead of deriving it.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from riskstream.functions.time import PART
 from riskstream.operators import cases, pairs, risk, signals, staging
 from riskstream.session import configure
 from riskstream.sources import bridge
@@ -32,19 +36,36 @@ class Views:
     """
 
     def __init__(self, raw: dict[str, DataFrame], as_of=None, device_args: dict | None = None,
-                 geo_bucket: str = "1 hour"):
+                 geo_bucket: str = "1 hour", store: str | None = None):
         self.raw = raw
+        self.store = store
         self.as_of = as_of
         self.device_args = device_args or {}
         self.geo_bucket = geo_bucket
 
+    def _kept(self, name: str, df: DataFrame, ts: str | None = None) -> DataFrame:
+        """``df`` as a table of the store, laid out by the day of ``ts``."""
+        if self.store is None:
+            return df
+        path = f"{self.store}/{name}"
+        out = df.withColumn(PART, F.to_date(ts)) if ts else df
+        out.write.partitionBy(*[PART] * bool(ts)).parquet(path)
+        # Nullable as Parquet is; the partition column comes last.
+        return df.sparkSession.read.schema(out.schema).parquet(path)
+
+    def _staged(self, name: str, stage, ts: str = "occurred_at") -> DataFrame:
+        return self._kept(f"stg_{name}", stage(self.raw[name]), ts)
+
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Views":
         configure(spark)
         narrow = {"device_args": DEVICE_ARGS_COMPRESSED, "geo_bucket": GEO_BUCKET_COMPRESSED} | kw
         views = cls(bridge.raw_streams(spark, sf_dir), **narrow)
-        views._wide = lambda: cls(bridge.raw_streams(spark, sf_dir, bridge.WIDE_COMPRESSION), **kw)
-        views._corrupted = lambda: cls(bridge.corrupted_streams(spark, sf_dir), **narrow)
+        at = lambda name: {"store": views.store and f"{views.store}/{name}"}
+        views._wide = lambda: cls(bridge.raw_streams(spark, sf_dir, bridge.WIDE_COMPRESSION),
+                                  **kw | at("wide"))
+        views._corrupted = lambda: cls(bridge.corrupted_streams(spark, sf_dir),
+                                       **narrow | at("corrupted"))
         return views
 
     @cached_property
@@ -60,12 +81,18 @@ class Views:
     @classmethod
     def from_sources(cls, spark: SparkSession, paths: dict[str, str], fmt: str = "json",
                      **kw) -> "Views":
-        """Views over the five topics stored as files (``stream -> path``)."""
+        """Views over the five topics stored as files (``stream -> path``); rows
+        that cannot be read are in ``dead_letters``, not in the views."""
         from riskstream.sources import events
         configure(spark)
-        raw = {name: events.read_stream(spark, name, path=path, fmt=fmt, keep_corrupt=False)
-               for name, path in paths.items()}
-        return cls(raw, **kw)
+        loaded = {name: events.load(spark, name, path=path, fmt=fmt)
+                  for name, path in paths.items()}
+        views = cls({name: good for name, (good, _) in loaded.items()}, **kw)
+        views.dead_letters = reduce(DataFrame.unionByName, [bad for _, bad in loaded.values()])
+        return views
+
+    #: (topic, payload, error) of unreadable rows, where the views have sources.
+    dead_letters: DataFrame | None = None
 
     VIEW_NAMES = (
         "stg_transactions", "stg_login_events", "stg_card_events", "stg_alert_events",
@@ -88,52 +115,80 @@ class Views:
         import os
         for name in names or self.VIEW_NAMES:
             getattr(self, name).write.mode(mode).parquet(os.path.join(out_dir, name))
+        if self.dead_letters is not None and names is None:
+            self.dead_letters.write.mode(mode).parquet(os.path.join(out_dir, "dead_letters"))
 
     # --- staging ----------------------------------------------------------
+    @cached_property
+    def _transactions(self) -> DataFrame:
+        return self._staged("transactions", staging.stg_transactions)
+
     @cached_property
     def stg_transactions(self) -> DataFrame:
-        return staging.stg_transactions(self.raw["transactions"])
+        return self._transactions.drop(PART)
+
+    @cached_property
+    def _login_events(self) -> DataFrame:
+        return self._staged("login_events", staging.stg_login_events)
 
     @cached_property
     def stg_login_events(self) -> DataFrame:
-        return staging.stg_login_events(self.raw["login_events"])
+        return self._login_events.drop(PART)
+
+    @cached_property
+    def _card_events(self) -> DataFrame:
+        return self._staged("card_events", staging.stg_card_events)
 
     @cached_property
     def stg_card_events(self) -> DataFrame:
-        return staging.stg_card_events(self.raw["card_events"])
+        return self._card_events.drop(PART)
+
+    @cached_property
+    def _alert_events(self) -> DataFrame:
+        return self._staged("alert_events", staging.stg_alert_events)
 
     @cached_property
     def stg_alert_events(self) -> DataFrame:
-        return staging.stg_alert_events(self.raw["alert_events"])
+        return self._alert_events.drop(PART)
 
     @cached_property
     def stg_kyc_profiles(self) -> DataFrame:
-        return staging.stg_kyc_profiles(self.raw["kyc_profile_events"])
+        return self._kept("stg_kyc_profiles", staging.stg_kyc_profiles(
+            self.raw["kyc_profile_events"]), "updated_at").drop(PART)
 
     @cached_property
     def latest_kyc(self) -> DataFrame:
-        return staging.latest_kyc(self.stg_kyc_profiles)
+        return self._kept("latest_kyc", staging.latest_kyc(self.stg_kyc_profiles))
+
+    @cached_property
+    def accounts_seen(self) -> DataFrame:
+        return self._kept("accounts_seen", risk.accounts_seen(self.stg_transactions))
 
     # --- signals ----------------------------------------------------------
     @cached_property
     def velocity_alerts(self) -> DataFrame:
-        return signals.velocity_alerts(self.stg_transactions)
+        return self._kept("velocity_alerts", signals.velocity_alerts(self.stg_transactions),
+                          "window_start").drop(PART)
 
     @cached_property
     def cnp_spike(self) -> DataFrame:
-        return signals.cnp_spike(self.stg_transactions)
+        return self._kept("cnp_spike", signals.cnp_spike(self.stg_transactions),
+                          "window_start").drop(PART)
 
     @cached_property
     def login_failure_storm(self) -> DataFrame:
-        return signals.login_failure_storm(self.stg_login_events)
+        return self._kept("login_failure_storm", signals.login_failure_storm(self.stg_login_events),
+                          "window_start").drop(PART)
 
     @cached_property
     def structuring(self) -> DataFrame:
-        return signals.structuring(self.stg_transactions)
+        return self._kept("structuring", signals.structuring(self.stg_transactions),
+                          "window_start").drop(PART)
 
     @cached_property
     def correlated_alert_burst(self) -> DataFrame:
-        return signals.correlated_alert_burst(self.stg_alert_events)
+        return self._kept("correlated_alert_burst", signals.correlated_alert_burst(self.stg_alert_events),
+                          "window_start").drop(PART)
 
     @cached_property
     def shared_device_ring(self) -> DataFrame:
@@ -145,7 +200,8 @@ class Views:
 
     @cached_property
     def geo_hops(self) -> DataFrame:
-        return pairs.geo_hops(self.stg_transactions, bucket=self.geo_bucket)
+        return self._kept("geo_hops", pairs.geo_hops(self.stg_transactions, bucket=self.geo_bucket),
+                          "txn2_time").drop(PART)
 
     @cached_property
     def geo_impossible_trips(self) -> DataFrame:
@@ -153,8 +209,8 @@ class Views:
 
     @cached_property
     def device_anomalies_with_account(self) -> DataFrame:
-        return pairs.device_anomalies(self.stg_transactions, as_of=self.as_of,
-                                      with_account=True, **self.device_args)
+        return self._kept("device_anomalies", pairs.device_anomalies(
+            self._transactions, as_of=self.as_of, with_account=True, **self.device_args))
 
     @cached_property
     def device_anomalies(self) -> DataFrame:
@@ -163,16 +219,17 @@ class Views:
     # --- risk -------------------------------------------------------------
     @cached_property
     def account_risk_score(self) -> DataFrame:
-        return risk.account_risk_score_snapshot(
-            self.stg_transactions, self.stg_login_events, self.stg_alert_events,
+        return self._kept("account_risk_score", risk.account_risk_score_snapshot(
+            self._transactions, self._login_events, self._alert_events,
             None, self.device_anomalies_with_account, as_of=self.as_of,
-            geo_bucket=self.geo_bucket)
+            geo_bucket=self.geo_bucket, seen=self.accounts_seen if self.store else None))
 
     @cached_property
     def fraud_kpis_1min(self) -> DataFrame:
-        return risk.fraud_kpis(self.stg_transactions, self.stg_alert_events,
-                               self.velocity_alerts, self.geo_impossible_trips,
-                               self.login_failure_storm, self.structuring)
+        return self._kept("fraud_kpis_1min", risk.fraud_kpis(
+            self.stg_transactions, self.stg_alert_events, self.velocity_alerts,
+            self.geo_impossible_trips, self.login_failure_storm, self.structuring),
+            "window_start").drop(PART)
 
     @cached_property
     def merchant_fraud_exposure(self) -> DataFrame:
@@ -189,7 +246,8 @@ class Views:
     # --- cases ------------------------------------------------------------
     @cached_property
     def open_fraud_cases(self) -> DataFrame:
-        return cases.open_fraud_cases(self.account_risk_score, self.latest_kyc)
+        return self._kept("open_fraud_cases", cases.open_fraud_cases(
+            self.account_risk_score, self.latest_kyc))
 
     @cached_property
     def resolved_cases(self) -> DataFrame:
@@ -197,5 +255,5 @@ class Views:
 
     @cached_property
     def recent_high_alerts(self) -> DataFrame:
-        return cases.recent_high_alerts(self.stg_alert_events, self.latest_kyc,
+        return cases.recent_high_alerts(self._alert_events, self.latest_kyc,
                                         as_of=self.as_of)

@@ -6,7 +6,6 @@ session someone else built (a cluster session keeps its own resources).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,6 +20,9 @@ RUNTIME_CONF = {
     # Hot groups (one customer / device with a large share of the rows) are
     # split by AQE for joins; windowed LAG is split by time buckets instead.
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    # Keyed state of dimension size stays off the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -72,9 +74,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass",
-                "org.apache.spark.sql.execution.streaming.state."
-                "RocksDBStateStoreProvider")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
@@ -87,18 +86,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Read from the session (``spark.checkpoint.dir`` or a folder already set
-    on the context).  Only when neither is set (local tests) a folder is
-    created; on a cluster the setting must point at shared storage.
+    on the context).  Only a local session without either gets a folder of its
+    own; on a cluster the setting must point at shared storage.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="riskstream-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    return os.path.join(checkpoint_dir(spark), name)

@@ -20,16 +20,18 @@ CORRUPT = "_corrupt_record"
 
 
 def kafka_options(brokers: str, topic: str, starting_offsets: str = "earliest",
-                  security: dict[str, str] | None = None, subscribe: bool = True) -> dict:
+                  security: dict[str, str] | None = None, subscribe: bool = True,
+                  fail_on_data_loss: bool = True) -> dict:
     """Options for ``format("kafka")``; ``earliest`` replays the topic.
 
-    ``security`` holds ``kafka.*`` client settings (SASL mechanism, JAAS
+    A query fails when offsets it has not read are gone; passing
+    ``fail_on_data_loss=False`` skips them.  ``security`` holds ``kafka.*`` client settings (SASL mechanism, JAAS
     config, ...) and is passed through unchanged.
     """
     opts = {"kafka.bootstrap.servers": brokers}
     if subscribe:
         opts.update({"subscribe": topic, "startingOffsets": starting_offsets,
-                     "failOnDataLoss": "false"})
+                     "failOnDataLoss": str(fail_on_data_loss).lower()})
     else:
         opts["topic"] = topic
     opts.update(security or {})
@@ -52,16 +54,19 @@ def parse_json(value: Column, stream: str) -> Column:
 
 def read_stream(spark: SparkSession, stream: str, path: str | None = None,
                 brokers: str | None = None, topic: str | None = None, fmt: str = "json",
-                streaming: bool = False, keep_corrupt: bool = True, **options) -> DataFrame:
+                streaming: bool = False, keep_corrupt: bool = True,
+                kafka: dict | None = None, **options) -> DataFrame:
     """A1-A5: one event stream with its declared columns (and ``_corrupt_record``).
 
-    Kafka when ``brokers`` is given (topic defaults to the stream name),
-    otherwise files at ``path`` in ``fmt``.
+    Kafka when ``brokers`` is given (topic defaults to the stream name,
+    ``kafka`` holds arguments of ``kafka_options``), otherwise files at
+    ``path`` in ``fmt``.
     """
     schema = schemas.STREAMS[stream]
     reader = spark.readStream if streaming else spark.read
     if brokers:
-        raw = reader.format("kafka").options(**kafka_options(brokers, topic or stream)).load()
+        raw = reader.format("kafka").options(
+            **kafka_options(brokers, topic or stream, **(kafka or {}))).load()
         parsed = raw.select(parse_json(F.col("value").cast("string"), stream).alias("e"))
         df = parsed.select("e.*")
     elif fmt == "json":
@@ -164,3 +169,17 @@ def check_contract(df: DataFrame, stream: str) -> list[str]:
         if n1 == n2 and t1 != t2:
             problems.append(f"{n1}: {t1} != {t2}")
     return problems
+
+
+def load(spark: SparkSession, stream: str, **source) -> tuple[DataFrame, DataFrame]:
+    """(good rows, dead letters) of one stream, the way every run loads it.
+
+    Files that carry their own schema must meet the contract (A10); JSON is
+    read with the declared schema, and what does not fit is a dead letter (A7).
+    """
+    fmt = source.get("fmt", "json")
+    if not source.get("brokers") and fmt != "json":
+        problems = check_contract(spark.read.format(fmt).load(source["path"]), stream)
+        if problems:
+            raise ValueError(f"{stream}: " + "; ".join(problems))
+    return quarantine(read_stream(spark, stream, **source), stream)

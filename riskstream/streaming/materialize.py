@@ -1,30 +1,32 @@
 """Materialized views kept current from a stream.
 
-A view's current rows live in a partitioned Parquet table.  The partition of
-a key never changes: the day of a window start for windowed views, a hash
-bucket of the key for keyed tables (``hash_bucket``).  Each micro-batch is
-merged by key into the partitions it touches: existing rows of those
-partitions whose key re-appears are replaced by the batch's rows (newest
-version per key inside the batch wins).  Re-running an epoch after a failure
-gives the same table, so ``foreachBatch`` + a checkpoint location is
-effectively exactly-once.  The merged rows are checkpointed (reliable
-checkpoint in ``spark.checkpoint.dir``) before the day partitions are
-overwritten, because a job may not overwrite files it is reading.
+A view is a partitioned Parquet table of changes.  Each micro-batch appends the
+rows that changed, with its epoch number; nothing is read back or rewritten, so
+a micro-batch costs what it changes and a reader never meets a half-written
+partition.  The current rows are, per key, those of the newest epoch.  A
+replayed epoch appends the same rows again, which changes nothing, so
+``foreachBatch`` + a checkpoint location is effectively exactly-once.
+
+The partition of a key never changes (the day of a window start for windowed
+views, a hash bucket of the key for keyed tables) and is a grouping key of the
+read, so a filter on it prunes files.  ``compact`` writes a copy that holds the
+current rows only, for a topology that starts again from it.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskstream.session import checkpoint_dir
+from riskstream.functions.time import PART
 
-PART = "_part"
+EPOCH = "_epoch"
+META = "_meta"  # a folder whose name data readers skip
 
 
 def day_of(col: str) -> Column:
@@ -37,85 +39,62 @@ def hash_bucket(keys: list[str], buckets: int = 64) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
 
-SCHEMA_FILE = "_schema.json"
+def _load_meta(spark: SparkSession, path: str) -> dict | None:
+    try:
+        found = spark.read.text(os.path.join(path, META)).orderBy("value").first()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return json.loads(found.value) if found else None
 
 
-def _fs_path(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def _save_meta(spark: SparkSession, path: str, schema: T.StructType, keys: list[str],
+               version: str | None) -> None:
+    """Schema and keys beside the data: a view without rows is readable too."""
+    text = json.dumps({"schema": schema.jsonValue(), "keys": keys, "version": version},
+                      sort_keys=True)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(
+        os.path.join(path, META))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return fs.exists(p)
+def append_changes(batch: DataFrame, path: str, keys: list[str], part: Column, epoch: int,
+                   version: str | None = None) -> None:
+    """Append the changed rows of one micro-batch to the table at ``path``.
 
-
-def _save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Keep the table schema next to the data: a view with no rows yet (no
-    data files) must still be readable."""
-    fs, p = _fs_path(spark, os.path.join(path, SCHEMA_FILE))
-    if not fs.exists(p):
-        out = fs.create(p, True)
-        out.write(bytearray(schema.json(), "utf-8"))
-        out.close()
-
-
-def _load_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    fs, p = _fs_path(spark, os.path.join(path, SCHEMA_FILE))
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    reader = spark.sparkContext._jvm.java.io.BufferedReader(
-        spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    text = reader.readLine()
-    reader.close()
-    return T.StructType.fromJson(json.loads(text))
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A materialized table with its saved schema (including ``_part``)."""
-    schema = _load_schema(spark, path)
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    ``version`` names a column that orders rows of one key inside a batch; an
+    update-mode aggregate has one row per key and needs none.
+    """
+    spark = batch.sparkSession
+    rows = batch.withColumn(PART, part).withColumn(EPOCH, F.lit(epoch).cast("long"))
+    if _load_meta(spark, path) is None:
+        _save_meta(spark, path, rows.schema, keys, version)
+    rows.write.mode("append").partitionBy(PART).parquet(path)
+
+
+def changes(spark: SparkSession, path: str) -> DataFrame:
+    """All appended rows, with ``_part`` and ``_epoch``."""
+    meta = _load_meta(spark, path)
+    reader = spark.read
+    if meta is not None:
+        reader = reader.schema(T.StructType.fromJson(meta["schema"]))
     return reader.parquet(path)
 
 
-def latest_per_key(df: DataFrame, keys: list[str], version: Column | None = None) -> DataFrame:
-    """One row per key, the one with the greatest ``version`` (ties: any)."""
-    if version is None:
-        return df.dropDuplicates(keys)
-    w = Window.partitionBy(*keys).orderBy(version.desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
-def upsert(batch: DataFrame, path: str, keys: list[str], part: Column,
-           version: Column | None = None, unique: bool = False) -> None:
-    """Merge ``batch`` into the table at ``path`` by ``keys``.
-
-    Only the partitions present in the batch are read and rewritten
-    (dynamic partition overwrite), so the cost follows the batch, not the
-    table.  ``unique=True`` states that the batch has one row per key (an
-    update-mode aggregate emits each changed group once), which skips the
-    in-batch de-duplication.
-    """
-    spark = batch.sparkSession
-    checkpoint_dir(spark)
-    new = (batch if unique else latest_per_key(batch, keys, version)).withColumn(PART, part)
-    if _exists(spark, path):
-        parts = new.select(PART).distinct()
-        current = read_table(spark, path).join(parts, PART, "left_semi")
-        # Null-safe key match: a NULL key (e.g. a missing device id) is a key
-        # like any other and must be replaced, not duplicated.
-        nk = new.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
-        same = reduce(lambda a, b: a & b,
-                      [current[k].eqNullSafe(nk[f"_key{i}"]) for i, k in enumerate(keys)])
-        kept = current.join(nk, same, "left_anti")
-        merged = kept.unionByName(new)
-    else:
-        merged = new
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").partitionBy(PART)
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
-    _save_schema(spark, path, new.schema)
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows with ``_part``: per key the newest epoch's.  A table that
+    a plain file sink wrote (no keys) is read as it is."""
+    meta = _load_meta(spark, path)
+    rows = changes(spark, path)
+    if meta is None:
+        return rows
+    keys = [PART, *meta["keys"]]
+    rest = [c for c in rows.columns if c not in keys and c != EPOCH]
+    newest = F.struct(EPOCH, *[meta["version"]] * bool(meta["version"]))
+    now = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), newest).alias("_row"))
+    out = now.select(*keys, "_row.*")
+    order = [c for c in rows.columns if c not in (PART, EPOCH, meta["version"])]
+    return out.select(*order, PART)
 
 
 def read_view(spark: SparkSession, path: str) -> DataFrame:
@@ -123,26 +102,31 @@ def read_view(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path).drop(PART)
 
 
+def compact(spark: SparkSession, path: str, out: str) -> None:
+    """Write the current rows of ``path`` to ``out`` as a table of its own (epoch
+    -1, so that any later change of a key wins)."""
+    meta = _load_meta(spark, path)
+    rows = read_table(spark, path)
+    if meta["version"]:
+        kind = T.StructType.fromJson(meta["schema"])[meta["version"]].dataType
+        rows = rows.withColumn(meta["version"], F.lit(None).cast(kind))
+    append_changes(rows, out, meta["keys"], F.col(PART), -1, meta["version"])
+
+
 def materialize(stream: DataFrame, path: str, keys: list[str], part: Column,
                 checkpoint: str, trigger: dict | None = None, query_name: str | None = None,
-                output_mode: str = "update"):
+                output_mode: str = "update", version: str | None = None):
     """Start a streaming query that keeps ``path`` equal to the view's rows.
 
     ``stream`` is a streaming aggregate (``update`` emits the changed groups)
-    or an append stream.  Returns the ``StreamingQuery``.
+    or an append stream whose rows replace earlier ones of their key.  Returns
+    the ``StreamingQuery``.
     """
     writer = (stream.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, epoch: upsert(df, path, keys, part,
-                                                     unique=output_mode == "update")))
+              .foreachBatch(lambda df, epoch: append_changes(df, path, keys, part, epoch, version)))
     if query_name:
         writer = writer.queryName(query_name)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
-
-
-def default_paths(spark: SparkSession, name: str) -> tuple[str, str]:
-    """(table path, checkpoint path) under the shared checkpoint folder."""
-    root = checkpoint_dir(spark)
-    return os.path.join(root, "views", name), os.path.join(root, "queries", name)

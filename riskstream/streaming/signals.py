@@ -10,13 +10,12 @@ batch result for every row inside the watermark.  Rows later than the
 watermark are dropped (streaming only; batch is exact).
 
 Geo (C7): LAG per customer across micro-batches needs state.
-``geo_hops_stream`` keeps the last transaction of every customer in a
-``applyInPandasWithState`` state (one small record per customer).  The
-pandas function only sorts the customer's new rows and shifts them; the
-distance, minutes and flags are the same Spark expressions as in batch.
-A row that arrives after a later row of its customer was already chained
-yields no hop and leaves the chain tail where it is; batch (which sees all
-rows) is authoritative.
+``geo_hops_stream`` keeps each customer's rows inside the watermark, and the
+one before them, in an ``applyInPandasWithState`` state.  The pandas function
+only puts the new rows in their places and pairs neighbours; the distance,
+minutes and flags are the same Spark expressions as in batch.  A row that
+arrives out of order makes its own pair and renews the pair of the row after
+it, so the maintained table equals batch for all rows inside the watermark.
 """
 
 from __future__ import annotations
@@ -134,9 +133,15 @@ def windowed_signal(name: str, staged_stream: DataFrame,
 _CARRY = [("transaction_id", T.StringType()), ("country_code", T.StringType()),
           ("latitude", T.DoubleType()), ("longitude", T.DoubleType()),
           ("occurred_at", T.TimestampType())]
-_STATE = T.StructType([T.StructField(n, t) for n, t in _CARRY])
+_NAMES = [n for n, _ in _CARRY]
+# Times are kept as microseconds, which no time zone changes.
+_ROW = T.StructType([T.StructField("account_id", T.StringType())]
+                    + [T.StructField(n, t) for n, t in _CARRY[:-1]]
+                    + [T.StructField("micros", T.LongType())])
+_STATE = T.StructType([T.StructField("rows", T.ArrayType(_ROW))])
 _PAIR = T.StructType(
-    [T.StructField("customer_id", T.StringType()), T.StructField("account_id", T.StringType())]
+    [T.StructField("customer_id", T.StringType()), T.StructField("account_id", T.StringType()),
+     T.StructField("_seq", T.LongType())]
     + [T.StructField(f"p_{n}", t) for n, t in _CARRY]
     + [T.StructField(n, t) for n, t in _CARRY])
 
@@ -146,55 +151,77 @@ def _py(v):
     if v is None or (not isinstance(v, str) and pd.isna(v)):
         return None
     if isinstance(v, pd.Timestamp):
-        return v.to_pydatetime()
+        return v.value // 1000
     return v.item() if hasattr(v, "item") else v
 
 
+def _shown(row: tuple) -> tuple:
+    """A state row's carried fields with its time as a timestamp again."""
+    return *row[1:-1], pd.Timestamp(row[-1], unit="us")
+
+
+def _order(row: tuple) -> tuple:
+    """(time, transaction id with NULL first): the order of the batch LAG."""
+    return row[-1], row[1] is not None, row[1] or ""
+
+
 def _chain(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Previous-row pairs for one customer's new rows, continuing the saved chain."""
-    rows = pd.concat(list(pdfs), ignore_index=True)
-    rows = rows.sort_values(["occurred_at", "transaction_id"], na_position="last",
-                            kind="mergesort").reset_index(drop=True)
-    names = [n for n, _ in _CARRY]
-    if state.exists:
-        last = state.get
-        # A row ordered before the saved chain tail arrived too late to be
-        # chained in event-time order: it yields no hop and does not move the
-        # tail back (batch, which sees every row, is authoritative).
-        last_t, last_id = pd.Timestamp(last[4]), last[0]
-        late = rows["occurred_at"].notna() & (
-            (rows["occurred_at"] < last_t)
-            | ((rows["occurred_at"] == last_t) & (rows["transaction_id"] <= last_id)))
-        rows = rows[~late].reset_index(drop=True)
-        if rows.empty:
-            return
-    prev = rows[names].shift(1)
-    if state.exists:
-        for i, n in enumerate(names):
-            prev.loc[0, n] = last[i]
-    out = pd.DataFrame({"customer_id": key[0], "account_id": rows["account_id"]})
-    for n in names:
-        out[f"p_{n}"] = prev[n]
-        out[n] = rows[n]
-    tail = rows.iloc[-1]
-    state.update(tuple(_py(tail[n]) for n in names))
-    yield out[out["p_transaction_id"].notna()]
+    """Pairs (row before, row) that one customer's new rows make or change.
+
+    The state holds, in order, the rows that a row inside the watermark can
+    still come before, and the last row older than those.  A new row makes a
+    pair with the row before it, and the row after it gets a new pair, which
+    replaces that row's earlier one (``_seq`` orders the pairs of one batch).
+    Rows without a time have no place in the order and are left out.
+    """
+    rows = [tuple(r) for r in state.get[0]] if state.exists else []
+    oldest = state.getCurrentWatermarkMs() * 1000
+    seq = 0
+    for pdf in pdfs:
+        pdf = pdf[pdf["occurred_at"].notna()]
+        pdf = pdf.assign(occurred_at=pdf["occurred_at"].astype("datetime64[ns]"))
+        new = [tuple(_py(v) for v in r) for r in
+               pdf[["account_id", *_NAMES]].itertuples(index=False, name=None)]
+        if not new:
+            continue
+        fresh = set(map(id, new))
+        rows = sorted(rows + new, key=_order)
+        out = []
+        for before, row in zip(rows, rows[1:]):
+            if id(row) in fresh or id(before) in fresh:
+                out.append((key[0], row[0], seq, *_shown(before), *_shown(row)))
+        seq += 1
+        # Keep the newest row older than the watermark and all after it.
+        cut = max((i for i, r in enumerate(rows) if r[-1] < oldest), default=0)
+        rows = rows[cut:]
+        if out:
+            yield pd.DataFrame(out, columns=[f.name for f in _PAIR])
+    if rows:
+        state.update((rows,))
 
 
 def geo_hops_stream(staged_stream: DataFrame, min_km: float = GEO_MIN_KM,
                     flag_km: float = GEO_FLAG_KM, max_minutes: float = GEO_MAX_MINUTES,
                     watermark: str = DEFAULT_WATERMARK) -> DataFrame:
-    """Streaming C7 (append): hops with the same columns as ``geo_hops``."""
+    """Streaming C7: one row per transaction whose pair is new or has changed,
+    with the columns of ``geo_hops``, ``_seq`` and ``is_hop``.
+
+    Written through ``materialize`` with key ``txn2_id`` and version ``_seq``,
+    the rows with ``is_hop`` (``geo_hops_view``) equal the batch hops of all
+    rows that were not later than the watermark.  A pair that a row arriving
+    out of order splits is replaced, also by one that is no hop.  Rows without
+    an event time make no hop here (they are dead letters on the load path).
+    """
     src = staged_stream.withWatermark("occurred_at", watermark).select(
-        "customer_id", "account_id", *[n for n, _ in _CARRY])
+        "customer_id", "account_id", *_NAMES)
     pairs = src.groupBy("customer_id").applyInPandasWithState(
         _chain, outputStructType=_PAIR, stateStructType=_STATE, outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout)
-    pairs = pairs.where(F.col("p_latitude").isNotNull())
+        timeoutConf=GroupStateTimeout.EventTimeTimeout)
     km = equirectangular_km(F.col("latitude"), F.col("longitude"),
                             F.col("p_latitude"), F.col("p_longitude"))
     minutes = minutes_between(F.col("occurred_at"), F.col("p_occurred_at"))
-    hops = pairs.select(
+    known = F.col("p_transaction_id").isNotNull() & F.col("p_latitude").isNotNull()
+    return pairs.select(
         "customer_id",
         F.col("p_transaction_id").alias("txn1_id"), F.col("p_country_code").alias("txn1_country"),
         F.col("p_latitude").alias("txn1_lat"), F.col("p_longitude").alias("txn1_lon"),
@@ -202,10 +229,12 @@ def geo_hops_stream(staged_stream: DataFrame, min_km: float = GEO_MIN_KM,
         F.col("transaction_id").alias("txn2_id"), F.col("country_code").alias("txn2_country"),
         F.col("latitude").alias("txn2_lat"), F.col("longitude").alias("txn2_lon"),
         F.col("occurred_at").alias("txn2_time"), F.col("account_id").alias("txn2_account_id"),
-        km.alias("_km"), minutes.alias("_min"))
-    return hops.where(F.col("_km") > min_km).select(
-        *[c for c in hops.columns if not c.startswith("_")],
-        round_numeric("_km", 2).alias("approx_distance_km"),
-        round_numeric("_min", 2).alias("time_diff_minutes"),
-        ((F.col("_km") > flag_km) & (F.col("_min") < max_minutes) & (F.col("_min") > 0))
-        .alias("is_impossible"))
+        round_numeric(km, 2).alias("approx_distance_km"),
+        round_numeric(minutes, 2).alias("time_diff_minutes"),
+        ((km > flag_km) & (minutes < max_minutes) & (minutes > 0)).alias("is_impossible"),
+        F.coalesce(known & (km > min_km), F.lit(False)).alias("is_hop"), "_seq")
+
+
+def geo_hops_view(table: DataFrame) -> DataFrame:
+    """The hops among the maintained pairs."""
+    return table.where("is_hop").drop("is_hop")

@@ -11,15 +11,12 @@ source-shaped tables (backfills).
 
 from __future__ import annotations
 
-import logging
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 
 from riskstream.plans.views import Views
 
-log = logging.getLogger(__name__)
-
 SNAPSHOT_VIEWS = ("account_risk_score", "open_fraud_cases", "resolved_cases",
                   "recent_high_alerts")
 
@@ -40,17 +37,12 @@ def staged_views(spark: SparkSession, staged_dir: str, **kw) -> Views:
 
 def snapshot_on_batch(root: str, device_args: dict | None = None):
     """A ``foreachBatch`` function for a trigger stream (e.g. transactions):
-    after every micro-batch, refresh the snapshot of the topology at ``root``
-    from its maintained tables (``topology.refresh_snapshot``)."""
+    after every micro-batch, publish a snapshot of the topology at ``root``
+    from its maintained tables (``topology.refresh_snapshot``).  The tables only
+    grow, so a refresh does not race their writers; one that fails fails the
+    query."""
     from riskstream.streaming import topology
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        # Plain Parquet has no snapshot isolation: a read racing an upsert
-        # that rewrites a partition can fail.  The snapshot is derived data,
-        # so a failed refresh is logged and the next micro-batch redoes it.
-        try:
-            topology.refresh_snapshot(batch.sparkSession, root, device_args)
-        except Exception as e:  # noqa: BLE001
-            log.warning("snapshot refresh after epoch %s failed, retried next batch: %s",
-                        epoch_id, str(e).splitlines()[0])
+        topology.refresh_snapshot(batch.sparkSession, root, device_args)
     return run

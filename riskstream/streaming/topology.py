@@ -7,7 +7,7 @@ its own checkpoint (restartable, exactly-once output):
 table                       maintained by                               partition
 ==========================  ==========================================  ==========
 staged/<stream>             staging functions, file sink (append)       event day
-views/<C1-C6 signal>        windowed aggregate, update + upsert         window day
+views/<C1-C6 signal>        windowed aggregate, changed rows            window day
 views/storm_*               C3 in three bounded parts, update + upsert  window day
 views/accounts_seen         (customer, account) -> last seen, upsert    key hash
 views/latest_kyc            ``max_by`` per customer, upsert             key hash
@@ -15,7 +15,8 @@ views/device_presence       (customer, device, hour) first/last seen    hour day
 views/kpi_*, merchant_...,  per-window aggregates (D2 parts, D3-D5),    window day
   channel_..., hourly_...   update + upsert
 views/known_customer_...    (customer, device) first/last seen (C8)     key hash
-views/geo_hops              stateful LAG per customer (append)          event day
+views/geo_hops              stateful LAG per customer, newest pair of   event day
+                            each transaction
 ==========================  ==========================================  ==========
 
 ``refresh_snapshot`` then recomputes the ``NOW()``-relative views (risk
@@ -29,14 +30,25 @@ instead of rescans of the history.
 from __future__ import annotations
 
 import os
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream import schemas
-from riskstream.constants import DEVICE_HISTORY_FROM, DEVICE_RECENT, STALE_AFTER_SECONDS
-from riskstream.functions.time import ago
+from riskstream.constants import (
+    BURST_WINDOW,
+    CNP_WINDOW,
+    DEVICE_HISTORY_FROM,
+    DEVICE_RECENT,
+    HIGH_ALERT_LOOKBACK,
+    STALE_AFTER_SECONDS,
+    STORM_WINDOW,
+    STRUCTURING_WINDOW,
+    VELOCITY_WINDOW,
+)
+from riskstream.functions.time import ago, interval_micros
 from riskstream.operators import cases, pairs, risk, signals, staging
 from riskstream.streaming import materialize as mat
 from riskstream.streaming import signals as ss
@@ -55,6 +67,14 @@ SIGNAL_SOURCE = {
 }
 
 
+WINDOWS = (VELOCITY_WINDOW, CNP_WINDOW, STORM_WINDOW, STRUCTURING_WINDOW, BURST_WINDOW)
+
+
+def longest(intervals) -> str:
+    """The longest of some intervals."""
+    return max(intervals, key=interval_micros)
+
+
 @dataclass
 class Topology:
     root: str
@@ -137,11 +157,10 @@ def start(spark: SparkSession, sources: dict[str, DataFrame], root: str,
         ["customer_id", "device_id", "bucket_start"], mat.day_of("bucket_start"),
         ck("device_presence"), trig))
 
-    hops = ss.geo_hops_stream(staged["transactions"], watermark=watermark)
-    w = (hops.withColumn(mat.PART, F.to_date("txn2_time")).writeStream.format("parquet")
-         .outputMode("append").partitionBy(mat.PART).option("path", topo.path("views", "geo_hops"))
-         .option("checkpointLocation", ck("geo_hops")).trigger(**trig))
-    topo.queries.append(w.start())
+    topo.queries.append(mat.materialize(
+        ss.geo_hops_stream(staged["transactions"], watermark=watermark),
+        topo.path("views", "geo_hops"), ["txn2_id"], mat.day_of("txn2_time"), ck("geo_hops"), trig,
+        output_mode="append", version="_seq"))
     return topo
 
 
@@ -160,7 +179,9 @@ def snapshot_views(spark: SparkSession, root: str, device_args: dict | None = No
     t = lambda *p: _table(spark, os.path.join(root, *p))
     seen = t("views", "accounts_seen").drop(mat.PART)
     as_of = seen.select(F.max("last_seen_at")).scalar()
-    horizon = ago(as_of, "2 hours")  # >= every score look-back + window length
+    # Nothing that starts before the longest look-back and the longest window
+    # can reach the score.
+    horizon = ago(ago(as_of, longest(risk.LOOKBACK.values())), longest(WINDOWS))
     recent = lambda name, ts="window_end": _since(t("views", name), ts, horizon)
     dev_args = device_args or {}
     lo = ago(as_of, dev_args.get("history_from", DEVICE_HISTORY_FROM))
@@ -176,13 +197,15 @@ def snapshot_views(spark: SparkSession, root: str, device_args: dict | None = No
                                                   with_account=True, **dev_args)
     storm = ss.login_failure_storm_view(*[recent(p) for p in ss.STORM_PARTS])
     score = risk.account_risk_score(
-        tx_recent, recent("velocity_alerts"), recent("geo_hops", "txn2_time"), device,
+        tx_recent, recent("velocity_alerts"), ss.geo_hops_view(recent("geo_hops", "txn2_time")),
+        device,
         recent("cnp_spike"), storm, recent("structuring"),
         recent("correlated_alert_burst"), as_of=as_of, seen=seen)
     kyc = t("views", "latest_kyc").drop(mat.PART)
-    # Alerts of the last day before the transaction instant; their own newest
-    # time anchors the 30-minute look-back, as in batch.
-    alerts = _since(t("staged", "alert_events"), "occurred_at", ago(as_of, "1 day"))
+    # The alerts' own newest time anchors their look-back, as in batch.
+    staged_alerts = t("staged", "alert_events")
+    newest = staged_alerts.select(F.max("occurred_at")).scalar()
+    alerts = _since(staged_alerts, "occurred_at", ago(newest, HIGH_ALERT_LOOKBACK))
     return {
         "account_risk_score": score,
         "open_fraud_cases": cases.open_fraud_cases(score, kyc),
@@ -191,10 +214,35 @@ def snapshot_views(spark: SparkSession, root: str, device_args: dict | None = No
     }
 
 
-def refresh_snapshot(spark: SparkSession, root: str, device_args: dict | None = None) -> None:
-    """Overwrite ``snapshot/<view>`` for every NOW()-relative view."""
-    for name, df in snapshot_views(spark, root, device_args).items():
-        df.write.mode("overwrite").parquet(os.path.join(root, "snapshot", name))
+def refresh_snapshot(spark: SparkSession, root: str, device_args: dict | None = None) -> int:
+    """Publish a new version of every NOW()-relative view; returns its number.
+
+    The score is computed and written once; the cases are derived from the
+    written score, so they cannot disagree with it.  Readers (``snapshot``)
+    take the newest published version, which exists as a whole: its number is
+    appended to ``snapshot/published`` after its last view is written.
+    """
+    base = os.path.join(root, "snapshot")
+    version = time.time_ns()
+    at = lambda name: os.path.join(base, f"version={version}", name)
+    views = snapshot_views(spark, root, device_args)
+    views["account_risk_score"].write.parquet(at("account_risk_score"))
+    score = spark.read.parquet(at("account_risk_score"))
+    kyc = _table(spark, os.path.join(root, "views", "latest_kyc")).drop(mat.PART)
+    cases.open_fraud_cases(score, kyc).write.parquet(at("open_fraud_cases"))
+    cases.resolved_cases(score).write.parquet(at("resolved_cases"))
+    views["recent_high_alerts"].write.parquet(at("recent_high_alerts"))
+    spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").json(
+        os.path.join(base, "published"))
+    return version
+
+
+def snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A view of the newest published snapshot."""
+    base = os.path.join(root, "snapshot")
+    version = spark.read.schema("version long").json(os.path.join(base, "published")).agg(
+        F.max("version")).first()[0]
+    return spark.read.parquet(os.path.join(base, f"version={version}", name))
 
 
 def query_staleness(spark: SparkSession, topo: Topology, now=None,
@@ -223,7 +271,7 @@ def maintained_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "merchant_fraud_exposure", "channel_risk_breakdown", "hourly_fraud_trend",
         "known_customer_devices", "latest_kyc"]}
     out["login_failure_storm"] = ss.login_failure_storm_view(*[v(p) for p in ss.STORM_PARTS])
-    geo = mat.read_table(spark, os.path.join(root, "views", "geo_hops")).drop(mat.PART)
+    geo = ss.geo_hops_view(v("geo_hops"))
     out["geo_impossible_trips"] = geo.drop("txn2_account_id")
     out["fraud_kpis_1min"] = risk.fraud_kpis_assemble(
         v("kpi_transactions"), v("kpi_alerts"), out["velocity_alerts"], geo,
