@@ -45,8 +45,8 @@ GRAM = 40
 SPAN = LENGTH - GRAM + 1  # windows an anchor may serve
 PIECE = 20
 CHUNK = 1 << 20
-BATCH_BYTES = 24 << 20
-BUCKET_BYTES = 48 << 20
+BATCH_BYTES = 16 << 20
+BUCKET_BYTES = 32 << 20
 CONTEXT_BUCKET = 12 << 20
 HOT_SAMPLE = 4000
 HOT_SHARE = 64
