@@ -40,8 +40,8 @@ from riskstream.functions.time import (
     as_of_column,
     interval_micros,
     minutes_between,
-    since,
 )
+from riskstream.functions.time import since as rows_since
 
 # Bucket index for rows without an event time: after every real bucket, as
 # NULLs sort last in ascending order.
@@ -84,10 +84,10 @@ def lag_by_time_bucket(df: DataFrame, key: str, ts: str, tie: str, carry: list[s
 
 def geo_hops(stg_tx: DataFrame, min_km: float = GEO_MIN_KM, flag_km: float = GEO_FLAG_KM,
              max_minutes: float = GEO_MAX_MINUTES, bucket: str = "1 hour",
-             start=None) -> DataFrame:
+             since=None) -> DataFrame:
     """C7 with the second transaction's account carried along (for the score).
 
-    ``start`` (a Column) keeps only hops whose second transaction is at or
+    ``since`` (a Column) keeps only hops whose second transaction is at or
     after it, without shuffling the history: the LAG runs over the rows
     since then plus each customer's last earlier row, which a ``max_by``
     aggregate with a partial (map-side) phase finds.  Rows without a time
@@ -97,10 +97,10 @@ def geo_hops(stg_tx: DataFrame, min_km: float = GEO_MIN_KM, flag_km: float = GEO
     carry = ["transaction_id", "country_code", "latitude", "longitude", "occurred_at"]
     cols = ["customer_id", "account_id", *carry]
     tx = stg_tx.select(*cols)
-    if start is not None:
-        before = tx.where(F.col("occurred_at") < start).groupBy("customer_id").agg(
+    if since is not None:
+        before = tx.where(F.col("occurred_at") < since).groupBy("customer_id").agg(
             F.max_by(F.struct(*cols), F.struct("occurred_at", "transaction_id")).alias("r"))
-        tx = since(stg_tx, "occurred_at", start).select(*cols).unionByName(before.select("r.*"))
+        tx = rows_since(stg_tx, "occurred_at", since).select(*cols).unionByName(before.select("r.*"))
     with_prev = lag_by_time_bucket(tx, "customer_id", "occurred_at", "transaction_id",
                                    carry, bucket=bucket)
     p = F.col("prev")
@@ -150,9 +150,9 @@ def device_anomalies(stg_tx: DataFrame, as_of=None, recent: str = DEVICE_RECENT,
     keys, which the ``left_anti`` join reuses; AQE splits a hot pair.
     """
     now = as_of_column(stg_tx, "occurred_at", as_of)
-    cand = since(stg_tx, "occurred_at", ago(now, recent)).where(
+    cand = rows_since(stg_tx, "occurred_at", ago(now, recent)).where(
         (F.col("amount") > min_amount) & (F.col("channel") == CNP_CHANNEL))
-    history = since(stg_tx, "occurred_at", ago(now, history_from)).where(
+    history = rows_since(stg_tx, "occurred_at", ago(now, history_from)).where(
         F.col("occurred_at") < ago(now, history_until)) \
         .select("customer_id", "device_id").distinct()
     out = cand.join(history, ["customer_id", "device_id"], "left_anti")

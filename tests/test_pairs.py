@@ -169,3 +169,26 @@ def test_geo_hops_since_equals_filtered_full(spark):
         want = rows(full.where(F.col("txn2_time") >= since), *cols)
         got = rows(pairs.geo_hops(df, bucket="15 minutes", since=since), *cols)
         assert got == want, hours
+
+
+def test_geo_shuffles_transactions_once(spark):
+    """Window, bucket aggregate and join cluster by the same columns: beside the
+    rows themselves only aggregates of them are exchanged."""
+    from riskstream.plans.views import Views
+    tx = Views.from_testdata(spark, "/root/testdata/sf0.001").stg_transactions
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                 "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = pairs.geo_hops(tx)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    lines = plan.splitlines()
+    exchanges = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+    of_rows = [i for i in exchanges if not any(
+        n in "".join(lines[i + 1:i + 3]) for n in ("Aggregate", "Window"))
+        and "LocalTableScan" not in lines[i + 1] and "_last" not in lines[i + 1]
+        and "_prev_bucket" not in lines[i + 1]]
+    assert len(of_rows) == 1 and len(exchanges) == 4, plan

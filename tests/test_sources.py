@@ -71,6 +71,7 @@ def test_kafka_options():
 def test_temp_views_and_cli_batch(spark, tmp_dir):
     from riskstream.__main__ import main
     from riskstream.plans.views import Views
+    from riskstream.streaming import topology
 
     v = Views.from_testdata(spark, "/root/testdata/sf0.001")
     names = v.register_temp_views(prefix="t_")
@@ -104,7 +105,7 @@ def test_cli_stream_once(spark, tmp_dir):
         src.append(f"--source={name}={p}")
     root = os.path.join(tmp_dir, "root")
     main(["stream", *src, "--root", root, "--once"])
-    snap = spark.read.parquet(os.path.join(root, "snapshot", "account_risk_score"))
+    snap = topology.snapshot(spark, root, "account_risk_score")
     assert snap.count() == v.account_risk_score.count() > 0
 
 
@@ -124,3 +125,23 @@ def test_parquet_sources_and_contract(spark, tmp_dir):
     assert sorted(tuple(r) for r in w.account_risk_score.select(
         "account_id", "risk_score").collect()) == sorted(
         tuple(r) for r in v.account_risk_score.select("account_id", "risk_score").collect())
+
+
+def test_load_checks_the_contract_and_splits_dead_letters(spark, tmp_dir):
+    import pytest
+
+    from riskstream import schemas
+    from riskstream.sources import events
+    path = os.path.join(tmp_dir, "bad")
+    spark.createDataFrame([("t", 1)], "transaction_id string, amount int").write.parquet(path)
+    with pytest.raises(ValueError, match="columns"):
+        events.load(spark, "transactions", path=path, fmt="parquet")
+    text = os.path.join(tmp_dir, "json")
+    os.makedirs(text)
+    with open(os.path.join(text, "a.json"), "w") as f:
+        f.write('{"customer_id": "c", "updated_at": "2026-04-18T10:00:00.000Z"}\n{"customer_id": 1\n')
+    good, bad = events.load(spark, "kyc_profile_events", path=text)
+    assert good.columns == [f.name for f in schemas.STREAMS["kyc_profile_events"]]
+    assert good.count() == 1 and [r.error for r in bad.collect()] == ["malformed_json"]
+    assert events.kafka_options("b:1", "t")["failOnDataLoss"] == "true"
+    assert events.kafka_options("b:1", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"
