@@ -16,7 +16,6 @@ the documents' hits are carried on in a table written between the passes.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -124,11 +123,8 @@ def _scanner(items, window: int):
 
 def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str,
                      block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The items in blocks of bounded size, one at a time on the driver.
-
-    Items are dealt by their running number of bytes inside hashed groups, so
-    that no more than about two blocks' worth ever meets on the driver.
-    """
+    """The items in blocks of about ``block_bytes``, one at a time on the driver:
+    hashed groups of that mean size, streamed and cut where one is larger."""
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("i"),
                              F.col(text).alias("t")).filter("t is not null").distinct()
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
@@ -196,8 +192,6 @@ def op7_wu_manber(spark, sf_dir: str) -> DataFrame:
                         "contaminated")
 
 
-EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
-
 ORACLE = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(

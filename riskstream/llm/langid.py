@@ -6,9 +6,10 @@ n-grams and a lexicon, transitions are learned, marginals come from
 forward-backward over the whole text.  A document's language is the one with
 the largest mean marginal, which is also its score.
 
-Training takes a bounded sample of labelled rows (``SAMPLE_ROWS`` per
-language, by hash of the id, rows of over ``SAMPLE_CHARS`` characters left
-out), spliced into code-switched sequences.  Prediction covers all rows and
+Training takes a bounded sample of labelled rows (``SAMPLE_ROWS`` of each of
+the ``MAX_LANGS`` most frequent languages, by hash of the id; of longer rows a
+stretch of ``SAMPLE_CHARS`` characters at a hashed place), spliced into
+code-switched sequences.  Prediction covers all rows and
 whole texts: sequences are cut into blocks whose transfer matrices are chained,
 which gives the exact marginals of the whole sequence.
 """
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from riskstream.llm.common import carried, small_batches, table
 
 SAMPLE_ROWS = 150
-SAMPLE_CHARS = 200_000
-MAX_LANGS = 64
+SAMPLE_CHARS = 20_000
+MAX_LANGS = 256
 TRAIN_WORDS = 120_000
 SWITCH_EVERY = 24  # mean words between switches in the training sequences
 STEPS = 60
@@ -233,12 +234,9 @@ def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[str,
     A hash of the id thins each language to about three times ``rows`` before
     anything is ranked, so a language with a third of all rows is no hot group.
     """
-    d = docs.filter("lang is not null and text is not null").filter(
-        F.length("text") <= SAMPLE_CHARS)
-    per = d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(MAX_LANGS + 1)
-    counts = {r.lang: r.n for r in per.collect()}
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    d = docs.filter("lang is not null and text is not null")
+    per = d.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = {r.lang: r.n for r in per.orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
     if not counts:
         return []
     share = F.lit(0.0)
@@ -247,8 +245,11 @@ def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[str,
     h = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("langid")), F.lit(1 << 20))
     thin = d.withColumn("h", h).filter(F.col("h") < share * (1 << 20))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", F.md5("text")))
+    spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
+    stretch = F.substr("text", F.pmod(F.xxhash64("text"), spare.cast("long")).cast("int") + 1,
+                       F.lit(SAMPLE_CHARS))
     picked = (thin.withColumn("r", rank).filter(F.col("r") <= rows).orderBy("lang", "r")
-              .select("lang", "text").collect())
+              .select("lang", stretch.alias("text")).collect())
     return [(r.lang, words_of(r.text)) for r in picked]
 
 

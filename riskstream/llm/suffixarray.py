@@ -48,8 +48,8 @@ CHUNK = 1 << 20
 BATCH_BYTES = 16 << 20
 BUCKET_BYTES = 32 << 20
 CONTEXT_BUCKET = 12 << 20
-HOT_SAMPLE = 4000
-HOT_SHARE = 64
+HOT_SAMPLE = 4000  # documents, about
+HOT_LEAST = 200  # of them hold a hot anchor
 
 _rng = np.random.Generator(np.random.PCG64(5))
 BYTE_HASH = _rng.integers(0, 2 ** 64, 256, dtype=np.uint64)
@@ -505,7 +505,7 @@ NO_ID = -(1 << 63)
 
 
 def hot_anchors(d: DataFrame, n_docs: int) -> np.ndarray:
-    """Anchor hashes in at least one of ``HOT_SHARE`` of a bounded sample."""
+    """Anchor hashes in at least ``HOT_LEAST`` of about ``HOT_SAMPLE`` documents."""
     share = min(1.0, HOT_SAMPLE / max(1, n_docs))
     sample = d.filter(F.pmod(F.xxhash64("did", "dig"), F.lit(1 << 20)) < F.lit(share * (1 << 20)))
 
@@ -517,9 +517,8 @@ def hot_anchors(d: DataFrame, n_docs: int) -> np.ndarray:
                     b = np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8)
                     out.append(np.unique(cells(b, np.zeros(len(b), np.int64))[0]).view(np.int64))
             yield pd.DataFrame({"h": np.concatenate(out) if out else np.empty(0, np.int64)})
-    least = max(200, min(HOT_SAMPLE, n_docs) // HOT_SHARE)
     found = (sample.mapInPandas(run, "h long").groupBy("h").count()
-             .filter(F.col("count") >= least).select("h").collect())
+             .filter(F.col("count") >= HOT_LEAST).select("h").collect())
     return np.sort(np.array([r.h for r in found], np.int64)).view(np.uint64)
 
 

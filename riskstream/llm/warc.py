@@ -211,9 +211,11 @@ def archive_pages(pages: DataFrame, path: str, page_id: str = "page_id", url: st
 def op4_warc_revisits(spark, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     archive_pages(table(spark, sf_dir, "pages"), path)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # rows are whole files
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, "1")  # a row is a whole file
     records = written(read_archives(spark, path), "warc-records")
-    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(rows, before)
     return resolved(records).select("page_id", "payload_bytes", "payload_digest", "record_type",
                                     "refers_to")
 
