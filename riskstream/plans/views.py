@@ -39,6 +39,7 @@ class Views:
                  geo_bucket: str = "1 hour", store: str | None = None):
         self.raw = raw
         self.store = store
+        self.built: dict[str, DataFrame] = {}  # what the store's tables were written from
         self.as_of = as_of
         self.device_args = device_args or {}
         self.geo_bucket = geo_bucket
@@ -47,6 +48,7 @@ class Views:
         """``df`` as a table of the store, laid out by the day of ``ts``."""
         if self.store is None:
             return df
+        self.built[name] = df
         path = f"{self.store}/{name}"
         out = df.withColumn(PART, F.to_date(ts)) if ts else df
         out.write.partitionBy(*[PART] * bool(ts)).parquet(path)
