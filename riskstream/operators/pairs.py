@@ -146,15 +146,17 @@ def device_anomalies(stg_tx: DataFrame, as_of=None, recent: str = DEVICE_RECENT,
 
     History = pairs (customer, device) seen in [as_of - history_from,
     as_of - history_until).  A NULL device never matches, so it is flagged.
-    The distinct history is reduced map-side and hash-partitioned on the join
-    keys, which the ``left_anti`` join reuses; AQE splits a hot pair.
+    Of the history only the candidates' pairs are kept, by a semi join with
+    minutes of candidates, before the distinct and the ``left_anti`` join.
     """
     now = as_of_column(stg_tx, "occurred_at", as_of)
     cand = rows_since(stg_tx, "occurred_at", ago(now, recent)).where(
         (F.col("amount") > min_amount) & (F.col("channel") == CNP_CHANNEL))
+    wanted = cand.select("customer_id", "device_id").distinct()
     history = rows_since(stg_tx, "occurred_at", ago(now, history_from)).where(
         F.col("occurred_at") < ago(now, history_until)) \
-        .select("customer_id", "device_id").distinct()
+        .select("customer_id", "device_id").join(wanted, ["customer_id", "device_id"], "left_semi") \
+        .distinct()
     out = cand.join(history, ["customer_id", "device_id"], "left_anti")
     cols = ["customer_id", "transaction_id", "device_id", "amount", "occurred_at"]
     if with_account:
