@@ -42,7 +42,7 @@ START = CONTEXTS - 1
 END = b"\n"  # no word holds white space
 BURN_IN = 2
 SAMPLES = 3
-TOKENS_PER_BUCKET = 6_000_000
+TOKENS_PER_BUCKET = 2_500_000
 EXACT_STEPS = 48
 STRENGTH = 5.0
 NO_ID = -(1 << 63)  # stands for a null id inside the packed rows
@@ -243,13 +243,15 @@ class Dishes:
     """Training counts of one bucket: words (sorted hashes) and, by word, the
     contexts with their counts."""
 
-    def __init__(self, word: np.ndarray, ctx: np.ndarray, count: np.ndarray):
-        order = np.lexsort((ctx, word))
-        word, ctx, count = word[order], ctx[order], count[order]
-        new = np.r_[True, (word[1:] != word[:-1]) | (ctx[1:] != ctx[:-1])][:len(word)]
-        at = np.flatnonzero(new)
-        self.word, self.ctx = word[at], ctx[at].astype(np.int64)
-        self.count = np.add.reduceat(count, at) if len(at) else np.empty(0, np.int64)
+    def __init__(self, word: np.ndarray, ctx: np.ndarray, count: np.ndarray, merged: bool = False):
+        if not merged:
+            order = np.lexsort((ctx, word))
+            word, ctx, count = word[order], ctx[order], count[order]
+            new = np.r_[True, (word[1:] != word[:-1]) | (ctx[1:] != ctx[:-1])][:len(word)]
+            at = np.flatnonzero(new)
+            word, ctx = word[at], ctx[at]
+            count = np.add.reduceat(count, at) if len(at) else np.empty(0, np.int64)
+        self.word, self.ctx, self.count = word, ctx, count
         first = np.flatnonzero(np.r_[True, self.word[1:] != self.word[:-1]][:len(self.word)])
         self.words = self.word[first]
         self.group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(self.word)]))
@@ -334,7 +336,7 @@ def load_dishes(blob: bytes) -> tuple[Dishes, np.ndarray]:
     ctx = np.frombuffer(blob, np.uint16, n, 16 + 8 * n)
     count = np.frombuffer(blob, np.int64, n, 16 + 10 * n) if n else np.empty(0, np.int64)
     mine = np.frombuffer(blob, np.uint8, w, 16 + 18 * n)
-    return Dishes(word, ctx, count), mine > 0
+    return Dishes(word, ctx, count, merged=True), mine > 0
 
 
 def sweeps(d: Dishes, history: list[dict]) -> Iterator[tuple[dict, np.ndarray, np.ndarray, np.ndarray]]:
