@@ -403,57 +403,71 @@ def totals(dishes: DataFrame, history: list[dict]) -> np.ndarray:
 
 # --- scoring ----------------------------------------------------------------
 
+def models_of(d: Dishes, history: list[dict]) -> list[tuple[dict, np.ndarray, np.ndarray]]:
+    """(totals, customers less discounts of each dish, parent's probabilities)
+    of each sweep after the burn-in."""
+    if not len(d.words):
+        return [(h["next"], np.empty(0), np.empty(0)) for h in history[BURN_IN:]]
+    return [(h["next"], d.count - h["d"] * t, d.parent(h["next"], c0, t0))
+            for turn, (h, t, c0, t0) in enumerate(sweeps(d, history)) if turn >= BURN_IN]
+
+
 def _score(shared):
-    """Cogroup of a bucket's packed tokens and its dishes: per batch the sums
-    of log-probabilities by document."""
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Rows sorted by bucket, a bucket's dishes before its packed tokens: per
+    batch the sums of log-probabilities by document.  Only the dishes of one
+    bucket and a few rows of tokens are held at a time."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         history = shared.value
         g = history[-1]
-        empty = Dishes(np.empty(0, np.uint64), np.empty(0, np.uint16), np.empty(0, np.int64))
-        d = load_dishes(right["dishes"].iloc[0])[0] if len(right) else empty
-        models = []
-        if len(d.words):
-            for turn, (h, t, c0, t0) in enumerate(sweeps(d, history)):
-                if turn >= BURN_IN:
-                    models.append((h["next"], d.count - h["d"] * t, d.parent(h["next"], c0, t0)))
-        else:
-            models = [(h["next"], np.empty(0), np.empty(0)) for h in history[BURN_IN:]]
-        # (word, context) of a dish as one sorted number.
-        dish_key = d.group * CONTEXTS + d.ctx
-        out = []
-        for batch, head, payload in zip(left["batch"], left["head"], left["payload"], strict=True):
-            h, runs, ctx, doc = read_tokens(payload)
-            i = np.searchsorted(d.words, h)
-            known = np.zeros(len(h), bool)
-            inside = i < len(d.words)
-            known[inside] = d.words[i[inside]] == h[inside]
-            w = np.repeat(np.where(known, i, -1), runs)
-            c = ctx.astype(np.int64)
-            ask = w * CONTEXTS + c
-            j = np.searchsorted(dish_key, ask)
-            has = (w >= 0) & (j < len(dish_key))
-            has[has] = dish_key[j[has]] == ask[has]
-            p = np.zeros(len(c))
-            for m, seated, root in models:
-                new = (STRENGTH + m["d0"] * m["root_tables"]) / (m["v"] + 1)
-                base = np.full(len(c), new / (STRENGTH + m["root_customers"]))
-                base[w >= 0] = root[w[w >= 0]]
-                mass = np.zeros(len(c))
-                mass[has] = seated[j[has]]
-                p += ((mass + (STRENGTH + m["d"] * m["tables"][c]) * base)
-                      / (STRENGTH + m["customers"][c]))
-            lp = np.log10(p / len(models))
-            counts = np.where(w >= 0, d.total[w] if len(d.total) else 0, 0)
-            lb = np.log10((counts + 0.5) / (g["n"] + 0.5 * g["v"] + 0.5))
-            some, at = np.unique(doc, return_inverse=True)
-            out.append((int(key[0]), batch, some.astype(np.uint16).tobytes()
-                        + np.bincount(at, lp, len(some)).tobytes()
-                        + np.bincount(at, lb, len(some)).tobytes()
-                        + np.bincount(at, counts > 0, len(some)).astype(np.uint32).tobytes()))
-        return pd.DataFrame(out, columns=["bucket", "batch", "part"])
+        none = Dishes(np.empty(0, np.uint64), np.empty(0, np.uint16), np.empty(0, np.int64))
+        at_bucket, d, models, dish_key = None, none, [], np.empty(0, np.int64)
+        for pdf in batches:
+            out = []
+            for bucket, kind, batch, payload in zip(pdf["bucket"], pdf["kind"], pdf["batch"],
+                                                    pdf["payload"], strict=True):
+                if bucket != at_bucket:
+                    at_bucket = bucket
+                    d = load_dishes(payload)[0] if kind == "a" else none
+                    models = models_of(d, history)
+                    # (word, context) of a dish as one sorted number.
+                    dish_key = d.group * CONTEXTS + d.ctx
+                if kind == "t":
+                    out.append((bucket, batch, score_tokens(payload, d, dish_key, models, g)))
+            yield pd.DataFrame(out, columns=["bucket", "batch", "part"])
     return run
 
 
+def score_tokens(payload: bytes, d: Dishes, dish_key: np.ndarray, models: list, g: dict) -> bytes:
+    """Packed (documents, sums of score, base score and known tokens)."""
+    h, runs, ctx, doc = read_tokens(payload)
+    i = np.searchsorted(d.words, h)
+    known = np.zeros(len(h), bool)
+    inside = i < len(d.words)
+    known[inside] = d.words[i[inside]] == h[inside]
+    w = np.repeat(np.where(known, i, -1), runs)
+    c = ctx.astype(np.int64)
+    ask = w * CONTEXTS + c
+    j = np.searchsorted(dish_key, ask)
+    has = (w >= 0) & (j < len(dish_key))
+    has[has] = dish_key[j[has]] == ask[has]
+    p = np.zeros(len(c))
+    for m, seated, root in models:
+        new = (STRENGTH + m["d0"] * m["root_tables"]) / (m["v"] + 1)
+        base = np.full(len(c), new / (STRENGTH + m["root_customers"]))
+        base[w >= 0] = root[w[w >= 0]]
+        mass = np.zeros(len(c))
+        mass[has] = seated[j[has]]
+        p += ((mass + (STRENGTH + m["d"] * m["tables"][c]) * base)
+              / (STRENGTH + m["customers"][c]))
+    lp = np.log10(p / len(models))
+    counts = np.where(w >= 0, d.total[w] if len(d.total) else 0, 0)
+    lb = np.log10((counts + 0.5) / (g["n"] + 0.5 * g["v"] + 0.5))
+    some, at = np.unique(doc, return_inverse=True)
+    return (some.astype(np.uint16).tobytes() + np.bincount(at, lp, len(some)).tobytes()
+            + np.bincount(at, lb, len(some)).tobytes()
+            + np.bincount(at, counts > 0, len(some)).astype(np.uint32).tobytes())
+
+
 def _gather(key, docs: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
     """Sum a batch's partial scores by document."""
     n_tok = np.frombuffer(docs["payload"].iloc[0], np.int64)
@@ -525,9 +539,14 @@ def hpy_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "t
                      "root_tables": got[1, ROOT_TABLES]}
         history[-1] = history[-1] | {"next": now}
     past = spark.sparkContext.broadcast(history)
-    parts = written(packed.filter("kind = 't'").groupBy("bucket").cogroup(
-        dishes.groupBy("bucket")).applyInPandas(
-        _score(past), "bucket int, batch string, part binary"), "hpylm-parts")
+    tokens = packed.filter("kind = 't'").select("bucket", "kind", "batch", "payload")
+    rows = dishes.select("bucket", F.lit("a").alias("kind"), F.lit("").alias("batch"),
+                         F.col("dishes").alias("payload")).unionByName(tokens)
+    small_batches(spark, 16)  # rows of about 100 kB
+    parts = written(rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+                    .mapInPandas(_score(past), "bucket int, batch string, part binary"),
+                    "hpylm-parts")
+    small_batches(spark)
     heads = packed.filter("kind = 'd'")
     out = heads.groupBy("batch").cogroup(parts.groupBy("batch")).applyInPandas(
         _gather, "doc_id long, held_out boolean, n_tokens long, n_known long, "
