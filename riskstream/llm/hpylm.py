@@ -522,6 +522,7 @@ def hpy_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "t
     packed = written(d.select("d_", "h_", F.col("text").alias("t_")).mapInPandas(
         _packer(shared), "bucket int, kind string, batch string, head binary, payload binary"),
         "hpylm-tokens", partition_by=["kind"])
+    small_batches(spark, 16)  # from here on rows are of about 100 kB
     in_bucket = packed.filter(F.col("kind").isin("t", "c"))
     dishes = written(in_bucket.groupBy("bucket").applyInPandas(
         _pack_dishes(shared), "bucket int, dishes binary"), "hpylm-dishes")
@@ -542,7 +543,6 @@ def hpy_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "t
     tokens = packed.filter("kind = 't'").select("bucket", "kind", "batch", "payload")
     rows = dishes.select("bucket", F.lit("a").alias("kind"), F.lit("").alias("batch"),
                          F.col("dishes").alias("payload")).unionByName(tokens)
-    small_batches(spark, 16)  # rows of about 100 kB
     parts = written(rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
                     .mapInPandas(_score(past), "bucket int, batch string, part binary"),
                     "hpylm-parts")
