@@ -2,18 +2,19 @@
 
 Every token is a customer of the restaurant of its context, the restaurants
 share one parent (the unigram restaurant), whose base is uniform over the
-training vocabulary and one unknown word.  Contexts are the previous word: each
-of the ``CONTEXT_WORDS`` most frequent ones has a restaurant of its own, the
-others share one by their last two bytes (``SUFFIX_CONTEXTS`` of them), so the
-restaurants' totals are a bounded vector while the dishes (context, word,
-count) grow with the corpus.
+training vocabulary and one unknown word.  The context is the whole previous
+word, by its 64-bit hash; every one that occurs has a restaurant of its own, so
+the restaurants grow with the corpus as the dishes (context, word, count) do.
 
 Seating is sampled by blocked Gibbs sweeps: given the totals of all
 restaurants, the tables of each (context, word) are reseated customer by
 customer, in parallel over words; then the parent seats one customer a table.
-The totals are summed for the next sweep.  Random numbers are hashes of (word,
-context, step, sweep), so lost tasks are redone alike.  The predictive
-probability is averaged over the sweeps after the burn-in.
+A bucket of words holds the totals of the contexts that occur in it.  After a
+sweep every bucket sends its part of these, cut by ranges of the context's hash;
+the parts of one range are summed in a group and the sums go back in a written
+table.  A context has at most one entry a bucket, so none is a hot key.  Random
+numbers are hashes of (word, context, step, sweep), so lost tasks are redone
+alike.  The predictive probability is averaged over the sweeps after the burn-in.
 
 The corpus is read twice: once to count words, once to pack each batch's
 tokens by word bucket (word hash, context, document) into binary rows.  Words
@@ -35,15 +36,14 @@ from pyspark.sql import functions as F
 
 from riskstream.llm.common import LOWER, small_batches, table, written
 
-CONTEXT_WORDS = 8192
-SUFFIX_CONTEXTS = 1024
-CONTEXTS = CONTEXT_WORDS + SUFFIX_CONTEXTS + 1  # the last is the start of a text
-START = CONTEXTS - 1
+CONTEXTS = 1 << 18  # about so many contexts of buckets are summed in one group
+START = np.uint64(0x5354415254)  # the context of a text's first token
 END = b"\n"  # no word holds white space
 BURN_IN = 2
 SAMPLES = 3
 TOKENS_PER_BUCKET = 2_500_000
-EXACT_STEPS = 48
+ONE_BY_ONE = 48
+SEATS = 1 << 18  # customers held at a time when they are seated in runs
 STRENGTH = 5.0
 NO_ID = -(1 << 63)  # stands for a null id inside the packed rows
 PACK_TOKENS = 1_000_000
@@ -93,17 +93,6 @@ def word_counts(train: DataFrame) -> DataFrame:
 
 # --- packing ----------------------------------------------------------------
 
-class Contexts:
-    """The context of a token from the word before it."""
-
-    def __init__(self, frequent: list[bytes]):
-        self.own = {w: i for i, w in enumerate(frequent)}
-
-    def after(self, word: bytes) -> int:
-        i = self.own.get(word)
-        return i if i is not None else CONTEXT_WORDS + zlib.crc32(word[-2:]) % SUFFIX_CONTEXTS
-
-
 def bucket_of(h: np.ndarray, n: int) -> np.ndarray:
     return (mix(h ^ np.uint64(0x51ED270B)) % np.uint64(n)).astype(np.int64)
 
@@ -119,7 +108,11 @@ def ways_of(h: np.ndarray, spread: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return out
 
 
-def _pack_batch(docs: list[list[bytes]], trains: np.ndarray, contexts: Contexts,
+def index_type(n: int) -> type:
+    return np.uint16 if n <= 1 << 16 else np.uint32
+
+
+def _pack_batch(docs: list[list[bytes]], trains: np.ndarray,
                 spread: tuple[np.ndarray, np.ndarray], buckets: int, salt: int
                 ) -> list[tuple[int, str, bytes]]:
     """(bucket, kind, payload) rows of one batch; kind ``t`` holds tokens to
@@ -132,7 +125,7 @@ def _pack_batch(docs: list[list[bytes]], trains: np.ndarray, contexts: Contexts,
         ids.setdefault(END, len(ids))
     vocab = list(ids)
     hashes = word_hashes(vocab)
-    context = np.fromiter((contexts.after(w) for w in vocab), np.uint16, len(vocab))
+    names = np.append(hashes, START)  # of contexts
     lengths = np.array([len(d) + 1 for d in docs])
     total = int(lengths.sum())
     word = np.empty(total, np.int64)
@@ -141,9 +134,9 @@ def _pack_batch(docs: list[list[bytes]], trains: np.ndarray, contexts: Contexts,
         word[at:at + len(d)] = [ids[w] for w in d]
         word[at + len(d)] = ids[END]
         at += len(d) + 1
-    ctx = np.empty(total, np.uint16)
-    ctx[1:] = context[word[:-1]]
-    ctx[np.cumsum(lengths) - lengths] = START
+    ctx = np.empty(total, np.int64)
+    ctx[1:] = word[:-1]
+    ctx[np.cumsum(lengths) - lengths] = len(vocab)
     doc = np.repeat(np.arange(len(docs), dtype=np.uint16), lengths)
 
     home = bucket_of(hashes, buckets)
@@ -158,14 +151,16 @@ def _pack_batch(docs: list[list[bytes]], trains: np.ndarray, contexts: Contexts,
         w = word[lo:hi]
         new = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
         runs = np.diff(np.r_[new, hi - lo]).astype(np.uint32)
+        own, c = np.unique(ctx[lo:hi], return_inverse=True)
         out.append((int(at_bucket[lo]), "t", b"".join([
-            np.array([len(new), hi - lo], np.uint32).tobytes(), hashes[w[new]].tobytes(),
-            runs.tobytes(), ctx[lo:hi].tobytes(), doc[lo:hi].tobytes()])))
+            np.array([len(new), hi - lo, len(own)], np.uint32).tobytes(), hashes[w[new]].tobytes(),
+            names[own].tobytes(), runs.tobytes(), c.astype(index_type(len(own))).tobytes(),
+            doc[lo:hi].tobytes()])))
     many = np.flatnonzero(ways > 1)
     if len(many):
         mine = (ways[word] > 1) & trains[doc]
-        key, count = np.unique(word[mine] * 65536 + ctx[mine], return_counts=True)
-        kw, kc = key // 65536, (key % 65536).astype(np.uint16)
+        key, count = np.unique(word[mine] * len(names) + ctx[mine], return_counts=True)
+        kw, kc = key // len(names), names[key % len(names)]
         for j in range(int(ways.max())):
             use = ways[kw] > j
             to = (home[kw] + j) % buckets
@@ -179,15 +174,14 @@ def _pack_batch(docs: list[list[bytes]], trains: np.ndarray, contexts: Contexts,
 
 def _packer(model):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frequent, spread, buckets = model.value
-        contexts = Contexts(frequent)
+        spread, buckets = model.value
         docs, ids, held = [], [], []
         size = done = 0
         task = TaskContext.get().partitionId()
 
         def flush() -> pd.DataFrame:
             mask = np.array(held, np.uint8)
-            rows = _pack_batch(docs, mask == 0, contexts, spread, buckets, task + done)
+            rows = _pack_batch(docs, mask == 0, spread, buckets, task + done)
             key = f"{task}-{done}"
             out = [(b, k, key, mask.tobytes() if k == "t" else b"", p) for b, k, p in rows]
             out.append((-1, "d", key, np.array(ids, np.int64).tobytes() + mask.tobytes(),
@@ -210,9 +204,10 @@ def _packer(model):
 
 # --- seating ----------------------------------------------------------------
 
-def uniforms(key: np.ndarray, step: int, sweep: int) -> np.ndarray:
-    seed = (step * 0x9E3779B97F4A7C15 + sweep * 0xD1B54A32D192ED03 + 1) & 0xFFFFFFFFFFFFFFFF
-    return ((mix(key + np.uint64(seed)) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
+def uniforms(key: np.ndarray, step: int | np.ndarray, sweep: int) -> np.ndarray:
+    seed = (np.atleast_1d(step).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            + np.uint64((sweep * 0xD1B54A32D192ED03 + 1) & 0xFFFFFFFFFFFFFFFF))
+    return ((mix(key + seed) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
 
 
 def seat(count: np.ndarray, open_mass: np.ndarray, discount: float, key: np.ndarray,
@@ -221,29 +216,56 @@ def seat(count: np.ndarray, open_mass: np.ndarray, discount: float, key: np.ndar
     table has weight ``open_mass`` (strength and discount mass times the
     parent's probability), the occupied ones the customers less the discounts.
 
-    After ``EXACT_STEPS`` customers they are seated in groups of a sixteenth of
-    those already there; a group opens the expected number of tables, rounded at
-    random.  No customer is left out, and steps grow with log(count).
+    The first ``ONE_BY_ONE`` customers of all dishes are seated in step, those
+    after them in runs: who opens a table depends on the tables opened before in
+    the run, so that is worked out again until nothing changes, which is the
+    seating one by one.  Every customer has a random number of its own.
     """
     tables = np.minimum(count, 1).astype(np.float64)
     live = np.flatnonzero(count > 1)
     n = 1
     while len(live):
-        size = np.minimum(1 if n < EXACT_STEPS else max(1, n // 16), count[live] - n)
-        t = tables[live]
-        p = open_mass[live] / (open_mass[live] + n + (size - 1) / 2 - discount * t)
-        u = uniforms(key[live], n, sweep)
-        tables[live] = t + np.floor(size * p + u)  # for one customer: u > 1 - p
-        n += 1 if n < EXACT_STEPS else max(1, n // 16)
+        if n < ONE_BY_ONE:
+            size = 1
+            t = tables[live]
+            u = uniforms(key[live], n, sweep)
+            tables[live] = t + (u * (open_mass[live] + n - discount * t) < open_mass[live])
+        else:
+            size = min(n // 4, SEATS)
+            rows = max(1, SEATS // size)
+            for lo in range(0, len(live), rows):
+                part = live[lo:lo + rows]
+                tables[part] += _run(n, size, count[part], open_mass[part], discount,
+                                     tables[part], key[part], sweep)
+        n += size
         live = live[count[live] > n]
     return tables
 
 
+def _run(n: int, size: int, count: np.ndarray, open_mass: np.ndarray, discount: float,
+         tables: np.ndarray, key: np.ndarray, sweep: int) -> np.ndarray:
+    """Tables that customers n to n + size - 1 of each dish open."""
+    step = n + np.arange(min(size, int(count.max()) - n))
+    here = step[None, :] < count[:, None]
+    mass = open_mass[:, None]
+    u = uniforms(key[:, None], step, sweep)
+    rest = mass + step[None, :] - discount * tables[:, None]
+    opens = np.zeros(u.shape, bool)
+    while True:
+        before = np.cumsum(opens, axis=1) - opens
+        again = (u * (rest - discount * before) < mass) & here
+        if (again == opens).all():
+            return opens.sum(axis=1)
+        opens = again
+
+
 class Dishes:
     """Training counts of one bucket: words (sorted hashes) and, by word, the
-    contexts with their counts."""
+    contexts (places in ``names``, the sorted hashes of the bucket's contexts)
+    with their counts."""
 
-    def __init__(self, word: np.ndarray, ctx: np.ndarray, count: np.ndarray, merged: bool = False):
+    def __init__(self, word: np.ndarray, ctx: np.ndarray, count: np.ndarray, merged: bool = False,
+                 names: np.ndarray | None = None):
         if not merged:
             order = np.lexsort((ctx, word))
             word, ctx, count = word[order], ctx[order], count[order]
@@ -257,7 +279,9 @@ class Dishes:
         self.group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(self.word)]))
         self.total = (np.bincount(self.group, self.count, len(first)).astype(np.int64)
                       if len(first) else np.empty(0, np.int64))
-        self.key = mix(self.word * np.uint64(0x9E3779B97F4A7C15) + self.ctx.astype(np.uint64))
+        self.names = names
+        of = self.ctx.astype(np.uint64) if names is None else names[self.ctx]
+        self.key = mix(self.word * np.uint64(0x9E3779B97F4A7C15) + of)
         self.root_key = mix(self.words ^ np.uint64(0xABCDEF))
 
     def sweep(self, g: dict, root: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -275,191 +299,286 @@ class Dishes:
         return (c0 - g["d0"] * t0 + new) / (STRENGTH + g["root_customers"])
 
 
-def read_tokens(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """word hashes, run lengths, contexts, documents of a packed token row."""
-    n, total = np.frombuffer(payload, np.uint32, 2)
-    at = 8
+NO_DISHES = Dishes(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64),
+                   names=np.empty(0, np.uint64))
+
+
+def sweeps(d: Dishes, history: list[dict], root: np.ndarray | None = None, turn: int = 0
+           ) -> Iterator[tuple[dict, np.ndarray, np.ndarray, np.ndarray]]:
+    """(totals, tables, the parent's customers and tables) of a sweep for each of
+    the totals given; ``root`` are the words' probabilities before the first."""
+    if root is None:  # before any sweep: the unigram frequencies
+        root = (d.total + 0.5) / (history[0]["n"] + 0.5 * (history[0]["v"] + 1))
+    for g in history:
+        t, c0, t0 = d.sweep(g, root, turn)
+        yield g, t, c0, t0
+        turn += 1
+        root = d.parent(g["next"], c0, t0) if "next" in g else root
+
+
+def read_tokens(payload: bytes) -> tuple[np.ndarray, ...]:
+    """word hashes, context hashes, run lengths, contexts (places among the
+    hashes), documents of a packed token row."""
+    n, total, own = (int(x) for x in np.frombuffer(payload, np.uint32, 3))
+    at = 12
     parts = []
-    for kind, size in ((np.uint64, n), (np.uint32, n), (np.uint16, total), (np.uint16, total)):
-        parts.append(np.frombuffer(payload, kind, int(size), at))
-        at += int(size) * np.dtype(kind).itemsize
+    for kind, size in ((np.uint64, n), (np.uint64, own), (np.uint32, n), (index_type(own), total),
+                       (np.uint16, total)):
+        parts.append(np.frombuffer(payload, kind, size, at))
+        at += size * np.dtype(kind).itemsize
     return tuple(parts)
 
 
 def read_counts(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = int(np.frombuffer(payload, np.uint32, 1)[0])
-    return (np.frombuffer(payload, np.uint64, n, 4), np.frombuffer(payload, np.uint16, n, 4 + 8 * n),
-            np.frombuffer(payload, np.uint32, n, 4 + 10 * n))
+    return (np.frombuffer(payload, np.uint64, n, 4), np.frombuffer(payload, np.uint64, n, 4 + 8 * n),
+            np.frombuffer(payload, np.uint32, n, 4 + 16 * n))
 
 
 def dishes_of(pdf: pd.DataFrame, spread: tuple[np.ndarray, np.ndarray]) -> Dishes:
-    """The counts of a bucket's rows; dealt words come from the count rows."""
-    words, ctxs, counts = [], [], []
+    """The counts of a bucket's rows; dealt words come from the count rows.  The
+    contexts are those of all tokens, also of the ones that are only scored."""
+    words, ctxs, counts, seen = [], [], [], [np.empty(0, np.uint64)]
     for kind, head, payload in zip(pdf["kind"], pdf["head"], pdf["payload"], strict=True):
         if kind == "t":
-            h, runs, ctx, doc = read_tokens(payload)
+            h, own, runs, ctx, doc = read_tokens(payload)
             trains = np.frombuffer(head, np.uint8)[doc] == 0
             trains = trains & (np.repeat(ways_of(h, spread), runs) == 1)
             gid = np.repeat(np.arange(len(h)), runs)[trains]
-            key, n = np.unique(gid * 65536 + ctx[trains], return_counts=True)
-            words.append(h[key // 65536])
-            ctxs.append((key % 65536).astype(np.uint16))
+            key, n = np.unique(gid * len(own) + ctx[trains], return_counts=True)
+            words.append(h[key // len(own)])
+            ctxs.append(own[key % len(own)])
             counts.append(n.astype(np.int64))
+            seen.append(own)
         else:
             h, ctx, n = read_counts(payload)
             words.append(h)
             ctxs.append(ctx)
             counts.append(n.astype(np.int64))
+            seen.append(np.unique(ctx))
+    names = np.unique(np.concatenate(seen))
     if not words:
-        return Dishes(np.empty(0, np.uint64), np.empty(0, np.uint16), np.empty(0, np.int64))
-    return Dishes(np.concatenate(words), np.concatenate(ctxs), np.concatenate(counts))
+        return NO_DISHES
+    return Dishes(np.concatenate(words), np.searchsorted(names, np.concatenate(ctxs)),
+                  np.concatenate(counts), names=names)
+
+
+def packed_arrays(*arrays: np.ndarray) -> bytes:
+    """Arrays of 64-bit numbers in one value, each deflated."""
+    parts = [zlib.compress(a.tobytes(), 1) for a in arrays]
+    return np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
+
+
+def unpacked(blob: bytes, *kinds: type) -> list[np.ndarray]:
+    ends = 8 * len(kinds) + np.cumsum(np.frombuffer(blob, np.int64, len(kinds)))
+    starts = [8 * len(kinds), *ends[:-1]]
+    return [np.frombuffer(zlib.decompress(blob[a:b]), k)
+            for a, b, k in zip(starts, ends, kinds, strict=True)]
 
 
 def _pack_dishes(model):
     """All rows of a bucket -> one row with its dishes; ``mine`` marks words
     that are counted here (a dealt word is counted in its first bucket only)."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        spread, buckets = model.value[1], model.value[2]
+        spread, buckets = model.value
         d = dishes_of(pdf, spread)
         b = int(pdf["bucket"].iloc[0])
         mine = (ways_of(d.words, spread) == 1) | (bucket_of(d.words, buckets) == b)
-        size = np.array([len(d.word), len(d.words)], np.int64)
-        return pd.DataFrame({"bucket": [b], "dishes": [b"".join([
-            size.tobytes(), d.word.tobytes(), d.ctx.astype(np.uint16).tobytes(),
-            d.count.astype(np.int64).tobytes(), mine.astype(np.uint8).tobytes()])]})
+        runs = np.bincount(d.group, minlength=len(d.words)).astype(np.int64)
+        return pd.DataFrame({"bucket": [b], "contexts": [len(d.names)], "dishes": [packed_arrays(
+            d.words, d.names, runs, d.ctx.astype(np.uint32), d.count.astype(np.int64),
+            mine.astype(np.uint8))]})
     return run
 
 
 def load_dishes(blob: bytes) -> tuple[Dishes, np.ndarray]:
-    n, w = (int(x) for x in np.frombuffer(blob, np.int64, 2))
-    word = np.frombuffer(blob, np.uint64, n, 16)
-    ctx = np.frombuffer(blob, np.uint16, n, 16 + 8 * n)
-    count = np.frombuffer(blob, np.int64, n, 16 + 10 * n) if n else np.empty(0, np.int64)
-    mine = np.frombuffer(blob, np.uint8, w, 16 + 18 * n)
-    return Dishes(word, ctx, count, merged=True), mine > 0
-
-
-def sweeps(d: Dishes, history: list[dict]) -> Iterator[tuple[dict, np.ndarray, np.ndarray, np.ndarray]]:
-    """(totals, root probabilities used next, tables, ...) of each past sweep,
-    redrawn from the totals that it was given."""
-    root = None
-    for turn, g in enumerate(history):
-        if root is None:  # before the first sweep: the unigram frequencies
-            root = (d.total + 0.5) / (g["n"] + 0.5 * (g["v"] + 1))
-        t, c0, t0 = d.sweep(g, root, turn)
-        yield g, t, c0, t0
-        if "next" in g:
-            root = d.parent(g["next"], c0, t0)
-
-
-#: Rows beside the contexts' in what a pass sums up.
-ROOT_CUSTOMERS, ROOT_TABLES, ONES, TWOS, ROOT_ONES, ROOT_TWOS = range(CONTEXTS, CONTEXTS + 6)
-SUMS = CONTEXTS + 6
-
+    words, names, runs, ctx, count, mine = unpacked(
+        blob, np.uint64, np.uint64, np.int64, np.uint32, np.int64, np.uint8)
+    return Dishes(np.repeat(words, runs), ctx.astype(np.int64), count, merged=True,
+                  names=names), mine > 0
+
+
+# Rows that go around between sweeps: ``a`` a bucket's dishes, ``b`` its seating
+# (parent's customers and tables of each word, tables of each dish summed over
+# the samples), ``g`` totals of its contexts in one range of hashes.
+ROW = "bucket int, kind string, turn int, part int, payload binary, sums array<double>"
+ROOT_CUSTOMERS, ROOT_TABLES, ONES, TWOS, ROOT_ONES, ROOT_TWOS = range(6)
+
+
+def by_bucket(rows: Iterator[pd.DataFrame], then) -> Iterator[list]:
+    """``then(bucket, rows)`` of each bucket; rows are sorted by bucket, the
+    dishes first, and held for one bucket at a time."""
+    at, held = None, []
+    for pdf in rows:
+        for r in pdf.itertuples(index=False):
+            if r.bucket != at and held:
+                yield then(at, held)
+                held = []
+            at = r.bucket
+            held.append(r)
+    if held:
+        yield then(at, held)
+
+
+def joined_totals(rows: list) -> np.ndarray:
+    """(customers, tables) of a bucket's contexts from its ranges, which are in
+    the order of the hashes."""
+    got = [unpacked(r.payload, np.int64, np.int64) for r in sorted(rows, key=lambda r: r.part)]
+    return np.array([np.concatenate([x[i] for x in got]) for i in (0, 1)], np.float64)
+
+
+def part_of(names: np.ndarray, parts: int) -> np.ndarray:
+    """The range of each (sorted) context hash."""
+    return ((names >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _sweep(shared):
+    """The rows of a turn: per bucket its share of the contexts' totals by range,
+    before any sweep with one table a dish and how many dishes have one or two
+    customers, and its seating."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        history, parts, keep = shared.value
+        turn = len(history)
 
-def _summed(blobs: Iterator[bytes], history: list[dict]) -> Iterator[np.ndarray]:
-    """Per bucket: (customers, tables) of each context; before any sweep one
-    table a dish, with how many dishes have one or two customers."""
-    for blob in blobs:
-        d, mine = load_dishes(blob)
-        out = np.zeros((2, SUMS))
-        if len(d.words):
+        def one(bucket: int, rows: list) -> pd.DataFrame:
+            d, mine = load_dishes(rows[0].payload)
             use = mine[d.group]
-            if history:
-                for _, t, c0, t0 in sweeps(d, history):
-                    pass
-                out[1, ROOT_CUSTOMERS], out[1, ROOT_TABLES] = c0[mine].sum(), t0[mine].sum()
+            sums = np.zeros(6)
+            n = len(d.names)
+            out = []
+            if turn:
+                root = samples = None
+                for r in rows:
+                    if r.kind == "b":
+                        c0, t0, samples = unpacked(r.payload, np.int64, np.int64, np.int64)
+                        root = d.parent(history[-1], c0, t0)
+                tables = joined_totals([r for r in rows if r.kind == "g"])[1]
+                (_, t, c0, t0), = sweeps(d, [history[-1] | {"tables": tables}], root, turn - 1)
+                sums[ROOT_CUSTOMERS], sums[ROOT_TABLES] = c0[mine].sum(), t0[mine].sum()
+                samples = (np.zeros(len(t), np.int64) if samples is None else samples) + (
+                    t.astype(np.int64) if keep else 0)
+                out.append((bucket, "b", turn, -1 - bucket, packed_arrays(
+                    c0.astype(np.int64), t0.astype(np.int64), samples), sums))
             else:
                 t = np.ones(len(d.word))
                 per_word = np.bincount(d.group, minlength=len(d.words))
-                for row, x in ((ONES, d.count[use] == 1), (TWOS, d.count[use] == 2),
-                               (ROOT_ONES, per_word[mine] == 1), (ROOT_TWOS, per_word[mine] == 2)):
-                    out[1, row] = x.sum()
-            out[0, :CONTEXTS] = np.bincount(d.ctx[use], d.count[use], CONTEXTS)
-            out[1, :CONTEXTS] = np.bincount(d.ctx[use], t[use], CONTEXTS)
-        yield out
+                for i, x in ((ONES, d.count[use] == 1), (TWOS, d.count[use] == 2),
+                             (ROOT_ONES, per_word[mine] == 1), (ROOT_TWOS, per_word[mine] == 2)):
+                    sums[i] = x.sum()
+                out.append((bucket, "b", 0, -1 - bucket, b"", sums))
+            total = [np.bincount(d.ctx[use], x[use], n).astype(np.int64) for x in (d.count, t)]
+            cuts = np.searchsorted(part_of(d.names, parts), np.arange(parts + 1))
+            for p in range(parts):
+                at = slice(cuts[p], cuts[p + 1])
+                out.append((bucket, "g", turn, p, packed_arrays(
+                    d.names[at], total[0][at], total[1][at]), np.zeros(6)))
+            return pd.DataFrame(out, columns=["bucket", "kind", "turn", "part", "payload", "sums"])
+        yield from by_bucket(batches, one)
+    return run
 
 
-def _totals(shared):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((2, SUMS))
-        for pdf in batches:
-            for x in _summed(pdf["dishes"], shared.value):
-                total += x
-        yield pd.DataFrame({"row": np.arange(SUMS), "customers": total[0], "tables": total[1]})
-    return run
+def _sum_part(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The totals of a range's contexts, given to every bucket that has them."""
+    if pdf["kind"].iloc[0] == "b":
+        return pdf
+    got = [unpacked(p, np.uint64, np.int64, np.int64) for p in pdf["payload"]]
+    names, at = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
+    total = [np.bincount(at, np.concatenate([g[i] for g in got]), len(names)).astype(np.int64)
+             for i in (1, 2)]
+    ends = np.cumsum([len(g[0]) for g in got])[:-1]
+    back = [packed_arrays(total[0][a], total[1][a]) for a in np.split(at, ends)]
+    return pdf.assign(payload=back)
 
 
-def totals(dishes: DataFrame, history: list[dict]) -> np.ndarray:
-    """The sums over all buckets: a bounded vector, summed by Spark."""
-    shared = dishes.sparkSession.sparkContext.broadcast(history)
-    got = (dishes.select("dishes").mapInPandas(_totals(shared), "row int, customers double, tables double")
-           .groupBy("row").agg(F.sum("customers"), F.sum("tables")).collect())
-    out = np.zeros((2, SUMS))
-    for r in got:
-        out[:, r[0]] = r[1], r[2]
-    return out
+def turn_rows(dishes: DataFrame, before: DataFrame | None, history: list[dict], parts: int,
+              buckets: int, keep: bool) -> tuple[DataFrame, np.ndarray]:
+    """The written rows of a sweep and the sums over all buckets."""
+    shared = dishes.sparkSession.sparkContext.broadcast((history, parts, keep))
+    rows = dishes.select("bucket", "kind", "turn", "part", "payload")
+    if before is not None:
+        # Before the second sweep there is no seating, only sums.
+        rows = rows.unionByName(before.filter((F.col("kind") == "g") | (F.col("turn") > 0))
+                                .select(*rows.columns))
+    out = written(sorted_by_bucket(rows, buckets).mapInPandas(_sweep(shared), ROW)
+                  .groupBy("part").applyInPandas(_sum_part, ROW), "hpylm-turn")
+    sums = out.filter("kind = 'b'").agg(*[F.sum(F.col("sums")[i]) for i in range(6)]).first()
+    return out, np.array([float(x or 0) for x in sums])
+
+
+def sorted_by_bucket(rows: DataFrame, buckets: int) -> DataFrame:
+    return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind", "turn", "part")
 
 
 # --- scoring ----------------------------------------------------------------
 
-def models_of(d: Dishes, history: list[dict]) -> list[tuple[dict, np.ndarray, np.ndarray]]:
-    """(totals, customers less discounts of each dish, parent's probabilities)
-    of each sweep after the burn-in."""
-    if not len(d.words):
-        return [(h["next"], np.empty(0), np.empty(0)) for h in history[BURN_IN:]]
-    return [(h["next"], d.count - h["d"] * t, d.parent(h["next"], c0, t0))
-            for turn, (h, t, c0, t0) in enumerate(sweeps(d, history)) if turn >= BURN_IN]
+class Model:
+    """What scores the tokens of one bucket: the dishes, the customers less
+    discounts of each and, by sample, the contexts' tables and the parent's
+    probabilities."""
+
+    def __init__(self, rows: list, history: list[dict]):
+        self.d = load_dishes(rows[0].payload)[0] if rows else NO_DISHES
+        totals = {t: joined_totals([r for r in rows if r.kind == "g" and r.turn == t])
+                  for t in {r.turn for r in rows if r.kind == "g"}}
+        n = len(self.d.names)
+        self.customers = totals[0][0] if 0 in totals else np.zeros(n)
+        self.samples, seated = [], np.zeros(len(self.d.word))
+        for turn in range(BURN_IN + 1, len(history)):
+            g = history[turn]
+            seating = [r.payload for r in rows if r.kind == "b" and r.turn == turn]
+            root = np.empty(0)
+            if seating:
+                c0, t0, tables = unpacked(seating[0], np.int64, np.int64, np.int64)
+                root, seated = self.d.parent(g, c0, t0), tables
+            self.samples.append((g, totals[turn][1] if turn in totals else np.zeros(n), root))
+        self.seated = len(self.samples) * self.d.count - history[0]["d"] * seated
+        self.dish_key = self.d.group * max(1, n) + self.d.ctx  # (word, context), sorted
 
 
 def _score(shared):
-    """Rows sorted by bucket, a bucket's dishes before its packed tokens: per
-    batch the sums of log-probabilities by document.  Only the dishes of one
-    bucket and a few rows of tokens are held at a time."""
+    """Rows sorted by bucket, a bucket's dishes, seatings and totals before its
+    packed tokens: per batch the sums of log-probabilities by document.  Only
+    one bucket's and a few rows of tokens are held at a time."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         history = shared.value
-        g = history[-1]
-        none = Dishes(np.empty(0, np.uint64), np.empty(0, np.uint16), np.empty(0, np.int64))
-        at_bucket, d, models, dish_key = None, none, [], np.empty(0, np.int64)
+        at_bucket, held, model = None, [], None
         for pdf in batches:
             out = []
-            for bucket, kind, batch, payload in zip(pdf["bucket"], pdf["kind"], pdf["batch"],
-                                                    pdf["payload"], strict=True):
-                if bucket != at_bucket:
-                    at_bucket = bucket
-                    d = load_dishes(payload)[0] if kind == "a" else none
-                    models = models_of(d, history)
-                    # (word, context) of a dish as one sorted number.
-                    dish_key = d.group * CONTEXTS + d.ctx
-                if kind == "t":
-                    out.append((bucket, batch, score_tokens(payload, d, dish_key, models, g)))
+            for r in pdf.itertuples(index=False):
+                if r.bucket != at_bucket:
+                    at_bucket, held, model = r.bucket, [], None
+                if r.kind != "t":
+                    held.append(r)
+                    continue
+                if model is None:
+                    model, held = Model(held, history), []
+                out.append((r.bucket, r.batch, score_tokens(r.payload, model, history[0])))
             yield pd.DataFrame(out, columns=["bucket", "batch", "part"])
     return run
 
 
-def score_tokens(payload: bytes, d: Dishes, dish_key: np.ndarray, models: list, g: dict) -> bytes:
+def score_tokens(payload: bytes, model: Model, g: dict) -> bytes:
     """Packed (documents, sums of score, base score and known tokens)."""
-    h, runs, ctx, doc = read_tokens(payload)
+    h, own, runs, ctx, doc = read_tokens(payload)
+    d = model.d
     i = np.searchsorted(d.words, h)
     known = np.zeros(len(h), bool)
     inside = i < len(d.words)
     known[inside] = d.words[i[inside]] == h[inside]
     w = np.repeat(np.where(known, i, -1), runs)
-    c = ctx.astype(np.int64)
-    ask = w * CONTEXTS + c
-    j = np.searchsorted(dish_key, ask)
-    has = (w >= 0) & (j < len(dish_key))
-    has[has] = dish_key[j[has]] == ask[has]
+    c = np.searchsorted(d.names, own)[ctx]
+    ask = w * max(1, len(d.names)) + c
+    j = np.searchsorted(model.dish_key, ask)
+    has = (w >= 0) & (j < len(model.dish_key))
+    has[has] = model.dish_key[j[has]] == ask[has]
     p = np.zeros(len(c))
-    for m, seated, root in models:
+    p[has] = model.seated[j[has]]
+    for m, tables, root in model.samples:
         new = (STRENGTH + m["d0"] * m["root_tables"]) / (m["v"] + 1)
         base = np.full(len(c), new / (STRENGTH + m["root_customers"]))
         base[w >= 0] = root[w[w >= 0]]
-        mass = np.zeros(len(c))
-        mass[has] = seated[j[has]]
-        p += ((mass + (STRENGTH + m["d"] * m["tables"][c]) * base)
-              / (STRENGTH + m["customers"][c]))
-    lp = np.log10(p / len(models))
+        p += (STRENGTH + m["d"] * tables[c]) * base
+    lp = np.log10(p / (len(model.samples) * (STRENGTH + model.customers[c])))
     counts = np.where(w >= 0, d.total[w] if len(d.total) else 0, 0)
     lb = np.log10((counts + 0.5) / (g["n"] + 0.5 * g["v"] + 0.5))
     some, at = np.unique(doc, return_inverse=True)
@@ -509,15 +628,13 @@ def hpy_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "t
     counts = written(word_counts(d.filter(~F.col("h_"))), "hpylm-words")
     n, v = (int(x or 0) for x in counts.agg(F.sum("n"), F.count(F.lit(1))).first())
     buckets = max(1, -(-n // TOKENS_PER_BUCKET))
-    top = counts.orderBy(F.desc("n"), "word").limit(CONTEXT_WORDS).collect()
-    frequent = [bytes(r.word) for r in top]
     # A word with over a quarter of a bucket's tokens is dealt over several;
     # there are fewer than four such words a bucket.
     loaded = counts.filter(F.col("n") * (4 * buckets) > n).collect() if buckets > 1 else []
     keys = word_hashes([bytes(r.word) for r in loaded])
     ways = np.array([min(buckets, -(-r.n * buckets * 4 // n)) for r in loaded], np.int64)
     order = np.argsort(keys)
-    shared = spark.sparkContext.broadcast((frequent, (keys[order], ways[order]), buckets))
+    shared = spark.sparkContext.broadcast(((keys[order], ways[order]), buckets))
 
     packed = written(d.select("d_", "h_", F.col("text").alias("t_")).mapInPandas(
         _packer(shared), "bucket int, kind string, batch string, head binary, payload binary"),
@@ -525,30 +642,33 @@ def hpy_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "t
     small_batches(spark, 16)  # from here on rows are of about 100 kB
     in_bucket = packed.filter(F.col("kind").isin("t", "c"))
     dishes = written(in_bucket.groupBy("bucket").applyInPandas(
-        _pack_dishes(shared), "bucket int, dishes binary"), "hpylm-dishes")
-
-    start = totals(dishes, [])
-    now = {"n": n, "v": v, "d": discount(start[1, ONES], start[1, TWOS]),
-           "d0": discount(start[1, ROOT_ONES], start[1, ROOT_TWOS]),
-           "customers": start[0, :CONTEXTS], "tables": start[1, :CONTEXTS],
-           "root_customers": start[1, :CONTEXTS].sum(), "root_tables": float(v)}
-    history: list[dict] = []
-    for _ in range(BURN_IN + samples):
-        history.append(now)
-        got = totals(dishes, history)
-        now = now | {"tables": got[1, :CONTEXTS], "root_customers": got[1, ROOT_CUSTOMERS],
-                     "root_tables": got[1, ROOT_TABLES]}
-        history[-1] = history[-1] | {"next": now}
+        _pack_dishes(shared), "bucket int, contexts long, dishes binary"), "hpylm-dishes")
+    parts = max(1, -(-int(dishes.agg(F.sum("contexts")).first()[0] or 0) // CONTEXTS))
+    dishes = dishes.select("bucket", F.lit("a").alias("kind"), F.lit(0).alias("turn"),
+                           F.lit(0).alias("part"), F.col("dishes").alias("payload"))
+
+    rows, start = turn_rows(dishes, None, [], parts, buckets, False)
+    history = [{"n": n, "v": v, "d": discount(start[ONES], start[TWOS]),
+                "d0": discount(start[ROOT_ONES], start[ROOT_TWOS]),
+                "root_customers": 0.0, "root_tables": float(v)}]
+    kept = [rows.filter("kind = 'g'")]
+    for turn in range(1, BURN_IN + samples + 1):
+        rows, got = turn_rows(dishes, rows, history, parts, buckets, turn > BURN_IN)
+        history.append(history[0] | {"root_customers": got[ROOT_CUSTOMERS],
+                                     "root_tables": got[ROOT_TABLES]})
+        if turn > BURN_IN:
+            kept.append(rows)
     past = spark.sparkContext.broadcast(history)
-    tokens = packed.filter("kind = 't'").select("bucket", "kind", "batch", "payload")
-    rows = dishes.select("bucket", F.lit("a").alias("kind"), F.lit("").alias("batch"),
-                         F.col("dishes").alias("payload")).unionByName(tokens)
-    parts = written(rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
-                    .mapInPandas(_score(past), "bucket int, batch string, part binary"),
-                    "hpylm-parts")
+    everything = dishes.withColumn("batch", F.lit(""))
+    for k in kept:
+        everything = everything.unionByName(k.drop("sums").withColumn("batch", F.lit("")))
+    tokens = packed.filter("kind = 't'").select(
+        "bucket", "kind", F.lit(0).alias("turn"), F.lit(0).alias("part"), "payload", "batch")
+    scored = written(sorted_by_bucket(everything.unionByName(tokens), buckets).mapInPandas(
+        _score(past), "bucket int, batch string, part binary"), "hpylm-parts")
     small_batches(spark)
     heads = packed.filter("kind = 'd'")
-    out = heads.groupBy("batch").cogroup(parts.groupBy("batch")).applyInPandas(
+    out = heads.groupBy("batch").cogroup(scored.groupBy("batch")).applyInPandas(
         _gather, "doc_id long, held_out boolean, n_tokens long, n_known long, "
                  "base_score double, score double")
     return out.select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "held_out",

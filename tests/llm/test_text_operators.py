@@ -103,6 +103,33 @@ def test_hpylm_buckets_and_spread_words_do_not_change_counts(spark, monkeypatch)
     assert sum(r.score > r.base_score for r in one.values()) == 40
 
 
+def test_hpylm_seats_every_customer_as_one_by_one():
+    count = np.array([1, 2, 48, 49, 700, 5000])
+    mass = np.array([3.0, .5, 9.0, 2.0, 40.0, 900.0])
+    key = np.arange(6, dtype=np.uint64) * np.uint64(7919)
+    want = []
+    for c, m, k in zip(count, mass, key, strict=True):
+        t = 1
+        for i in range(1, c):
+            u = hpylm.uniforms(np.array([k]), i, 3)[0]
+            t += u * (m + i - .6 * t) < m
+        want.append(t)
+    assert hpylm.seat(count, mass, .6, key, 3).tolist() == want
+
+
+@pytest.mark.parametrize("bucket", [2_500_000, 9_000])
+def test_hpylm_rare_previous_words_have_contexts_of_their_own(spark, monkeypatch, bucket):
+    """More words than the 8,192 that once had one; "aab" and "zab" end alike."""
+    monkeypatch.setattr(hpylm, "TOKENS_PER_BUCKET", bucket)
+    filler = " ".join(f"w{i}" for i in range(9000))
+    rows = [(i, filler, "en", "a") for i in range(3)]
+    rows += [(10 + i, t, "en", "a") for i, t in enumerate(["aab one", "zab two"] * 2)]
+    rows += [(20, "aab one", "en", "a"), (21, "zab one", "en", "a")]
+    got = {r.doc_id: r.score for r in hpylm.hpy_scores(
+        edge_docs(spark, rows), F.col("doc_id") >= 20).collect()}
+    assert got[20] > got[21] + .5
+
+
 # --- 3 ----------------------------------------------------------------------
 
 def brute_components(rows, size=3, threshold=85):
