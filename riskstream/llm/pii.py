@@ -1,10 +1,11 @@
 """Surrogates for personal data (operator 10).
 
-DataFrame functions only.  Emails, phone numbers, payment cards, IPv4
-addresses, secrets and titled names are detected in whole texts and replaced
-by made-up values of the same type: same format (digits stay digits, case and
-punctuation stay), same script and gender for names, a valid check digit for
-cards, private addresses stay private.  A surrogate is a keyed hash of the
+DataFrame functions only.  Emails, phone numbers, payment cards, IBANs, US
+social security numbers, IPv4 and IPv6 addresses, secrets and titled names are
+detected in whole texts and replaced by made-up values of the same type: same
+format (digits stay digits, case and punctuation stay; an IPv6 address is
+written in full), same script and gender for names, valid check digits for
+cards and IBANs, private addresses stay private.  A surrogate is a keyed hash of the
 entity's canonical form, so the same entity gets the same surrogate in all
 documents and spellings.  Collision checks give a new attempt to an entity
 whose surrogate another entity has, or which equals a real entity, until all
@@ -29,8 +30,12 @@ KEY = "riskstream"
 MAX_ROUNDS = 50
 
 # Titles with the gender they tell, and name stock by script.
-TITLES_M = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин"]
-TITLES_F = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа"]
+TITLES_M = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Sir", "Lord",
+            "Signor", "Senhor"]
+TITLES_F = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа",
+            "Lady", "Dame", "Mlle", "Mademoiselle", "Señorita", "Srta", "Signora", "Senhora"]
+TITLES_N = ["Dr", "Prof", "Doctor", "Professor", "Doktor", "Mx", "Rev", "Доктор", "Профессор"]
+TITLES = TITLES_M + TITLES_F + TITLES_N
 GIVEN = {
     ("latin", "m"): ["albert", "bernard", "conrad", "edgar", "felix", "gustav", "hugo", "jasper",
                      "leopold", "oscar", "rupert", "victor"],
@@ -50,20 +55,45 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
 IPV4 = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)"
 CARD = r"(?<![\d+.])\d(?:[ \-]?\d){12,18}(?!\d|\.\d)"
-PHONE = (r"(?<![\d+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)"
-         r"|(?<=\+\d{1,3}[ .\-])\d{2,4}[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d))")
+# Unparenthesised numbers are told from dates, versions and ids by their groups
+# and by how many digits they have.
+PHONE_PLUS = (r"\+(?:1[ .\-]?(?:\(\d{3}\)|\d{3})[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)"
+              r"|(?=(?:[ .\-(]{0,2}\d\)?){8})[1-9](?:(?:[ .\-]?\(\d{1,4}\)[ .\-]?|[ .\-]?)\d){7,14}(?!\d))")
+PHONE_GROUPS = r"(?:1(?<pu>[ .\-]))?[2-9]\d\d(?<pg>[ .\-])\d{3}\k<pg>\d{4}(?!\d|[.\-/]\d)"
+PHONE_TRUNK = (r"(?!\d\d(?<pd>[ .\-/])\d\d\k<pd>(?:19|20)\d\d(?!\d))(?=0(?:[ .\-/]?\d){8})"
+               r"00?[1-9]\d{0,3}(?<pt>[ .\-/])\d{2,8}(?:\k<pt>\d{2,8}){0,5}(?!\d|[.\-/]\d)")
+PHONE_OPEN = (r"(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)"
+              r"|(?<=\+\d{1,3}[ .\-])\d{2,4}[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d))")
+PHONE = (rf"(?<![\d+])(?:{PHONE_PLUS}|{PHONE_OPEN}"
+         rf"|(?<!\d[.\-/ ])(?<![.\-/\p{{L}}])(?:{PHONE_GROUPS}|{PHONE_TRUNK}))")
+SSN = r"(?<![\d\-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d\-])"
+HEX = "[0-9A-Fa-f]{1,4}"
+IPV6 = (r"(?<![\w:.])(?=[0-9A-Fa-f]{0,4}:)(?=[A-Fa-f:]*[0-9])(?:" + "|".join(
+    [f"(?:{HEX}:){{7}}{HEX}", *[f"(?:{HEX}:){{1,{7 - k}}}(?::{HEX}){{1,{k}}}" for k in range(1, 7)],
+     f":(?::{HEX}){{1,7}}", f"(?:{HEX}:){{1,7}}:"]) + r")(?![\w:]|\.\d)")
+#: Length of an IBAN -> its countries.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU"}
+IBAN = (r"(?<![A-Za-z0-9])(?=[A-Z]{2}\d\d)(?:" + "|".join(
+    rf"(?:{c.replace(' ', '|')})\d\d(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+    + r")(?![A-Za-z0-9])")
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
 SECRET = (r"(?<=(?i:token|password|passwd|secret|api_key|apikey)['\"]?\s{0,3}[=:]\s{0,3}['\"]?)"
           r"[A-Za-z0-9+/_\-]{12,}")
-NAME = (r"(?<![\p{L}])(?:" + "|".join(TITLES_M + TITLES_F) + r")\.? \p{Lu}[\p{L}\-]+"
-        r"(?: \p{Lu}[\p{L}\-]+)?")
-MENTION = "|".join([EMAIL, ACCESS_KEY, SECRET, IPV4, PHONE, CARD, NAME])
+TITLE = r"(?:(?:" + "|".join(TITLES) + r")\.? )+"
+NAME = rf"(?<![\p{{L}}])(?=\p{{Lu}}){TITLE}\p{{Lu}}[\p{{L}}\-]+(?: \p{{Lu}}[\p{{L}}\-]+)?"
+MENTION = "|".join([EMAIL, IBAN, ACCESS_KEY, SECRET, IPV6,
+                    rf"(?=[\d+(])(?:{IPV4}|{SSN}|{PHONE}|{CARD})", NAME])
 SECRET_WORDS = r"(?i:token|password|passwd|secret|api_?key)"
 
 
 def may_hold(text: Column) -> Column:
     """False for most texts without a mention, by cheap scans before MENTION."""
-    title = reduce(lambda a, b: a | b, [text.contains(t) for t in TITLES_M + TITLES_F])
+    title = reduce(lambda a, b: a | b, [text.contains(t) for t in TITLES])
     secret = (text.contains("=") | text.contains(":")) & text.rlike(SECRET_WORDS)
     return F.coalesce(text.rlike("[0-9@]") | title | secret, F.lit(False))
 
@@ -80,12 +110,28 @@ def luhn_sum(number: Column) -> Column:
     return F.aggregate(part, F.lit(0), lambda a, v: a + v)
 
 
+def alnum(c: Column) -> Column:
+    return F.regexp_replace(c, "[^A-Za-z0-9]", "")
+
+
+def mod_97(account: Column) -> Column:
+    """The IBAN's remainder: the first four characters last, letters as 10 to 35."""
+    turned = F.concat(F.substr(account, F.lit(5)), F.substr(account, F.lit(1), F.lit(4)))
+    return F.aggregate(F.split(turned, ""), F.lit(0), lambda a, c: F.when(
+        c.rlike("[0-9]"), (a * 10 + c.cast("int")) % 97).when(
+        c.rlike("[A-Z]"), (a * 100 + F.ascii(c) - 55) % 97).otherwise(a))
+
+
 def mention_type(m: Column) -> Column:
     is_card = digits(m).rlike("^(?:4|5[1-5]|2[2-7]|3[0-9]|6)") & (luhn_sum(digits(m)) % 10 == 0)
     return (F.when(m.contains("@"), "email")
             .when(m.rlike(f"^{ACCESS_KEY}$"), "secret")
             .when(m.rlike(f"^{IPV4}$"), "ip")
-            .when(m.rlike(r"^[+(][\d ().\-]+$"), "phone")
+            .when(m.rlike(f"^{IPV6}$"), "ipv6")
+            .when(m.rlike(f"^{SSN}$"), "ssn")
+            .when(m.rlike(f"^{IBAN}$"), F.when(mod_97(alnum(m)) == 1, "iban"))
+            .when(m.rlike(rf"^(?:[+(][\d ().\-]+|{PHONE})$"),
+                  F.when(F.length(digits(m)).between(7, 15), "phone"))
             .when(m.rlike(r"^\d(?:[ \-]?\d){12,18}$"), F.when(is_card, "card"))
             .when(m.rlike(f"^(?:{NAME})$"), "name")
             .otherwise("secret"))
@@ -94,10 +140,18 @@ def mention_type(m: Column) -> Column:
 def canonical(kind: Column, m: Column) -> Column:
     """The form that all spellings of an entity share."""
     nat = F.regexp_replace(digits(m), r"^1(?=\d{10}$)", "")
-    gender = F.when(m.rlike("^(?:" + "|".join(TITLES_F) + ")[. ]"), "f").otherwise("m")
-    name = F.lower(F.regexp_replace(m, r"^\S+ ", ""))
+    titles = F.regexp_extract(m, f"^({TITLE})", 1)
+    said = lambda some: titles.rlike(r"(?<!\p{L})(?:" + "|".join(some) + ")[. ]")
+    gender = F.when(said(TITLES_F), "f").when(said(TITLES_M), "m").otherwise("n")
+    name = F.lower(F.regexp_replace(m, f"^{TITLE}", ""))
+    sides = F.split(F.lower(m), "::", -1)
+    groups = lambda side: F.filter(F.split(side, ":"), lambda g: g != "")
+    left, right = groups(sides[0]), groups(F.coalesce(F.get(sides, F.lit(1)), F.lit("")))
+    zeros = F.array_repeat(F.lit("0"), F.greatest(8 - F.size(left) - F.size(right), F.lit(0)))
+    ipv6 = F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), ":")
     return (F.when(kind == "email", F.lower(m)).when(kind == "phone", nat)
-            .when(kind == "card", digits(m)).when(kind == "name", F.concat_ws("|", gender, name))
+            .when(kind.isin("card", "ssn"), digits(m)).when(kind == "iban", alnum(m))
+            .when(kind == "ipv6", ipv6).when(kind == "name", F.concat_ws("|", gender, name))
             .otherwise(m))
 
 
@@ -136,13 +190,30 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     # Area code and exchange do not begin with 0 or 1.
     lead = lambda i: F.substr(F.lit("23456789"), byte_at(s, F.lit(i)) % 8 + 1, F.lit(1))
     plain_digits = F.regexp_replace(same_format(F.concat(canon, F.lit("z")), s), "[a-z]$", "")
-    phone = F.when(F.length(canon) == 10, F.concat(
+    phone = F.when(canon.startswith("0"), F.concat(  # a trunk zero stays
+        F.lit("0"), lead(2), F.substr(plain_digits, F.lit(3), F.length(canon) - 2))).when(
+        F.length(canon) == 10, F.concat(
         lead(1), F.substr(plain_digits, F.lit(2), F.lit(2)), lead(4),
         F.substr(plain_digits, F.lit(5), F.lit(6)))).otherwise(
         F.concat(lead(1), F.substr(plain_digits, F.lit(2), F.length(canon))))
     body = F.concat(F.substr(canon, F.lit(1), F.lit(2)),
                     F.substr(plain_digits, F.lit(3), F.length(canon) - 3))
     card = F.concat(body, ((10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string"))
+    # Numbers that can be given out: the area is not 000, 666 or 9xx, no part is 0.
+    nonzero = lambda i: F.substr(F.lit("123456789"), byte_at(s, F.lit(i)) % 9 + 1, F.lit(1))
+    ssn = F.concat(F.substr(F.lit("1234578"), byte_at(s, F.lit(1)) % 7 + 1, F.lit(1)),
+                   F.substr(plain_digits, F.lit(2), F.lit(3)), nonzero(5),
+                   F.substr(plain_digits, F.lit(6), F.lit(3)), nonzero(9))
+    country = F.substr(canon, F.lit(1), F.lit(2))
+    account = F.regexp_replace(F.substr(same_format(F.concat(canon, F.lit("z")), s), F.lit(5)),
+                               "[a-z]$", "")
+    iban = F.concat(country, F.lpad((98 - mod_97(F.concat(country, F.lit("00"), account))
+                                     ).cast("string"), 2, "0"), account)
+    special = canon.rlike("^(?:fe[89ab]|f[cdf]|0000:)")
+    bits = F.substr(s, F.lit(1), F.lit(32))
+    ipv6 = F.concat(F.when(special, F.substr(canon, F.lit(1), F.lit(4))).otherwise(
+        F.concat(F.lit("2"), F.substr(bits, F.lit(2), F.lit(3)))), *[F.concat(
+            F.lit(":"), F.substr(bits, F.lit(4 * i + 1), F.lit(4))) for i in range(1, 8)])
     octet = lambda i: byte_at(s, F.lit(i)).cast("string")
     octets = F.split(canon, r"\.")
     private = (F.when(canon.startswith("10."), F.concat(F.lit("10."), octet(2)))
@@ -169,14 +240,16 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     def name(script: str) -> Column:
         last = F.array_join(F.transform(F.sequence(F.lit(2), F.lit(4) + attempt),
                                         lambda i: pick(SYLLABLES[script], byte_at(s2, i))), "")
-        given = F.when(gender == "f", pick(GIVEN[(script, "f")], byte_at(s2, F.lit(1)))).otherwise(
-            pick(GIVEN[(script, "m")], byte_at(s2, F.lit(1))))
+        of = {x: GIVEN[(script, x)] for x in "fm"}
+        of["n"] = of["f"] + of["m"]
+        given = F.coalesce(*[F.when(gender == x, pick(of[x], byte_at(s2, F.lit(1)))) for x in of])
         return F.concat(gender, F.lit("|"), F.when(whole.contains(" "), F.concat(
             given, F.lit(" "))).otherwise(F.lit("")), last)
     s2 = hex_stream(key, kind, canon, attempt, attempt + 8)
     named = F.when(whole.rlike(r"\p{IsCyrillic}"), name("cyrillic")).otherwise(name("latin"))
     return (F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card)
-            .when(kind == "ip", ip).when(kind == "name", named).otherwise(keep))
+            .when(kind == "ip", ip).when(kind == "ipv6", ipv6).when(kind == "ssn", ssn)
+            .when(kind == "iban", iban).when(kind == "name", named).otherwise(keep))
 
 
 def render(kind: Column, m: Column, sur: Column) -> Column:
@@ -184,14 +257,15 @@ def render(kind: Column, m: Column, sur: Column) -> Column:
     full = F.when((kind == "phone") & (F.length(digits(m)) == F.length(sur) + 1),
                   F.concat(F.lit("1"), sur)).otherwise(sur)
     filled = F.array_join(F.transform(F.sequence(F.lit(1), F.length(m)), lambda i: F.when(
-        F.substr(m, i, F.lit(1)).rlike("[0-9]"),
-        F.substr(full, F.length(digits(F.substr(m, F.lit(1), i))), F.lit(1)))
+        F.substr(m, i, F.lit(1)).rlike("[A-Z0-9]"),
+        F.substr(full, F.length(alnum(F.substr(m, F.lit(1), i))), F.lit(1)))
         .otherwise(F.substr(m, i, F.lit(1)))), "")
-    title = F.regexp_extract(m, r"^(\S+ )", 1)
+    title = F.regexp_extract(m, f"^({TITLE})", 1)
     new = F.split(sur, r"\|")[1]
-    shown = F.when(F.regexp_replace(m, r"^\S+ ", "").rlike(r"\p{Ll}"), F.initcap(new)).otherwise(
+    shown = F.when(F.regexp_replace(m, f"^{TITLE}", "").rlike(r"\p{Ll}"), F.initcap(new)).otherwise(
         F.upper(new))
-    return (F.when(kind.isin("phone", "card"), filled)
+    return (F.when(kind.isin("phone", "card", "ssn", "iban"), filled)
+            .when(kind == "ipv6", F.when(m.rlike("[A-F]"), F.upper(sur)).otherwise(sur))
             .when(kind == "email", F.when(m.rlike("[a-z]"), sur).otherwise(F.upper(sur)))
             .when(kind == "name", F.concat(title, shown)).otherwise(sur))
 

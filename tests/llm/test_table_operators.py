@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import ipaddress
 import os
 import re
 from collections import Counter, defaultdict
@@ -304,3 +305,38 @@ def test_pipeline_of_nothing(spark, tmp_dir):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_dir}/{t}.parquet")
     got = corpus_pipeline.run(spark, tmp_dir)
     assert got.count() == 0 and "copies" in got.columns
+
+
+FOUND = [
+    "555-123-4567", "415.555.2671", "415 555 2671", "1-415-555-2671", "+14155552671",
+    "+1 (415) 555-2671", "+33 6 12 34 56 78", "+49 171 5551234", "+44 (20) 7946 0958",
+    "0171 555 1234", "06 12 34 56 78", "020 7946 0958", "0049 171 5551234", "(415) 555-2671",
+    "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR1420041010050500013M02606",
+    "123-45-6789", "2001:db8::1", "2001:0DB8:0:0:8:800:200C:417A", "fe80::1ff:fe23:4567:890a",
+    "Dr. Ada Lovelace", "Prof. Dr. Weber", "Frau Dr. Weber", "Dr Klein"]
+NEAR_MISSES = [
+    "2024-01-02", "01.02.2024", "01-02-2024 1015", "02/03/2024 11:12", "12:30:45", "1.10.200.3000",
+    "0-306-40615-2", "123-456-789", "4155552671", "1234567", "+12345", "DE89 3704 0044 0532 0130 01",
+    "ZZ89 3704 0044 0532 0130 00", "000-45-6789", "666-45-6789", "123-00-6789", "912-45-6789",
+    "std::cafe", "abc::def", "::", "10:20:30:40", "Dr. no", "Draft Two", "1000 2000 3000", "3.14159"]
+
+
+def test_surrogates_forms_and_near_misses(spark):
+    rows = [(i, f"see {x} here", "en", "a") for i, x in enumerate(FOUND + NEAR_MISSES)]
+    got = {r.doc_id: (r.text, r.n_entities_) for r in pii.replace_entities(edge_docs(spark, rows)).collect()}
+    for i, x in enumerate(FOUND):
+        text, n = got[i]
+        assert n == 1 and x not in text and text.startswith("see ") and text.endswith(" here"), (x, text)
+        new = text[4:-5]
+        if x[:2] in ("DE", "GB", "FR"):
+            packed = new.replace(" ", "")
+            assert int("".join(str(int(c, 36)) for c in packed[4:] + packed[:4])) % 97 == 1
+            assert packed[:2] == x[:2] and [c == " " for c in new] == [c == " " for c in x]
+        elif ":" in x:
+            ipaddress.IPv6Address(new)
+        elif x[0] in "0123456789+(":
+            assert [c.isdigit() for c in new] == [c.isdigit() for c in x], (x, new)
+    same = ["415.555.2671", "415 555 2671", "+14155552671", "+1 (415) 555-2671", "(415) 555-2671"]
+    assert len({re.sub(r"\D", "", got[FOUND.index(x)][0])[-10:] for x in same}) == 1
+    for i, x in enumerate(NEAR_MISSES, len(FOUND)):
+        assert got[i] == (f"see {x} here", 0), x
