@@ -1,6 +1,6 @@
 """Language identification with a linear-chain CRF (operator 8).
 
-Words (runs of letters) are labelled with a language each, so code-switched
+Words (runs of letters, in pieces of at most 40) are labelled with a language each, so code-switched
 texts are followed word by word: emissions come from affixes, character
 n-grams and a lexicon, transitions are learned, marginals come from
 forward-backward over the whole text.  A document's language is the one with
@@ -39,17 +39,18 @@ BLOCK = 128
 CACHE = 200_000
 UNKNOWN = "und"
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = re.compile(r"[^\W\d_]{1,40}")
 
 
 def words_of(text: str | None) -> list[str]:
+    """Runs of letters; longer ones, as in scripts without spaces, in consecutive
+    pieces of 40, which are labelled one by one."""
     return LETTERS.findall(text.lower()) if text else []
 
 
 def features(word: str) -> set[str]:
     """Affixes of one to three letters, character 1- to 3-grams, the word itself."""
-    w = word if len(word) <= 40 else word[:20] + word[-20:]
-    n = len(w)
+    w, n = word, len(word)
     return {"=" + w, *["<" + w[:k] for k in (1, 2, 3) if n > k],
             *[">" + w[-k:] for k in (1, 2, 3) if n > k], *w,
             *[w[i:i + 2] for i in range(n - 1)], *[w[i:i + 3] for i in range(n - 2)]}

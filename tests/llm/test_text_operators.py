@@ -6,8 +6,10 @@ import math
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from fixtures import edge_docs, edge_rows, lower_az, prose
 from pyspark.sql import functions as F
@@ -399,3 +401,13 @@ def test_quality_rules(spark, good):
 
 def test_quality_rules_empty(spark):
     assert quality.quality_rules(edge_docs(spark, [])).count() == 0
+
+
+def test_langid_reads_the_middle_of_long_unspaced_texts():
+    model = langid.train([("xx", langid.words_of("abcab cabca bcabb " * 60)),
+                          ("yy", langid.words_of("uvwuv wuvwu vwuvv " * 60))], n_words=3000, steps=30)
+    text = "qq" * 10 + "uvwuv" * 40 + "qq" * 10
+    batch = pd.DataFrame({"t_": [text, text.replace("uvwuv", "abcab")]})
+    (got,) = langid._predictor(SimpleNamespace(value=model))(iter([batch]))
+    assert got["lang_pred_"].tolist() == ["yy", "xx"] and (got["score_"] > .8).all()
+    assert "".join(langid.words_of(text)) == text
