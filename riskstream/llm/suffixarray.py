@@ -48,6 +48,7 @@ CHUNK = 1 << 20
 BATCH_BYTES = 16 << 20
 BUCKET_BYTES = 32 << 20
 CONTEXT_BUCKET = 12 << 20
+CELLS_PER_ANCHOR = CONTEXT_BUCKET // 160  # more cells of one anchor are not grouped
 HOT_SAMPLE = 4000  # documents, about
 HOT_LEAST = 200  # of them hold a hot anchor
 
@@ -554,13 +555,22 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     cut = written(once.mapInPandas(
         _cut_out(shared), "h long, hot boolean, did long, dig long, lo int, rel int, span int, "
                           "bytes binary"), "suffix-cut")
+    # Exact counts: an anchor with more cells than a group should hold takes the
+    # route without groups as well, whatever the sample saw.  Such anchors are few.
+    loaded = written(cut.filter("not hot").groupBy("h").count()
+                     .filter(F.col("count") > CELLS_PER_ANCHOR)
+                     .select("h", F.lit(True).alias("loaded")), "suffix-loaded")
+    any_loaded = not loaded.isEmpty()
+    if any_loaded:
+        cut = cut.join(F.broadcast(loaded), "h", "left").withColumn(
+            "hot", F.col("hot") | F.coalesce("loaded", F.lit(False))).drop("loaded")
     size = int(cut.agg(F.sum(F.length("bytes").cast("long"))).first()[0] or 0)
     groups = max(1, -(-size // CONTEXT_BUCKET))
     found = (cut.filter("not hot").withColumn("g", F.pmod(F.xxhash64("h"), F.lit(groups)))
              .groupBy("g").applyInPandas(_repeats, "did long, dig long, runs binary"))
     runs = near.unionByName(flagged.filter(F.length("runs") > 0).select("did", "dig", "runs")
                             ).unionByName(found)
-    if len(shared.value[0]):
+    if len(shared.value[0]) or any_loaded:
         runs = runs.unionByName(hot_repeats(cut.filter("hot")))
     by_doc = written(runs.groupBy("did", "dig").agg(F.collect_list("runs").alias("runs")),
                      "suffix-runs")

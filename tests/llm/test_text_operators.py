@@ -411,3 +411,21 @@ def test_langid_reads_the_middle_of_long_unspaced_texts():
     (got,) = langid._predictor(SimpleNamespace(value=model))(iter([batch]))
     assert got["lang_pred_"].tolist() == ["yy", "xx"] and (got["score_"] > .8).all()
     assert "".join(langid.words_of(text)) == text
+
+
+def test_repeated_spans_bounds_the_cells_of_an_anchor(spark, monkeypatch):
+    """A short line in ever other surroundings, unseen by the sample of hot anchors."""
+    line = prose(90, 14)[:70]
+    docs = edge_docs(spark, [(i, f"{prose(100 + i, 40)} {line} {prose(100 + i % 7, 60)}", "en", "a")
+                             for i in range(40)])
+    monkeypatch.setattr(suffixarray, "hot_anchors", lambda d, n: np.empty(0, np.uint64))
+    want = sorted(map(str, suffixarray.repeated_spans(docs).collect()))
+    routed, real = [], suffixarray.hot_repeats
+
+    def seen(cut):
+        routed.append(sorted(r["count"] for r in cut.groupBy("h").count().collect()))
+        return real(cut)
+    monkeypatch.setattr(suffixarray, "hot_repeats", seen)
+    monkeypatch.setattr(suffixarray, "CELLS_PER_ANCHOR", 5)
+    assert sorted(map(str, suffixarray.repeated_spans(docs).collect())) == want
+    assert routed and routed[0] and routed[0][0] > 5
