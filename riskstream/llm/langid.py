@@ -6,8 +6,8 @@ n-grams and a lexicon, transitions are learned, marginals come from
 forward-backward over the whole text.  A document's language is the one with
 the largest mean marginal, which is also its score.
 
-Training takes a bounded sample of labelled rows (``SAMPLE_ROWS`` of each of
-the ``MAX_LANGS`` most frequent languages, by hash of the id; of longer rows a
+Training takes a bounded sample of labelled rows (``SAMPLE_ROWS`` of each
+language, more than ``MAX_LANGS`` of which are an error, by hash of the id; of longer rows a
 stretch of ``SAMPLE_CHARS`` characters at a hashed place), spliced into
 code-switched sequences.  Prediction covers all rows and
 whole texts: sequences are cut into blocks whose transfer matrices are chained,
@@ -237,7 +237,9 @@ def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[str,
     """
     d = docs.filter("lang is not null and text is not null")
     per = d.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    counts = {r.lang: r.n for r in per.orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
+    counts = {r.lang: r.n for r in per.limit(MAX_LANGS + 1).collect()}
+    if len(counts) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages; raise MAX_LANGS")
     if not counts:
         return []
     share = F.lit(0.0)

@@ -429,3 +429,10 @@ def test_repeated_spans_bounds_the_cells_of_an_anchor(spark, monkeypatch):
     monkeypatch.setattr(suffixarray, "CELLS_PER_ANCHOR", 5)
     assert sorted(map(str, suffixarray.repeated_spans(docs).collect())) == want
     assert routed and routed[0] and routed[0][0] > 5
+
+
+def test_langid_refuses_more_languages_than_it_learns(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGS", 2)
+    docs = edge_docs(spark, [(i, "a b c", f"l{i}", "a") for i in range(3)])
+    with pytest.raises(ValueError, match="languages"):
+        langid.training_sample(docs)
