@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from riskstream.llm import chat, decontaminate, hpylm, langid, mixing, neardup, pii, quality, suffixarray, warc
+from riskstream.llm import (
+    alignment, chat, decontaminate, hpylm, langid, mixing, neardup, pii, quality, suffixarray, warc)
 
 QUERIES = {
     "op1_hpy_lm": hpylm.op1_hpy_lm,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_crf_langid": langid.op8_crf_langid,
     "op9_host_quality": quality.op9_host_quality,
     "op10_surrogates": pii.op10_surrogates,
+    "op12_fragment_alignment": alignment.op12_fragment_alignment,
 }
 
 ORACLES = {
