@@ -31,6 +31,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -40,7 +41,7 @@ from riskstream.llm.common import small_batches, table, written
 
 #: Characters of a chunk of a long text, and bytes of text that a batch holds.
 CHUNK = 1 << 15
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 20
 #: Fragments that one step of the tree composes.
 FAN = 16
 #: Tokenizer files are shipped to the tasks; larger ones are refused.
@@ -163,11 +164,29 @@ class Tokens(NamedTuple):
                 Tokens(self.a[i:], self.a_end[i:], self.b[j:], self.b_end[j:]))
 
 
+def marked(t: Tokens) -> tuple[int, np.ndarray, np.ndarray]:
+    """First offset, and for every byte from there whether a token of A, of B
+    ends there.  Runs over bytes beat searches over ends."""
+    low = int(min(x[0] for x in (t.a_end, t.b_end) if len(x))) - 1
+    high = int(max(x[-1] for x in (t.a_end, t.b_end) if len(x)))
+    a, b = np.zeros(high - low + 1, bool), np.zeros(high - low + 1, bool)
+    a[t.a_end - low] = True
+    b[t.b_end - low] = True
+    return low, a, b
+
+
 def common_ends(t: Tokens) -> np.ndarray:
     if not len(t.a_end) or not len(t.b_end):
         return EMPTY
-    at = np.minimum(np.searchsorted(t.b_end, t.a_end), len(t.b_end) - 1)
-    return t.a_end[t.b_end[at] == t.a_end]
+    low, a, b = marked(t)
+    return low + np.flatnonzero(a & b)
+
+
+def all_ends(t: Tokens) -> np.ndarray:
+    if not len(t.a_end) and not len(t.b_end):
+        return EMPTY
+    low, a, b = marked(t)
+    return low + np.flatnonzero(a | b)
 
 
 def link_codes(t: Tokens) -> np.ndarray:
@@ -176,20 +195,25 @@ def link_codes(t: Tokens) -> np.ndarray:
     Between two neighbouring ends of either side lies one overlap, and every
     overlap is such a stretch.
     """
-    ends = np.union1d(t.a_end, t.b_end)
-    return (t.a[np.searchsorted(t.a_end, ends)] << 32) | t.b[np.searchsorted(t.b_end, ends)]
-
-
-def written_groups(t: Tokens, common: np.ndarray, digits: Digits) -> np.ndarray:
-    """Places in ``digits`` of all tokens, group by group, A before B."""
-    ga, gb = np.searchsorted(common, t.a_end), np.searchsorted(common, t.b_end)
-    a_upto = np.searchsorted(t.a_end, common, "right")
-    b_upto = np.searchsorted(t.b_end, common, "right")
+    _, a, b = marked(t)
+    before = np.flatnonzero(a | b) - 1
+    return (t.a[np.cumsum(a)[before]] << 32) | t.b[np.cumsum(b)[before]]
+
+
+def written_groups(t: Tokens, digits: Digits) -> np.ndarray:
+    """Places in ``digits`` of all tokens of whole groups, group by group, A
+    before B."""
+    low, a, b = marked(t)
+    common = a & b
+    at = np.flatnonzero(common)
+    group = np.cumsum(common)
+    ga, gb = group[t.a_end - low - 1], group[t.b_end - low - 1]
+    a_upto, b_upto = np.cumsum(a)[at], np.cumsum(b)[at]
     out = np.empty(len(t.a) + len(t.b), np.int64)
-    before = np.concatenate([[0], b_upto])
-    out[np.arange(len(t.a)) + before[ga]] = t.a + digits.a_n * (t.a_end == common[ga])
+    out[np.arange(len(t.a)) + np.concatenate([[0], b_upto])[ga]] = (
+        t.a + digits.a_n * common[t.a_end - low])
     out[np.arange(len(t.b)) + a_upto[gb]] = (
-        2 * digits.a_n + t.b + digits.b_n * (t.b_end == common[gb]))
+        2 * digits.a_n + t.b + digits.b_n * common[t.b_end - low])
     return out
 
 
@@ -227,7 +251,7 @@ def fragment(t: Tokens, digits: Digits) -> tuple[Fragment, np.ndarray]:
     codes, text = EMPTY, ""
     if len(common) > 1:
         codes = link_codes(inside)
-        text = digits.text(written_groups(inside, common[1:], digits))
+        text = digits.text(written_groups(inside, digits))
     return Fragment(True, True, len(t.a), len(t.b), len(common) - 1, len(codes), prefix,
                     suffix, text), codes
 
@@ -295,12 +319,15 @@ def chunks(text: str, size: int, cuttable: bool) -> list[str]:
 
 
 def uses_of(codes: np.ndarray, owner: np.ndarray, owners: int):
-    """Distinct codes and their counts; packed (owner, code) uses."""
-    distinct, inverse, counts = np.unique(codes, return_inverse=True, return_counts=True)
-    key, times = np.unique(owner * max(1, len(distinct)) + inverse.ravel(), return_counts=True)
-    ptr = np.searchsorted(key // max(1, len(distinct)), np.arange(owners + 1))
-    body = np.concatenate([ptr, key % max(1, len(distinct)), times]).astype(np.int32)
-    return distinct, counts, zlib.compress(body.tobytes(), 1)
+    """Distinct codes and their counts; packed (owner, code) uses.  Owners come
+    in order, and so do the pairs, which are numbered as they first appear."""
+    place, distinct = pd.factorize(codes)
+    n = max(1, len(distinct))
+    pair, pairs = pd.factorize(owner * n + place)
+    ptr = np.searchsorted(pairs // n, np.arange(owners + 1))
+    times = np.bincount(pair, minlength=len(pairs))
+    body = np.concatenate([ptr, pairs % n, times]).astype(np.int32)
+    return distinct, np.bincount(place, minlength=len(distinct)), zlib.compress(body.tobytes(), 1)
 
 
 def used(said: bytes, owners: int, totals: np.ndarray, best: np.ndarray):
@@ -337,8 +364,8 @@ class Batch:
         end = np.concatenate([[0], np.cumsum([k.a_len[p[0]].sum() for p in self.parts])])
         common, order, codes = common_ends(t), EMPTY, EMPTY
         if len(a):
-            order, codes = written_groups(t, common, k.digits), link_codes(t)
-        ends = np.union1d(t.a_end, t.b_end)
+            order, codes = written_groups(t, k.digits), link_codes(t)
+        ends = all_ends(t)
         n_groups = np.diff(np.searchsorted(common, end, "right"))
         n_links = np.diff(np.searchsorted(ends, end, "right"))
         groups, at = [], 0
