@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from riskstream.llm import (
-    alignment, chat, decontaminate, hpylm, langid, mixing, neardup, pii, quality, suffixarray, warc)
+    alignment, chat, decontaminate, hpylm, langid, mixing, neardup, pii, quality, sitetemplate,
+    suffixarray, warc)
 
 QUERIES = {
     "op1_hpy_lm": hpylm.op1_hpy_lm,
@@ -17,6 +18,7 @@ QUERIES = {
     "op9_host_quality": quality.op9_host_quality,
     "op10_surrogates": pii.op10_surrogates,
     "op12_fragment_alignment": alignment.op12_fragment_alignment,
+    "op13_site_templates": sitetemplate.op13_site_templates,
 }
 
 ORACLES = {
