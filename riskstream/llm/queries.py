@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from riskstream.llm import (
-    alignment, chat, decontaminate, hpylm, langid, mixing, neardup, pii, quality, sitetemplate,
-    suffixarray, warc)
+    alignment, chat, decontaminate, hpylm, langid, mixing, neardup, pii, prefixtrie, quality,
+    sitetemplate, suffixarray, warc)
 
 QUERIES = {
     "op1_hpy_lm": hpylm.op1_hpy_lm,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_crf_langid": langid.op8_crf_langid,
     "op9_host_quality": quality.op9_host_quality,
     "op10_surrogates": pii.op10_surrogates,
+    "op11_prefix_trie": prefixtrie.op11_prefix_trie,
     "op12_fragment_alignment": alignment.op12_fragment_alignment,
     "op13_site_templates": sitetemplate.op13_site_templates,
 }
@@ -28,4 +29,5 @@ ORACLES = {
     "op6_snapshot_collapse": chat.ORACLE,
     "op7_wu_manber": decontaminate.ORACLE,
     "op9_host_quality": quality.ORACLE,
+    "op11_prefix_trie": prefixtrie.ORACLE,
 }
