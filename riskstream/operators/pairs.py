@@ -42,6 +42,7 @@ from riskstream.functions.time import (
     minutes_between,
 )
 from riskstream.functions.time import since as rows_since
+from riskstream.operators import positions
 
 # Bucket index for rows without an event time: after every real bucket, as
 # NULLs sort last in ascending order.
@@ -84,23 +85,30 @@ def lag_by_time_bucket(df: DataFrame, key: str, ts: str, tie: str, carry: list[s
 
 def geo_hops(stg_tx: DataFrame, min_km: float = GEO_MIN_KM, flag_km: float = GEO_FLAG_KM,
              max_minutes: float = GEO_MAX_MINUTES, bucket: str = "1 hour",
-             since=None) -> DataFrame:
+             since=None, index: dict[str, DataFrame] | None = None) -> DataFrame:
     """C7 with the second transaction's account carried along (for the score).
 
     ``since`` (a Column) keeps only hops whose second transaction is at or
     after it, without shuffling the history: the LAG runs over the rows
     since then plus each customer's last earlier row, which a ``max_by``
-    aggregate with a partial (map-side) phase finds.  Rows without a time
-    sort last and are never a predecessor of a timed row, so they can be left
-    out of the earlier part.
+    aggregate with a partial (map-side) phase finds.  With the last-position
+    ``index`` (``operators.positions``) that row is looked up, and no history is
+    scanned.  Rows without a time sort last and are never a predecessor of a
+    timed row, so they can be left out of the earlier part.
     """
     carry = ["transaction_id", "country_code", "latitude", "longitude", "occurred_at"]
     cols = ["customer_id", "account_id", *carry]
     tx = stg_tx.select(*cols)
     if since is not None:
-        before = tx.where(F.col("occurred_at") < since).groupBy("customer_id").agg(
-            F.max_by(F.struct(*cols), F.struct("occurred_at", "transaction_id")).alias("r"))
-        tx = rows_since(stg_tx, "occurred_at", since).select(*cols).unionByName(before.select("r.*"))
+        recent = rows_since(stg_tx, "occurred_at", since).select(*cols)
+        if index is None:
+            before = tx.where(F.col("occurred_at") < since).groupBy("customer_id").agg(
+                F.max_by(F.struct(*cols), F.struct("occurred_at", "transaction_id")).alias("r"))
+            before = before.select("r.*")
+        else:
+            before = positions.last_before(stg_tx, index, since,
+                                           recent.select("customer_id").distinct())
+        tx = recent.unionByName(before)
     with_prev = lag_by_time_bucket(tx, "customer_id", "occurred_at", "transaction_id",
                                    carry, bucket=bucket)
     p = F.col("prev")

@@ -7,7 +7,6 @@ failures, never the offending rows gathered in one place.
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window
@@ -77,7 +76,10 @@ def duplicate_count(df: DataFrame, id_col: str, alias: str = "duplicate_ids") ->
 
 def freshness(df: DataFrame, ts: str, as_of: Column,
               max_seconds: int = FRESHNESS_MAX_SECONDS) -> DataFrame:
-    """Whole seconds between the newest event and ``as_of``; pass when < max."""
+    """Whole seconds between the newest event and ``as_of``; pass when < max.
+
+    ``df`` may be the events or a table of high-water marks.
+    """
     last = df.agg(F.max(ts).alias("last_event_at"))
     age = F.round((F.unix_micros(as_of) - F.unix_micros(F.col("last_event_at"))) / 1e6) \
         .cast("bigint")
@@ -85,17 +87,15 @@ def freshness(df: DataFrame, ts: str, as_of: Column,
                        F.when(age < max_seconds, "pass").otherwise("fail").alias("status"))
 
 
-def topic_staleness(streams: dict[str, tuple[DataFrame, str]], as_of: Column | None = None,
+def topic_staleness(marks: DataFrame, as_of: Column | None = None,
                     stale_after: int = STALE_AFTER_SECONDS) -> DataFrame:
     """Per topic: events seen, newest event, seconds since, ok/degraded.
 
-    Each stream is read once, into a table of one row per topic; without
-    ``as_of`` the newest event of all topics is the instant.
+    ``marks`` has one row a stream (``operators.marks``); without ``as_of`` the
+    newest event of all topics is the instant.
     """
-    parts = [df.agg(F.count(F.lit(1)).alias("published"), F.max(ts).alias("last_event_at"))
-             .select(F.lit(name).alias("topic"), "published", "last_event_at")
-             for name, (df, ts) in streams.items()]
-    topics = reduce(DataFrame.unionByName, parts)
+    topics = marks.select(F.col("stream").alias("topic"), F.col("rows").alias("published"),
+                          F.col("newest").alias("last_event_at"))
     # One row per topic: a window over all of them is as small as the result.
     now = F.max("last_event_at").over(Window.partitionBy()) if as_of is None else as_of
     out = topics.withColumn("_now", now)
@@ -171,11 +171,25 @@ def view_checks(df: DataFrame, view: str, not_null_cols=(), unique=(),
 
 
 def dq_report(views: dict[str, DataFrame], fresh: DataFrame | None = None,
-              tests: dict | None = None) -> DataFrame:
-    """The declared data tests of every view, plus the freshness check."""
+              tests: dict | None = None, measured: DataFrame | None = None,
+              measured_views: tuple[str, ...] = ()) -> DataFrame:
+    """The declared data tests of every view, plus the freshness check.
+
+    ``measured`` (view_name, column_name, failures) has the NOT NULL checks of
+    ``measured_views`` as their writes observed them; these are not made again.
+    """
     tests = tests or VIEW_TESTS
-    parts = [view_checks(views[v], v, t.get("not_null", ()), t.get("unique", ()),
-                         t.get("accepted_values")) for v, t in tests.items() if v in views]
+    parts = []
+    for v, t in tests.items():
+        nulls = () if v in measured_views else t.get("not_null", ())
+        if v in views and (nulls or t.get("unique") or t.get("accepted_values")):
+            parts.append(view_checks(views[v], v, nulls, t.get("unique", ()),
+                                     t.get("accepted_values")))
+    if measured is not None:
+        parts.append(measured.where(F.col("view_name").isin(*measured_views)).select(
+            F.lit("not_null").alias("check_name"), "view_name", "column_name",
+            F.col("failures").cast("bigint").alias("failures"),
+            _status(F.col("failures")).alias("status")))
     if fresh is not None:
         parts.append(fresh.select(
             F.lit("freshness").alias("check_name"), F.lit("stg_transactions").alias("view_name"),

@@ -153,7 +153,8 @@ def account_risk_score_snapshot(stg_tx: DataFrame, stg_login: DataFrame, stg_ale
                                 geo: DataFrame | None, device: DataFrame, as_of=None,
                                 lookback: dict[str, str] | None = None,
                                 geo_bucket: str = "1 hour",
-                                seen: DataFrame | None = None) -> DataFrame:
+                                seen: DataFrame | None = None,
+                                index: dict[str, DataFrame] | None = None) -> DataFrame:
     """D1 from staged events, reading only the rows each signal can contribute.
 
     A tumbling window of length ``d`` that ends at or after ``as_of - L`` starts
@@ -164,8 +165,8 @@ def account_risk_score_snapshot(stg_tx: DataFrame, stg_login: DataFrame, stg_ale
     shuffle only recent rows, and on a time-partitioned staged table the scan
     prunes to the last couple of hours.  With ``geo=None`` the geo hops are
     computed for the look-back only (``geo_hops(since=...)``: recent rows plus
-    each customer's last earlier row).  The device signal (30 days of
-    history) is passed in.
+    each customer's last earlier row, from the last-position ``index`` if
+    there is one).  The device signal (30 days of history) is passed in.
     """
     lb = {**LOOKBACK, **(lookback or {})}
     now = as_of_column(stg_tx, "occurred_at", as_of)
@@ -174,7 +175,8 @@ def account_risk_score_snapshot(stg_tx: DataFrame, stg_login: DataFrame, stg_ale
         return since(df, "occurred_at", ago(ago(now, lb[name]), window))
 
     if geo is None:
-        geo = pairs.geo_hops(stg_tx, bucket=geo_bucket, since=ago(now, lb["geo_impossible"]))
+        geo = pairs.geo_hops(stg_tx, bucket=geo_bucket, since=ago(now, lb["geo_impossible"]),
+                             index=index)
     return account_risk_score(
         stg_tx,
         signals.velocity_alerts(recent(stg_tx, "velocity", VELOCITY_WINDOW)),

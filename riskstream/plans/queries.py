@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskstream import schemas
-from riskstream.operators import alerts, quality, serving, staging
+from riskstream.operators import alerts, marks, quality, serving, staging
 from riskstream.operators.risk import customer_accounts
 from riskstream.plans import oracle
 from riskstream.plans.oracle import rnd, sql
@@ -163,11 +163,12 @@ _STG = [view for _, view, _ in _STREAM_TIMES]
 
 def snapshot_time(v: Views):
     """Newest event time over all five streams (the snapshot's ``now``)."""
-    maxes = [getattr(v, view).select(F.max(ts).alias("x")) for _, view, ts in _STREAM_TIMES]
-    u = maxes[0]
-    for m in maxes[1:]:
-        u = u.unionByName(m)
-    return u.select(F.max("x")).scalar()
+    return marks.newest(v.high_water)
+
+
+def _freshness(v: Views) -> DataFrame:
+    return quality.freshness(v.high_water.where(F.col("stream") == "transactions"), "newest",
+                             snapshot_time(v))
 
 
 def _age_sql(ts: str) -> str:
@@ -180,15 +181,14 @@ SELECT last_event_at, {_age_sql('last_event_at')} AS age_seconds,
 FROM (SELECT max(occurred_at) AS last_event_at FROM stg_transactions)"""
 
 register("freshness", sql(_FRESH_SQL, *_STG))(
-    lambda v: quality.freshness(v.stg_transactions, "occurred_at", snapshot_time(v)))
+    _freshness)
 
 register("topic_staleness", sql(" UNION ALL ".join(f"""
 SELECT '{topic}' AS topic, COUNT(*) AS published, max({ts}) AS last_event_at,
        {_age_sql(f'max({ts})')} AS stale_seconds,
        CASE WHEN {_age_sql(f'max({ts})')} < 120 THEN 'ok' ELSE 'degraded' END AS status
 FROM {view}""" for topic, view, ts in _STREAM_TIMES), *_STG))(
-    lambda v: quality.topic_staleness(
-        {topic: (getattr(v, view), ts) for topic, view, ts in _STREAM_TIMES}))
+    lambda v: quality.topic_staleness(v.high_water))
 
 register("duplicate_count", sql("""
 SELECT COUNT(*) AS duplicate_ids FROM (
@@ -211,54 +211,72 @@ FULL OUTER JOIN
                                 v.stg_transactions, "occurred_at"))
 
 
-def _dq_sql() -> str:
-    parts = []
-    for view, t in quality.VIEW_TESTS.items():
-        for c in t.get("not_null", ()):
-            parts.append(f"SELECT 'not_null' AS check_name, '{view}' AS view_name, "
-                         f"'{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS failures "
-                         f"FROM {view}")
-        for c, vals in t.get("accepted_values", {}).items():
-            lst = ", ".join(f"'{x}'" for x in vals)
-            parts.append(f"SELECT 'accepted_values', '{view}', '{c}', "
-                         f"COUNT(DISTINCT CASE WHEN {c} NOT IN ({lst}) THEN {c} END) FROM {view}")
-        for c in t.get("unique", ()):
-            parts.append(f"SELECT 'unique', '{view}', '{c}', (SELECT COUNT(*) FROM "
-                         f"(SELECT {c} FROM {view} WHERE {c} IS NOT NULL GROUP BY {c} "
-                         f"HAVING COUNT(*) > 1))")
-    body = " UNION ALL ".join(parts)
-    fresh = (f"SELECT 'freshness', 'stg_transactions', 'occurred_at', "
-             f"CASE WHEN status = 'pass' THEN 0 ELSE 1 END FROM ({_FRESH_SQL})")
-    final = (f"SELECT check_name, view_name, column_name, CAST(failures AS BIGINT) AS failures, "
-             f"CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status "
-             f"FROM ({body} UNION ALL {fresh})")
-    return sql(final, *quality.VIEW_TESTS, *_STG)
-
-
-def _not_null_views() -> list[tuple[str, list[str]]]:
-    return [(v, t["not_null"]) for v, t in quality.VIEW_TESTS.items() if t.get("not_null")]
+# Fixed values of the declared data tests, stated for the oracle.
+_NOT_NULL = {
+    "stg_transactions": "transaction_id account_id customer_id occurred_at amount",
+    "stg_login_events": "event_id customer_id occurred_at",
+    "stg_card_events": "event_id occurred_at",
+    "stg_alert_events": "alert_id customer_id occurred_at",
+    "stg_kyc_profiles": "customer_id updated_at",
+    "latest_kyc": "customer_id",
+    "account_risk_score": "account_id customer_id risk_score risk_tier",
+    "fraud_kpis_1min": "window_start",
+    "open_fraud_cases": "account_id customer_id risk_tier recommended_action",
+    "recent_high_alerts": "alert_id severity"}
+_UNIQUE = {"stg_transactions": "transaction_id", "stg_login_events": "event_id",
+           "stg_card_events": "event_id", "stg_alert_events": "alert_id",
+           "latest_kyc": "customer_id", "account_risk_score": "account_id",
+           "open_fraud_cases": "account_id", "recent_high_alerts": "alert_id"}
+_ACCEPTED = {
+    ("account_risk_score", "risk_tier"): "low medium high critical",
+    ("open_fraud_cases", "risk_tier"): "high critical",
+    ("open_fraud_cases", "recommended_action"): "escalate freeze_account block_card monitor",
+    ("recent_high_alerts", "severity"): "high critical"}
+
+
+def _dq_sql(*views: str, over: dict | None = None, fresh: bool = True) -> str:
+    """Every check counted on its own, from the values stated above."""
+    of = lambda view: not views or view in views
+    row = "SELECT '{}' AS check_name, '{}' AS view_name, '{}' AS column_name, ({}) AS failures"
+    parts = [row.format("not_null", view, c, f"SELECT COUNT(*) - COUNT({c}) FROM {view}")
+             for view, cols in _NOT_NULL.items() if of(view) for c in cols.split()]
+    parts += [row.format("unique", view, c, f"SELECT COUNT(*) FROM (SELECT 1 FROM {view} "
+                         f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1)")
+              for view, c in _UNIQUE.items() if of(view)]
+    parts += [row.format("accepted_values", view, c, f"SELECT COUNT(DISTINCT {c}) FROM {view} "
+                         f"WHERE NOT list_contains({values.split()}, {c})")
+              for (view, c), values in _ACCEPTED.items() if of(view)]
+    if fresh:
+        parts.append("SELECT 'freshness', 'stg_transactions', 'occurred_at', "
+                     f"CASE status WHEN 'pass' THEN 0 ELSE 1 END FROM ({_FRESH_SQL})")
+    final = ("SELECT check_name, view_name, column_name, CAST(failures AS BIGINT) AS failures, "
+             "CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM ("
+             + " UNION ALL ".join(parts) + ")")
+    return sql(final, *(views or [*_NOT_NULL, *_STG]), over=over)
 
 
 def _not_null_spark(v: Views) -> DataFrame:
-    parts = [quality.not_null(getattr(v, view), cols)
+    parts = [quality.not_null(getattr(v, view), t["not_null"])
              .select(F.lit(view).alias("view_name"), "column_name", "null_count")
-             for view, cols in _not_null_views()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+             for view, t in quality.VIEW_TESTS.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 register("not_null_counts", sql(" UNION ALL ".join(
     f"SELECT '{view}' AS view_name, '{c}' AS column_name, "
     f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM {view}"
-    for view, cols in _not_null_views() for c in cols),
-    *[view for view, _ in _not_null_views()]))(_not_null_spark)
+    for view, cols in _NOT_NULL.items() for c in cols.split()), *_NOT_NULL))(_not_null_spark)
+
+
+def _dq_report(v: Views, *views: str, fresh: bool = True) -> DataFrame:
+    names = views or tuple(quality.VIEW_TESTS)
+    staged = tuple(n for n in _STG if n in names) if v.measured_nulls is not None else ()
+    return quality.dq_report({n: getattr(v, n) for n in names},
+                             fresh=_freshness(v) if fresh else None,
+                             measured=v.measured_nulls, measured_views=staged)
+
 
-register("dq_report", _dq_sql())(
-    lambda v: quality.dq_report(
-        {n: getattr(v, n) for n in quality.VIEW_TESTS},
-        fresh=quality.freshness(v.stg_transactions, "occurred_at", snapshot_time(v))))
+register("dq_report", _dq_sql())(_dq_report)
 
 # B7 on an at-least-once feed derived from the data: ATM transactions are
 # delivered twice (replayed segment); the dedupe must return each id once.
@@ -417,6 +435,9 @@ SELECT COUNT(*) AS duplicate_ids FROM (
   SELECT transaction_id FROM stg_transactions WHERE transaction_id IS NOT NULL
   GROUP BY transaction_id HAVING COUNT(*) > 1)""", "stg_transactions", over=_FAULTY))(
     lambda v: quality.duplicate_count(v.corrupted.stg_transactions, "transaction_id"))
+register("faulty_dq_report", _dq_sql("stg_transactions", "stg_login_events", over=_FAULTY,
+                                     fresh=False))(
+    lambda v: _dq_report(v.corrupted, "stg_transactions", "stg_login_events", fresh=False))
 # Lost rows: the staged table lacks what the ATM channel published.
 register("faulty_reconcile", sql(f"""
 SELECT {oracle.bucket('occurred_at', oracle.MIN)} AS window_start, COUNT(*) AS source_count,

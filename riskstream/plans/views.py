@@ -16,7 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream.functions.time import PART
-from riskstream.operators import cases, pairs, risk, signals, staging
+from riskstream.operators import (
+    cases,
+    marks,
+    pairs,
+    positions,
+    quality,
+    risk,
+    signals,
+    staging,
+)
 from riskstream.session import configure
 from riskstream.sources import bridge
 
@@ -50,13 +59,64 @@ class Views:
             return df
         self.built[name] = df
         path = f"{self.store}/{name}"
-        out = df.withColumn(PART, F.to_date(ts)) if ts else df
+        # Rows of a day go to few tasks, whose number follows their size: else every
+        # task would open a file for every day.
+        out = df.withColumn(PART, F.to_date(ts)).hint("rebalance", PART) if ts else df
         out.write.partitionBy(*[PART] * bool(ts)).parquet(path)
         # Nullable as Parquet is; the partition column comes last.
         return df.sparkSession.read.schema(out.schema).parquet(path)
 
-    def _staged(self, name: str, stage, ts: str = "occurred_at") -> DataFrame:
-        return self._kept(f"stg_{name}", stage(self.raw[name]), ts)
+    def _staged(self, name: str, stage, ts: str = "occurred_at", view: str | None = None
+                ) -> DataFrame:
+        """A staged stream; writing it records its high-water mark and NULLs."""
+        df, view = stage(self.raw[name]), view or f"stg_{name}"
+        if self.store is None:
+            return df
+        watched, seen = marks.observed(df, ts, quality.VIEW_TESTS[view]["not_null"])
+        out = self._kept(view, watched, ts)
+        marks.record(df.sparkSession, f"{self.store}/high_water", name, view, seen)
+        return out
+
+    STREAMS = {"transactions": ("stg_transactions", "occurred_at"),
+               "login_events": ("stg_login_events", "occurred_at"),
+               "card_events": ("stg_card_events", "occurred_at"),
+               "alert_events": ("stg_alert_events", "occurred_at"),
+               "kyc_profile_events": ("stg_kyc_profiles", "updated_at")}
+
+    @cached_property
+    def high_water(self) -> DataFrame:
+        """stream, view_name, rows, newest of all five streams."""
+        staged = {n: (view, getattr(self, view), ts) for n, (view, ts) in self.STREAMS.items()}
+        if self.store is None:
+            return marks.computed(staged)
+        return marks.read(self.stg_transactions.sparkSession, f"{self.store}/high_water")
+
+    @cached_property
+    def measured_nulls(self) -> DataFrame | None:
+        """NULLs found when the staged streams were written (None without a store)."""
+        if self.store is None:
+            return None
+        spark = self.high_water.sparkSession
+        return marks.null_counts(spark, f"{self.store}/high_water")
+
+    def _now(self, stream: str):
+        """The instant of a view over one stream: the given one, else the stream's
+        high-water mark, else (without a store) the operator's own default."""
+        if self.as_of is not None or self.store is None:
+            return self.as_of
+        staged = getattr(self, self.STREAMS[stream][0])
+        return marks.newest(marks.read(staged.sparkSession, f"{self.store}/high_water"), stream)
+
+    @cached_property
+    def positions(self) -> dict[str, DataFrame] | None:
+        """The last-position index, a table a level (None without a store)."""
+        if self.store is None:
+            return None
+        out, rows = {}, self.stg_transactions
+        for level in positions.LEVELS:
+            out[level] = self._kept(f"positions_{level}", positions.newest(rows, level), "period")
+            rows = out[level].drop(PART)
+        return out
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Views":
@@ -155,8 +215,8 @@ class Views:
 
     @cached_property
     def stg_kyc_profiles(self) -> DataFrame:
-        return self._kept("stg_kyc_profiles", staging.stg_kyc_profiles(
-            self.raw["kyc_profile_events"]), "updated_at").drop(PART)
+        return self._staged("kyc_profile_events", staging.stg_kyc_profiles, "updated_at",
+                            "stg_kyc_profiles").drop(PART)
 
     @cached_property
     def latest_kyc(self) -> DataFrame:
@@ -212,7 +272,8 @@ class Views:
     @cached_property
     def device_anomalies_with_account(self) -> DataFrame:
         return self._kept("device_anomalies", pairs.device_anomalies(
-            self._transactions, as_of=self.as_of, with_account=True, **self.device_args))
+            self._transactions, as_of=self._now("transactions"), with_account=True,
+            **self.device_args))
 
     @cached_property
     def device_anomalies(self) -> DataFrame:
@@ -223,8 +284,9 @@ class Views:
     def account_risk_score(self) -> DataFrame:
         return self._kept("account_risk_score", risk.account_risk_score_snapshot(
             self._transactions, self._login_events, self._alert_events,
-            None, self.device_anomalies_with_account, as_of=self.as_of,
-            geo_bucket=self.geo_bucket, seen=self.accounts_seen if self.store else None))
+            None, self.device_anomalies_with_account, as_of=self._now("transactions"),
+            geo_bucket=self.geo_bucket, seen=self.accounts_seen if self.store else None,
+            index=self.positions))
 
     @cached_property
     def fraud_kpis_1min(self) -> DataFrame:
@@ -258,4 +320,4 @@ class Views:
     @cached_property
     def recent_high_alerts(self) -> DataFrame:
         return cases.recent_high_alerts(self._alert_events, self.latest_kyc,
-                                        as_of=self.as_of)
+                                        as_of=self._now("alert_events"))

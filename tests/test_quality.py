@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from helpers import at, rows, stg_tx
-from riskstream.operators import quality
+from riskstream.operators import marks, quality
 
 
 def test_view_checks_clean_and_corrupt(spark):
@@ -41,7 +41,8 @@ def test_freshness_and_staleness(spark):
     assert (r.age_seconds, r.status) == (140, "pass")
     late = F.lit("2026-04-18 10:05:00").cast("timestamp")
     assert quality.freshness(df, "occurred_at", late).first().status == "fail"
-    st = quality.topic_staleness({"transactions": (df, "occurred_at")}, as_of).first()
+    st = quality.topic_staleness(
+        marks.computed({"transactions": ("stg_transactions", df, "occurred_at")}), as_of).first()
     assert (st.published, st.stale_seconds, st.status) == (2, 140, "degraded")
 
 
