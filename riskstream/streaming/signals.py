@@ -9,24 +9,18 @@ passes its threshold it stays and an upsert by (keys, window) reproduces the
 batch result for every row inside the watermark.  Rows later than the
 watermark are dropped (streaming only; batch is exact).
 
-Geo (C7): LAG per customer across micro-batches needs state.
-``geo_hops_stream`` keeps each customer's rows inside the watermark, and the
-one before them, in an ``applyInPandasWithState`` state.  The pandas function
-only puts the new rows in their places and pairs neighbours; the distance,
-minutes and flags are the same Spark expressions as in batch.  A row that
-arrives out of order makes its own pair and renews the pair of the row after
-it, so the maintained table equals batch for all rows inside the watermark.
+Geo (C7): LAG per customer across micro-batches needs state; ``geochain`` keeps
+it by (customer, time bucket) with a tail per customer, freed by event-time
+timers.  The distance, minutes and flags are the same Spark expressions as in
+batch.  A row that arrives out of order makes its own pair and renews the pair
+of the row after it, so the maintained table equals batch for all rows inside
+the watermark.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from riskstream.constants import (
     GEO_FLAG_KM,
@@ -41,8 +35,12 @@ from riskstream.functions.geo import equirectangular_km
 from riskstream.functions.numeric import round_numeric
 from riskstream.functions.time import minutes_between
 from riskstream.operators import signals
+from riskstream.streaming import geochain
 
 DEFAULT_WATERMARK = "10 minutes"
+#: State of the geo chain: rows of a customer and bucket, in slots.
+GEO_BUCKET, GEO_SLOT = "1 hour", "1 minute"
+
 
 def shared_device_ring_stream(staged_stream: DataFrame, window: str = RING_WINDOW,
                               min_customers: int = RING_MIN_CUSTOMERS,
@@ -130,93 +128,19 @@ def windowed_signal(name: str, staged_stream: DataFrame,
     return fn(staged_stream, watermark=watermark), keys + ["window_start"]
 
 
-_CARRY = [("transaction_id", T.StringType()), ("country_code", T.StringType()),
-          ("latitude", T.DoubleType()), ("longitude", T.DoubleType()),
-          ("occurred_at", T.TimestampType())]
-_NAMES = [n for n, _ in _CARRY]
-# Times are kept as microseconds, which no time zone changes.
-_ROW = T.StructType([T.StructField("account_id", T.StringType())]
-                    + [T.StructField(n, t) for n, t in _CARRY[:-1]]
-                    + [T.StructField("micros", T.LongType())])
-_STATE = T.StructType([T.StructField("rows", T.ArrayType(_ROW))])
-_PAIR = T.StructType(
-    [T.StructField("customer_id", T.StringType()), T.StructField("account_id", T.StringType()),
-     T.StructField("_seq", T.LongType())]
-    + [T.StructField(f"p_{n}", t) for n, t in _CARRY]
-    + [T.StructField(n, t) for n, t in _CARRY])
-
-
-def _py(v):
-    """pandas scalar -> plain Python value for the state row."""
-    if v is None or (not isinstance(v, str) and pd.isna(v)):
-        return None
-    if isinstance(v, pd.Timestamp):
-        return v.value // 1000
-    return v.item() if hasattr(v, "item") else v
-
-
-def _shown(row: tuple) -> tuple:
-    """A state row's carried fields with its time as a timestamp again."""
-    return *row[1:-1], pd.Timestamp(row[-1], unit="us")
-
-
-def _order(row: tuple) -> tuple:
-    """(time, transaction id with NULL first): the order of the batch LAG."""
-    return row[-1], row[1] is not None, row[1] or ""
-
-
-def _chain(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Pairs (row before, row) that one customer's new rows make or change.
-
-    The state holds, in order, the rows that a row inside the watermark can
-    still come before, and the last row older than those.  A new row makes a
-    pair with the row before it, and the row after it gets a new pair, which
-    replaces that row's earlier one (``_seq`` orders the pairs of one batch).
-    Rows without a time have no place in the order and are left out.
-    """
-    rows = [tuple(r) for r in state.get[0]] if state.exists else []
-    oldest = state.getCurrentWatermarkMs() * 1000
-    seq = 0
-    for pdf in pdfs:
-        pdf = pdf[pdf["occurred_at"].notna()]
-        pdf = pdf.assign(occurred_at=pdf["occurred_at"].astype("datetime64[ns]"))
-        new = [tuple(_py(v) for v in r) for r in
-               pdf[["account_id", *_NAMES]].itertuples(index=False, name=None)]
-        if not new:
-            continue
-        fresh = set(map(id, new))
-        rows = sorted(rows + new, key=_order)
-        out = []
-        for before, row in zip(rows, rows[1:]):
-            if id(row) in fresh or id(before) in fresh:
-                out.append((key[0], row[0], seq, *_shown(before), *_shown(row)))
-        seq += 1
-        # Keep the newest row older than the watermark and all after it.
-        cut = max((i for i, r in enumerate(rows) if r[-1] < oldest), default=0)
-        rows = rows[cut:]
-        if out:
-            yield pd.DataFrame(out, columns=[f.name for f in _PAIR])
-    if rows:
-        state.update((rows,))
-
-
 def geo_hops_stream(staged_stream: DataFrame, min_km: float = GEO_MIN_KM,
                     flag_km: float = GEO_FLAG_KM, max_minutes: float = GEO_MAX_MINUTES,
-                    watermark: str = DEFAULT_WATERMARK) -> DataFrame:
+                    watermark: str = DEFAULT_WATERMARK, bucket: str = GEO_BUCKET,
+                    slot: str = GEO_SLOT) -> DataFrame:
     """Streaming C7: one row per transaction whose pair is new or has changed,
-    with the columns of ``geo_hops``, ``_seq`` and ``is_hop``.
+    with the columns of ``geo_hops`` and ``is_hop``.
 
-    Written through ``materialize`` with key ``txn2_id`` and version ``_seq``,
-    the rows with ``is_hop`` (``geo_hops_view``) equal the batch hops of all
+    Written through ``materialize`` with key ``txn2_id``, the rows with ``is_hop`` (``geo_hops_view``) equal the batch hops of all
     rows that were not later than the watermark.  A pair that a row arriving
     out of order splits is replaced, also by one that is no hop.  Rows without
     an event time make no hop here (they are dead letters on the load path).
     """
-    src = staged_stream.withWatermark("occurred_at", watermark).select(
-        "customer_id", "account_id", *_NAMES)
-    pairs = src.groupBy("customer_id").applyInPandasWithState(
-        _chain, outputStructType=_PAIR, stateStructType=_STATE, outputMode="append",
-        timeoutConf=GroupStateTimeout.EventTimeTimeout)
+    pairs = geochain.pairs(staged_stream, watermark, bucket, slot)
     km = equirectangular_km(F.col("latitude"), F.col("longitude"),
                             F.col("p_latitude"), F.col("p_longitude"))
     minutes = minutes_between(F.col("occurred_at"), F.col("p_occurred_at"))
@@ -232,7 +156,7 @@ def geo_hops_stream(staged_stream: DataFrame, min_km: float = GEO_MIN_KM,
         round_numeric(km, 2).alias("approx_distance_km"),
         round_numeric(minutes, 2).alias("time_diff_minutes"),
         ((km > flag_km) & (minutes < max_minutes) & (minutes > 0)).alias("is_impossible"),
-        F.coalesce(known & (km > min_km), F.lit(False)).alias("is_hop"), "_seq")
+        F.coalesce(known & (km > min_km), F.lit(False)).alias("is_hop"))
 
 
 def geo_hops_view(table: DataFrame) -> DataFrame:

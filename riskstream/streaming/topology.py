@@ -160,7 +160,7 @@ def start(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     topo.queries.append(mat.materialize(
         ss.geo_hops_stream(staged["transactions"], watermark=watermark),
         topo.path("views", "geo_hops"), ["txn2_id"], mat.day_of("txn2_time"), ck("geo_hops"), trig,
-        output_mode="append", version="_seq"))
+        output_mode="append"))
     return topo
 
 

@@ -75,7 +75,7 @@ def test_geo_state_across_micro_batches(spark, views, tmp_dir):
     out = os.path.join(tmp_dir, "hops")
     q = mat.materialize(ss.geo_hops_stream(stream, watermark="1 hour"), out, ["txn2_id"],
                         mat.day_of("txn2_time"), os.path.join(tmp_dir, "ckpt"),
-                        {"availableNow": True}, output_mode="append", version="_seq")
+                        {"availableNow": True}, output_mode="append")
     q.awaitTermination()
     assert len(q.recentProgress) >= 3
     got = ss.geo_hops_view(mat.read_view(spark, out))
@@ -110,7 +110,7 @@ def test_geo_rows_out_of_order_and_without_time_equal_batch(spark, tmp_dir):
     out = os.path.join(tmp_dir, "hops")
     mat.materialize(ss.geo_hops_stream(stream, watermark="2 hours"), out, ["txn2_id"],
                     mat.day_of("txn2_time"), os.path.join(tmp_dir, "ckpt"),
-                    {"availableNow": True}, output_mode="append", version="_seq").awaitTermination()
+                    {"availableNow": True}, output_mode="append").awaitTermination()
     want = pairs.geo_hops(df.drop("n").where("occurred_at is not null"))
     cols = ["customer_id", "txn1_id", "txn2_id", "approx_distance_km", "time_diff_minutes",
             "is_impossible", "txn2_account_id"]
@@ -118,38 +118,53 @@ def test_geo_rows_out_of_order_and_without_time_equal_batch(spark, tmp_dir):
     assert want.count() > 20
 
 
-def test_geo_state_is_bounded_by_the_watermark():
-    import pandas as pd
-
-    class State:
-        def __init__(self):
-            self.v, self.mark = None, 0
-
-        exists = property(lambda self: self.v is not None)
-        get = property(lambda self: self.v)
-
-        def update(self, v):
-            self.v = v
-
-        def getCurrentWatermarkMs(self):  # noqa: N802
-            return self.mark
-
-    def batch(*minutes):
-        return pd.DataFrame({
-            "account_id": "a", "transaction_id": [f"t{m}" for m in minutes], "country_code": "AU",
-            "latitude": 1.0, "longitude": 1.0,
-            "occurred_at": [pd.Timestamp(2026, 4, 18, 10, m) for m in minutes]})
-    st = State()
-    pairs_of = lambda *b: [
-        tuple(x) for o in ss._chain(("c",), iter(b), st)
-        for x in o[["p_transaction_id", "transaction_id", "_seq"]].values.tolist()]
-    assert pairs_of(batch(0, 3), batch(5)) == [("t0", "t3", 0), ("t3", "t5", 1)]
-    st.mark = pd.Timestamp(2026, 4, 18, 10, 4).value // 10**6
-    assert pairs_of(batch(4)) == [("t3", "t4", 0), ("t4", "t5", 0)]
-    assert [r[1] for r in st.v[0]] == ["t3", "t4", "t5"]
-    st.mark = pd.Timestamp(2026, 4, 18, 11, 0).value // 10**6
-    assert pairs_of(batch()) == [] and pairs_of(batch(59)) == [("t5", "t59", 0)]
-    assert [r[1] for r in st.v[0]] == ["t59"]
+def test_geo_slots_touch_only_neighbours():
+    """A new row reads its slot and its neighbours' slots, whatever the bucket holds."""
+    from riskstream.streaming import geochain as gc
+    kept, reads = {}, []
+
+    def get(s):
+        reads.append(s)
+        return kept[s]
+    slots = gc.Slots(60_000_000, [], get, kept.__setitem__)
+    row = lambda minute, name: ("a", name, "AU", 1.0, 1.0, int(minute * 60_000_000))
+    pairs, edge = slots.add([row(m, f"t{m}") for m in (50, 0, 3, 10, 40)])
+    names = lambda ps: sorted((a[1], b[1]) for a, b in ps)
+    assert names(pairs) == [("t0", "t3"), ("t10", "t40"), ("t3", "t10"), ("t40", "t50")]
+    assert (edge[0][1], edge[1][1]) == ("t0", "t50")
+    reads.clear()
+    pairs, edge = slots.add([row(5, "t5"), row(5.5, "u5")])
+    assert names(pairs) == [("t3", "t5"), ("t5", "u5"), ("u5", "t10")] and edge is None
+    assert set(reads) <= {0, 3, 10, 50}  # neighbours and the bucket's ends
+    pairs, edge = slots.add([row(0, "s0")])
+    assert names(pairs) == [("s0", "t0")] and edge[0][1] == "s0"
+
+
+def test_geo_state_is_freed_behind_the_watermark(spark, tmp_dir):
+    """After the watermark has passed, a customer keeps one edge, and a row long
+    after follows it; small buckets, rows out of order inside the watermark."""
+    hours = [(0, 0), (0, 2), (0, 1), (1, 0), (3, 0), (2, 59), (9, 0), (30, 0), (30, 1), (60, 0)]
+    src = os.path.join(tmp_dir, "src")
+    place = [(-33.87, 151.21), (51.51, -0.13)]
+    data = [("c", "a", f"t{i}", "AU", *place[i % 2], f"2026-04-{18 + h // 24} {h % 24:02d}:{m:02d}:00", i)
+            for i, (h, m) in enumerate(hours)]
+    df = spark.createDataFrame(data, "customer_id string, account_id string, transaction_id string, "
+                               "country_code string, latitude double, longitude double, "
+                               "occurred_at string, n int")
+    df = df.withColumn("occurred_at", F.to_timestamp("occurred_at"))
+    for i in range(len(hours)):
+        df.where(F.col("n") == i).drop("n").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(df.drop("n").schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out, ck = os.path.join(tmp_dir, "hops"), os.path.join(tmp_dir, "ckpt")
+    hops = ss.geo_hops_stream(stream, watermark="2 hours", bucket="30 minutes", slot="1 minute")
+    q = mat.materialize(hops, out, ["txn2_id"], mat.day_of("txn2_time"), ck, {"availableNow": True},
+                        output_mode="append")
+    q.awaitTermination()
+    want = pairs.geo_hops(df.drop("n"))
+    cols = ["customer_id", "txn1_id", "txn2_id", "time_diff_minutes", "is_impossible"]
+    assert rows(ss.geo_hops_view(mat.read_view(spark, out)), *cols) == rows(want, *cols)
+    # State entries, timers included: the last bucket and its edge, one older tail.
+    assert sum(o.numRowsTotal for o in q.lastProgress.stateOperators) <= 12
 
 
 def test_changes_are_appended_once_and_read_by_newest_epoch(spark, tmp_dir):
