@@ -58,6 +58,23 @@ def _save_meta(spark: SparkSession, path: str, schema: T.StructType, keys: list[
         os.path.join(path, META))
 
 
+def change_rows(rows: DataFrame, part: Column, epoch: int = 0) -> DataFrame:
+    """Rows of a view as its table holds them."""
+    return rows.withColumn(PART, part).withColumn(EPOCH, F.lit(epoch).cast("long"))
+
+
+def prepare(spark: SparkSession, path: str, schema: T.StructType, keys: list[str],
+            version: str | None = None) -> None:
+    """Make the table known before its first rows, so that streams can start on it."""
+    if _load_meta(spark, path) is None:
+        _save_meta(spark, path, schema, keys, version)
+
+
+def change_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The changes of a prepared view as a stream, each appended row once."""
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def append_changes(batch: DataFrame, path: str, keys: list[str], part: Column, epoch: int,
                    version: str | None = None) -> None:
     """Append the changed rows of one micro-batch to the table at ``path``.
@@ -66,9 +83,8 @@ def append_changes(batch: DataFrame, path: str, keys: list[str], part: Column, e
     update-mode aggregate has one row per key and needs none.
     """
     spark = batch.sparkSession
-    rows = batch.withColumn(PART, part).withColumn(EPOCH, F.lit(epoch).cast("long"))
-    if _load_meta(spark, path) is None:
-        _save_meta(spark, path, rows.schema, keys, version)
+    rows = change_rows(batch, part, epoch)
+    prepare(spark, path, rows.schema, keys, version)
     rows.write.mode("append").partitionBy(PART).parquet(path)
 
 

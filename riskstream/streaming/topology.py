@@ -1,25 +1,33 @@
 """All views kept current from the five streams.
 
 ``start`` launches one streaming query per maintained table, every one with
-its own checkpoint (restartable, exactly-once output):
+its own checkpoint (restartable, exactly-once output), in three levels:
 
 ==========================  ==========================================  ==========
 table                       maintained by                               partition
 ==========================  ==========================================  ==========
-staged/<stream>             staging functions, file sink (append)       event day
-views/<C1-C6 signal>        windowed aggregate, changed rows            window day
-views/storm_*               C3 in three bounded parts, update + upsert  window day
-views/accounts_seen         (customer, account) -> last seen, upsert    key hash
-views/latest_kyc            ``max_by`` per customer, upsert             key hash
-views/device_presence       (customer, device, hour) first/last seen    hour day
-views/kpi_*, merchant_...,  per-window aggregates (D2 parts, D3-D5),    window day
-  channel_..., hourly_...   update + upsert
-views/known_customer_...    (customer, device) first/last seen (C8)     key hash
-views/geo_hops              stateful LAG per customer, newest pair of   event day
-                            each transaction
+1 staged/<stream>           staging functions, file sink (append)       event day
+2 views/high_water          newest time and rows of each stream         key hash
+2 views/<C1-C6 signal>      windowed aggregate, changed rows            window day
+2 views/storm_*             C3 in three bounded parts, update + upsert  window day
+2 views/accounts_seen       (customer, account) -> last seen, upsert    key hash
+2 views/latest_kyc          ``max_by`` per customer, upsert             key hash
+2 views/device_presence     (customer, device, hour) first/last seen    hour day
+2 views/kpi_*, merchant_,   per-window aggregates (D2 parts, D3-D5),    window day
+  channel_, hourly_...      update + upsert
+2 views/known_customer_...  (customer, device) first/last seen (C8)     key hash
+2 views/geo_hops            keyed state by customer and time bucket,    event day
+                            newest pair of each transaction
+3 views/device_anomalies    C9 of each micro-batch: its rows anti-join  event day
+                            the device history as maintained
+3 views/account_scores      D1 as keyed state with timers, from the     key hash
+                            changes of the signals
 ==========================  ==========================================  ==========
 
-``refresh_snapshot`` then recomputes the ``NOW()``-relative views (risk
+A topic is read and parsed once, by its staging query; level 2 reads the staged
+files as streams, level 3 the changes of level 2.
+
+``refresh_snapshot`` recomputes the ``NOW()``-relative views (risk
 score, open / resolved cases, recent high alerts) from those tables.  It
 reads windowed signals and staged rows only in the partitions the look-backs
 can reach; the device history comes from the hourly presence table; the
@@ -44,12 +52,14 @@ from riskstream.constants import (
     DEVICE_RECENT,
     HIGH_ALERT_LOOKBACK,
     STALE_AFTER_SECONDS,
+    STORM_MIN_FAILURES,
     STORM_WINDOW,
     STRUCTURING_WINDOW,
     VELOCITY_WINDOW,
 )
 from riskstream.functions.time import ago, interval_micros
-from riskstream.operators import cases, pairs, risk, signals, staging
+from riskstream.operators import cases, marks, pairs, risk, signals, staging
+from riskstream.streaming import expiry
 from riskstream.streaming import materialize as mat
 from riskstream.streaming import signals as ss
 
@@ -92,78 +102,165 @@ class Topology:
             q.stop()
 
 
+def _staged_stream(spark: SparkSession, topo: Topology, name: str, schema) -> DataFrame:
+    """The files of a staging query as a stream of staged rows."""
+    path = topo.path("staged", name)
+    # A source needs its folder; the sink may not have made it yet.
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    with_day = mat.T.StructType([*schema.fields, mat.T.StructField(mat.PART, mat.T.DateType())])
+    return spark.readStream.schema(with_day).parquet(path).drop(mat.PART)
+
+
+def high_water_stream(staged: dict[str, DataFrame]) -> DataFrame:
+    """stream, newest, rows: one state row a stream."""
+    each = None
+    for name, df in staged.items():
+        one = df.select(F.lit(name).alias("stream"), F.col(schemas.EVENT_TIME[name]).alias("at"))
+        each = one if each is None else each.unionByName(one)
+    return each.groupBy("stream").agg(F.max("at").alias("newest"), F.count(F.lit(1)).alias("rows"))
+
+
+def device_alerts_on_batch(root: str, path: str, device_args: dict | None = None):
+    """A ``foreachBatch`` function over staged transactions: C9 as it happens.
+
+    The micro-batch's high-value card-not-present rows whose (customer, device)
+    is not in the device history, as maintained, up to the micro-batch's newest
+    time.  Presence that runs ahead doesn't matter: the history ends before the
+    recent rows.  A replayed epoch changes nothing.
+    """
+    args = device_args or {}
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.persist()
+        try:
+            newest = rows.agg(F.max("occurred_at")).first()[0]
+            if newest is None:
+                return
+            as_of = F.lit(newest)
+            lo = ago(as_of, args.get("history_from", DEVICE_HISTORY_FROM))
+            presence = _since(_table(spark, os.path.join(root, "views", "device_presence")),
+                              "bucket_end", lo)
+            near = _table(spark, os.path.join(root, "staged", "transactions")).where(
+                F.col(mat.PART) == F.to_date(lo)).drop(mat.PART)
+            found = pairs.device_anomalies_from_presence(rows, presence, near, as_of,
+                                                         with_account=True, **args)
+            mat.append_changes(found, path, ["transaction_id"], mat.day_of("occurred_at"), epoch)
+        finally:
+            rows.unpersist()
+    return run
+
+
 def start(spark: SparkSession, sources: dict[str, DataFrame], root: str,
-          trigger: dict | None = None, watermark: str = ss.DEFAULT_WATERMARK) -> Topology:
-    """Start the queries over streaming source-shaped DataFrames (see module doc)."""
+          trigger: dict | None = None, watermark: str = ss.DEFAULT_WATERMARK,
+          device_args: dict | None = None) -> Topology:
+    """Start the queries over streaming source-shaped DataFrames (see module doc).
+
+    With an ``availableNow`` or ``once`` trigger a level starts when the one
+    before has processed all there is.
+    """
     topo = Topology(root)
     ck = lambda name: topo.path("_checkpoints", name)
     trig = trigger or {}
-    staged = {name: STAGE[name](src) for name, src in sources.items()}
-
-    for name, df in staged.items():
-        ts = schemas.EVENT_TIME[name]
+    finite = bool(trig.get("availableNow") or trig.get("once"))
+    schema_of = {}
+
+    def keep(name: str, df: DataFrame, keys: list[str], part: Column,
+             output_mode: str = "update") -> None:
+        path = topo.path("views", name)
+        schema_of[name] = mat.change_rows(df, part).schema
+        mat.prepare(spark, path, schema_of[name], keys)
+        topo.queries.append(mat.materialize(df, path, keys, part, ck(name), trig,
+                                            output_mode=output_mode))
+
+    def level_done() -> None:
+        if finite:
+            topo.await_all()
+
+    # Level 1: each topic is parsed once.
+    shapes = {}
+    for name, src in sources.items():
+        df, ts = STAGE[name](src), schemas.EVENT_TIME[name]
+        shapes[name] = df.schema
         w = (df.withColumn(mat.PART, F.to_date(ts)).writeStream.format("parquet")
              .partitionBy(mat.PART).option("path", topo.path("staged", name))
              .option("checkpointLocation", ck(f"staged_{name}")).trigger(**trig))
         topo.queries.append(w.start())
+    level_done()
 
+    # Level 2: views of staged rows.
+    staged = {name: _staged_stream(spark, topo, name, shape) for name, shape in shapes.items()}
+    tx, logins = staged["transactions"], staged["login_events"]
+    keep("high_water", high_water_stream(staged), ["stream"], mat.hash_bucket(["stream"], 1))
     for name, src in SIGNAL_SOURCE.items():
         sig, keys = ss.windowed_signal(name, staged[src], watermark=watermark)
-        topo.queries.append(mat.materialize(sig, topo.path("views", name), keys,
-                                            mat.day_of("window_start"), ck(name), trig))
-
-    storm_keys = ["customer_id", "window_start"]
-    for name, part in ss.login_failure_storm_streams(staged["login_events"],
-                                                     watermark=watermark).items():
-        topo.queries.append(mat.materialize(part, topo.path("views", name), storm_keys,
-                                            mat.day_of("window_start"), ck(name), trig))
-
+        keep(name, sig, keys, mat.day_of("window_start"))
+    for name, part in ss.login_failure_storm_streams(logins, watermark=watermark).items():
+        keep(name, part, ["customer_id", "window_start"], mat.day_of("window_start"))
     # Keyed by (customer, account) only: state is one row per pair (dimension
     # size), kept for ever because the pairs are all-time by definition.
-    seen = staged["transactions"].groupBy("customer_id", "account_id").agg(
-        F.max("occurred_at").alias("last_seen_at"))
-    topo.queries.append(mat.materialize(
-        seen, topo.path("views", "accounts_seen"), ["customer_id", "account_id"],
-        mat.hash_bucket(["customer_id", "account_id"]), ck("accounts_seen"), trig))
-
-    topo.queries.append(mat.materialize(
-        staging.latest_kyc(staged["kyc_profile_events"]), topo.path("views", "latest_kyc"),
-        ["customer_id"], mat.hash_bucket(["customer_id"]), ck("latest_kyc"), trig))
-
+    pair = ["customer_id", "account_id"]
+    keep("accounts_seen", risk.accounts_seen(tx), pair, mat.hash_bucket(pair))
+    keep("latest_kyc", staging.latest_kyc(staged["kyc_profile_events"]), ["customer_id"],
+         mat.hash_bucket(["customer_id"]))
     # Monotone aggregates of the transactions / alerts, upserted per window.
-    tx_wm = staged["transactions"].withWatermark("occurred_at", watermark)
+    tx_wm = tx.withWatermark("occurred_at", watermark)
     alerts_wm = staged["alert_events"].withWatermark("occurred_at", watermark)
-    for name, df, keys, part_col in [
-            ("kpi_transactions", risk.kpi_transactions(tx_wm), ["window_start"], "window_start"),
-            ("kpi_alerts", risk.kpi_alerts(alerts_wm), ["window_start"], "window_start"),
+    for name, df, keys in [
+            ("kpi_transactions", risk.kpi_transactions(tx_wm), ["window_start"]),
+            ("kpi_alerts", risk.kpi_alerts(alerts_wm), ["window_start"]),
             ("merchant_fraud_exposure", risk.merchant_fraud_exposure(tx_wm),
-             ["merchant_id", "merchant_name", "merchant_category_code", "window_start"],
-             "window_start"),
+             ["merchant_id", "merchant_name", "merchant_category_code", "window_start"]),
             ("channel_risk_breakdown", risk.channel_risk_breakdown(tx_wm),
-             ["channel", "window_start"], "window_start"),
-            ("hourly_fraud_trend", risk.hourly_fraud_trend(tx_wm), ["hour_bucket"],
-             "hour_bucket")]:
-        topo.queries.append(mat.materialize(df, topo.path("views", name), keys,
-                                            mat.day_of(part_col), ck(name), trig))
-    topo.queries.append(mat.materialize(
-        signals.known_customer_devices(staged["transactions"]),
-        topo.path("views", "known_customer_devices"), ["customer_id", "device_id"],
-        mat.hash_bucket(["customer_id", "device_id"]), ck("known_customer_devices"), trig))
-
-    presence = pairs.device_presence(
-        staged["transactions"].withWatermark("occurred_at", watermark))
-    topo.queries.append(mat.materialize(
-        presence, topo.path("views", "device_presence"),
-        ["customer_id", "device_id", "bucket_start"], mat.day_of("bucket_start"),
-        ck("device_presence"), trig))
-
-    topo.queries.append(mat.materialize(
-        ss.geo_hops_stream(staged["transactions"], watermark=watermark),
-        topo.path("views", "geo_hops"), ["txn2_id"], mat.day_of("txn2_time"), ck("geo_hops"), trig,
-        output_mode="append"))
+             ["channel", "window_start"]),
+            ("hourly_fraud_trend", risk.hourly_fraud_trend(tx_wm), ["hour_bucket"])]:
+        keep(name, df, keys, mat.day_of(keys[-1]))
+    device = ["customer_id", "device_id"]
+    keep("known_customer_devices", signals.known_customer_devices(tx), device,
+         mat.hash_bucket(device))
+    keep("device_presence", pairs.device_presence(tx_wm), [*device, "bucket_start"],
+         mat.day_of("bucket_start"))
+    keep("geo_hops", ss.geo_hops_stream(tx, watermark=watermark), ["txn2_id"],
+         mat.day_of("txn2_time"), output_mode="append")
+    level_done()
+
+    # Level 3: what needs maintained tables.
+    alerts_path = topo.path("views", "device_anomalies")
+    found = mat.T.StructType([
+        *[shapes["transactions"][c] for c in ("customer_id", "transaction_id", "device_id",
+                                              "amount", "occurred_at", "account_id")],
+        *[mat.T.StructField(c, mat.T.BooleanType()) for c in (
+            "is_new_device_candidate", "is_high_value", "combined_risk_flag")]])
+    schema_of["device_anomalies"] = mat.change_rows(
+        spark.createDataFrame([], found), mat.day_of("occurred_at")).schema
+    mat.prepare(spark, alerts_path, schema_of["device_anomalies"], ["transaction_id"])
+    topo.queries.append(
+        tx.writeStream.foreachBatch(device_alerts_on_batch(root, alerts_path, device_args))
+        .option("checkpointLocation", ck("device_anomalies")).trigger(**trig).start())
+    level_done()
+
+    scores = expiry.score_changes(score_facts(spark, topo, schema_of))
+    keep("account_scores", scores, pair, mat.hash_bucket(pair), output_mode="append")
     return topo
 
 
+def score_facts(spark: SparkSession, topo: Topology, schema_of: dict) -> DataFrame:
+    """All facts of the score as one stream: the changes of the signals, and the
+    accounts as they are seen."""
+    changed = lambda name: mat.change_stream(
+        spark, topo.path("views", name), schema_of[name])
+    out = expiry.facts(changed("accounts_seen"), expiry.SEEN, "last_seen_at", "last_seen_at")
+    for name in expiry.SIGNALS:
+        if name == "login_failure_storm":  # the counts hold its threshold
+            df = changed("storm_counts")
+            df = df.withColumn("is_brute_force", F.col("failure_count") >= STORM_MIN_FAILURES)
+        else:
+            df = changed(name)
+        out = out.unionByName(expiry.signal_facts(name, df))
+    return out
+
+
 def _table(spark: SparkSession, path: str) -> DataFrame:
     return mat.read_table(spark, path)
 
@@ -178,7 +275,8 @@ def snapshot_views(spark: SparkSession, root: str, device_args: dict | None = No
     """The NOW()-relative views computed from the maintained tables."""
     t = lambda *p: _table(spark, os.path.join(root, *p))
     seen = t("views", "accounts_seen").drop(mat.PART)
-    as_of = seen.select(F.max("last_seen_at")).scalar()
+    high_water = t("views", "high_water")
+    as_of = marks.newest(high_water, "transactions")
     # Nothing that starts before the longest look-back and the longest window
     # can reach the score.
     horizon = ago(ago(as_of, longest(risk.LOOKBACK.values())), longest(WINDOWS))
@@ -204,13 +302,13 @@ def snapshot_views(spark: SparkSession, root: str, device_args: dict | None = No
     kyc = t("views", "latest_kyc").drop(mat.PART)
     # The alerts' own newest time anchors their look-back, as in batch.
     staged_alerts = t("staged", "alert_events")
-    newest = staged_alerts.select(F.max("occurred_at")).scalar()
+    newest = marks.newest(high_water, "alert_events")
     alerts = _since(staged_alerts, "occurred_at", ago(newest, HIGH_ALERT_LOOKBACK))
     return {
         "account_risk_score": score,
         "open_fraud_cases": cases.open_fraud_cases(score, kyc),
         "resolved_cases": cases.resolved_cases(score),
-        "recent_high_alerts": cases.recent_high_alerts(alerts, kyc),
+        "recent_high_alerts": cases.recent_high_alerts(alerts, kyc, as_of=newest),
     }
 
 
