@@ -3,8 +3,9 @@
 The suffix arrays are built by linear grouping: suffixes are grouped by the
 Lyndon word they begin with, groups are taken in descending order, and each
 suffix extends the group of its previous smaller one (``prev``); afterwards
-one ascending scan emits every group's order through the same pointers.  No
-string is renamed and sorted again.
+one ascending scan emits every group's order through the same pointers, without
+recursion on renamed strings.  Its symbols are ranks of pieces of ``PIECE`` bytes,
+which are sorted once to get them.
 
 How the work is cut for a cluster, for windows of ``LENGTH`` bytes:
 
@@ -13,7 +14,8 @@ How the work is cut for a cluster, for windows of ``LENGTH`` bytes:
    offsets, so all copies of a window meet under the anchor's hash.  A cell is
    an anchor with the run of windows it serves and the bytes they cover.
 2. Equal cells are collapsed, in each batch before the shuffle and then per
-   bucket: all windows of any but the first one are repeats.
+   bucket: all windows of any but the first one are repeats.  A bucket gives a
+   row for every range of documents, and a range's rows are unpacked together.
 3. Where different cells share an anchor's hash, the first of each kind is cut
    out of its text, and a bucket's cells are sorted by what follows the anchor:
    a suffix array over their bytes in pieces of ``PIECE``, ranked
@@ -47,6 +49,7 @@ PIECE = 20
 CHUNK = 1 << 20
 BATCH_BYTES = 16 << 20
 BUCKET_BYTES = 32 << 20
+RANGE_BYTES = 128 << 20  # text of the documents whose flags one task unpacks
 CONTEXT_BUCKET = 12 << 20
 CELLS_PER_ANCHOR = CONTEXT_BUCKET // 160  # more cells of one anchor are not grouped
 HOT_SAMPLE = 4000  # documents, about
@@ -290,6 +293,40 @@ def per_doc(did: np.ndarray, dig: np.ndarray, items: np.ndarray) -> list[tuple[i
     return [(int(did[a]), int(dig[a]), items[a:b].tobytes()) for a, b in zip(lo, hi, strict=True)]
 
 
+def by_range(did: np.ndarray, dig: np.ndarray, items: np.ndarray, ranges: int
+             ) -> list[tuple[int, bytes]]:
+    """(range of documents, packed ids, counts and items): a row for every range,
+    not for every document."""
+    at = mix(did.astype(np.uint64) * GOLD ^ dig.astype(np.uint64)) % np.uint64(ranges)
+    order = np.lexsort((np.arange(len(did)), dig, did, at))
+    at, did, dig, items = at[order], did[order], dig[order], items[order]
+    out = []
+    for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at)) + 1):
+        if len(part):
+            i, g = did[part], dig[part]
+            new = np.r_[True, (i[1:] != i[:-1]) | (g[1:] != g[:-1])]
+            head = np.flatnonzero(new)
+            counts = np.diff(np.r_[head, len(part)])
+            out.append((int(at[part[0]]), b"".join(x.astype(np.int64).tobytes() for x in (
+                np.array([len(head)]), i[head], g[head], counts)) + items[part].tobytes()))
+    return out
+
+
+def from_ranges(payloads: list[bytes], kind: np.dtype) -> dict[tuple[int, int], bytes]:
+    """(did, dig) -> items, over the packed rows of one range."""
+    did, dig, items = [], [], []
+    for p in payloads:
+        n = int(np.frombuffer(p, np.int64, 1)[0])
+        i, g, counts = np.frombuffer(p, np.int64, 3 * n, 8).reshape(3, n)
+        did.append(np.repeat(i, counts))
+        dig.append(np.repeat(g, counts))
+        items.append(np.frombuffer(p, kind, -1, 8 + 24 * n))
+    if not did:
+        return {}
+    return {(i, g): x for i, g, x in
+            per_doc(np.concatenate(did), np.concatenate(dig), np.concatenate(items))}
+
+
 def as_runs(c: np.ndarray) -> np.ndarray:
     r = np.empty(len(c), RUN)
     r["start"], r["count"] = c["lo"], c["span"].astype(np.uint32) + 1
@@ -340,9 +377,10 @@ def _pack(shared):
     return run
 
 
-def _collapse(shared):
-    """A bucket's cells -> rows per document: runs (repeated windows) of all
-    but the first cell of a kind, and the cells whose bytes must be compared."""
+def _collapse(shared, ranges: int):
+    """A bucket's cells -> a row per range of documents: runs (repeated windows)
+    of all but the first cell of a kind, and the cells whose bytes must be
+    compared."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         hot = shared.value[0]
         got, did, dig = [], [], []
@@ -357,19 +395,27 @@ def _collapse(shared):
         order, first, again = firsts(c["h"], c["kind"], did, dig, c["lo"])
         c, did, dig = c[order], did[order], dig[order]
         rep = ~first & ~again
-        out = [(a, b, p, b"") for a, b, p in per_doc(did[rep], dig[rep], as_runs(c[rep]))]
+        out = [(r, p, b"") for r, p in by_range(did[rep], dig[rep], as_runs(c[rep]), ranges)]
         c, did, dig = c[first], did[first], dig[first]
         h = c["h"]
         shared_h = np.zeros(len(h), bool)
         shared_h[1:] |= h[1:] == h[:-1]
         shared_h[:-1] |= h[1:] == h[:-1]
         shared_h |= np.isin(h, hot)
-        out += [(a, b, b"", p) for a, b, p in
-                per_doc(did[shared_h], dig[shared_h], c[shared_h])]
-        return pd.DataFrame(out, columns=["did", "dig", "runs", "cells"])
+        out += [(r, b"", p) for r, p in
+                by_range(did[shared_h], dig[shared_h], c[shared_h], ranges)]
+        return pd.DataFrame(out, columns=["r", "runs", "cells"])
     return run
 
 
+def _per_document(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A range's packed rows -> one row per document."""
+    runs = from_ranges([p for p in pdf["runs"] if p], RUN)
+    cells_of = from_ranges([p for p in pdf["cells"] if p], CELL)
+    return pd.DataFrame([(i, g, runs.get((i, g), b""), cells_of.get((i, g), b""))
+                         for i, g in {**runs, **cells_of}], columns=["did", "dig", "runs", "cells"])
+
+
 def _cut_out(shared):
     """Documents with the cells wanted of them -> one row per cell with its bytes."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -545,10 +591,13 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     packed = written(d.filter(F.octet_length("t_") >= LENGTH).mapInPandas(
         _pack(shared), "bucket int, did long, dig long, payload binary"), "suffix-cells")
     near = packed.filter("bucket < 0").select("did", "dig", F.col("payload").alias("runs"))
-    flagged = written(packed.filter("bucket >= 0").groupBy("bucket").applyInPandas(
-        _collapse(shared), "did long, dig long, runs binary, cells binary"), "suffix-flags")
-    wanted = (flagged.filter(F.length("cells") > 0).groupBy("did", "dig")
-              .agg(F.collect_list("cells").alias("cells")))
+    ranges = max(1, -(-n_bytes // RANGE_BYTES))
+    flagged = written(
+        packed.filter("bucket >= 0").groupBy("bucket").applyInPandas(
+            _collapse(shared, ranges), "r int, runs binary, cells binary")
+        .groupBy("r").applyInPandas(
+            _per_document, "did long, dig long, runs binary, cells binary"), "suffix-flags")
+    wanted = flagged.filter(F.length("cells") > 0).select("did", "dig", F.array("cells").alias("cells"))
     # Rows equal in id and text ask for the same cells: one of them answers.
     once = d.join(wanted, ["did", "dig"]).groupBy("did", "dig").agg(
         F.first("t_").alias("t_"), F.first("cells").alias("cells"))
@@ -556,13 +605,13 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         _cut_out(shared), "h long, hot boolean, did long, dig long, lo int, rel int, span int, "
                           "bytes binary"), "suffix-cut")
     # Exact counts: an anchor with more cells than a group should hold takes the
-    # route without groups as well, whatever the sample saw.  Such anchors are few.
+    # route without groups as well, whatever the sample saw.
     loaded = written(cut.filter("not hot").groupBy("h").count()
                      .filter(F.col("count") > CELLS_PER_ANCHOR)
                      .select("h", F.lit(True).alias("loaded")), "suffix-loaded")
     any_loaded = not loaded.isEmpty()
     if any_loaded:
-        cut = cut.join(F.broadcast(loaded), "h", "left").withColumn(
+        cut = cut.join(loaded, "h", "left").withColumn(
             "hot", F.col("hot") | F.coalesce("loaded", F.lit(False))).drop("loaded")
     size = int(cut.agg(F.sum(F.length("bytes").cast("long"))).first()[0] or 0)
     groups = max(1, -(-size // CONTEXT_BUCKET))

@@ -253,6 +253,7 @@ def test_repeated_spans_long_texts_and_small_pieces(spark, monkeypatch):
     monkeypatch.setattr(suffixarray, "CHUNK", 700)
     monkeypatch.setattr(suffixarray, "BUCKET_BYTES", 4000)
     monkeypatch.setattr(suffixarray, "CONTEXT_BUCKET", 4000)
+    monkeypatch.setattr(suffixarray, "RANGE_BYTES", 5000)
     monkeypatch.setattr(suffixarray, "BATCH_BYTES", 3000)
     rows = [*repeat_rows(), (500, prose(50, 40) + prose(60, 800), "en", "a"),
             (501, prose(60, 800) + prose(51, 40), "en", "a")]
@@ -436,3 +437,22 @@ def test_langid_refuses_more_languages_than_it_learns(spark, monkeypatch):
     docs = edge_docs(spark, [(i, "a b c", f"l{i}", "a") for i in range(3)])
     with pytest.raises(ValueError, match="languages"):
         langid.training_sample(docs)
+
+
+def test_flags_do_not_grow_with_buckets(spark, monkeypatch):
+    """Rows between the steps follow documents and ranges, not buckets."""
+    rows = [(i, prose(i % 7, 60) + prose(50 + i, 30), "en", "a") for i in range(60)]
+    docs, counts, results = edge_docs(spark, rows), [], []
+    real = suffixarray.written
+
+    def seen(df, tag, *a):
+        out = real(df, tag, *a)
+        if tag == "suffix-flags":
+            counts.append((out.count(), out.select("did", "dig").distinct().count()))
+        return out
+    monkeypatch.setattr(suffixarray, "written", seen)
+    for size in (1 << 20, 1 << 12, 1 << 9):
+        monkeypatch.setattr(suffixarray, "BUCKET_BYTES", size)
+        results.append(sorted(map(str, suffixarray.repeated_spans(docs).collect())))
+    assert results[0] == results[1] == results[2]
+    assert all(n == d <= len(rows) for n, d in counts)
