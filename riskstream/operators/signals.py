@@ -37,9 +37,10 @@ from riskstream.constants import (
 from riskstream.functions.numeric import money_sum
 
 
-def distinct_count(df: DataFrame, col: str) -> Column:
-    """Exact distinct count; the streaming form keeps a per-window set."""
-    if df.isStreaming:
+def distinct_count(df: DataFrame, col: str, session: str | None = None) -> Column:
+    """Exact distinct count; streams keep a per-window set, and so do sessions
+    (Spark removes duplicates of a distinct count before it merges sessions)."""
+    if df.isStreaming or session is not None:
         return F.size(F.collect_set(col))
     return F.count_distinct(F.col(col))
 
@@ -47,19 +48,23 @@ def distinct_count(df: DataFrame, col: str) -> Column:
 def tumbling_signal(df: DataFrame, keys: list[str], duration: str, measures: dict[str, Column],
                     having: Column, flag: str, ts: str = "occurred_at",
                     where: Column | None = None, watermark: str | None = None,
-                    slide: str | None = None) -> DataFrame:
+                    slide: str | None = None, session: str | None = None) -> DataFrame:
     """GROUP BY keys, TUMBLE(ts, duration) ... HAVING ``having``.
 
     ``having`` is written over the measure names; ``flag`` is the boolean
     column that repeats it.  In streaming, ``watermark`` bounds the state.
-    ``slide`` turns the tumbling window into a sliding one (not used by the
-    defined signals, which are tumbling).
+    ``slide`` turns the tumbling window into a sliding one, ``session`` into
+    sessions: rows of a key no more than that gap apart, whose window ends the
+    gap after the last one.  Streams merge sessions in state and give them out
+    in append mode.  The defined signals are tumbling.
     """
     if where is not None:
         df = df.where(where)
     if df.isStreaming and watermark:
         df = df.withWatermark(ts, watermark)
-    win = F.window(ts, duration) if slide is None else F.window(ts, duration, slide)
+    win = F.window(ts, duration, slide)
+    if session is not None:
+        win = F.session_window(ts, session)
     agg = df.groupBy(*keys, win.alias("w")).agg(
         *[c.alias(n) for n, c in measures.items()])
     return agg.where(having).select(
@@ -91,18 +96,18 @@ def cnp_spike(stg_tx: DataFrame, window: str = CNP_WINDOW, min_txns: int = CNP_M
 
 def login_failure_storm(stg_login: DataFrame, window: str = STORM_WINDOW,
                         min_failures: int = STORM_MIN_FAILURES,
-                        watermark: str | None = None,
-                        slide: str | None = None) -> DataFrame:
+                        watermark: str | None = None, slide: str | None = None,
+                        session: str | None = None) -> DataFrame:
     """>= ``min_failures`` failed logins per customer in a window."""
     return tumbling_signal(
         stg_login, ["customer_id"], window,
         {"failure_count": F.count(F.lit(1)),
-         "distinct_ips": distinct_count(stg_login, "ip_address"),
-         "distinct_devices": distinct_count(stg_login, "device_id"),
+         "distinct_ips": distinct_count(stg_login, "ip_address", session),
+         "distinct_devices": distinct_count(stg_login, "device_id", session),
          "first_failure_at": F.min("occurred_at"),
          "last_failure_at": F.max("occurred_at")},
         F.col("failure_count") >= min_failures, "is_brute_force",
-        where=F.col("success") == F.lit(False), watermark=watermark, slide=slide)
+        where=F.col("success") == F.lit(False), watermark=watermark, slide=slide, session=session)
 
 
 def structuring(stg_tx: DataFrame, window: str = STRUCTURING_WINDOW,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskstream import schemas
-from riskstream.operators import alerts, marks, quality, serving, staging
+from riskstream.operators import alerts, marks, quality, serving, signals, staging
 from riskstream.operators.risk import customer_accounts
 from riskstream.plans import oracle
 from riskstream.plans.oracle import rnd, sql
@@ -47,6 +47,34 @@ for _n in ["stg_transactions", "stg_login_events", "stg_card_events", "stg_alert
     _view(_n)
 
 
+# Sessions of failed logins (gaps and islands), and the storm in sliding windows.
+register("login_failure_sessions", sql("""
+SELECT customer_id, min(occurred_at) AS window_start,
+       max(occurred_at) + INTERVAL 1 MINUTE AS window_end, count(*) AS failure_count,
+       count(DISTINCT ip_address) AS distinct_ips, count(DISTINCT device_id) AS distinct_devices,
+       min(occurred_at) AS first_failure_at, max(occurred_at) AS last_failure_at,
+       true AS is_brute_force
+FROM (SELECT *, sum(begins) OVER (PARTITION BY customer_id ORDER BY occurred_at
+                                  RANGE UNBOUNDED PRECEDING) AS island
+      FROM (SELECT *, CASE WHEN occurred_at <= lag(occurred_at) OVER (
+                PARTITION BY customer_id ORDER BY occurred_at) + INTERVAL 1 MINUTE
+              THEN 0 ELSE 1 END AS begins
+            FROM stg_login_events WHERE success = FALSE AND occurred_at IS NOT NULL))
+GROUP BY customer_id, island HAVING count(*) >= 3""", "stg_login_events"))(
+    lambda v: signals.login_failure_storm(v.stg_login_events, session="1 minute"))
+register("login_failure_sliding", sql("""
+SELECT customer_id, starts AS window_start, starts + INTERVAL 1 MINUTE AS window_end,
+       count(*) AS failure_count, count(DISTINCT ip_address) AS distinct_ips,
+       count(DISTINCT device_id) AS distinct_devices, min(occurred_at) AS first_failure_at,
+       max(occurred_at) AS last_failure_at, true AS is_brute_force
+FROM (SELECT *, time_bucket(INTERVAL 20 SECOND, occurred_at) - back * INTERVAL 20 SECOND AS starts
+      FROM stg_login_events, (VALUES (0), (1), (2)) AS steps(back)
+      WHERE success = FALSE AND occurred_at IS NOT NULL)
+GROUP BY customer_id, starts HAVING count(*) >= 3""", "stg_login_events"))(
+    lambda v: signals.login_failure_storm(v.stg_login_events, window="1 minute",
+                                          slide="20 seconds"))
+
+
 # --- serving ------------------------------------------------------------------
 _ROW_VIEWS = ["account_risk_score", "open_fraud_cases", "velocity_alerts",
               "geo_impossible_trips", "fraud_kpis_1min"]
