@@ -19,6 +19,11 @@ MIN_LANG_SCORE = 0.4
 SHINGLE, SIMILARITY = 5, 80
 
 
+def by_place(df: DataFrame) -> DataFrame:
+    """Columns c0, c1, ...: names of the documents' own may come twice."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language (null, no letters) or with no clear
     one; ``lang`` becomes the predicted language.  Without any labelled row
@@ -26,9 +31,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs)
     if not model.langs:
         return docs
-    got = langid.predict_language(docs, model, docs.columns)
-    keep = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANG_SCORE)
-    return got.filter(keep).withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    got = by_place(langid.predict_language(docs, model, docs.columns))
+    given, (pred, score) = docs.columns, got.columns[-2:]
+    kept = got.filter((F.col(pred) != langid.UNKNOWN) & (F.col(score) >= MIN_LANG_SCORE))
+    lang = given.index("lang")
+    return kept.select(*[F.col(pred if i == lang else c).alias(name)
+                         for i, (c, name) in enumerate(zip(kept.columns, given))])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,13 +51,16 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data become surrogates; n_chars follows the new text."""
-    got = pii.replace_entities(docs).select(*docs.columns)
-    return got.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    got, given = by_place(pii.replace_entities(docs)), docs.columns
+    size = F.length(got.columns[given.index("text")]).cast(docs.schema["n_chars"].dataType)
+    return got.select(*[(size if name == "n_chars" else F.col(c)).alias(name)
+                        for c, name in zip(got.columns, given)])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix of sources takes, with their copies."""
-    return mixing.mixed(docs)
+    """The documents that the mix of sources takes, with ``copies`` (in place of
+    any column of that name)."""
+    return mixing.mixed(docs.drop("copies"))
 
 
 STAGES = [
