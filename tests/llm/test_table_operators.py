@@ -340,3 +340,19 @@ def test_surrogates_forms_and_near_misses(spark):
     assert len({re.sub(r"\D", "", got[FOUND.index(x)][0])[-10:] for x in same}) == 1
     for i, x in enumerate(NEAR_MISSES, len(FOUND)):
         assert got[i] == (f"see {x} here", 0), x
+
+
+def test_stages_over_clashing_columns(spark, tmp_dir):
+    """Columns named as the operators name theirs pass through every stage."""
+    extra = ["score", "lang_pred", "copies", "n_entities_", "label", "n_words", "k0", "c1", "t_"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(80)
+    docs = docs.select("*", *[F.concat(F.lit(f"{c}-"), "doc_id").alias(c) for c in extra])
+    held = docs
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, held, SF).write.parquet(path := os.path.join(tmp_dir, f"{k}-{name}"))
+        held = spark.read.parquet(path)
+        kept = [c for c in extra if c != "copies" or name != "mix_sources"]
+        assert sorted(held.columns) == sorted(docs.columns)
+        assert held.count() > 0
+        assert all(r[c] == f"{c}-{r.doc_id}" for r in held.collect() for c in kept), name
+    assert held.schema["copies"].dataType.simpleString() == "bigint"
