@@ -28,7 +28,7 @@ def main(argv=None) -> None:
     ap.add_argument("mode", choices=["batch", "stream"])
     ap.add_argument("--source", action="append", default=[], help="stream=path")
     ap.add_argument("--format", default="json")
-    ap.add_argument("--brokers", help="Kafka bootstrap servers (stream)")
+    ap.add_argument("--brokers", help="Kafka bootstrap servers")
     ap.add_argument("--kafka", action="append", default=[], help="kafka.NAME=VALUE client setting")
     ap.add_argument("--out", help="batch output folder")
     ap.add_argument("--root", help="streaming tables folder")
@@ -48,17 +48,17 @@ def main(argv=None) -> None:
         cores = args.cores or spark.sparkContext.defaultParallelism
         for k, v in cluster_settings(args.input_tb * 1e12, cores).items():
             spark.conf.set(k, v)
-    if args.mode == "batch":
-        Views.from_sources(spark, paths, fmt=args.format, as_of=args.as_of).write_all(args.out)
-        return
-    from riskstream.sources import events
-    from riskstream.streaming import snapshot, topology
     if args.brokers:
         how = {"brokers": args.brokers,
                "kafka": {"security": dict(x.split("=", 1) for x in args.kafka)}}
         given = {n: how for n in schemas.STREAMS}
     else:
         given = {n: {"path": p, "fmt": args.format} for n, p in paths.items()}
+    if args.mode == "batch":  # of a topic: all that it holds now
+        Views.from_sources(spark, given, as_of=args.as_of).write_all(args.out)
+        return
+    from riskstream.sources import events
+    from riskstream.streaming import snapshot, topology
     loaded = {n: events.load(spark, n, streaming=True, **how) for n, how in given.items()}
     sources = {n: good for n, (good, _) in loaded.items()}
     trigger = {"availableNow": True} if args.once else {}
@@ -73,7 +73,7 @@ def main(argv=None) -> None:
         topology.refresh_snapshot(spark, args.root)
         return
     topo = topology.start(spark, sources, args.root)
-    refresher = (sources["transactions"].writeStream
+    refresher = (topo.staged["transactions"].writeStream
                  .option("checkpointLocation", os.path.join(args.root, "_checkpoints", "snapshot"))
                  .foreachBatch(snapshot.snapshot_on_batch(args.root)).start())
     topo.queries += [refresher, *dead]

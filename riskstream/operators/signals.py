@@ -41,7 +41,7 @@ def distinct_count(df: DataFrame, col: str, session: str | None = None) -> Colum
     """Exact distinct count; streams keep a per-window set, and so do sessions
     (Spark removes duplicates of a distinct count before it merges sessions)."""
     if df.isStreaming or session is not None:
-        return F.size(F.collect_set(col))
+        return F.size(F.collect_set(col)).cast("bigint")
     return F.count_distinct(F.col(col))
 
 

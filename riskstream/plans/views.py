@@ -141,14 +141,16 @@ class Views:
         return self._corrupted()
 
     @classmethod
-    def from_sources(cls, spark: SparkSession, paths: dict[str, str], fmt: str = "json",
+    def from_sources(cls, spark: SparkSession, sources: dict[str, str | dict], fmt: str = "json",
                      **kw) -> "Views":
-        """Views over the five topics stored as files (``stream -> path``); rows
-        that cannot be read are in ``dead_letters``, not in the views."""
+        """Views over the five topics: ``stream -> path`` of files, or ``stream ->``
+        arguments of ``sources.events.load`` (``brokers`` reads what a topic holds);
+        rows that cannot be read are in ``dead_letters``, not in the views."""
         from riskstream.sources import events
         configure(spark)
-        loaded = {name: events.load(spark, name, path=path, fmt=fmt)
-                  for name, path in paths.items()}
+        given = {n: s if isinstance(s, dict) else {"path": s, "fmt": fmt}
+                 for n, s in sources.items()}
+        loaded = {name: events.load(spark, name, **how) for name, how in given.items()}
         views = cls({name: good for name, (good, _) in loaded.items()}, **kw)
         views.dead_letters = reduce(DataFrame.unionByName, [bad for _, bad in loaded.values()])
         return views

@@ -89,6 +89,7 @@ def longest(intervals) -> str:
 class Topology:
     root: str
     queries: list = field(default_factory=list)
+    staged: dict[str, DataFrame] = field(default_factory=dict)  # streams of staged rows
 
     def path(self, *parts: str) -> str:
         return os.path.join(self.root, *parts)
@@ -191,6 +192,7 @@ def start(spark: SparkSession, sources: dict[str, DataFrame], root: str,
 
     # Level 2: views of staged rows.
     staged = {name: _staged_stream(spark, topo, name, shape) for name, shape in shapes.items()}
+    topo.staged = staged
     tx, logins = staged["transactions"], staged["login_events"]
     keep("high_water", high_water_stream(staged), ["stream"], mat.hash_bucket(["stream"], 1))
     for name, src in SIGNAL_SOURCE.items():

@@ -145,3 +145,20 @@ def test_load_checks_the_contract_and_splits_dead_letters(spark, tmp_dir):
     assert good.count() == 1 and [r.error for r in bad.collect()] == ["malformed_json"]
     assert events.kafka_options("b:1", "t")["failOnDataLoss"] == "true"
     assert events.kafka_options("b:1", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"
+
+
+def test_views_over_topics_read_what_they_hold(spark, monkeypatch):
+    """Batch over Kafka: each stream is loaded from the brokers, not as a stream."""
+    from riskstream import schemas
+    from riskstream.plans.views import Views
+    asked = []
+
+    def load(spark_, name, **how):
+        asked.append((name, how))
+        good = spark_.createDataFrame([], schemas.STREAMS[name])
+        return good, spark_.createDataFrame([], "topic string, payload string, error string")
+    monkeypatch.setattr(events, "load", load)
+    how = {"brokers": "b:9092", "kafka": {"security": {}}}
+    views = Views.from_sources(spark, {n: how for n in schemas.STREAMS})
+    assert asked == [(n, how) for n in schemas.STREAMS]
+    assert views.account_risk_score.count() == 0 and views.dead_letters.count() == 0
