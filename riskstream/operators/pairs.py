@@ -106,8 +106,7 @@ def geo_hops(stg_tx: DataFrame, min_km: float = GEO_MIN_KM, flag_km: float = GEO
                 F.max_by(F.struct(*cols), F.struct("occurred_at", "transaction_id")).alias("r"))
             before = before.select("r.*")
         else:
-            before = positions.last_before(stg_tx, index, since,
-                                           recent.select("customer_id").distinct())
+            before = positions.last_before(stg_tx, index, since, recent.select("customer_id"))
         tx = recent.unionByName(before)
     with_prev = lag_by_time_bucket(tx, "customer_id", "occurred_at", "transaction_id",
                                    carry, bucket=bucket)

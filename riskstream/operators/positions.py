@@ -58,8 +58,8 @@ def _periods(df: DataFrame, lo: Column | None, hi: Column) -> DataFrame:
 
 def last_before(transactions: DataFrame, index: dict[str, DataFrame], at: Column,
                 customers: DataFrame) -> DataFrame:
-    """The last row before ``at`` of each of ``customers`` (distinct customer_id;
-    NULL is a customer of its own): customer_id and ``COLUMNS``."""
+    """The last row before ``at`` of each of ``customers`` (customer_id; NULL is a
+    customer of its own): customer_id and ``COLUMNS``."""
     day, month, year = (F.date_trunc(level, at) for level in LEVELS)
     today = transactions
     if PART in today.columns:
@@ -67,7 +67,9 @@ def last_before(transactions: DataFrame, index: dict[str, DataFrame], at: Column
     parts = [today.where((F.col("occurred_at") >= day) & (F.col("occurred_at") < at)),
              _periods(index["day"], month, day), _periods(index["month"], year, month),
              _periods(index["year"], None, year)]
-    wanted = customers.select(F.col(KEY).alias("_c"))
-    probed = [p.select(KEY, *COLUMNS).join(wanted, F.col(KEY).eqNullSafe(F.col("_c")), "left_semi")
-              for p in parts]
-    return _newest(reduce(DataFrame.unionByName, probed), KEY).select(KEY, "_row.*")
+    rows = reduce(DataFrame.unionByName, [p.select(KEY, *COLUMNS) for p in parts])
+    # An inner join: Spark would copy a semi join, with what it probes for, into
+    # every part of the union.
+    wanted = customers.select(F.col(KEY).alias("_c")).distinct()
+    probed = rows.join(wanted, F.col(KEY).eqNullSafe(F.col("_c")))
+    return _newest(probed, KEY).select(KEY, "_row.*")

@@ -15,7 +15,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.functions.time import PART
+from riskstream.functions.time import PART, ago, as_of_column
 from riskstream.operators import (
     cases,
     marks,
@@ -282,13 +282,24 @@ class Views:
         return self.device_anomalies_with_account.drop("account_id")
 
     # --- risk -------------------------------------------------------------
+    @cached_property
+    def recent_geo_hops(self) -> DataFrame | None:
+        """The hops that the score looks back on, as a table: its plan uses them
+        without deriving them again (None without a store)."""
+        if self.store is None:
+            return None
+        now = as_of_column(self._transactions, "occurred_at", self._now("transactions"))
+        return self._kept("recent_geo_hops", pairs.geo_hops(
+            self._transactions, bucket=self.geo_bucket,
+            since=ago(now, risk.LOOKBACK["geo_impossible"]), index=self.positions))
+
     @cached_property
     def account_risk_score(self) -> DataFrame:
         return self._kept("account_risk_score", risk.account_risk_score_snapshot(
             self._transactions, self._login_events, self._alert_events,
-            None, self.device_anomalies_with_account, as_of=self._now("transactions"),
-            geo_bucket=self.geo_bucket, seen=self.accounts_seen if self.store else None,
-            index=self.positions))
+            self.recent_geo_hops, self.device_anomalies_with_account,
+            as_of=self._now("transactions"), geo_bucket=self.geo_bucket,
+            seen=self.accounts_seen if self.store else None))
 
     @cached_property
     def fraud_kpis_1min(self) -> DataFrame:

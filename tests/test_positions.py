@@ -79,13 +79,15 @@ def test_score_scans_no_history(spark, tmp_dir):
     plain = Views.from_testdata(spark, "/root/testdata/sf0.001")
     want = rows(plain.account_risk_score, "account_id", "customer_id", "risk_score")
     assert rows(views.account_risk_score, "account_id", "customer_id", "risk_score") == want and want
-    plan = views.built["account_risk_score"]
-    text = plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "formatted")
-    scans = re.findall(r"Location: InMemoryFileIndex \[[^\]]*/stg_transactions\]\n(?:.*\n)*?\n", text)
-    assert scans
-    for scan in scans:
-        assert re.search(rf"PartitionFilters: \[[^\n]*{PART}", scan), scan
-    assert "high_water" in text
+    for name in ("account_risk_score", "recent_geo_hops"):
+        plan = views.built[name]
+        text = plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "formatted")
+        scans = re.findall(r"Location: InMemoryFileIndex \[[^\]]*/stg_transactions\]\n(?:.*\n)*?\n",
+                           text)
+        assert scans
+        for scan in scans:
+            assert re.search(rf"PartitionFilters: \[[^\n]*{PART}", scan), scan
+        assert "high_water" in text
 
 
 def test_marks_add_up_over_writes(spark, tx, tmp_dir):
