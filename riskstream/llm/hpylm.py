@@ -16,10 +16,12 @@ table.  A context has at most one entry a bucket, so none is a hot key.  Random
 numbers are hashes of (word, context, step, sweep), so lost tasks are redone
 alike.  The predictive probability is averaged over the sweeps after the burn-in.
 
-The corpus is read twice: once to count words, once to pack each batch's
-tokens by word bucket (word hash, context, document) into binary rows.  Words
-frequent enough to load a bucket are dealt over several by batch; their counts,
-at most one per context, go to each of those.
+The corpus is read three times: to count words, to count each batch's distinct
+(word, context) pairs by word bucket, and to send each batch's tokens (word,
+context, document) to the buckets to be scored; no copy of the tokens is kept.
+A word frequent enough to load a bucket is dealt over several by context, so
+every dish is in one bucket.  The tables of such a word go around like those of
+a context, under a name of the word's own, and its range seats the parent.
 """
 
 from __future__ import annotations
@@ -36,8 +38,9 @@ from pyspark.sql import functions as F
 
 from riskstream.llm.common import LOWER, small_batches, table, written
 
-CONTEXTS = 1 << 18  # about so many contexts of buckets are summed in one group
+CONTEXTS = 1 << 20  # about so many contexts of buckets are summed in one group
 START = np.uint64(0x5354415254)  # the context of a text's first token
+WORD_NAME = np.uint64(0x7A5E1D0C3B2F4968)  # sets names of dealt words apart from contexts
 END = b"\n"  # no word holds white space
 BURN_IN = 2
 SAMPLES = 3
@@ -108,100 +111,138 @@ def ways_of(h: np.ndarray, spread: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return out
 
 
+def names_of(words: np.ndarray) -> np.ndarray:
+    """The names under which the totals of dealt words go around."""
+    return mix(words ^ WORD_NAME)
+
+
 def index_type(n: int) -> type:
     return np.uint16 if n <= 1 << 16 else np.uint32
 
 
-def _pack_batch(docs: list[list[bytes]], trains: np.ndarray,
-                spread: tuple[np.ndarray, np.ndarray], buckets: int, salt: int
-                ) -> list[tuple[int, str, bytes]]:
-    """(bucket, kind, payload) rows of one batch; kind ``t`` holds tokens to
-    score, ``c`` training counts of words that are dealt over buckets."""
-    ids: dict[bytes, int] = {}
-    for d in docs:
-        for w in d:
-            if w not in ids:
-                ids[w] = len(ids)
-        ids.setdefault(END, len(ids))
-    vocab = list(ids)
-    hashes = word_hashes(vocab)
-    names = np.append(hashes, START)  # of contexts
-    lengths = np.array([len(d) + 1 for d in docs])
-    total = int(lengths.sum())
-    word = np.empty(total, np.int64)
-    at = 0
-    for d in docs:
-        word[at:at + len(d)] = [ids[w] for w in d]
-        word[at + len(d)] = ids[END]
-        at += len(d) + 1
-    ctx = np.empty(total, np.int64)
-    ctx[1:] = word[:-1]
-    ctx[np.cumsum(lengths) - lengths] = len(vocab)
-    doc = np.repeat(np.arange(len(docs), dtype=np.uint16), lengths)
-
-    home = bucket_of(hashes, buckets)
-    ways = ways_of(hashes, spread)
-    place = (home + salt % ways) % buckets
-    order = np.lexsort((doc, ctx, word, place[word]))
-    word, ctx, doc = word[order], ctx[order], doc[order]
-    at_bucket = place[word]
-    out = []
-    cuts = np.flatnonzero(np.diff(at_bucket)) + 1
-    for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, total], strict=True):
+def packed_arrays(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers in one value, each deflated (64-bit hashes only stored)."""
+    parts = [zlib.compress(a.tobytes(), 0 if a.dtype == np.uint64 else 1) for a in arrays]
+    return np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
+
+
+def unpacked(blob: bytes, *kinds: type) -> list[np.ndarray]:
+    ends = 8 * len(kinds) + np.cumsum(np.frombuffer(blob, np.int64, len(kinds)))
+    starts = [8 * len(kinds), *ends[:-1]]
+    return [np.frombuffer(zlib.decompress(blob[a:b]), k)
+            for a, b, k in zip(starts, ends, kinds, strict=True)]
+
+
+class Batch:
+    """Documents as they come: tokens are numbered by the batch's vocabulary."""
+
+    def __init__(self):
+        self.numbers: dict[bytes, int] = {}
+        self.tokens: list[np.ndarray] = []
+        self.ids: list[int] = []
+        self.held: list[bool] = []
+        self.size = 0
+
+    def add(self, doc_id: int, held: bool, text: str | None) -> None:
+        words = words_of(text)
+        words.append(END)
+        give = self.numbers.setdefault
+        self.tokens.append(np.array([give(w, len(self.numbers)) for w in words], np.int32))
+        self.ids.append(doc_id)
+        self.held.append(held)
+        self.size += len(words)
+
+    def full(self) -> bool:
+        return self.size >= PACK_TOKENS or len(self.ids) >= 60_000
+
+    def by_bucket(self, spread: tuple[np.ndarray, np.ndarray], buckets: int):
+        """Hashes of the vocabulary (the start of a text last) and the tokens'
+        sort key, (bucket, word, context) in one number, whose parts ``divmod``
+        by the vocabulary's size gives back."""
+        hashes = np.append(word_hashes(list(self.numbers)), START)
+        size = len(hashes)
+        lengths = np.array([len(t) for t in self.tokens])
+        word = np.concatenate(self.tokens).astype(np.int64)
+        ctx = np.empty_like(word)
+        ctx[1:] = word[:-1]
+        ctx[np.cumsum(lengths) - lengths] = size - 1
+        place = bucket_of(hashes, buckets)[word]
+        ways = ways_of(hashes, spread)
+        if (ways > 1).any():
+            dealt = np.flatnonzero(ways[word] > 1)
+            w = word[dealt]
+            turn = mix(hashes[ctx[dealt]] ^ hashes[w]) % ways[w].astype(np.uint64)
+            place[dealt] = (place[dealt] + turn.astype(np.int64)) % buckets
+        return hashes, lengths, (place * size + word) * size + ctx
+
+
+def split_rows(hashes: np.ndarray, key: np.ndarray, *values: np.ndarray
+               ) -> Iterator[tuple[int, bytes]]:
+    """(bucket, payload) of sorted keys with a value each: word hashes, context
+    hashes, keys a word, contexts (places among their hashes), values."""
+    rest, ctx = np.divmod(key, len(hashes))
+    place, word = np.divmod(rest, len(hashes))
+    cuts = np.flatnonzero(np.diff(place)) + 1
+    for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(key)], strict=True):
         w = word[lo:hi]
         new = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
         runs = np.diff(np.r_[new, hi - lo]).astype(np.uint32)
         own, c = np.unique(ctx[lo:hi], return_inverse=True)
-        out.append((int(at_bucket[lo]), "t", b"".join([
-            np.array([len(new), hi - lo, len(own)], np.uint32).tobytes(), hashes[w[new]].tobytes(),
-            names[own].tobytes(), runs.tobytes(), c.astype(index_type(len(own))).tobytes(),
-            doc[lo:hi].tobytes()])))
-    many = np.flatnonzero(ways > 1)
-    if len(many):
-        mine = (ways[word] > 1) & trains[doc]
-        key, count = np.unique(word[mine] * len(names) + ctx[mine], return_counts=True)
-        kw, kc = key // len(names), names[key % len(names)]
-        for j in range(int(ways.max())):
-            use = ways[kw] > j
-            to = (home[kw] + j) % buckets
-            for b in np.unique(to[use]):
-                s = use & (to == b)
-                out.append((int(b), "c", b"".join([
-                    np.array([int(s.sum())], np.uint32).tobytes(), hashes[kw[s]].tobytes(),
-                    kc[s].tobytes(), count[s].astype(np.uint32).tobytes()])))
-    return out
+        yield int(place[lo]), np.array([len(own)], np.uint32).tobytes() + packed_arrays(
+            hashes[w[new]], hashes[own], runs, c.astype(index_type(len(own))),
+            *[v[lo:hi] for v in values])
 
 
-def _packer(model):
+def read_rows(payload: bytes, *kinds: type) -> list[np.ndarray]:
+    own = int(np.frombuffer(payload, np.uint32, 1)[0])
+    return unpacked(payload[4:], np.uint64, np.uint64, np.uint32, index_type(own), *kinds)
+
+
+def _in_batches(pack):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        spread, buckets = model.value
-        docs, ids, held = [], [], []
-        size = done = 0
+        batch, done = Batch(), 0
         task = TaskContext.get().partitionId()
-
-        def flush() -> pd.DataFrame:
-            mask = np.array(held, np.uint8)
-            rows = _pack_batch(docs, mask == 0, spread, buckets, task + done)
-            key = f"{task}-{done}"
-            out = [(b, k, key, mask.tobytes() if k == "t" else b"", p) for b, k, p in rows]
-            out.append((-1, "d", key, np.array(ids, np.int64).tobytes() + mask.tobytes(),
-                        np.array([len(d) + 1 for d in docs], np.int64).tobytes()))
-            return pd.DataFrame(out, columns=["bucket", "kind", "batch", "head", "payload"])
         for pdf in batches:
             for i, h, t in zip(pdf["d_"], pdf["h_"], pdf["t_"], strict=True):
-                d = words_of(t)
-                docs.append(d)
-                ids.append(i)
-                held.append(h)
-                size += len(d) + 1
-                if size >= PACK_TOKENS or len(docs) >= 60_000:
-                    yield flush()
-                    docs, ids, held, size, done = [], [], [], 0, done + 1
-        if docs:
-            yield flush()
+                batch.add(i, h, t)
+                if batch.full():
+                    yield pack(batch, f"{task}-{done}")
+                    batch, done = Batch(), done + 1
+        if batch.ids:
+            yield pack(batch, f"{task}-{done}")
     return run
 
 
+def _pack_counts(model):
+    """Texts -> per batch and bucket the distinct pairs with their counts in
+    training texts, which are 0 where a pair is only scored."""
+    def pack(batch: Batch, name: str) -> pd.DataFrame:
+        hashes, lengths, key = batch.by_bucket(*model.value)
+        trains = np.repeat(~np.array(batch.held, bool), lengths)
+        key = np.sort(key * 2 + trains)
+        new = np.flatnonzero(np.r_[True, np.diff(key >> 1) != 0])
+        count = np.add.reduceat((key & 1).astype(np.uint32), new, dtype=np.uint32)
+        return pd.DataFrame(list(split_rows(hashes, key[new] >> 1, count)),
+                            columns=["bucket", "payload"])
+    return _in_batches(pack)
+
+
+def _pack_tokens(model):
+    """Texts -> per batch and bucket the tokens to score (kind ``t``), and per
+    batch its documents (kind ``d``)."""
+    def pack(batch: Batch, name: str) -> pd.DataFrame:
+        buckets = model.value[1]
+        hashes, lengths, key = batch.by_bucket(*model.value)
+        order = np.argsort(key, kind="stable")
+        doc = np.repeat(np.arange(len(lengths), dtype=np.uint16), lengths)[order]
+        out = [(b, "t", name, b"", p) for b, p in split_rows(hashes, key[order], doc)]
+        out.append((zlib.crc32(name.encode()) % buckets, "d", name,
+                    np.array(batch.ids, np.int64).tobytes() + np.array(batch.held, np.uint8).tobytes(),
+                    lengths.astype(np.int64).tobytes()))
+        return pd.DataFrame(out, columns=["bucket", "kind", "batch", "head", "payload"])
+    return _in_batches(pack)
+
+
 # --- seating ----------------------------------------------------------------
 
 def uniforms(key: np.ndarray, step: int | np.ndarray, sweep: int) -> np.ndarray:
@@ -259,6 +300,10 @@ def _run(n: int, size: int, count: np.ndarray, open_mass: np.ndarray, discount:
         opens = again
 
 
+def root_key(words: np.ndarray) -> np.ndarray:
+    return mix(words ^ np.uint64(0xABCDEF))
+
+
 class Dishes:
     """Training counts of one bucket: words (sorted hashes) and, by word, the
     contexts (places in ``names``, the sorted hashes of the bucket's contexts)
@@ -282,7 +327,7 @@ class Dishes:
         self.names = names
         of = self.ctx.astype(np.uint64) if names is None else names[self.ctx]
         self.key = mix(self.word * np.uint64(0x9E3779B97F4A7C15) + of)
-        self.root_key = mix(self.words ^ np.uint64(0xABCDEF))
+        self.root_key = root_key(self.words)
 
     def sweep(self, g: dict, root: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Reseat everything given the totals ``g``: tables of each dish, then
@@ -316,86 +361,46 @@ def sweeps(d: Dishes, history: list[dict], root: np.ndarray | None = None, turn:
         root = d.parent(g["next"], c0, t0) if "next" in g else root
 
 
-def read_tokens(payload: bytes) -> tuple[np.ndarray, ...]:
-    """word hashes, context hashes, run lengths, contexts (places among the
-    hashes), documents of a packed token row."""
-    n, total, own = (int(x) for x in np.frombuffer(payload, np.uint32, 3))
-    at = 12
-    parts = []
-    for kind, size in ((np.uint64, n), (np.uint64, own), (np.uint32, n), (index_type(own), total),
-                       (np.uint16, total)):
-        parts.append(np.frombuffer(payload, kind, size, at))
-        at += size * np.dtype(kind).itemsize
-    return tuple(parts)
-
-
-def read_counts(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = int(np.frombuffer(payload, np.uint32, 1)[0])
-    return (np.frombuffer(payload, np.uint64, n, 4), np.frombuffer(payload, np.uint64, n, 4 + 8 * n),
-            np.frombuffer(payload, np.uint32, n, 4 + 16 * n))
-
-
-def dishes_of(pdf: pd.DataFrame, spread: tuple[np.ndarray, np.ndarray]) -> Dishes:
-    """The counts of a bucket's rows; dealt words come from the count rows.  The
-    contexts are those of all tokens, also of the ones that are only scored."""
-    words, ctxs, counts, seen = [], [], [], [np.empty(0, np.uint64)]
-    for kind, head, payload in zip(pdf["kind"], pdf["head"], pdf["payload"], strict=True):
-        if kind == "t":
-            h, own, runs, ctx, doc = read_tokens(payload)
-            trains = np.frombuffer(head, np.uint8)[doc] == 0
-            trains = trains & (np.repeat(ways_of(h, spread), runs) == 1)
-            gid = np.repeat(np.arange(len(h)), runs)[trains]
-            key, n = np.unique(gid * len(own) + ctx[trains], return_counts=True)
-            words.append(h[key // len(own)])
-            ctxs.append(own[key % len(own)])
-            counts.append(n.astype(np.int64))
+def dishes_of(payloads, bucket: int, spread: tuple[np.ndarray, np.ndarray], buckets: int) -> Dishes:
+    """The counts of a bucket's rows.  The contexts are those of all tokens, also
+    of the ones that are only scored.  Every dealt word that may come here has an
+    empty dish, so that the bucket knows it, and its name among the contexts'."""
+    keys, ways = spread
+    here = keys[(bucket - bucket_of(keys, buckets)) % buckets < ways]
+    words, ctxs = [here], [np.full(len(here), START)]
+    counts, seen = [np.zeros(len(here), np.int64)], [ctxs[0][:1], names_of(here)]
+    for payload in payloads:
+        if payload:
+            h, own, runs, ctx, n = read_rows(payload, np.uint32)
+            words.append(np.repeat(h, runs)[n > 0])
+            ctxs.append(own[ctx[n > 0]])
+            counts.append(n[n > 0].astype(np.int64))
             seen.append(own)
-        else:
-            h, ctx, n = read_counts(payload)
-            words.append(h)
-            ctxs.append(ctx)
-            counts.append(n.astype(np.int64))
-            seen.append(np.unique(ctx))
     names = np.unique(np.concatenate(seen))
-    if not words:
-        return NO_DISHES
     return Dishes(np.concatenate(words), np.searchsorted(names, np.concatenate(ctxs)),
                   np.concatenate(counts), names=names)
 
 
-def packed_arrays(*arrays: np.ndarray) -> bytes:
-    """Arrays of 64-bit numbers in one value, each deflated."""
-    parts = [zlib.compress(a.tobytes(), 1) for a in arrays]
-    return np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
-
-
-def unpacked(blob: bytes, *kinds: type) -> list[np.ndarray]:
-    ends = 8 * len(kinds) + np.cumsum(np.frombuffer(blob, np.int64, len(kinds)))
-    starts = [8 * len(kinds), *ends[:-1]]
-    return [np.frombuffer(zlib.decompress(blob[a:b]), k)
-            for a, b, k in zip(starts, ends, kinds, strict=True)]
-
-
 def _pack_dishes(model):
-    """All rows of a bucket -> one row with its dishes; ``mine`` marks words
-    that are counted here (a dealt word is counted in its first bucket only)."""
+    """All rows of a bucket -> one row with its dishes."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         spread, buckets = model.value
-        d = dishes_of(pdf, spread)
         b = int(pdf["bucket"].iloc[0])
-        mine = (ways_of(d.words, spread) == 1) | (bucket_of(d.words, buckets) == b)
+        d = dishes_of(pdf["payload"], b, spread, buckets)
         runs = np.bincount(d.group, minlength=len(d.words)).astype(np.int64)
         return pd.DataFrame({"bucket": [b], "contexts": [len(d.names)], "dishes": [packed_arrays(
-            d.words, d.names, runs, d.ctx.astype(np.uint32), d.count.astype(np.int64),
-            mine.astype(np.uint8))]})
+            d.words, d.names, runs, d.ctx.astype(np.uint32), d.count.astype(np.int64))]})
     return run
 
 
-def load_dishes(blob: bytes) -> tuple[Dishes, np.ndarray]:
-    words, names, runs, ctx, count, mine = unpacked(
-        blob, np.uint64, np.uint64, np.int64, np.uint32, np.int64, np.uint8)
-    return Dishes(np.repeat(words, runs), ctx.astype(np.int64), count, merged=True,
-                  names=names), mine > 0
+def load_dishes(blob: bytes, spread: tuple[np.ndarray, np.ndarray]
+                ) -> tuple[Dishes, np.ndarray, np.ndarray]:
+    """A bucket's dishes, which of its words are dealt and where their names are."""
+    words, names, runs, ctx, count = unpacked(
+        blob, np.uint64, np.uint64, np.int64, np.uint32, np.int64)
+    d = Dishes(np.repeat(words, runs), ctx.astype(np.int64), count, merged=True, names=names)
+    dealt = np.flatnonzero(ways_of(d.words, spread) > 1)
+    return d, dealt, np.searchsorted(names, names_of(d.words[dealt]))
 
 
 # Rows that go around between sweeps: ``a`` a bucket's dishes, ``b`` its seating
@@ -424,7 +429,7 @@ def joined_totals(rows: list) -> np.ndarray:
     """(customers, tables) of a bucket's contexts from its ranges, which are in
     the order of the hashes."""
     got = [unpacked(r.payload, np.int64, np.int64) for r in sorted(rows, key=lambda r: r.part)]
-    return np.array([np.concatenate([x[i] for x in got]) for i in (0, 1)], np.float64)
+    return np.array([np.concatenate([np.empty(0), *[x[i] for x in got]]) for i in (0, 1)])
 
 
 def part_of(names: np.ndarray, parts: int) -> np.ndarray:
@@ -433,75 +438,109 @@ def part_of(names: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _sweep(shared):
-    """The rows of a turn: per bucket its share of the contexts' totals by range,
-    before any sweep with one table a dish and how many dishes have one or two
-    customers, and its seating."""
+    """The rows of a turn: per bucket its share of the totals of contexts and
+    dealt words by range (customers before any sweep, tables always; those with
+    one table a dish before any sweep), its seating, and before any sweep how
+    many dishes have one or two customers."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        history, parts, keep = shared.value
+        history, parts, keep, spread = shared.value
         turn = len(history)
 
         def one(bucket: int, rows: list) -> pd.DataFrame:
-            d, mine = load_dishes(rows[0].payload)
-            use = mine[d.group]
+            d, dealt, at_name = load_dishes(rows[0].payload, spread)
+            local = np.ones(len(d.words), bool)
+            local[dealt] = False
             sums = np.zeros(6)
             n = len(d.names)
             out = []
             if turn:
                 root = samples = None
+                first, tables = joined_totals([r for r in rows if r.kind == "g"])
+                if turn == 1:
+                    d.total[dealt] = first[at_name]
                 for r in rows:
                     if r.kind == "b":
                         c0, t0, samples = unpacked(r.payload, np.int64, np.int64, np.int64)
-                        root = d.parent(history[-1], c0, t0)
-                tables = joined_totals([r for r in rows if r.kind == "g"])[1]
+                        root = parent_of(d, history[-1], c0, t0, dealt, tables[at_name], first[at_name])
                 (_, t, c0, t0), = sweeps(d, [history[-1] | {"tables": tables}], root, turn - 1)
-                sums[ROOT_CUSTOMERS], sums[ROOT_TABLES] = c0[mine].sum(), t0[mine].sum()
+                sums[ROOT_CUSTOMERS], sums[ROOT_TABLES] = c0[local].sum(), t0[local].sum()
                 samples = (np.zeros(len(t), np.int64) if samples is None else samples) + (
                     t.astype(np.int64) if keep else 0)
                 out.append((bucket, "b", turn, -1 - bucket, packed_arrays(
                     c0.astype(np.int64), t0.astype(np.int64), samples), sums))
+                customers = np.zeros(n, np.int64)
             else:
-                t = np.ones(len(d.word))
-                per_word = np.bincount(d.group, minlength=len(d.words))
-                for i, x in ((ONES, d.count[use] == 1), (TWOS, d.count[use] == 2),
-                             (ROOT_ONES, per_word[mine] == 1), (ROOT_TWOS, per_word[mine] == 2)):
+                t = np.minimum(d.count, 1)
+                c0 = np.bincount(d.group, t, len(d.words)).astype(np.int64)
+                for i, x in ((ONES, d.count == 1), (TWOS, d.count == 2),
+                             (ROOT_ONES, c0[local] == 1), (ROOT_TWOS, c0[local] == 2)):
                     sums[i] = x.sum()
                 out.append((bucket, "b", 0, -1 - bucket, b"", sums))
-            total = [np.bincount(d.ctx[use], x[use], n).astype(np.int64) for x in (d.count, t)]
+                customers = np.bincount(d.ctx, d.count, n).astype(np.int64)
+                customers[at_name] = d.total[dealt]
+            tables = np.bincount(d.ctx, t, n).astype(np.int64)
+            tables[at_name] = c0[dealt]
             cuts = np.searchsorted(part_of(d.names, parts), np.arange(parts + 1))
-            for p in range(parts):
+            for p in np.flatnonzero(np.diff(cuts)):
                 at = slice(cuts[p], cuts[p + 1])
-                out.append((bucket, "g", turn, p, packed_arrays(
-                    d.names[at], total[0][at], total[1][at]), np.zeros(6)))
+                out.append((bucket, "g", turn, int(p), packed_arrays(
+                    d.names[at], customers[at], tables[at]), np.zeros(6)))
             return pd.DataFrame(out, columns=["bucket", "kind", "turn", "part", "payload", "sums"])
         yield from by_bucket(batches, one)
     return run
 
 
-def _sum_part(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The totals of a range's contexts, given to every bucket that has them."""
-    if pdf["kind"].iloc[0] == "b":
-        return pdf
-    got = [unpacked(p, np.uint64, np.int64, np.int64) for p in pdf["payload"]]
-    names, at = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
-    total = [np.bincount(at, np.concatenate([g[i] for g in got]), len(names)).astype(np.int64)
-             for i in (1, 2)]
-    ends = np.cumsum([len(g[0]) for g in got])[:-1]
-    back = [packed_arrays(total[0][a], total[1][a]) for a in np.split(at, ends)]
-    return pdf.assign(payload=back)
+def parent_of(d: Dishes, g: dict, c0: np.ndarray, t0: np.ndarray, dealt: np.ndarray,
+              dealt_customers: np.ndarray, dealt_tables: np.ndarray) -> np.ndarray:
+    """The words' probabilities in the parent; dealt words take their totals
+    over all buckets."""
+    c0, t0 = c0.astype(np.float64), t0.astype(np.float64)
+    c0[dealt], t0[dealt] = dealt_customers, dealt_tables
+    return d.parent(g, c0, t0)
+
+
+def _sum_part(shared):
+    """The totals of a range's names, given to every bucket that has them.  Of a
+    dealt word these are the parent's customers, which are seated here; their
+    tables go back in the place of the customers."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["kind"].iloc[0] == "b":
+            return pdf
+        history, _, _, (keys, _) = shared.value
+        got = [unpacked(p, np.uint64, np.int64, np.int64) for p in pdf["payload"]]
+        names, at = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
+        total = [np.bincount(at, np.concatenate([g[i] for g in got]), len(names)).astype(np.int64)
+                 for i in (1, 2)]
+        own = names_of(keys)
+        place = np.minimum(np.searchsorted(names, own), len(names) - 1)
+        inside = names[place] == own
+        place, c0, sums = place[inside], total[1][place[inside]], np.zeros(6)
+        if history:
+            g = history[-1]
+            mass = np.full(len(c0), (STRENGTH + g["d0"] * g["root_tables"]) / (g["v"] + 1))
+            t0 = seat(c0, mass, g["d0"], root_key(keys[inside]), len(history) - 1 + 500)
+            total[0][place] = t0
+            sums[ROOT_CUSTOMERS], sums[ROOT_TABLES] = c0.sum(), t0.sum()
+        else:
+            sums[ROOT_ONES], sums[ROOT_TWOS] = (c0 == 1).sum(), (c0 == 2).sum()
+        ends = np.cumsum([len(g[0]) for g in got])[:-1]
+        back = [packed_arrays(total[0][a], total[1][a]) for a in np.split(at, ends)]
+        return pdf.assign(payload=back, sums=[sums, *[np.zeros(6)] * (len(pdf) - 1)])
+    return run
 
 
 def turn_rows(dishes: DataFrame, before: DataFrame | None, history: list[dict], parts: int,
-              buckets: int, keep: bool) -> tuple[DataFrame, np.ndarray]:
+              buckets: int, keep: bool, spread) -> tuple[DataFrame, np.ndarray]:
     """The written rows of a sweep and the sums over all buckets."""
-    shared = dishes.sparkSession.sparkContext.broadcast((history, parts, keep))
+    shared = dishes.sparkSession.sparkContext.broadcast((history, parts, keep, spread))
     rows = dishes.select("bucket", "kind", "turn", "part", "payload")
     if before is not None:
         # Before the second sweep there is no seating, only sums.
         rows = rows.unionByName(before.filter((F.col("kind") == "g") | (F.col("turn") > 0))
                                 .select(*rows.columns))
     out = written(sorted_by_bucket(rows, buckets).mapInPandas(_sweep(shared), ROW)
-                  .groupBy("part").applyInPandas(_sum_part, ROW), "hpylm-turn")
-    sums = out.filter("kind = 'b'").agg(*[F.sum(F.col("sums")[i]) for i in range(6)]).first()
+                  .groupBy("part").applyInPandas(_sum_part(shared), ROW), "hpylm-turn")
+    sums = out.agg(*[F.sum(F.col("sums")[i]) for i in range(6)]).first()
     return out, np.array([float(x or 0) for x in sums])
 
 
@@ -516,12 +555,15 @@ class Model:
     discounts of each and, by sample, the contexts' tables and the parent's
     probabilities."""
 
-    def __init__(self, rows: list, history: list[dict]):
-        self.d = load_dishes(rows[0].payload)[0] if rows else NO_DISHES
+    def __init__(self, rows: list, history: list[dict], spread: tuple[np.ndarray, np.ndarray]):
+        none = np.empty(0, np.int64)
+        self.d, dealt, at_name = load_dishes(rows[0].payload, spread) if rows else (
+            NO_DISHES, none, none)
         totals = {t: joined_totals([r for r in rows if r.kind == "g" and r.turn == t])
                   for t in {r.turn for r in rows if r.kind == "g"}}
         n = len(self.d.names)
         self.customers = totals[0][0] if 0 in totals else np.zeros(n)
+        self.d.total[dealt] = self.customers[at_name]
         self.samples, seated = [], np.zeros(len(self.d.word))
         for turn in range(BURN_IN + 1, len(history)):
             g = history[turn]
@@ -529,7 +571,9 @@ class Model:
             root = np.empty(0)
             if seating:
                 c0, t0, tables = unpacked(seating[0], np.int64, np.int64, np.int64)
-                root, seated = self.d.parent(g, c0, t0), tables
+                first, over_all = totals.get(turn, np.zeros((2, n)))
+                root, seated = parent_of(self.d, g, c0, t0, dealt, over_all[at_name],
+                                         first[at_name]), tables
             self.samples.append((g, totals[turn][1] if turn in totals else np.zeros(n), root))
         self.seated = len(self.samples) * self.d.count - history[0]["d"] * seated
         self.dish_key = self.d.group * max(1, n) + self.d.ctx  # (word, context), sorted
@@ -538,28 +582,31 @@ class Model:
 def _score(shared):
     """Rows sorted by bucket, a bucket's dishes, seatings and totals before its
     packed tokens: per batch the sums of log-probabilities by document.  Only
-    one bucket's and a few rows of tokens are held at a time."""
+    one bucket's and a few rows of tokens are held at a time.  A batch's row of
+    documents goes through as bucket -1."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        history = shared.value
+        history, spread = shared.value
         at_bucket, held, model = None, [], None
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
                 if r.bucket != at_bucket:
                     at_bucket, held, model = r.bucket, [], None
-                if r.kind != "t":
+                if r.kind == "d":
+                    out.append((-1, r.batch, r.head, r.payload))
+                elif r.kind != "t":
                     held.append(r)
-                    continue
-                if model is None:
-                    model, held = Model(held, history), []
-                out.append((r.bucket, r.batch, score_tokens(r.payload, model, history[0])))
-            yield pd.DataFrame(out, columns=["bucket", "batch", "part"])
+                else:
+                    if model is None:
+                        model, held = Model(held, history, spread), []
+                    out.append((r.bucket, r.batch, b"", score_tokens(r.payload, model, history[0])))
+            yield pd.DataFrame(out, columns=["bucket", "batch", "head", "part"])
     return run
 
 
 def score_tokens(payload: bytes, model: Model, g: dict) -> bytes:
     """Packed (documents, sums of score, base score and known tokens)."""
-    h, own, runs, ctx, doc = read_tokens(payload)
+    h, own, runs, ctx, doc = read_rows(payload, np.uint16)
     d = model.d
     i = np.searchsorted(d.words, h)
     known = np.zeros(len(h), bool)
@@ -587,13 +634,14 @@ def score_tokens(payload: bytes, model: Model, g: dict) -> bytes:
             + np.bincount(at, counts > 0, len(some)).astype(np.uint32).tobytes())
 
 
-def _gather(key, docs: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+def _gather(parts: pd.DataFrame) -> pd.DataFrame:
     """Sum a batch's partial scores by document."""
-    n_tok = np.frombuffer(docs["payload"].iloc[0], np.int64)
+    parts = parts.sort_values("bucket")
+    n_tok = np.frombuffer(parts["part"].iloc[0], np.int64)
     n = len(n_tok)
-    head = docs["head"].iloc[0]
+    head = parts["head"].iloc[0]
     score, base, known = np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
-    for part in parts.sort_values("bucket")["part"]:
+    for part in parts["part"].iloc[1:]:
         k = len(part) // 22
         at = np.frombuffer(part, np.uint16, k)
         score[at] += np.frombuffer(part, np.float64, k, 2 * k)
@@ -634,41 +682,43 @@ def hpy_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "t
     keys = word_hashes([bytes(r.word) for r in loaded])
     ways = np.array([min(buckets, -(-r.n * buckets * 4 // n)) for r in loaded], np.int64)
     order = np.argsort(keys)
-    shared = spark.sparkContext.broadcast(((keys[order], ways[order]), buckets))
-
-    packed = written(d.select("d_", "h_", F.col("text").alias("t_")).mapInPandas(
-        _packer(shared), "bucket int, kind string, batch string, head binary, payload binary"),
-        "hpylm-tokens", partition_by=["kind"])
+    spread = (keys[order], ways[order])
+    shared = spark.sparkContext.broadcast((spread, buckets))
+
+    texts = d.select("d_", "h_", F.col("text").alias("t_"))
+    pairs = texts.mapInPandas(_pack_counts(shared), "bucket int, payload binary")
+    # One empty row a bucket: a dealt word is known in all of its buckets.
+    every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"),
+                                        F.lit(b"").alias("payload"))
     small_batches(spark, 16)  # from here on rows are of about 100 kB
-    in_bucket = packed.filter(F.col("kind").isin("t", "c"))
-    dishes = written(in_bucket.groupBy("bucket").applyInPandas(
+    dishes = written(pairs.unionByName(every).groupBy("bucket").applyInPandas(
         _pack_dishes(shared), "bucket int, contexts long, dishes binary"), "hpylm-dishes")
     parts = max(1, -(-int(dishes.agg(F.sum("contexts")).first()[0] or 0) // CONTEXTS))
     dishes = dishes.select("bucket", F.lit("a").alias("kind"), F.lit(0).alias("turn"),
                            F.lit(0).alias("part"), F.col("dishes").alias("payload"))
 
-    rows, start = turn_rows(dishes, None, [], parts, buckets, False)
+    rows, start = turn_rows(dishes, None, [], parts, buckets, False, spread)
     history = [{"n": n, "v": v, "d": discount(start[ONES], start[TWOS]),
                 "d0": discount(start[ROOT_ONES], start[ROOT_TWOS]),
                 "root_customers": 0.0, "root_tables": float(v)}]
     kept = [rows.filter("kind = 'g'")]
     for turn in range(1, BURN_IN + samples + 1):
-        rows, got = turn_rows(dishes, rows, history, parts, buckets, turn > BURN_IN)
+        rows, got = turn_rows(dishes, rows, history, parts, buckets, turn > BURN_IN, spread)
         history.append(history[0] | {"root_customers": got[ROOT_CUSTOMERS],
                                      "root_tables": got[ROOT_TABLES]})
         if turn > BURN_IN:
             kept.append(rows)
-    past = spark.sparkContext.broadcast(history)
-    everything = dishes.withColumn("batch", F.lit(""))
-    for k in kept:
-        everything = everything.unionByName(k.drop("sums").withColumn("batch", F.lit("")))
-    tokens = packed.filter("kind = 't'").select(
-        "bucket", "kind", F.lit(0).alias("turn"), F.lit(0).alias("part"), "payload", "batch")
-    scored = written(sorted_by_bucket(everything.unionByName(tokens), buckets).mapInPandas(
-        _score(past), "bucket int, batch string, part binary"), "hpylm-parts")
+    past = spark.sparkContext.broadcast((history, spread))
+    everything = texts.mapInPandas(
+        _pack_tokens(shared), "bucket int, kind string, batch string, head binary, payload binary"
+    ).select("bucket", "kind", F.lit(0).alias("turn"), F.lit(0).alias("part"), "payload", "batch", "head")
+    for rows in [dishes, *kept]:
+        everything = everything.unionByName(rows.select(
+            *dishes.columns, F.lit("").alias("batch"), F.lit(b"").alias("head")))
+    scored = written(sorted_by_bucket(everything, buckets).mapInPandas(
+        _score(past), "bucket int, batch string, head binary, part binary"), "hpylm-parts")
     small_batches(spark)
-    heads = packed.filter("kind = 'd'")
-    out = heads.groupBy("batch").cogroup(scored.groupBy("batch")).applyInPandas(
+    out = scored.groupBy("batch").applyInPandas(
         _gather, "doc_id long, held_out boolean, n_tokens long, n_known long, "
                  "base_score double, score double")
     return out.select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "held_out",
