@@ -16,19 +16,20 @@ table.  A context has at most one entry a bucket, so none is a hot key.  Random
 numbers are hashes of (word, context, step, sweep), so lost tasks are redone
 alike.  The predictive probability is averaged over the sweeps after the burn-in.
 
-The corpus is read three times: to count words, to count each batch's distinct
-(word, context) pairs by word bucket, and to send each batch's tokens (word,
-context, document) to the buckets to be scored; no copy of the tokens is kept.
-A word frequent enough to load a bucket is dealt over several by context, so
-every dish is in one bucket.  The tables of such a word go around like those of
+The corpus is read twice: to count each batch's distinct (word, context) pairs
+by word bucket, and to send each batch's tokens (word, context, document) to the
+buckets to be scored; no copy of the tokens is kept.  A word frequent enough to
+load a bucket is dealt over several by context, so every dish is in one bucket.
+Which words are dealt is judged on a sample: it moves load, never a result.  The tables of such a word go around like those of
 a context, under a name of the word's own, and its range seats the parent.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -49,7 +50,9 @@ ONE_BY_ONE = 48
 SEATS = 1 << 18  # customers held at a time when they are seated in runs
 STRENGTH = 5.0
 NO_ID = -(1 << 63)  # stands for a null id inside the packed rows
-PACK_TOKENS = 1_000_000
+PACK_TOKENS = 2_000_000
+TOKEN_BYTES = 6  # about; sizes the buckets
+LAYOUT_TEXTS = 20_000  # about so many texts tell which words to deal
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -87,11 +90,21 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield flush()
 
 
-def word_counts(train: DataFrame) -> DataFrame:
-    """(word, n) of the training texts' tokens, the end of a text included."""
-    small_batches(train.sparkSession)
-    got = train.select(F.col("text").alias("t_")).mapInPandas(_count, "word binary, n long")
-    return got.groupBy("word").agg(F.sum("n").alias("n"))
+def dealt_words(texts: DataFrame, n_texts: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the words with over a quarter of a bucket's share of the
+    tokens of a sample, and over how many buckets each is dealt; there are fewer
+    than four such words a bucket."""
+    loaded = []
+    if buckets > 1:
+        some = texts.sample(fraction=min(1.0, LAYOUT_TEXTS / n_texts), seed=1)
+        counts = written(some.select("t_").mapInPandas(_count, "word binary, n long")
+                         .groupBy("word").agg(F.sum("n").alias("n")), "hpylm-layout")
+        total = counts.agg(F.sum("n")).first()[0] or 1
+        loaded = counts.filter(F.col("n") * (4 * buckets) > total).collect()
+    keys = word_hashes([bytes(r.word) for r in loaded])
+    ways = np.array([min(buckets, -(-r.n * buckets * 4 // total)) for r in loaded], np.int64)
+    order = np.argsort(keys)
+    return keys[order], ways[order]
 
 
 # --- packing ----------------------------------------------------------------
@@ -137,7 +150,8 @@ class Batch:
     """Documents as they come: tokens are numbered by the batch's vocabulary."""
 
     def __init__(self):
-        self.numbers: dict[bytes, int] = {}
+        self.numbers: defaultdict[bytes, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__  # the next number
         self.tokens: list[np.ndarray] = []
         self.ids: list[int] = []
         self.held: list[bool] = []
@@ -146,8 +160,7 @@ class Batch:
     def add(self, doc_id: int, held: bool, text: str | None) -> None:
         words = words_of(text)
         words.append(END)
-        give = self.numbers.setdefault
-        self.tokens.append(np.array([give(w, len(self.numbers)) for w in words], np.int32))
+        self.tokens.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
         self.ids.append(doc_id)
         self.held.append(held)
         self.size += len(words)
@@ -156,9 +169,9 @@ class Batch:
         return self.size >= PACK_TOKENS or len(self.ids) >= 60_000
 
     def by_bucket(self, spread: tuple[np.ndarray, np.ndarray], buckets: int):
-        """Hashes of the vocabulary (the start of a text last) and the tokens'
-        sort key, (bucket, word, context) in one number, whose parts ``divmod``
-        by the vocabulary's size gives back."""
+        """Hashes of the vocabulary (the start of a text last), documents' lengths
+        and the tokens' sort key: bucket, word and context in the bits of one
+        number, as many for each of the latter as the vocabulary needs."""
         hashes = np.append(word_hashes(list(self.numbers)), START)
         size = len(hashes)
         lengths = np.array([len(t) for t in self.tokens])
@@ -173,23 +186,29 @@ class Batch:
             w = word[dealt]
             turn = mix(hashes[ctx[dealt]] ^ hashes[w]) % ways[w].astype(np.uint64)
             place[dealt] = (place[dealt] + turn.astype(np.int64)) % buckets
-        return hashes, lengths, (place * size + word) * size + ctx
+        bits = size.bit_length()
+        return hashes, lengths, (((place << bits) | word) << bits) | ctx
 
 
 def split_rows(hashes: np.ndarray, key: np.ndarray, *values: np.ndarray
                ) -> Iterator[tuple[int, bytes]]:
     """(bucket, payload) of sorted keys with a value each: word hashes, context
     hashes, keys a word, contexts (places among their hashes), values."""
-    rest, ctx = np.divmod(key, len(hashes))
-    place, word = np.divmod(rest, len(hashes))
+    bits = len(hashes).bit_length()
+    ctx, word, place = key & ((1 << bits) - 1), (key >> bits) & ((1 << bits) - 1), key >> 2 * bits
+    seen, number = np.zeros(len(hashes), bool), np.empty(len(hashes), np.int64)
     cuts = np.flatnonzero(np.diff(place)) + 1
     for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(key)], strict=True):
         w = word[lo:hi]
         new = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
         runs = np.diff(np.r_[new, hi - lo]).astype(np.uint32)
-        own, c = np.unique(ctx[lo:hi], return_inverse=True)
+        c = ctx[lo:hi]
+        seen[c] = True
+        own = np.flatnonzero(seen)
+        seen[own] = False
+        number[own] = np.arange(len(own))
         yield int(place[lo]), np.array([len(own)], np.uint32).tobytes() + packed_arrays(
-            hashes[w[new]], hashes[own], runs, c.astype(index_type(len(own))),
+            hashes[w[new]], hashes[own], runs, number[c].astype(index_type(len(own))),
             *[v[lo:hi] for v in values])
 
 
@@ -407,7 +426,7 @@ def load_dishes(blob: bytes, spread: tuple[np.ndarray, np.ndarray]
 # (parent's customers and tables of each word, tables of each dish summed over
 # the samples), ``g`` totals of its contexts in one range of hashes.
 ROW = "bucket int, kind string, turn int, part int, payload binary, sums array<double>"
-ROOT_CUSTOMERS, ROOT_TABLES, ONES, TWOS, ROOT_ONES, ROOT_TWOS = range(6)
+ROOT_CUSTOMERS, ROOT_TABLES, ONES, TWOS, ROOT_ONES, ROOT_TWOS, TOKENS, WORDS = range(8)
 
 
 def by_bucket(rows: Iterator[pd.DataFrame], then) -> Iterator[list]:
@@ -450,7 +469,7 @@ def _sweep(shared):
             d, dealt, at_name = load_dishes(rows[0].payload, spread)
             local = np.ones(len(d.words), bool)
             local[dealt] = False
-            sums = np.zeros(6)
+            sums = np.zeros(8)
             n = len(d.names)
             out = []
             if turn:
@@ -473,7 +492,8 @@ def _sweep(shared):
                 t = np.minimum(d.count, 1)
                 c0 = np.bincount(d.group, t, len(d.words)).astype(np.int64)
                 for i, x in ((ONES, d.count == 1), (TWOS, d.count == 2),
-                             (ROOT_ONES, c0[local] == 1), (ROOT_TWOS, c0[local] == 2)):
+                             (ROOT_ONES, c0[local] == 1), (ROOT_TWOS, c0[local] == 2),
+                             (TOKENS, d.count), (WORDS, local)):
                     sums[i] = x.sum()
                 out.append((bucket, "b", 0, -1 - bucket, b"", sums))
                 customers = np.bincount(d.ctx, d.count, n).astype(np.int64)
@@ -484,7 +504,7 @@ def _sweep(shared):
             for p in np.flatnonzero(np.diff(cuts)):
                 at = slice(cuts[p], cuts[p + 1])
                 out.append((bucket, "g", turn, int(p), packed_arrays(
-                    d.names[at], customers[at], tables[at]), np.zeros(6)))
+                    d.names[at], customers[at], tables[at]), np.zeros(8)))
             return pd.DataFrame(out, columns=["bucket", "kind", "turn", "part", "payload", "sums"])
         yield from by_bucket(batches, one)
     return run
@@ -514,7 +534,7 @@ def _sum_part(shared):
         own = names_of(keys)
         place = np.minimum(np.searchsorted(names, own), len(names) - 1)
         inside = names[place] == own
-        place, c0, sums = place[inside], total[1][place[inside]], np.zeros(6)
+        place, c0, sums = place[inside], total[1][place[inside]], np.zeros(8)
         if history:
             g = history[-1]
             mass = np.full(len(c0), (STRENGTH + g["d0"] * g["root_tables"]) / (g["v"] + 1))
@@ -523,12 +543,26 @@ def _sum_part(shared):
             sums[ROOT_CUSTOMERS], sums[ROOT_TABLES] = c0.sum(), t0.sum()
         else:
             sums[ROOT_ONES], sums[ROOT_TWOS] = (c0 == 1).sum(), (c0 == 2).sum()
+            sums[WORDS] = (c0 > 0).sum()
         ends = np.cumsum([len(g[0]) for g in got])[:-1]
         back = [packed_arrays(total[0][a], total[1][a]) for a in np.split(at, ends)]
-        return pdf.assign(payload=back, sums=[sums, *[np.zeros(6)] * (len(pdf) - 1)])
+        return pdf.assign(payload=back, sums=[sums, *[np.zeros(8)] * (len(pdf) - 1)])
     return run
 
 
+@contextmanager
+def files_of_shuffles_go(spark):
+    """What is written inside leaves no shuffle files: the table is all that is
+    read from then on."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def turn_rows(dishes: DataFrame, before: DataFrame | None, history: list[dict], parts: int,
               buckets: int, keep: bool, spread) -> tuple[DataFrame, np.ndarray]:
     """The written rows of a sweep and the sums over all buckets."""
@@ -538,9 +572,10 @@ def turn_rows(dishes: DataFrame, before: DataFrame | None, history: list[dict],
         # Before the second sweep there is no seating, only sums.
         rows = rows.unionByName(before.filter((F.col("kind") == "g") | (F.col("turn") > 0))
                                 .select(*rows.columns))
-    out = written(sorted_by_bucket(rows, buckets).mapInPandas(_sweep(shared), ROW)
-                  .groupBy("part").applyInPandas(_sum_part(shared), ROW), "hpylm-turn")
-    sums = out.agg(*[F.sum(F.col("sums")[i]) for i in range(6)]).first()
+    with files_of_shuffles_go(dishes.sparkSession):
+        out = written(sorted_by_bucket(rows, buckets).mapInPandas(_sweep(shared), ROW)
+                      .groupBy("part").applyInPandas(_sum_part(shared), ROW), "hpylm-turn")
+    sums = out.agg(*[F.sum(F.col("sums")[i]) for i in range(8)]).first()
     return out, np.array([float(x or 0) for x in sums])
 
 
@@ -612,26 +647,32 @@ def score_tokens(payload: bytes, model: Model, g: dict) -> bytes:
     known = np.zeros(len(h), bool)
     inside = i < len(d.words)
     known[inside] = d.words[i[inside]] == h[inside]
-    w = np.repeat(np.where(known, i, -1), runs)
-    c = np.searchsorted(d.names, own)[ctx]
-    ask = w * max(1, len(d.names)) + c
+    i = np.where(known, i, -1)
+    w = np.repeat(i, runs)
+    places = np.searchsorted(d.names, own)  # every scored context is among the names
+    ask = w * max(1, len(d.names)) + places[ctx]
     j = np.searchsorted(model.dish_key, ask)
     has = (w >= 0) & (j < len(model.dish_key))
     has[has] = model.dish_key[j[has]] == ask[has]
-    p = np.zeros(len(c))
+    p = np.zeros(len(ctx))
     p[has] = model.seated[j[has]]
+    some = known.any()
     for m, tables, root in model.samples:
         new = (STRENGTH + m["d0"] * m["root_tables"]) / (m["v"] + 1)
-        base = np.full(len(c), new / (STRENGTH + m["root_customers"]))
-        base[w >= 0] = root[w[w >= 0]]
-        p += (STRENGTH + m["d"] * tables[c]) * base
-    lp = np.log10(p / (len(model.samples) * (STRENGTH + model.customers[c])))
-    counts = np.where(w >= 0, d.total[w] if len(d.total) else 0, 0)
-    lb = np.log10((counts + 0.5) / (g["n"] + 0.5 * g["v"] + 0.5))
-    some, at = np.unique(doc, return_inverse=True)
-    return (some.astype(np.uint16).tobytes() + np.bincount(at, lp, len(some)).tobytes()
-            + np.bincount(at, lb, len(some)).tobytes()
-            + np.bincount(at, counts > 0, len(some)).astype(np.uint32).tobytes())
+        base = np.full(len(h), new / (STRENGTH + m["root_customers"]))
+        if some:
+            base[known] = root[i[known]]
+        p += (STRENGTH + m["d"] * tables[places])[ctx] * np.repeat(base, runs)
+    lp = np.log10(p / (len(model.samples) * (STRENGTH + model.customers[places]))[ctx])
+    counts = np.zeros(len(h))
+    if some:
+        counts[known] = d.total[i[known]]
+    lb = np.repeat(np.log10((counts + 0.5) / (g["n"] + 0.5 * g["v"] + 0.5)), runs)
+    docs = np.bincount(doc)
+    at = np.flatnonzero(docs)
+    return (at.astype(np.uint16).tobytes() + np.bincount(doc, lp)[at].tobytes()
+            + np.bincount(doc, lb)[at].tobytes()
+            + np.bincount(doc, np.repeat(counts > 0, runs))[at].astype(np.uint32).tobytes())
 
 
 def _gather(parts: pd.DataFrame) -> pd.DataFrame:
@@ -673,31 +714,27 @@ def hpy_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "t
     small_batches(spark)
     d = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("d_"),
                     held_out.alias("h_"), F.col(text).alias("text"))
-    counts = written(word_counts(d.filter(~F.col("h_"))), "hpylm-words")
-    n, v = (int(x or 0) for x in counts.agg(F.sum("n"), F.count(F.lit(1))).first())
-    buckets = max(1, -(-n // TOKENS_PER_BUCKET))
-    # A word with over a quarter of a bucket's tokens is dealt over several;
-    # there are fewer than four such words a bucket.
-    loaded = counts.filter(F.col("n") * (4 * buckets) > n).collect() if buckets > 1 else []
-    keys = word_hashes([bytes(r.word) for r in loaded])
-    ways = np.array([min(buckets, -(-r.n * buckets * 4 // n)) for r in loaded], np.int64)
-    order = np.argsort(keys)
-    spread = (keys[order], ways[order])
-    shared = spark.sparkContext.broadcast((spread, buckets))
-
     texts = d.select("d_", "h_", F.col("text").alias("t_"))
+    train = texts.filter(~F.col("h_"))
+    n_texts, size = (int(x or 0) for x in train.agg(
+        F.count(F.lit(1)), F.sum(F.octet_length("t_").cast("long"))).first())
+    buckets = max(1, -(-(n_texts + size // TOKEN_BYTES) // TOKENS_PER_BUCKET))
+    spread = dealt_words(train, n_texts, buckets)
+    shared = spark.sparkContext.broadcast((spread, buckets))
     pairs = texts.mapInPandas(_pack_counts(shared), "bucket int, payload binary")
     # One empty row a bucket: a dealt word is known in all of its buckets.
     every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"),
                                         F.lit(b"").alias("payload"))
     small_batches(spark, 16)  # from here on rows are of about 100 kB
-    dishes = written(pairs.unionByName(every).groupBy("bucket").applyInPandas(
-        _pack_dishes(shared), "bucket int, contexts long, dishes binary"), "hpylm-dishes")
+    with files_of_shuffles_go(spark):
+        dishes = written(pairs.unionByName(every).groupBy("bucket").applyInPandas(
+            _pack_dishes(shared), "bucket int, contexts long, dishes binary"), "hpylm-dishes")
     parts = max(1, -(-int(dishes.agg(F.sum("contexts")).first()[0] or 0) // CONTEXTS))
     dishes = dishes.select("bucket", F.lit("a").alias("kind"), F.lit(0).alias("turn"),
                            F.lit(0).alias("part"), F.col("dishes").alias("payload"))
 
     rows, start = turn_rows(dishes, None, [], parts, buckets, False, spread)
+    n, v = int(start[TOKENS]), int(start[WORDS])
     history = [{"n": n, "v": v, "d": discount(start[ONES], start[TWOS]),
                 "d0": discount(start[ROOT_ONES], start[ROOT_TWOS]),
                 "root_customers": 0.0, "root_tables": float(v)}]
@@ -715,8 +752,8 @@ def hpy_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "t
     for rows in [dishes, *kept]:
         everything = everything.unionByName(rows.select(
             *dishes.columns, F.lit("").alias("batch"), F.lit(b"").alias("head")))
-    scored = written(sorted_by_bucket(everything, buckets).mapInPandas(
-        _score(past), "bucket int, batch string, head binary, part binary"), "hpylm-parts")
+    scored = sorted_by_bucket(everything, buckets).mapInPandas(
+        _score(past), "bucket int, batch string, head binary, part binary")
     small_batches(spark)
     out = scored.groupBy("batch").applyInPandas(
         _gather, "doc_id long, held_out boolean, n_tokens long, n_known long, "
