@@ -45,7 +45,7 @@ WORD_NAME = np.uint64(0x7A5E1D0C3B2F4968)  # sets names of dealt words apart fro
 END = b"\n"  # no word holds white space
 BURN_IN = 2
 SAMPLES = 3
-TOKENS_PER_BUCKET = 2_500_000
+TOKENS_PER_BUCKET = 3_500_000
 ONE_BY_ONE = 48
 SEATS = 1 << 18  # customers held at a time when they are seated in runs
 STRENGTH = 5.0
@@ -386,18 +386,25 @@ def dishes_of(payloads, bucket: int, spread: tuple[np.ndarray, np.ndarray], buck
     empty dish, so that the bucket knows it, and its name among the contexts'."""
     keys, ways = spread
     here = keys[(bucket - bucket_of(keys, buckets)) % buckets < ways]
-    words, ctxs = [here], [np.full(len(here), START)]
-    counts, seen = [np.zeros(len(here), np.int64)], [ctxs[0][:1], names_of(here)]
-    for payload in payloads:
-        if payload:
-            h, own, runs, ctx, n = read_rows(payload, np.uint32)
-            words.append(np.repeat(h, runs)[n > 0])
-            ctxs.append(own[ctx[n > 0]])
-            counts.append(n[n > 0].astype(np.int64))
-            seen.append(own)
-    names = np.unique(np.concatenate(seen))
-    return Dishes(np.concatenate(words), np.searchsorted(names, np.concatenate(ctxs)),
-                  np.concatenate(counts), names=names)
+    got = [read_rows(p, np.uint32) for p in payloads if p]
+    start = np.full(min(1, len(here)), START)
+    words = np.unique(np.concatenate([here, *[g[0] for g in got]]))
+    names = np.unique(np.concatenate([start, names_of(here), *[g[1] for g in got]]))
+    # A pair is one number, word before context, both by place.
+    pairs = [np.searchsorted(words, here) * len(names) + np.searchsorted(names, START)]
+    counts = [np.zeros(len(here), np.uint32)]
+    for h, own, runs, ctx, n in got:
+        use = n > 0
+        pairs.append((np.repeat(np.searchsorted(words, h), runs) * len(names)
+                      + np.searchsorted(names, own)[ctx])[use])
+        counts.append(n[use])
+    pair, count = np.concatenate(pairs), np.concatenate(counts)
+    order = np.argsort(pair)
+    pair, count = pair[order], count[order]
+    at = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]][:len(pair)])
+    count = np.add.reduceat(count, at, dtype=np.int64) if len(at) else np.empty(0, np.int64)
+    word, ctx = np.divmod(pair[at], max(1, len(names)))
+    return Dishes(words[word], ctx, count, merged=True, names=names)
 
 
 def _pack_dishes(model):
