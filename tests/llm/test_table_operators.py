@@ -98,6 +98,39 @@ def test_mixing_whole_copies_and_unequal_probabilities(spark):
     assert 1.5 < heavy / light < 2.7
 
 
+def test_mixing_source_with_a_very_long_document(spark):
+    """Smaller documents make up for what a large one misses or exceeds."""
+    rows = [(0, "w " * 4000, "a")] + [(1 + k, "w " * 10, "a") for k in range(200)]
+    rows += [(1000 + k, "w " * 10, "b") for k in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed in range(10):
+        got = mixing.mix_to_targets(docs, seed=f"s{seed}", weights=(5, 3)).collect()
+        taken = Counter()
+        for r in got:
+            taken[r.source] += r.taken
+            assert r.copies <= 3
+        for r in got:
+            assert abs(taken[r.source] - r.target) <= 0.01 * r.target, (seed, r.source)
+
+
+def test_mixing_weight_of_short_documents(spark):
+    """Short documents are drawn half as often; what the cap of copies takes from
+    the others goes to them."""
+    rows = [(k, "w " * (50 if k % 2 else 150), "a" if k < 400 else "b") for k in range(1400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix_to_targets(docs, weights=(1, 2)).collect()
+    per = defaultdict(Counter)
+    for r in got:
+        per[r.source][r.size] += r.copies
+        per[r.source]["taken"] += r.taken
+    for r in got:
+        assert abs(per[r.source]["taken"] - r.target) <= 75
+    assert 1.6 < per["b"][150] / per["b"][50] < 2.4
+    capped = mixing.mix_to_targets(docs, weights=(19, 5)).collect()
+    copies = {n: sum(r.copies for r in capped if (r.source, r.size) == ("a", n)) for n in (50, 150)}
+    assert copies[150] == 600 and copies[50] > 300  # three each, and over half of that
+
+
 def test_mixing_empty_and_last_stage(spark):
     assert mixing.mix_to_targets(edge_docs(spark, [])).count() == 0
     docs = edge_docs(spark)
