@@ -129,21 +129,58 @@ def names_of(words: np.ndarray) -> np.ndarray:
     return mix(words ^ WORD_NAME)
 
 
-def index_type(n: int) -> type:
-    return np.uint16 if n <= 1 << 16 else np.uint32
-
-
 def packed_arrays(*arrays: np.ndarray) -> bytes:
-    """Arrays of numbers in one value, each deflated (64-bit hashes only stored)."""
-    parts = [zlib.compress(a.tobytes(), 0 if a.dtype == np.uint64 else 1) for a in arrays]
+    """Arrays in one value, each deflated: ascending 64-bit hashes by their gaps,
+    of which only the two highest bytes repeat themselves; numbers (not negative)
+    by as many bytes as the largest needs, all lowest bytes first."""
+    parts = []
+    for a in arrays:
+        if a.dtype == np.uint64:
+            gaps = np.diff(a, prepend=np.uint64(0))
+            parts.append(zlib.compress((gaps >> np.uint64(48)).astype(np.uint16).tobytes(), 1)
+                         + (gaps >> np.uint64(32)).astype(np.uint16).tobytes()
+                         + gaps.astype(np.uint32).tobytes())
+        else:
+            a = a.astype(np.int64, copy=False)
+            width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
+            raw = b"".join((a >> 8 * i).astype(np.uint8).tobytes() for i in range(width))
+            parts.append(bytes([width]) + zlib.compress(raw, 1))
     return np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
 
 
 def unpacked(blob: bytes, *kinds: type) -> list[np.ndarray]:
     ends = 8 * len(kinds) + np.cumsum(np.frombuffer(blob, np.int64, len(kinds)))
     starts = [8 * len(kinds), *ends[:-1]]
-    return [np.frombuffer(zlib.decompress(blob[a:b]), k)
-            for a, b, k in zip(starts, ends, kinds, strict=True)]
+    out = []
+    for a, b, kind in zip(starts, ends, kinds, strict=True):
+        if kind == np.uint64:
+            inflate = zlib.decompressobj()
+            top = np.frombuffer(inflate.decompress(blob[a:b]), np.uint16)
+            low, n = inflate.unused_data, len(top)
+            gaps = (top.astype(np.uint64) << np.uint64(48)) | np.frombuffer(low, np.uint32, n, 2 * n)
+            gaps |= np.frombuffer(low, np.uint16, n).astype(np.uint64) << np.uint64(32)
+            out.append(np.cumsum(gaps, dtype=np.uint64))
+        else:
+            planes = np.frombuffer(zlib.decompress(blob[a + 1:b]), np.uint8).reshape(blob[a], -1)
+            got = planes[0].astype(np.int64)
+            for i in range(1, len(planes)):
+                got |= planes[i].astype(np.int64) << 8 * i
+            out.append(got.astype(kind, copy=False))
+    return out
+
+
+def gaps_in(runs: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Numbers that ascend in each run, as the steps between them."""
+    first = np.cumsum(runs, dtype=np.int64) - runs
+    out = np.diff(numbers.astype(np.int64), prepend=0)
+    out[first] = numbers[first]
+    return out
+
+
+def from_gaps(runs: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+    first = np.cumsum(runs, dtype=np.int64) - runs
+    total = np.cumsum(gaps, dtype=np.int64)
+    return total - np.repeat(total[first] - gaps[first], runs)
 
 
 class Batch:
@@ -169,16 +206,19 @@ class Batch:
         return self.size >= PACK_TOKENS or len(self.ids) >= 60_000
 
     def by_bucket(self, spread: tuple[np.ndarray, np.ndarray], buckets: int):
-        """Hashes of the vocabulary (the start of a text last), documents' lengths
-        and the tokens' sort key: bucket, word and context in the bits of one
-        number, as many for each of the latter as the vocabulary needs."""
+        """Sorted hashes of the vocabulary (and of a text's start), documents'
+        lengths and the tokens' sort key: bucket, word and context in the bits of
+        one number, as many for each of the latter as the vocabulary needs."""
         hashes = np.append(word_hashes(list(self.numbers)), START)
         size = len(hashes)
+        order, rank = np.argsort(hashes), np.empty(size, np.int64)
+        rank[order] = np.arange(size)
+        hashes = hashes[order]
         lengths = np.array([len(t) for t in self.tokens])
-        word = np.concatenate(self.tokens).astype(np.int64)
+        word = rank[np.concatenate(self.tokens)]
         ctx = np.empty_like(word)
         ctx[1:] = word[:-1]
-        ctx[np.cumsum(lengths) - lengths] = size - 1
+        ctx[np.cumsum(lengths) - lengths] = rank[-1]
         place = bucket_of(hashes, buckets)[word]
         ways = ways_of(hashes, spread)
         if (ways > 1).any():
@@ -207,14 +247,13 @@ def split_rows(hashes: np.ndarray, key: np.ndarray, *values: np.ndarray
         own = np.flatnonzero(seen)
         seen[own] = False
         number[own] = np.arange(len(own))
-        yield int(place[lo]), np.array([len(own)], np.uint32).tobytes() + packed_arrays(
-            hashes[w[new]], hashes[own], runs, number[c].astype(index_type(len(own))),
-            *[v[lo:hi] for v in values])
+        yield int(place[lo]), packed_arrays(
+            hashes[w[new]], hashes[own], runs, gaps_in(runs, number[c]), *[v[lo:hi] for v in values])
 
 
 def read_rows(payload: bytes, *kinds: type) -> list[np.ndarray]:
-    own = int(np.frombuffer(payload, np.uint32, 1)[0])
-    return unpacked(payload[4:], np.uint64, np.uint64, np.uint32, index_type(own), *kinds)
+    h, own, runs, gaps, *values = unpacked(payload, np.uint64, np.uint64, np.int64, np.int64, *kinds)
+    return [h, own, runs, from_gaps(runs, gaps), *values]
 
 
 def _in_batches(pack):
@@ -252,9 +291,14 @@ def _pack_tokens(model):
     def pack(batch: Batch, name: str) -> pd.DataFrame:
         buckets = model.value[1]
         hashes, lengths, key = batch.by_bucket(*model.value)
-        order = np.argsort(key, kind="stable")
-        doc = np.repeat(np.arange(len(lengths), dtype=np.uint16), lengths)[order]
-        out = [(b, "t", name, b"", p) for b, p in split_rows(hashes, key[order], doc)]
+        doc, bits = np.repeat(np.arange(len(lengths)), lengths), len(lengths).bit_length()
+        if int(key.max()).bit_length() + bits < 64:  # one number sorts faster than an order
+            key = np.sort(key << bits | doc)
+            key, doc = key >> bits, key & ((1 << bits) - 1)
+        else:
+            order = np.argsort(key, kind="stable")
+            key, doc = key[order], doc[order]
+        out = [(b, "t", name, b"", p) for b, p in split_rows(hashes, key, doc)]
         out.append((zlib.crc32(name.encode()) % buckets, "d", name,
                     np.array(batch.ids, np.int64).tobytes() + np.array(batch.held, np.uint8).tobytes(),
                     lengths.astype(np.int64).tobytes()))
@@ -415,23 +459,23 @@ def _pack_dishes(model):
         d = dishes_of(pdf["payload"], b, spread, buckets)
         runs = np.bincount(d.group, minlength=len(d.words)).astype(np.int64)
         return pd.DataFrame({"bucket": [b], "contexts": [len(d.names)], "dishes": [packed_arrays(
-            d.words, d.names, runs, d.ctx.astype(np.uint32), d.count.astype(np.int64))]})
+            d.words, d.names, runs, gaps_in(runs, d.ctx), d.count)]})
     return run
 
 
 def load_dishes(blob: bytes, spread: tuple[np.ndarray, np.ndarray]
                 ) -> tuple[Dishes, np.ndarray, np.ndarray]:
     """A bucket's dishes, which of its words are dealt and where their names are."""
-    words, names, runs, ctx, count = unpacked(
-        blob, np.uint64, np.uint64, np.int64, np.uint32, np.int64)
-    d = Dishes(np.repeat(words, runs), ctx.astype(np.int64), count, merged=True, names=names)
+    words, names, runs, gaps, count = unpacked(
+        blob, np.uint64, np.uint64, np.int64, np.int64, np.int64)
+    d = Dishes(np.repeat(words, runs), from_gaps(runs, gaps), count, merged=True, names=names)
     dealt = np.flatnonzero(ways_of(d.words, spread) > 1)
     return d, dealt, np.searchsorted(names, names_of(d.words[dealt]))
 
 
 # Rows that go around between sweeps: ``a`` a bucket's dishes, ``b`` its seating
-# (parent's customers and tables of each word, tables of each dish summed over
-# the samples), ``g`` totals of its contexts in one range of hashes.
+# (parent's customers and tables of each word), ``g`` totals of its contexts in
+# one range of hashes, ``s`` tables of each dish summed over the samples.
 ROW = "bucket int, kind string, turn int, part int, payload binary, sums array<double>"
 ROOT_CUSTOMERS, ROOT_TABLES, ONES, TWOS, ROOT_ONES, ROOT_TWOS, TOKENS, WORDS = range(8)
 
@@ -485,15 +529,17 @@ def _sweep(shared):
                 if turn == 1:
                     d.total[dealt] = first[at_name]
                 for r in rows:
+                    if r.kind == "s":
+                        samples, = unpacked(r.payload, np.int64)
                     if r.kind == "b":
-                        c0, t0, samples = unpacked(r.payload, np.int64, np.int64, np.int64)
+                        c0, t0 = unpacked(r.payload, np.int64, np.int64)
                         root = parent_of(d, history[-1], c0, t0, dealt, tables[at_name], first[at_name])
                 (_, t, c0, t0), = sweeps(d, [history[-1] | {"tables": tables}], root, turn - 1)
                 sums[ROOT_CUSTOMERS], sums[ROOT_TABLES] = c0[local].sum(), t0[local].sum()
-                samples = (np.zeros(len(t), np.int64) if samples is None else samples) + (
-                    t.astype(np.int64) if keep else 0)
-                out.append((bucket, "b", turn, -1 - bucket, packed_arrays(
-                    c0.astype(np.int64), t0.astype(np.int64), samples), sums))
+                out.append((bucket, "b", turn, -1 - bucket, packed_arrays(c0, t0), sums))
+                if keep:
+                    samples = t if samples is None else samples + t
+                    out.append((bucket, "s", turn, -1 - bucket, packed_arrays(samples), np.zeros(8)))
                 customers = np.zeros(n, np.int64)
             else:
                 t = np.minimum(d.count, 1)
@@ -531,7 +577,7 @@ def _sum_part(shared):
     dealt word these are the parent's customers, which are seated here; their
     tables go back in the place of the customers."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf["kind"].iloc[0] == "b":
+        if pdf["part"].iloc[0] < 0:
             return pdf
         history, _, _, (keys, _) = shared.value
         got = [unpacked(p, np.uint64, np.int64, np.int64) for p in pdf["payload"]]
@@ -606,16 +652,17 @@ class Model:
         n = len(self.d.names)
         self.customers = totals[0][0] if 0 in totals else np.zeros(n)
         self.d.total[dealt] = self.customers[at_name]
-        self.samples, seated = [], np.zeros(len(self.d.word))
+        self.samples = []
+        seated = next((unpacked(r.payload, np.int64)[0] for r in rows if r.kind == "s"),
+                      np.zeros(len(self.d.word)))
         for turn in range(BURN_IN + 1, len(history)):
             g = history[turn]
             seating = [r.payload for r in rows if r.kind == "b" and r.turn == turn]
             root = np.empty(0)
             if seating:
-                c0, t0, tables = unpacked(seating[0], np.int64, np.int64, np.int64)
+                c0, t0 = unpacked(seating[0], np.int64, np.int64)
                 first, over_all = totals.get(turn, np.zeros((2, n)))
-                root, seated = parent_of(self.d, g, c0, t0, dealt, over_all[at_name],
-                                         first[at_name]), tables
+                root = parent_of(self.d, g, c0, t0, dealt, over_all[at_name], first[at_name])
             self.samples.append((g, totals[turn][1] if turn in totals else np.zeros(n), root))
         self.seated = len(self.samples) * self.d.count - history[0]["d"] * seated
         self.dish_key = self.d.group * max(1, n) + self.d.ctx  # (word, context), sorted
@@ -750,8 +797,8 @@ def hpy_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "t
         rows, got = turn_rows(dishes, rows, history, parts, buckets, turn > BURN_IN, spread)
         history.append(history[0] | {"root_customers": got[ROOT_CUSTOMERS],
                                      "root_tables": got[ROOT_TABLES]})
-        if turn > BURN_IN:
-            kept.append(rows)
+        if turn > BURN_IN:  # the last sweep's sums over the samples are all that is scored with
+            kept.append(rows if turn == BURN_IN + samples else rows.filter("kind != 's'"))
     past = spark.sparkContext.broadcast((history, spread))
     everything = texts.mapInPandas(
         _pack_tokens(shared), "bucket int, kind string, batch string, head binary, payload binary"
