@@ -6,8 +6,7 @@ input partition, so a hot account / device contributes one partial row per
 partition and window before the shuffle.  Distinct counts run as a
 two-level (Expand) aggregate in batch.  On a streaming input
 ``distinct_count`` falls back to ``size(collect_set)``; the streaming module
-uses it only for the six alert types and replaces C3 / C6 with
-dedupe-then-count forms (``streaming.signals``).
+replaces C3, C5 and C6 with dedupe-then-count forms (``streaming.signals``).
 
 The flag column repeats the HAVING condition and is therefore always TRUE;
 it is kept because downstream consumers read it.

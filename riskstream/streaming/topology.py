@@ -9,7 +9,7 @@ table                       maintained by                               partitio
 1 staged/<stream>           staging functions, file sink (append)       event day
 2 views/high_water          newest time and rows of each stream         key hash
 2 views/<C1-C6 signal>      windowed aggregate, changed rows            window day
-2 views/storm_*             C3 in three bounded parts, update + upsert  window day
+2 views/storm_*, burst_*    C3, C5 in bounded parts, update + upsert    window day
 2 views/accounts_seen       (customer, account) -> last seen, upsert    key hash
 2 views/latest_kyc          ``max_by`` per customer, upsert             key hash
 2 views/device_presence     (customer, device, hour) first/last seen    hour day
@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from riskstream import schemas
 from riskstream.constants import (
+    BURST_MIN_TYPES,
     BURST_WINDOW,
     CNP_WINDOW,
     DEVICE_HISTORY_FROM,
@@ -73,7 +74,6 @@ STAGE = {
 SIGNAL_SOURCE = {
     "velocity_alerts": "transactions", "cnp_spike": "transactions",
     "structuring": "transactions", "shared_device_ring": "transactions",
-    "correlated_alert_burst": "alert_events",
 }
 
 
@@ -198,7 +198,9 @@ def start(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     for name, src in SIGNAL_SOURCE.items():
         sig, keys = ss.windowed_signal(name, staged[src], watermark=watermark)
         keep(name, sig, keys, mat.day_of("window_start"))
-    for name, part in ss.login_failure_storm_streams(logins, watermark=watermark).items():
+    in_parts = (ss.login_failure_storm_streams(logins, watermark=watermark)
+                | ss.correlated_alert_burst_streams(staged["alert_events"], watermark=watermark))
+    for name, part in in_parts.items():
         keep(name, part, ["customer_id", "window_start"], mat.day_of("window_start"))
     # Keyed by (customer, account) only: state is one row per pair (dimension
     # size), kept for ever because the pairs are all-time by definition.
@@ -257,6 +259,9 @@ def score_facts(spark: SparkSession, topo: Topology, schema_of: dict) -> DataFra
         if name == "login_failure_storm":  # the counts hold its threshold
             df = changed("storm_counts")
             df = df.withColumn("is_brute_force", F.col("failure_count") >= STORM_MIN_FAILURES)
+        elif name == "correlated_alert_burst":
+            df = changed("burst_types")
+            df = df.withColumn("is_compound_fraud", F.col("alert_type_count") >= BURST_MIN_TYPES)
         else:
             df = changed(name)
         out = out.unionByName(expiry.signal_facts(name, df))
@@ -296,11 +301,12 @@ def snapshot_views(spark: SparkSession, root: str, device_args: dict | None = No
     device = pairs.device_anomalies_from_presence(tx_device, presence, near, as_of,
                                                   with_account=True, **dev_args)
     storm = ss.login_failure_storm_view(*[recent(p) for p in ss.STORM_PARTS])
+    burst = ss.correlated_alert_burst_view(*[recent(p) for p in ss.BURST_PARTS])
     score = risk.account_risk_score(
         tx_recent, recent("velocity_alerts"), ss.geo_hops_view(recent("geo_hops", "txn2_time")),
         device,
         recent("cnp_spike"), storm, recent("structuring"),
-        recent("correlated_alert_burst"), as_of=as_of, seen=seen)
+        burst, as_of=as_of, seen=seen)
     kyc = t("views", "latest_kyc").drop(mat.PART)
     # The alerts' own newest time anchors their look-back, as in batch.
     staged_alerts = t("staged", "alert_events")
@@ -371,6 +377,8 @@ def maintained_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "merchant_fraud_exposure", "channel_risk_breakdown", "hourly_fraud_trend",
         "known_customer_devices", "latest_kyc"]}
     out["login_failure_storm"] = ss.login_failure_storm_view(*[v(p) for p in ss.STORM_PARTS])
+    out["correlated_alert_burst"] = ss.correlated_alert_burst_view(
+        *[v(p) for p in ss.BURST_PARTS])
     geo = ss.geo_hops_view(v("geo_hops"))
     out["geo_impossible_trips"] = geo.drop("txn2_account_id")
     out["fraud_kpis_1min"] = risk.fraud_kpis_assemble(

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from riskstream.operators import pairs
+from riskstream.operators import pairs, signals
 from riskstream.plans.views import Views
 from riskstream.streaming import materialize as mat
 from riskstream.streaming import signals as ss
@@ -69,6 +69,29 @@ def test_login_storm_parts_equal_batch(spark, views, tmp_dir):
     assert want.count() > 0
 
 
+def test_burst_parts_equal_batch(spark, views, tmp_dir):
+    """Also alerts without a type or a customer, types that come again in a later
+    micro-batch, and types beyond the six."""
+    base = views.stg_alert_events
+    odd = base.limit(40).withColumn("customer_id", F.lit(None).cast("string")).withColumn(
+        "alert_type", F.when(F.rand(3) < .3, None).otherwise(F.concat(F.lit("t"), F.floor(F.rand(4) * 30))))
+    alerts = base.unionByName(odd).persist()
+    stream = _chunked_source(spark, alerts, os.path.join(tmp_dir, "src"))
+    tables = []
+    for name, part in ss.correlated_alert_burst_streams(stream, watermark="1 hour").items():
+        out = os.path.join(tmp_dir, name)
+        q = mat.materialize(part, out, ["customer_id", "window_start"],
+                            mat.day_of("window_start"), os.path.join(tmp_dir, "ck_" + name),
+                            trigger={"availableNow": True})
+        q.awaitTermination()
+        tables.append(mat.read_view(spark, out))
+    got = ss.correlated_alert_burst_view(*tables)
+    want = signals.correlated_alert_burst(alerts)
+    assert rows(got, *want.columns) == rows(want, *want.columns)
+    assert want.where("customer_id IS NULL").count() > 0 < want.where("customer_id IS NOT NULL").count()
+    alerts.unpersist()
+
+
 def test_geo_state_across_micro_batches(spark, views, tmp_dir):
     staged = views.stg_transactions
     stream = _chunked_source(spark, staged, os.path.join(tmp_dir, "src"))
