@@ -155,11 +155,13 @@ def device_alerts_on_batch(root: str, path: str, device_args: dict | None = None
 
 def start(spark: SparkSession, sources: dict[str, DataFrame], root: str,
           trigger: dict | None = None, watermark: str = ss.DEFAULT_WATERMARK,
-          device_args: dict | None = None) -> Topology:
+          device_args: dict | None = None,
+          compact_every: int | None = mat.COMPACT_EVERY) -> Topology:
     """Start the queries over streaming source-shaped DataFrames (see module doc).
 
     With an ``availableNow`` or ``once`` trigger a level starts when the one
-    before has processed all there is.
+    before has processed all there is.  Every ``compact_every`` micro-batches a
+    maintained table publishes its current rows as a base for its readers.
     """
     topo = Topology(root)
     ck = lambda name: topo.path("_checkpoints", name)
@@ -173,7 +175,8 @@ def start(spark: SparkSession, sources: dict[str, DataFrame], root: str,
         schema_of[name] = mat.change_rows(df, part).schema
         mat.prepare(spark, path, schema_of[name], keys)
         topo.queries.append(mat.materialize(df, path, keys, part, ck(name), trig,
-                                            output_mode=output_mode))
+                                            output_mode=output_mode,
+                                            compact_every=compact_every))
 
     def level_done() -> None:
         if finite:

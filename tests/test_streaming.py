@@ -215,6 +215,42 @@ def test_changes_are_appended_once_and_read_by_newest_epoch(spark, tmp_dir):
     assert mat.read_view(spark, empty).count() == 3
 
 
+@pytest.mark.parametrize("version", [None, "v"])
+def test_published_base_while_changes_come(spark, tmp_dir, version):
+    """A base changes no row read, whatever comes after it: new epochs, a replay of
+    the unfinished one, keys that never change again.  With a base the superseded
+    files aren't opened (they are spoilt here)."""
+    path, day = os.path.join(tmp_dir, "t"), F.to_date(F.lit("2024-01-01"))
+
+    def append(epoch, data):
+        df = spark.createDataFrame([(*d, 1) for d in data], "k string, x long, v long")
+        mat.append_changes(df.coalesce(1), path, ["k"], day, epoch, version)
+    now = lambda: {r.k: r.x for r in mat.read_view(spark, path).collect()}
+    assert mat.publish_compacted(spark, path) is None  # no table yet
+    append(0, [("a", 1), ("b", 1), (None, 1)])
+    assert mat.publish_compacted(spark, path) is None  # no finished epoch
+    append(1, [("a", 2)])
+    append(2, [("b", 3), ("c", 3)])
+    want = {"a": 2, "b": 3, "c": 3, None: 1}
+    assert now() == want
+    assert mat.publish_compacted(spark, path, "0 seconds") == 1
+    assert mat.publish_compacted(spark, path) is None  # nothing finished since
+    assert now() == want
+    for f in mat.changes(spark, path).where(F.col(mat.EPOCH) < 2).select(
+            "_metadata.file_path").distinct().collect():
+        name = f[0].removeprefix("file:").removeprefix("//")
+        at = os.stat(name).st_mtime
+        open(name, "wb").write(b"no parquet")
+        os.utime(name, (at - 60, at - 60))
+    assert now() == want
+    append(2, [("b", 3), ("c", 3)])
+    append(3, [("c", 4), ("d", 4)])
+    want |= {"c": 4, "d": 4}
+    assert now() == want
+    assert mat.publish_compacted(spark, path, "0 seconds") == 2 and now() == want
+    assert {r.k for r in mat.read_table(spark, path).where(F.col(mat.PART) == day).collect()} == set(want)
+
+
 def test_micro_batch_runs_once_and_reads_prune(spark, tmp_dir):
     """One execution a micro-batch, nothing left beside the table, and a filter
     on the partition reaches the scan through the newest-epoch aggregate."""
