@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,3 +75,16 @@ def written(df: DataFrame, tag: str, partition_by: Sequence[str] = ()) -> DataFr
     path = new_path(spark, tag)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def files_of_shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files: the table is all that is
+    read from then on."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -29,7 +29,6 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -37,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskstream.llm.common import LOWER, small_batches, table, written
+from riskstream.llm.common import LOWER, files_of_shuffles_go, small_batches, table, written
 
 CONTEXTS = 1 << 20  # about so many contexts of buckets are summed in one group
 START = np.uint64(0x5354415254)  # the context of a text's first token
@@ -603,19 +602,6 @@ def _sum_part(shared):
     return run
 
 
-@contextmanager
-def files_of_shuffles_go(spark):
-    """What is written inside leaves no shuffle files: the table is all that is
-    read from then on."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def turn_rows(dishes: DataFrame, before: DataFrame | None, history: list[dict], parts: int,
               buckets: int, keep: bool, spread) -> tuple[DataFrame, np.ndarray]:
     """The written rows of a sweep and the sums over all buckets."""

@@ -33,14 +33,15 @@ surroundings, never meets in one task.  That choice changes routes only.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskstream.llm.common import small_batches, table, written
+from riskstream.llm.common import files_of_shuffles_go, small_batches, table, written
 
 LENGTH = 100
 GRAM = 40
@@ -64,7 +65,12 @@ GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 # --- suffix array -----------------------------------------------------------
 
-def group_suffixes(s: list[int]) -> tuple[list[int], list[int]]:
+def numbers(x: np.ndarray) -> array:
+    """``x`` as plain 8-byte integers: a list's objects take four times as much."""
+    return array("q", x.astype(np.int64).tobytes())
+
+
+def group_suffixes(s: Sequence[int]) -> tuple[array, array]:
     """Lyndon groups of the suffixes of ``s`` (its last symbol smallest and
     unique): the start of each suffix's group in suffix order, and each
     suffix's previous smaller suffix (-1: none).
@@ -76,29 +82,20 @@ def group_suffixes(s: list[int]) -> tuple[list[int], list[int]]:
     group for a new one right above it, those with more extensions higher.
     """
     n = len(s)
-    size_of: dict[int, int] = {}
-    for c in s:
-        size_of[c] = size_of.get(c, 0) + 1
-    start_of, at = {}, 0
-    for c in sorted(size_of):
-        start_of[c] = at
-        at += size_of[c]
-    group = [start_of[c] for c in s]
-    size = [0] * n
-    slots = [0] * n
-    where = [0] * n
-    for i, g in enumerate(group):
-        p = g + size[g]
-        slots[p] = i
-        where[i] = p
-        size[g] += 1
-    prev = [-1] * n
+    _, symbol, count = np.unique(np.asarray(s, np.int64), return_inverse=True, return_counts=True)
+    starts = np.cumsum(count) - count
+    by_symbol = np.argsort(symbol, kind="stable")
+    places, sizes = np.empty(n, np.int64), np.zeros(n, np.int64)
+    places[by_symbol] = np.arange(n)
+    sizes[starts] = count
+    group, size = numbers(starts[symbol]), numbers(sizes)
+    slots, where = numbers(by_symbol), numbers(places)
+    del symbol, count, starts, by_symbol, places, sizes
+    prev = array("q", [-1]) * n
     top = n
     while top > 0:
         g = group[slots[top - 1]]
-        members = slots[g:top]
-        if len(members) > 1:
-            members.sort()
+        members = sorted(slots[g:top])
         times: dict[int, int] = {}
         for i in members:
             j = i - 1
@@ -136,14 +133,19 @@ def group_suffixes(s: list[int]) -> tuple[list[int], list[int]]:
     return group, prev
 
 
-def suffix_array(s: list[int]) -> list[int]:
+def suffix_array(s: Sequence[int]) -> list[int]:
     """Suffix array of ``s``, whose last symbol is its unique smallest."""
+    return suffix_order(s).tolist()
+
+
+def suffix_order(s: Sequence[int]) -> array:
+    """The suffix array as plain integers."""
     n = len(s)
     if not n:
-        return []
+        return array("q")
     group, prev = group_suffixes(s)
-    fill = list(range(n))  # the next free slot of the group that starts there
-    sa = [-1] * n
+    fill = numbers(np.arange(n))  # the next free slot of the group that starts there
+    sa = array("q", [-1]) * n
     placed = bytearray(n)
     sa[0] = n - 1
     placed[n - 1] = 1
@@ -437,14 +439,18 @@ def sorted_by_right(right: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     a matrix of byte + 1, 0 past their ends."""
     m, n_pieces = len(right), -(-LENGTH // PIECE)
     flat = np.zeros((m, n_pieces * PIECE), ">u2")
-    sizes = np.array([len(x) for x in right])
-    flat[np.arange(flat.shape[1])[None, :] < sizes[:, None]] = (
-        np.frombuffer(b"".join(right), np.uint8).astype(np.uint16) + 1)
+    for at in range(0, m, 4096):  # a part at a time: the matrix is the largest thing here
+        part = right[at:at + 4096]
+        sizes = np.array([len(x) for x in part])
+        flat[at:at + 4096][np.arange(flat.shape[1])[None, :] < sizes[:, None]] = (
+            np.frombuffer(b"".join(part), np.uint8).astype(np.uint16) + 1)
     pieces = np.ascontiguousarray(flat).view(f"S{2 * PIECE}").reshape(m, n_pieces)
     _, rank = np.unique(pieces, return_inverse=True)
-    s = np.ones((m, n_pieces + 1), np.int64)  # 1 ends a string, 0 ends all
-    s[:, :-1] = rank.reshape(m, n_pieces) + 2
-    sa = np.array(suffix_array(s.ravel().tolist() + [0]))
+    s = np.zeros(m * (n_pieces + 1) + 1, np.int64)  # 1 ends a string, 0 ends all
+    rows = s[:-1].reshape(m, n_pieces + 1)
+    rows[:, :-1] = rank.reshape(m, n_pieces) + 2
+    rows[:, -1] = 1
+    sa = np.frombuffer(suffix_order(s), np.int64)
     heads = sa[sa % (n_pieces + 1) == 0] // (n_pieces + 1)
     return heads[heads < m], flat
 
@@ -454,10 +460,11 @@ def repeats(pdf: pd.DataFrame) -> list[tuple[int, int, bytes]]:
     pdf = pdf.sort_values(["did", "dig", "lo"]).reset_index(drop=True)
     rel = pdf["rel"].to_numpy(np.int64)
     span = pdf["span"].to_numpy(np.int64)
-    right = [b[r:] for b, r in zip(pdf["bytes"], rel, strict=True)]
-    order, flat = sorted_by_right([x[:LENGTH] for x in right])
+    lo = pdf["lo"].to_numpy(np.int64)
+    order, flat = sorted_by_right([b[r:r + LENGTH] for b, r in zip(pdf["bytes"], rel, strict=True)])
     f = flat[order]
     common = np.cumprod((f[1:] == f[:-1]) & (f[1:] > 0), axis=1, dtype=np.uint8).sum(axis=1)
+    del f, flat
     left = np.zeros((len(pdf), SPAN), np.uint8)
     for i, (b, r) in enumerate(zip(pdf["bytes"], rel, strict=True)):
         left[i, :r] = np.frombuffer(b, np.uint8, r)[::-1]
@@ -478,8 +485,8 @@ def repeats(pdf: pd.DataFrame) -> list[tuple[int, int, bytes]]:
         later = np.zeros(len(k), bool)
         later[1:] = k[1:] == k[:-1]
         hit = has[by[later]]
-        who.append(hit)
-        start.append(pdf["lo"].to_numpy(np.int64)[hit] + rel[hit] - off)
+        who.append(hit.astype(np.int32))
+        start.append((lo[hit] + rel[hit] - off).astype(np.int32))
     if not who:
         return []
     who, start = np.concatenate(who), np.concatenate(start)
@@ -588,41 +595,42 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.count(F.lit(1)), F.sum(F.octet_length("t_").cast("long"))).first())
     buckets = max(1, -(-n_bytes // BUCKET_BYTES))
     shared = spark.sparkContext.broadcast((hot_anchors(d, n_docs), buckets))
-    packed = written(d.filter(F.octet_length("t_") >= LENGTH).mapInPandas(
-        _pack(shared), "bucket int, did long, dig long, payload binary"), "suffix-cells")
-    near = packed.filter("bucket < 0").select("did", "dig", F.col("payload").alias("runs"))
-    ranges = max(1, -(-n_bytes // RANGE_BYTES))
-    flagged = written(
-        packed.filter("bucket >= 0").groupBy("bucket").applyInPandas(
-            _collapse(shared, ranges), "r int, runs binary, cells binary")
-        .groupBy("r").applyInPandas(
-            _per_document, "did long, dig long, runs binary, cells binary"), "suffix-flags")
-    wanted = flagged.filter(F.length("cells") > 0).select("did", "dig", F.array("cells").alias("cells"))
-    # Rows equal in id and text ask for the same cells: one of them answers.
-    once = d.join(wanted, ["did", "dig"]).groupBy("did", "dig").agg(
-        F.first("t_").alias("t_"), F.first("cells").alias("cells"))
-    cut = written(once.mapInPandas(
-        _cut_out(shared), "h long, hot boolean, did long, dig long, lo int, rel int, span int, "
-                          "bytes binary"), "suffix-cut")
-    # Exact counts: an anchor with more cells than a group should hold takes the
-    # route without groups as well, whatever the sample saw.
-    loaded = written(cut.filter("not hot").groupBy("h").count()
-                     .filter(F.col("count") > CELLS_PER_ANCHOR)
-                     .select("h", F.lit(True).alias("loaded")), "suffix-loaded")
-    any_loaded = not loaded.isEmpty()
-    if any_loaded:
-        cut = cut.join(loaded, "h", "left").withColumn(
-            "hot", F.col("hot") | F.coalesce("loaded", F.lit(False))).drop("loaded")
-    size = int(cut.agg(F.sum(F.length("bytes").cast("long"))).first()[0] or 0)
-    groups = max(1, -(-size // CONTEXT_BUCKET))
-    found = (cut.filter("not hot").withColumn("g", F.pmod(F.xxhash64("h"), F.lit(groups)))
-             .groupBy("g").applyInPandas(_repeats, "did long, dig long, runs binary"))
-    runs = near.unionByName(flagged.filter(F.length("runs") > 0).select("did", "dig", "runs")
-                            ).unionByName(found)
-    if len(shared.value[0]) or any_loaded:
-        runs = runs.unionByName(hot_repeats(cut.filter("hot")))
-    by_doc = written(runs.groupBy("did", "dig").agg(F.collect_list("runs").alias("runs")),
-                     "suffix-runs")
+    with files_of_shuffles_go(spark):
+        packed = written(d.filter(F.octet_length("t_") >= LENGTH).mapInPandas(
+            _pack(shared), "bucket int, did long, dig long, payload binary"), "suffix-cells")
+        near = packed.filter("bucket < 0").select("did", "dig", F.col("payload").alias("runs"))
+        ranges = max(1, -(-n_bytes // RANGE_BYTES))
+        flagged = written(
+            packed.filter("bucket >= 0").groupBy("bucket").applyInPandas(
+                _collapse(shared, ranges), "r int, runs binary, cells binary")
+            .groupBy("r").applyInPandas(
+                _per_document, "did long, dig long, runs binary, cells binary"), "suffix-flags")
+        wanted = flagged.filter(F.length("cells") > 0).select("did", "dig", F.array("cells").alias("cells"))
+        # Rows equal in id and text ask for the same cells: one of them answers.
+        once = d.join(wanted, ["did", "dig"]).groupBy("did", "dig").agg(
+            F.first("t_").alias("t_"), F.first("cells").alias("cells"))
+        cut = written(once.mapInPandas(
+            _cut_out(shared), "h long, hot boolean, did long, dig long, lo int, rel int, span int, "
+                              "bytes binary"), "suffix-cut")
+        # Exact counts: an anchor with more cells than a group should hold takes the
+        # route without groups as well, whatever the sample saw.
+        loaded = written(cut.filter("not hot").groupBy("h").count()
+                         .filter(F.col("count") > CELLS_PER_ANCHOR)
+                         .select("h", F.lit(True).alias("loaded")), "suffix-loaded")
+        any_loaded = not loaded.isEmpty()
+        if any_loaded:
+            cut = cut.join(loaded, "h", "left").withColumn(
+                "hot", F.col("hot") | F.coalesce("loaded", F.lit(False))).drop("loaded")
+        size = int(cut.agg(F.sum(F.length("bytes").cast("long"))).first()[0] or 0)
+        groups = max(1, -(-size // CONTEXT_BUCKET))
+        found = (cut.filter("not hot").withColumn("g", F.pmod(F.xxhash64("h"), F.lit(groups)))
+                 .groupBy("g").applyInPandas(_repeats, "did long, dig long, runs binary"))
+        runs = near.unionByName(flagged.filter(F.length("runs") > 0).select("did", "dig", "runs")
+                                ).unionByName(found)
+        if len(shared.value[0]) or any_loaded:
+            runs = runs.unionByName(hot_repeats(cut.filter("hot")))
+        by_doc = written(runs.groupBy("did", "dig").agg(F.collect_list("runs").alias("runs")),
+                         "suffix-runs")
     out = d.join(by_doc, ["did", "dig"], "left").select("did", "t_", "runs").mapInPandas(
         _finish, "did long, n_bytes long, n_removed long, spans array<struct<a:long,b:long>>, "
                  "kept_sha256 string")

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 from types import SimpleNamespace
 
@@ -293,6 +294,16 @@ def test_suffix_array_by_linear_grouping():
         assert suffixarray.suffix_array(s) == sorted(range(len(s)), key=lambda i: s[i:])
 
 
+def test_suffix_array_keeps_plain_integers():
+    s = np.random.default_rng(1).integers(1, 40_000, 50_000).tolist() + [0]
+    tracemalloc.start()
+    try:
+        suffixarray.suffix_array(s)
+        assert tracemalloc.get_traced_memory()[1] < 120 * len(s)  # lists of objects took 189
+    finally:
+        tracemalloc.stop()
+
+
 def brute_repeats(rows):
     order = sorted({(i is not None, i or 0, t or "") for i, t, *_ in rows}, key=lambda x: x[:2])
     seen, out = set(), {}
