@@ -11,7 +11,8 @@ band are confirmed on their full sets, never all with all: in each round every
 bucket picks one member as its centre and only members of another component
 are compared with it.  Buckets whose members are all of one component are
 done.  Buckets that stay open after ``STAR_ROUNDS`` go to an exact stage that
-compares the members of different components, block by block, inside tasks.
+compares the members of different components, block by block, inside tasks; a
+bound on the intersection, from histograms, rules out most pairs at once.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ PERMS = 50
 THRESHOLD = 85  # percent
 STAR_ROUNDS = 3
 BLOCK = 256
+BINS = 256  # of a set's histogram; a power of two
 SALTS = 64
 
 _rng = np.random.Generator(np.random.PCG64(20))
@@ -183,24 +185,26 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) -> Da
 
 def components(links: DataFrame) -> DataFrame:
     """(a, b) -> (node, label), label the smallest node reachable, by
-    alternating large-star and small-star rounds on written edge tables."""
+    alternating large-star and small-star rounds on written edge tables until
+    all that is left are stars."""
     def norm(e: DataFrame) -> DataFrame:
         return e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter(
             "a != b").distinct()
 
-    def state(e: DataFrame):
-        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
-                           ).first())
+    def stars(e: DataFrame) -> bool:
+        """Has every node at most one smaller one, which has none itself?"""
+        ends = e.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            e.select(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        open_ = ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter(
+            F.col("up") + F.col("down") > 1)
+        return not open_.agg(F.count(F.lit(1))).first()[0]
 
     edges = written(norm(links), "neardup-edges")
-    was = None
-    while (now := state(edges)) != was:
-        was = now
+    while not stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(low, "a").filter(F.col("b") > F.col("a")).select(
-            F.col("b").alias("a"), F.col("m").alias("b"))
-        large = written(norm(large), "neardup-edges")
+        large = norm(both.join(low, "a").filter(F.col("b") > F.col("a")).select(
+            F.col("b").alias("a"), F.col("m").alias("b")))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             low.select("a", F.col("m").alias("b")))
@@ -228,6 +232,21 @@ def close_enough(a: str, b: str, threshold: int) -> Column:
     return 100 * F.least(a, b) >= threshold * F.greatest(a, b)
 
 
+def histogram(shingles: frozenset[bytes]) -> np.ndarray:
+    """How many of a set's shingles fall into each of ``BINS``: the sum of the
+    smaller counts of two sets is at least the size of their intersection."""
+    at = np.fromiter(map(hash, shingles), np.int64, len(shingles)) & (BINS - 1)
+    return np.bincount(at, minlength=BINS).astype(np.int32)
+
+
+def may_link(mine: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray, threshold: int
+             ) -> np.ndarray:
+    """Which of the sets with histograms ``others`` may be linked with one of
+    ``n`` shingles: no linked one is left out."""
+    both = np.minimum(others, mine).sum(axis=1, dtype=np.int64)
+    return np.flatnonzero(100 * both >= threshold * (sizes + n - both))
+
+
 def _cross(size: int, threshold: int):
     """All members of different components of one block pair of a bucket."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,6 +257,7 @@ def _cross(size: int, threshold: int):
             yield from itertools.groupby(rows, key=lambda r: r[:3])
         for (_, x, y), rows in groups():
             left, out, parent = [], [], {}
+            counts, sizes = np.empty((64, BINS), np.int32), np.empty(64, np.int64)
 
             def root(v, parent=parent):
                 while parent.setdefault(v, v) != v:
@@ -245,12 +265,16 @@ def _cross(size: int, threshold: int):
                 return v
             for *_, side, node, label, text in rows:
                 s = shingle_set(text, size)
-                for other, tag, t in left:
-                    if (100 * min(len(s), len(t)) >= threshold * max(len(s), len(t))
-                            and root(label) != root(tag) and linked(s, t, threshold)):
+                mine, m = histogram(s), len(left)
+                for i in may_link(mine, len(s), counts[:m], sizes[:m], threshold):
+                    other, tag, t = left[i]
+                    if root(label) != root(tag) and linked(s, t, threshold):
                         out.append((other, node))
                         parent[root(label)] = root(tag)
                 if side == 0 or x == y:
+                    if m == len(counts):
+                        counts, sizes = np.repeat(counts, 2, axis=0), np.repeat(sizes, 2)
+                    counts[m], sizes[m] = mine, len(s)
                     left.append((node, label, s))
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"], dtype=object)

@@ -285,6 +285,35 @@ def test_band_layouts_never_pair_a_permutation_with_itself():
         assert all(len({v % neardup.PERMS for v in b}) == len(b) for b in layout)
 
 
+def test_neardup_stars_need_no_rounds(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(neardup, "written", lambda df, tag: made.append(tag) or df.localCheckpoint())
+    links = [("a", "b"), ("c", "a"), ("x", "y")]
+    got = neardup.components(spark.createDataFrame(links, "a string, b string"))
+    assert {tuple(r) for r in got.collect()} == {("b", "a"), ("c", "a"), ("y", "x")}
+    assert len(made) == 1  # the links themselves
+    path = [(f"{i:02}", f"{i + 1:02}") for i in range(20)]
+    got = neardup.components(spark.createDataFrame(path, "a string, b string"))
+    assert {tuple(r) for r in got.collect()} == {(f"{i:02}", "00") for i in range(1, 21)}
+
+
+def test_neardup_histograms_rule_out_no_link():
+    r = random.Random(7)
+    sets = []
+    for _ in range(60):
+        text = [str(r.randint(0, 40)) for _ in range(r.randint(1, 120))]
+        for _ in range(3):
+            sets.append(neardup.shingle_set(" ".join(text)))
+            text[r.randrange(len(text))] = "x"
+    h, n = np.array([neardup.histogram(s) for s in sets]), np.array([len(s) for s in sets])
+    out = 0
+    for i, s in enumerate(sets):
+        may = set(neardup.may_link(h[i], len(s), h, n, 85).tolist())
+        assert may >= {j for j, t in enumerate(sets) if neardup.linked(s, t)}
+        out += len(sets) - len(may)
+    assert out > 25_000  # of 32,400
+
+
 # --- 5 ----------------------------------------------------------------------
 
 def test_suffix_array_by_linear_grouping():
